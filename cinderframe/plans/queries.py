@@ -88,15 +88,10 @@ def q_load_replace_day(spark, d):
     path = scratch_path(spark, "raw_sensor_readings")
     base = raw_sensor(spark, d)
     sinks.replace_plant_days(base, path, RUN_TS)
-    table = readers.read_sensor_readings(spark, path)
-    plant = table.where(F.col("plant_id") == REPLACED_PLANT)
+    plant = readers.read_sensor_readings(spark, path).where(F.col("plant_id") == REPLACED_PLANT)
     last_day = plant.agg(F.max("reading_date").alias("reading_date"))
-    batch = (plant.join(last_day, "reading_date")
-             .withColumn("value", F.col("value") * 1.01))
-    sinks.replace_plant_days(batch.select(*base.columns), path + "-batch-staging", RUN_TS)
-    # The batch is staged first: a table cannot be overwritten while it is being read.
-    staged = readers.read_sensor_readings(spark, path + "-batch-staging")
-    sinks.replace_plant_days(staged, path, RUN_TS)
+    batch = plant.join(last_day, "reading_date").withColumn("value", F.col("value") * 1.01)
+    sinks.replace_plant_days(batch.select(*base.columns), path, RUN_TS)
     return readers.read_sensor_readings(spark, path).drop("ingested_at")
 
 

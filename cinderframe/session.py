@@ -12,8 +12,11 @@ _CHECKPOINT_KEY = "spark.checkpoint.dir"
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "cinderframe",
-                  event_log_dir: str | None = None) -> SparkSession:
-    """A local session configured like the cluster one (UTC, AQE on, no UI)."""
+                  event_log_dir: str | None = None, checkpoint_dir: str | None = None) -> SparkSession:
+    """A local session configured like the cluster one (UTC, AQE on, no UI).
+
+    ``checkpoint_dir`` stands in for the cluster's shared folder (``spark.checkpoint.dir``,
+    a static setting, so it is fixed when the session starts)."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
@@ -27,6 +30,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if checkpoint_dir:
+        builder = builder.config(_CHECKPOINT_KEY, checkpoint_dir)
     if event_log_dir:
         builder = (builder.config("spark.eventLog.enabled", "true")
                    .config("spark.eventLog.dir", event_log_dir))
@@ -41,13 +46,11 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this setting names shared storage and is read, never overridden.  Only
     when it is unset (local tests) is a fresh folder created and registered.
     """
-    conf = spark.sparkContext.getConf()
-    path = conf.get(_CHECKPOINT_KEY, None) or spark.conf.get(_CHECKPOINT_KEY, None)
+    path = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="cinderframe-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, path)
         spark.sparkContext.setCheckpointDir(path)
     return path
 
