@@ -51,7 +51,7 @@ def read_air_quality_documents(spark: SparkSession, path: str) -> DataFrame:
     one ``body`` string per record.  Records keep their raw JSON so that fields with two
     shapes (``date`` as object or string) are resolved by path, not by schema inference.
     """
-    docs = spark.read.option("wholetext", True).text(path)
+    docs = spark.read.text(path, wholetext=True)
     parsed = F.from_json("value", "struct<results: array<string>>")
     return docs.select(F.explode(parsed["results"]).alias("body"))
 
