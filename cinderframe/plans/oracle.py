@@ -357,6 +357,7 @@ ORACLE: dict[str, str] = {
                     then value * 1.01e0 else value end as value,
                unit_label, is_anomaly
         from raw_sensor"""),
+    "stream_ingest_sensor": None,
     "ingest_owid": _with(["raw_owid"], "select year, country, co2_per_capita, co2_total_mt, cement_co2, energy_co2 from raw_owid"),
     "ingest_openaq": _with(["air_parsed"], "select * from air_parsed"),
     "audit_summary": _with(["pipeline_log"], """
@@ -450,3 +451,4 @@ ORACLE: dict[str, str] = {
     "export_net_zero": _with(["net_zero"], "select * from net_zero"),
     "export_benchmark_gap": _with(["bgap"], "select * from bgap"),
 }
+ORACLE["stream_ingest_sensor"] = ORACLE["load_replace_day"]

@@ -18,6 +18,7 @@ from ..config import DEFAULT
 from ..operators import ingest, marts, quality, reports, scopes, sinks, staging
 from ..session import scratch_path
 from ..sources import fixtures, readers
+from ..streaming import sensor_stream
 
 AS_OF = fixtures.AS_OF
 RUN_TS = fixtures.RUN_TS
@@ -95,6 +96,23 @@ def q_load_replace_day(spark, d):
     return readers.read_sensor_readings(spark, path).drop("ingested_at")
 
 
+def q_stream_ingest_sensor(spark, d):
+    """The same two loads as ``load_replace_day``, delivered as landed files and picked up
+    by the ingestion stream in two scheduled runs (``availableNow``)."""
+    landing = scratch_path(spark, "landing_sensor")
+    table = scratch_path(spark, "raw_sensor_stream")
+    ckpt = scratch_path(spark, "ckpt_sensor_stream")
+    landed_cols = [f.name for f in sensor_stream.LANDED_SENSOR_SCHEMA.fields]
+    fixtures.unflagged_sensor_readings(spark, d).select(*landed_cols).write.mode("append").parquet(landing)
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    plant = readers.read_sensor_readings(spark, table).where(F.col("plant_id") == REPLACED_PLANT)
+    last_day = plant.agg(F.max("reading_date").alias("reading_date"))
+    correction = plant.join(last_day, "reading_date").withColumn("value", F.col("value") * 1.01)
+    correction.select(*landed_cols).write.mode("append").parquet(landing)
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    return readers.read_sensor_readings(spark, table).drop("ingested_at")
+
+
 def q_ingest_owid(spark, d):
     landed = scratch_path(spark, "owid_landed_csv")
     fixtures.owid_csv_frame(spark, d).write.option("header", True).csv(landed)
@@ -269,6 +287,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_sensor": q_scan_sensor,
     "flag_anomaly": q_flag_anomaly,
     "load_replace_day": q_load_replace_day,
+    "stream_ingest_sensor": q_stream_ingest_sensor,
     "ingest_owid": q_ingest_owid,
     "ingest_openaq": q_ingest_openaq,
     "audit_summary": q_audit_summary,

@@ -53,7 +53,10 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(k for k in E.queries() if k != "load_replace_day"))
+# The two load queries rewrite one directory per reading day; they are checked at sf0.01
+# by tools/check_oracle.py and by the focused load tests.
+@pytest.mark.parametrize("name", sorted(k for k in E.queries()
+                                         if k not in ("load_replace_day", "stream_ingest_sensor")))
 def test_query_matches_oracle(spark, con, name):
     got = E.queries()[name](spark, SF).toPandas()
     want = con.execute(E.oracle_sql()[name]).df()
