@@ -16,6 +16,7 @@ from .. import config as C
 from ..config import DEFAULT, PipelineConfig
 from ..functions import out_of_limits
 from ..functions.timeutil import ts_lit
+from .joins import known_small
 
 _LIMITS_SCHEMA = T.StructType([
     T.StructField("sensor", T.StringType(), False),
@@ -31,11 +32,11 @@ def sensor_limits(spark: SparkSession, cfg: PipelineConfig = DEFAULT) -> DataFra
 def flag_anomalies(readings: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Flag readings outside their sensor's limits (strict ``<``/``>``).
 
-    The limits table has one row per configured sensor, so it is broadcast: the readings
-    are never shuffled.  A sensor without limits keeps its rows with a NULL flag.
+    The limits table has one row per configured sensor (a known, small size), so it is
+    broadcast: the readings are never shuffled.  A sensor without limits keeps its rows with a NULL flag.
     """
-    limits = sensor_limits(readings.sparkSession, cfg)
-    j = readings.join(F.broadcast(limits), "sensor", "left")
+    limits = known_small(sensor_limits(readings.sparkSession, cfg), len(cfg.sensors))
+    j = readings.join(limits, "sensor", "left")
     flag = out_of_limits(F.col("value"), F.col("lo"), F.col("hi"))
     cols = [c for c in readings.columns if c != "is_anomaly"]
     out = j.select(*cols, flag.alias("is_anomaly"))

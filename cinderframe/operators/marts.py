@@ -12,8 +12,11 @@ from ..config import DEFAULT, PipelineConfig
 from ..functions.timeutil import ts_lit
 from ..functions import (as_decimal, dec, global_status, industry_position, round_half_up,
                          safe_div, status_2030)
+from .joins import broadcast_if_small
 from .scopes import KEYS, scope2_intensity, scope3_columns
 
+MAX_BENCHMARK_ROWS = 1000
+
 MART_CO2_COLUMNS = [
     "reading_date", "plant_id", "scope1_kg_per_t", "scope1_7d_avg", "scope1_30d_avg",
     "scope2_kg_per_t", "scope3_kg_per_t", "total_co2_kg_per_t", "reading_count",
@@ -110,18 +113,19 @@ def benchmark_gap(co2: DataFrame, stg_iea: DataFrame, sector: str = C.BENCHMARK_
     """Gap of each plant-day against the global and ASEAN benchmarks and the own target.
 
     Plants are matched to the benchmarks of their sector (an equi-join on ``sector``).  Each
-    benchmark relation is the handful of rows of one (year, region) of the published
-    benchmark table -- a fixed, tiny input -- so it is broadcast and the plant-day side is
-    never shuffled.  As with the original, a missing benchmark row yields no rows and a
-    duplicated one multiplies them.
+    benchmark relation is the row(s) of one (year, region) of the published benchmark
+    table; after a bounded count confirms it is small it is broadcast, so the plant-day
+    side is never shuffled (every plant-day carries the same sector, so a shuffle join
+    would be one hot key, left to AQE's skew split only beyond the bound).  As with the
+    original, a missing benchmark row yields no rows and a duplicated one multiplies them.
     """
     g = _benchmark_value(stg_iea, C.BENCHMARK_YEAR, C.GLOBAL_REGION, "global_avg")
     a = _benchmark_value(stg_iea, C.BENCHMARK_YEAR, C.ASEAN_REGION, "asean_avg")
     s = _benchmark_value(stg_iea, C.OWN_TARGET_YEAR, C.OWN_TARGET_REGION, "scg_2030_target")
     rows = (co2.withColumn("sector", F.lit(sector))
-            .join(F.broadcast(g), "sector")
-            .join(F.broadcast(a), "sector")
-            .join(F.broadcast(s), "sector"))
+            .join(broadcast_if_small(g, MAX_BENCHMARK_ROWS), "sector")
+            .join(broadcast_if_small(a, MAX_BENCHMARK_ROWS), "sector")
+            .join(broadcast_if_small(s, MAX_BENCHMARK_ROWS), "sector"))
     cur = F.col("scope1_kg_per_t")
     gavg = F.col("global_avg")
     return rows.select(

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -60,6 +60,26 @@ def not_null_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return out.withColumn("status", _status(F.col("failures")))
 
 
+def observe_not_nulls(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
+    """Attach the NOT NULL counts of ``table`` to ``df`` as observed metrics.
+
+    The counts are computed by whatever job next reads ``df`` (e.g. the write of the
+    plant-day aggregate), so the check costs no scan of its own.
+    """
+    obs = Observation(f"not_null_{table}")
+    metrics = [F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL_TESTS[table]]
+    return df.observe(obs, *metrics), obs
+
+
+def not_null_from_observation(spark: SparkSession, table: str, obs: Observation) -> DataFrame:
+    """Check rows of an observed table (a handful of counts, built on the driver)."""
+    m = obs.get
+    rows = [(f"not_null_{table}_{c}", table, c, int(m[c])) for c in NOT_NULL_TESTS[table]]
+    df = spark.createDataFrame(rows, "test_name string, table_name string, column_name string, "
+                                     "failures bigint")
+    return df.withColumn("status", _status(F.col("failures")))
+
+
 def negative_intensity(co2: DataFrame) -> DataFrame:
     """Singular test: plant-days with a negative Scope 1 intensity (any row = failure)."""
     return co2.where(F.col("scope1_kg_per_t") < 0).select("reading_date", "plant_id", "scope1_kg_per_t")

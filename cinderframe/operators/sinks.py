@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.timeutil import ts_lit
+from .joins import broadcast_if_small
 
 SENSOR_PARTITION = "reading_date"
 
@@ -91,8 +92,8 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     loaded = int(obs.get.get("n", 0))
     new = spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(staged_batch)
     keys = new.select(SENSOR_PARTITION, "plant_id").distinct()
-    # Distinct days of one batch: bounded by the calendar, so safe to broadcast.
-    days = F.broadcast(keys.select(SENSOR_PARTITION).distinct())
+    # Distinct days of one batch: bounded by the calendar; the bounded count confirms it.
+    days = broadcast_if_small(keys.select(SENSOR_PARTITION).distinct())
     current = spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(path)
     touched = current.join(days, SENSOR_PARTITION, "left_semi")
     kept = touched.join(keys, [SENSOR_PARTITION, "plant_id"], "left_anti")

@@ -101,7 +101,7 @@ def _daily_readings(spark: SparkSession, wh: Warehouse, stg_sensor: DataFrame,
     for days on or after ``since`` (the raw scan is pruned to those day directories) and
     merged with the stored aggregate of the earlier days."""
     path = wh.path("int_daily_plant_readings")
-    if since is None or not sinks.path_exists(spark, path):
+    if since is None:
         return scopes.daily_plant_readings(stg_sensor)
     fresh = scopes.daily_plant_readings(stg_sensor.where(F.col("reading_date") >= F.lit(since)))
     kept = spark.read.parquet(path).where(F.col("reading_date") < F.lit(since))
@@ -123,6 +123,8 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     windows exact: a window's 29 preceding reading days come from the stored aggregate.
     """
     res = RunResult()
+    if since is not None and not sinks.path_exists(spark, wh.path("int_daily_plant_readings")):
+        since = None  # nothing stored yet: a full run
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = wh.path(name)
@@ -134,8 +136,15 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     raw_owid = readers.read_owid_emissions(spark, wh.path("raw_owid_emissions"))
     raw_iea = readers.read_iea_benchmarks(spark, wh.path("raw_iea_benchmarks"))
 
+    # The days this run reads: all, or (incremental) the days loaded since ``since``; the
+    # predicate is on the partition column, so other day directories are not listed/read.
+    scanned = raw_sensor if since is None else raw_sensor.where(F.col("reading_date") >= F.lit(since))
+    # NOT NULL tests of the raw and staged readings ride along with the one scan.
+    scanned, raw_nn = quality.observe_not_nulls(scanned, "raw_sensor_readings")
+
     # staging: lazy views
-    stg_sensor = staging.stg_sensor_readings(raw_sensor, cfg)
+    stg_sensor = staging.stg_sensor_readings(scanned, cfg)
+    stg_sensor, stg_nn = quality.observe_not_nulls(stg_sensor, "stg_sensor_readings")
     stg_owid = staging.stg_owid_emissions(raw_owid)
     stg_iea = staging.stg_iea_benchmarks(raw_iea, cfg)
 
@@ -152,12 +161,14 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     bgap = write("mart_benchmark_gap", marts.benchmark_gap(co2, stg_iea))
 
     # checks: reported and logged, never blocking the export
-    # incremental runs test the newly loaded days (earlier days were tested when loaded)
-    new_days = (lambda df: df) if since is None else (
-        lambda df: df.where(F.col("reading_date") >= F.lit(since)))
+    # (incremental runs test the newly loaded days; earlier days were tested when loaded)
+    sensor_checks = quality.not_null_from_observation(spark, "raw_sensor_readings", raw_nn).unionByName(
+        quality.not_null_from_observation(spark, "stg_sensor_readings", stg_nn))
+    small_checks = quality.not_null_checks({"raw_owid_emissions": raw_owid, "raw_iea_benchmarks": raw_iea})
+    mart_checks = quality.mart_checks(co2, cfg).withColumn("status", F.when(F.col("failures") > 0, "fail")
+                                                           .otherwise("pass"))
     results = write("data_test_results",
-                    quality.test_results(new_days(raw_sensor), raw_owid, raw_iea,
-                                         new_days(stg_sensor), co2, cfg))
+                    sensor_checks.unionByName(small_checks).unionByName(mart_checks))
     quality.test_log_record(results, run_ts).write.mode("append").parquet(wh.log)
     write("source_freshness", quality.freshness(raw_sensor, "raw_sensor_readings", run_ts))
 

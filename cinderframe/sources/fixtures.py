@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import broadcast_if_small, known_small
+
 # Fixture parameters: line number -> (sensor, base, span, lo, hi, unit).  The value is
 # base + span * (quantity - 25) / 25, so quantities 1..50 sweep base +/- span.
 SENSOR_FIXTURE = (
@@ -51,7 +53,7 @@ def sensor_fixture_values(spark: SparkSession, lineitem: DataFrame) -> DataFrame
     spec = spark.createDataFrame(list(SENSOR_FIXTURE), _SPEC_SCHEMA)
     li = lineitem.select("l_shipdate", "l_suppkey", "l_linenumber", "l_quantity")
     # The spec has exactly seven rows, so broadcasting it is size-safe at any scale.
-    joined = li.join(F.broadcast(spec), li["l_linenumber"] == spec["n"])
+    joined = li.join(known_small(spec, len(SENSOR_FIXTURE)), li["l_linenumber"] == spec["n"])
     value = F.col("base") + F.col("span") * ((F.col("l_quantity") - F.lit(25.0)) / F.lit(25.0))
     return joined.select(
         F.col("l_shipdate").cast("date").alias("reading_date"),
@@ -85,8 +87,8 @@ def owid_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_totalprice",
                                                    "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # nation has 25 rows in every scale factor: a size-bounded broadcast.
-    nation = F.broadcast(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    # nation has 25 rows in every scale factor; the bounded count confirms it.
+    nation = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
     price = F.col("o_totalprice").cast("decimal(18,2)")
     j = (orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
          .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
