@@ -54,7 +54,16 @@ from raw_sensor
 where value is not null and value > 0 and sensor in ({_SENSORS_IN})
 """
 
-SCOPE1 = """
+def _rolling_mean(col: str, rows: int) -> str:
+    """Mean over the last ``rows`` rows, summed oldest to newest as a relational engine that
+    recomputes each float frame does (DuckDB's segment tree would group the terms
+    differently and change the last bit).  Missing leading rows add an exact 0."""
+    terms = [f"coalesce(lag({col}, {k}) over w, 0e0)" for k in range(rows - 1, 0, -1)] + [col]
+    frame = f"(partition by plant_id order by reading_date rows between {rows - 1} preceding and current row)"
+    return f"({' + '.join(terms)}) / count({col}) over {frame}"
+
+
+SCOPE1 = f"""
 with sensor_data as (select * from stg_sensor where co2_kg_per_t is not null),
 daily as (
   select reading_date, plant_id,
@@ -65,17 +74,17 @@ daily as (
          avg(heat_mj_per_t) as heat_consumption_avg,
          sum(coal_t_per_day) as coal_total_t_day,
          count(*) as reading_count,
-         count(*) filter (where is_anomaly) as anomaly_count,
-         avg(avg(co2_kg_per_t)) over (partition by plant_id order by reading_date
-             rows between 6 preceding and current row) as scope1_rolling_7d,
-         avg(avg(co2_kg_per_t)) over (partition by plant_id order by reading_date
-             rows between 29 preceding and current row) as scope1_rolling_30d,
-         avg(co2_kg_per_t) - lag(avg(co2_kg_per_t), 30) over (partition by plant_id order by reading_date)
-             as scope1_mom_change
+         count(*) filter (where is_anomaly) as anomaly_count
   from sensor_data
   group by reading_date, plant_id
 )
-select *, scope1_intensity_avg > 650 as exceeds_2030_target from daily
+select *,
+       {_rolling_mean('scope1_intensity_avg', 7)} as scope1_rolling_7d,
+       {_rolling_mean('scope1_intensity_avg', 30)} as scope1_rolling_30d,
+       scope1_intensity_avg - lag(scope1_intensity_avg, 30) over w as scope1_mom_change,
+       scope1_intensity_avg > 650 as exceeds_2030_target
+from daily
+window w as (partition by plant_id order by reading_date)
 """
 
 SCOPE2 = """
