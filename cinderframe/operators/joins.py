@@ -19,7 +19,11 @@ def known_small(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) ->
     return F.broadcast(df) if rows <= max_rows else df
 
 
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
+    """Whether ``df`` has at most ``max_rows`` rows (a count that stops after max_rows + 1)."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Broadcast ``df`` if it has at most ``max_rows`` rows (checked with a bounded count)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df

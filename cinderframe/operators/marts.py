@@ -12,7 +12,7 @@ from ..config import DEFAULT, PipelineConfig
 from ..functions.timeutil import ts_lit
 from ..functions import (as_decimal, dec, global_status, industry_position, round_half_up,
                          safe_div, status_2030)
-from .joins import broadcast_if_small
+from .joins import is_small
 from .scopes import KEYS, scope2_intensity, scope3_columns
 
 MAX_BENCHMARK_ROWS = 1000
@@ -122,10 +122,12 @@ def benchmark_gap(co2: DataFrame, stg_iea: DataFrame, sector: str = C.BENCHMARK_
     g = _benchmark_value(stg_iea, C.BENCHMARK_YEAR, C.GLOBAL_REGION, "global_avg")
     a = _benchmark_value(stg_iea, C.BENCHMARK_YEAR, C.ASEAN_REGION, "asean_avg")
     s = _benchmark_value(stg_iea, C.OWN_TARGET_YEAR, C.OWN_TARGET_REGION, "scg_2030_target")
+    # One bounded count of the benchmark table bounds all three relations filtered from it.
+    hint = F.broadcast if is_small(stg_iea, MAX_BENCHMARK_ROWS) else (lambda df: df)
     rows = (co2.withColumn("sector", F.lit(sector))
-            .join(broadcast_if_small(g, MAX_BENCHMARK_ROWS), "sector")
-            .join(broadcast_if_small(a, MAX_BENCHMARK_ROWS), "sector")
-            .join(broadcast_if_small(s, MAX_BENCHMARK_ROWS), "sector"))
+            .join(hint(g), "sector")
+            .join(hint(a), "sector")
+            .join(hint(s), "sector"))
     cur = F.col("scope1_kg_per_t")
     gavg = F.col("global_avg")
     return rows.select(
