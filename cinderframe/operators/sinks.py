@@ -55,15 +55,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
-def _write_days(df: DataFrame, path: str) -> None:
+def _write_days(df: DataFrame, path: str, obs: Observation | None = None) -> None:
     """Write rows into ``reading_date`` directories, replacing only the days present.
 
     Rows are rebalanced by day (few files per directory; AQE splits a hot day over several
-    tasks) and sorted by plant inside each day, so plant predicates skip row groups.
+    tasks) and sorted by plant inside each day, so plant predicates skip row groups.  A row
+    count, if asked for, is observed in the final (write) stage: Spark applies each result
+    partition's metrics once even when a lost executor forces earlier stages to re-run.
     """
-    (df.hint("rebalance", SENSOR_PARTITION)
-     .sortWithinPartitions(SENSOR_PARTITION, "plant_id", "sensor")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    out = (df.hint("rebalance", SENSOR_PARTITION)
+           .sortWithinPartitions(SENSOR_PARTITION, "plant_id", "sensor"))
+    if obs is not None:
+        out = out.observe(obs, F.count(F.lit(1)).alias("n"))
+    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(SENSOR_PARTITION).parquet(path))
 
 
@@ -82,13 +86,12 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     rows = require_not_null(with_sensor_defaults(batch, run_ts),
                             schemas.NOT_NULL_COLUMNS["raw_sensor_readings"], "raw_sensor_readings")
     obs = Observation("loaded")
-    rows = rows.observe(obs, F.count(F.lit(1)).alias("n"))
     if not path_exists(spark, path):
-        _write_days(rows, path)
+        _write_days(rows, path, obs)
         return int(obs.get.get("n", 0))
     run = uuid.uuid4().hex[:12]
     staged_batch, staged_days = f"{path}_staging/{run}/batch", f"{path}_staging/{run}/days"
-    _write_days(rows, staged_batch)
+    _write_days(rows, staged_batch, obs)
     loaded = int(obs.get.get("n", 0))
     new = spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(staged_batch)
     keys = new.select(SENSOR_PARTITION, "plant_id").distinct()

@@ -10,6 +10,12 @@ from ..config import DEFAULT, PipelineConfig
 from ..functions import co2_kg_per_t, coal_t_per_day, heat_mj_per_t, round_half_up, safe_div
 
 
+def kept_reading(cfg: PipelineConfig = DEFAULT) -> F.Column:
+    """The staging predicate: a positive, non-null value of a configured sensor."""
+    v = F.col("value")
+    return v.isNotNull() & (v > 0) & F.col("sensor").isin(cfg.sensor_names)
+
+
 def stg_sensor_readings(raw: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """Clean sensor readings and convert units.
 
@@ -17,7 +23,7 @@ def stg_sensor_readings(raw: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFr
     stored columns, so on a Parquet source they are pushed into the scan.
     """
     v, s = F.col("value"), F.col("sensor")
-    kept = raw.where(v.isNotNull() & (v > 0) & s.isin(cfg.sensor_names))
+    kept = raw.where(kept_reading(cfg))
     return kept.select(
         "reading_date", "plant_id", "sensor",
         v.alias("raw_value"),

@@ -193,14 +193,13 @@ def q_benchmark_gap(spark, d):
 
 
 def q_dq_not_null(spark, d):
-    nn = quality.not_null_checks({
-        "raw_sensor_readings": raw_sensor(spark, d),
+    readings = quality.reading_not_null_checks(raw_sensor(spark, d))
+    others = quality.not_null_checks({
         "raw_owid_emissions": raw_owid(spark, d),
         "raw_iea_benchmarks": raw_iea(spark),
-        "stg_sensor_readings": stg_sensor(spark, d),
         "mart_co2_intensity": co2(spark, d),
     })
-    return nn
+    return readings.unionByName(others)
 
 
 def q_dq_not_negative(spark, d):
@@ -217,8 +216,8 @@ def q_dq_freshness(spark, d):
 
 
 def _test_results(spark, d):
-    return quality.test_results(raw_sensor(spark, d), raw_owid(spark, d), raw_iea(spark),
-                                stg_sensor(spark, d), co2(spark, d))
+    return quality.test_results_from_raw(raw_sensor(spark, d), raw_owid(spark, d), raw_iea(spark),
+                                         co2(spark, d))
 
 
 def q_dq_results(spark, d):
