@@ -8,7 +8,7 @@ library reads the current time, which keeps every run reproducible.
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 
@@ -112,6 +112,14 @@ DEFAULT_REPORT_DAYS = 90
 REPORT_TIMEZONE = "Asia/Bangkok"
 PIPELINE_LOG_ROWS = 20
 
+# Audit-log names: (dag_id, source) of each run record.
+LOG_SENSOR_LOAD = ("ingest_sensor_readings", "kiln_feed")
+LOG_COUNTRY_LOAD = ("ingest_external_sources", "owid_co2")
+LOG_BENCHMARK_LOAD = ("ingest_external_sources", "iea_benchmarks")
+LOG_AIR_QUALITY_LOAD = ("ingest_external_sources", "openaq")
+LOG_DATA_TESTS = ("transform", "data_tests")
+LOG_EXPORT = ("transform", "parquet_export")
+
 # Display labels of the industry position; an unknown code passes through unchanged.
 POSITION_LABELS = {
     "top_10pct": "🥇 Top 10%",
@@ -138,7 +146,6 @@ class PipelineConfig:
     as_of: dt.date = dt.date(2001, 10, 31)
     run_ts: dt.datetime = dt.datetime(2001, 11, 5, 0, 0, 0)
     report_days: int = DEFAULT_REPORT_DAYS
-    extra: dict = field(default_factory=dict)
 
     @property
     def sensor_names(self) -> list[str]:

@@ -159,8 +159,8 @@ def test_log_record(results: DataFrame, run_at: dt.datetime) -> DataFrame:
     agg = results.agg(passed.alias("passed"), failed.alias("failed"))
     return agg.select(
         ts_lit(run_at).alias("run_at"),
-        F.lit("transform").alias("dag_id"),
-        F.lit("data_tests").alias("source"),
+        F.lit(C.LOG_DATA_TESTS[0]).alias("dag_id"),
+        F.lit(C.LOG_DATA_TESTS[1]).alias("source"),
         F.col("passed").cast("int").alias("rows_loaded"),
         F.when(F.col("failed") == 0, "success").otherwise("warning").alias("status"),
         F.format_string("%d passed, %d failed", "passed", "failed").alias("message"),

@@ -17,6 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import config as C
 from ..config import DEFAULT, PipelineConfig
 from ..operators import ingest, marts, quality, scopes, sinks, staging
 from ..sources import fixtures, readers
@@ -49,21 +50,21 @@ def ingest_sensor_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, ru
     """Flag anomalies, replace the batch's plant-days, then log the load."""
     flagged = ingest.flag_anomalies(batch.drop("is_anomaly") if "is_anomaly" in batch.columns else batch, cfg)
     n = sinks.replace_plant_days(flagged, wh.path("raw_sensor_readings"), run_ts)
-    sinks.log_run(spark, wh.log, run_ts, "ingest_sensor_readings", "kiln_feed", n, "success")
+    sinks.log_run(spark, wh.log, run_ts, *C.LOG_SENSOR_LOAD, n, "success")
     return n
 
 
 def ingest_country_csv(spark: SparkSession, wh: Warehouse, landed_csv: str, run_ts: dt.datetime) -> int:
     cleaned = ingest.clean_owid(readers.read_country_csv(spark, landed_csv), run_ts=run_ts)
     n = sinks.overwrite_table(cleaned, wh.path("raw_owid_emissions"))
-    sinks.log_run(spark, wh.log, run_ts, "ingest_external_sources", "owid_co2", n, "success")
+    sinks.log_run(spark, wh.log, run_ts, *C.LOG_COUNTRY_LOAD, n, "success")
     return n
 
 
 def ingest_benchmarks(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
                       cfg: PipelineConfig = DEFAULT) -> int:
     n = sinks.overwrite_table(ingest.benchmark_rows(spark, cfg, run_ts), wh.path("raw_iea_benchmarks"))
-    sinks.log_run(spark, wh.log, run_ts, "ingest_external_sources", "iea_benchmarks", n, "success")
+    sinks.log_run(spark, wh.log, run_ts, *C.LOG_BENCHMARK_LOAD, n, "success")
     return n
 
 
@@ -71,7 +72,7 @@ def ingest_air_quality(spark: SparkSession, wh: Warehouse, records: DataFrame, r
     """Append parsed air-quality rows; an empty batch is neither written nor logged."""
     n = sinks.append_rows(ingest.parse_air_quality(records, run_ts), wh.path("raw_openaq_readings"))
     if n > 0:
-        sinks.log_run(spark, wh.log, run_ts, "ingest_external_sources", "openaq", n, "success")
+        sinks.log_run(spark, wh.log, run_ts, *C.LOG_AIR_QUALITY_LOAD, n, "success")
     return n
 
 
@@ -128,6 +129,9 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
 
     def write(name: str, df: DataFrame) -> DataFrame:
         path = wh.path(name)
+        if "reading_date" in df.columns:
+            # Files sorted by day (no shuffle): date-window reports skip row groups.
+            df = df.sortWithinPartitions("reading_date", "plant_id")
         res.rows[name] = sinks.overwrite_table(df, path)
         res.tables[name] = path
         return spark.read.parquet(path)
@@ -182,7 +186,7 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
         except Exception as e:  # noqa: BLE001 - isolate each mart, report below
             res.export_failures.append(f"{name}: {type(e).__name__}")
     status = "success" if not res.export_failures else "failed"
-    sinks.log_run(spark, wh.log, run_ts, "transform", "parquet_export", len(res.exported), status,
+    sinks.log_run(spark, wh.log, run_ts, *C.LOG_EXPORT, len(res.exported), status,
                   "; ".join(res.exported + res.export_failures))
     return res
 
