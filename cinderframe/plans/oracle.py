@@ -63,66 +63,71 @@ def _rolling_mean(col: str, rows: int) -> str:
     return f"({' + '.join(terms)}) / count({col}) over {frame}"
 
 
+_T30, _T50, _BASE = C.TARGET_2030, C.TARGET_2050, C.BASELINE_INTENSITY
+
 SCOPE1 = f"""
-with sensor_data as (select * from stg_sensor where co2_kg_per_t is not null),
-daily as (
+with co2_rows as (
+  select reading_date, plant_id, co2_kg_per_t as x, heat_mj_per_t as heat,
+         coal_t_per_day as coal, is_anomaly
+  from stg_sensor
+  where co2_kg_per_t is not null
+),
+per_day as (
   select reading_date, plant_id,
-         avg(co2_kg_per_t) as scope1_intensity_avg,
-         min(co2_kg_per_t) as scope1_intensity_min,
-         max(co2_kg_per_t) as scope1_intensity_max,
-         stddev_samp(co2_kg_per_t) as scope1_intensity_std,
-         avg(heat_mj_per_t) as heat_consumption_avg,
-         sum(coal_t_per_day) as coal_total_t_day,
+         avg(x) as scope1_intensity_avg,
+         min(x) as scope1_intensity_min,
+         max(x) as scope1_intensity_max,
+         stddev_samp(x) as scope1_intensity_std,
+         avg(heat) as heat_consumption_avg,
+         sum(coal) as coal_total_t_day,
          count(*) as reading_count,
-         count(*) filter (where is_anomaly) as anomaly_count
-  from sensor_data
+         count(case when is_anomaly then 1 end) as anomaly_count
+  from co2_rows
   group by reading_date, plant_id
 )
-select *,
-       {_rolling_mean('scope1_intensity_avg', 7)} as scope1_rolling_7d,
-       {_rolling_mean('scope1_intensity_avg', 30)} as scope1_rolling_30d,
-       scope1_intensity_avg - lag(scope1_intensity_avg, 30) over w as scope1_mom_change,
-       scope1_intensity_avg > 650 as exceeds_2030_target
-from daily
+select per_day.*,
+       {_rolling_mean('scope1_intensity_avg', C.ROLLING_SHORT_ROWS)} as scope1_rolling_7d,
+       {_rolling_mean('scope1_intensity_avg', C.ROLLING_LONG_ROWS)} as scope1_rolling_30d,
+       scope1_intensity_avg - lag(scope1_intensity_avg, {C.CHANGE_LAG_ROWS}) over w as scope1_mom_change,
+       scope1_intensity_avg > {_T30} as exceeds_2030_target
+from per_day
 window w as (partition by plant_id order by reading_date)
 """
 
-SCOPE2 = """
-with power_data as (
-  select reading_date, plant_id,
-         avg(raw_value) filter (where sensor = 'O2_flue_gas') as o2_avg,
-         count(*) as reading_count
-  from stg_sensor group by reading_date, plant_id
-)
+SCOPE2 = f"""
 select reading_date, plant_id,
-       cast(110.0 * 0.4999 as double) as scope2_intensity_kg_per_t,
-       cast(0.4999 as double) as grid_emission_factor_kg_per_kwh,
-       reading_count, o2_avg
-from power_data
+       cast({C.ELECTRICITY_KWH_PER_T} * {C.GRID_FACTOR_KG_PER_KWH} as double) as scope2_intensity_kg_per_t,
+       cast({C.GRID_FACTOR_KG_PER_KWH} as double) as grid_emission_factor_kg_per_kwh,
+       count(*) as reading_count,
+       avg(case when sensor = '{C.O2_SENSOR}' then raw_value end) as o2_avg
+from stg_sensor
+group by reading_date, plant_id
 """
 
-SCOPE3 = """
+_UP = f"({C.SCOPE3_LIMESTONE_KG_PER_T} + {C.SCOPE3_COAL_TRANSPORT_KG_PER_T})"
+_DOWN = f"({C.SCOPE3_DISTANCE_KM} * {C.SCOPE3_TRUCK_KG_PER_T_KM})"
+SCOPE3 = f"""
 select reading_date, plant_id,
-       cast(15.0 + 5.0 as double) as scope3_upstream_kg_per_t,
-       cast(200.0 * 0.1 as double) as scope3_downstream_kg_per_t,
-       cast((15.0 + 5.0) + (200.0 * 0.1) as double) as scope3_total_kg_per_t,
-       'industry_estimate' as data_source
+       cast({_UP} as double) as scope3_upstream_kg_per_t,
+       cast({_DOWN} as double) as scope3_downstream_kg_per_t,
+       cast({_UP} + {_DOWN} as double) as scope3_total_kg_per_t,
+       '{C.SCOPE3_DATA_SOURCE}' as data_source
 from scope1
 """
 
 MART_CO2 = f"""
-select s1.reading_date, s1.plant_id,
-       {_r('s1.scope1_intensity_avg', 2)} as scope1_kg_per_t,
-       {_r('s1.scope1_rolling_7d', 2)} as scope1_7d_avg,
-       {_r('s1.scope1_rolling_30d', 2)} as scope1_30d_avg,
-       {_r('s2.scope2_intensity_kg_per_t', 2)} as scope2_kg_per_t,
-       {_r('s3.scope3_total_kg_per_t', 2)} as scope3_kg_per_t,
-       {_r('s1.scope1_intensity_avg + s2.scope2_intensity_kg_per_t + s3.scope3_total_kg_per_t', 2)}
+select d1.reading_date, d1.plant_id,
+       {_r('d1.scope1_intensity_avg', 2)} as scope1_kg_per_t,
+       {_r('d1.scope1_rolling_7d', 2)} as scope1_7d_avg,
+       {_r('d1.scope1_rolling_30d', 2)} as scope1_30d_avg,
+       {_r('d2.scope2_intensity_kg_per_t', 2)} as scope2_kg_per_t,
+       {_r('d3.scope3_total_kg_per_t', 2)} as scope3_kg_per_t,
+       {_r('d1.scope1_intensity_avg + d2.scope2_intensity_kg_per_t + d3.scope3_total_kg_per_t', 2)}
            as total_co2_kg_per_t,
-       s1.reading_count, s1.anomaly_count, s1.exceeds_2030_target
-from scope1 s1
-left join scope2 s2 using (reading_date, plant_id)
-left join scope3 s3 using (reading_date, plant_id)
+       d1.reading_count, d1.anomaly_count, d1.exceeds_2030_target
+from scope1 d1
+left join scope2 d2 on d2.reading_date = d1.reading_date and d2.plant_id = d1.plant_id
+left join scope3 d3 on d3.reading_date = d1.reading_date and d3.plant_id = d1.plant_id
 """
 
 _bench_rows = ",\n    ".join(
@@ -133,53 +138,55 @@ select * from (values
 ) t(year, sector, region, metric, value, unit)
 """
 
-STG_IEA = """
+STG_IEA = f"""
 select year, sector, region,
        max(case when metric = 'co2_intensity' then value end) as co2_intensity_kg_per_t,
        max(case when metric = 'heat_consumption' then value end) as heat_consumption_mj_per_t
-from raw_iea where sector = 'cement'
+from raw_iea
+where sector = '{C.BENCHMARK_SECTOR}'
 group by year, sector, region
 """
 
 NET_ZERO = f"""
 select reading_date, plant_id,
        scope1_kg_per_t as current_intensity,
-       800 as baseline_2020, 650 as target_2030, 0 as target_2050,
-       cast(cast(scope1_kg_per_t as decimal(28,10)) - 650 as double) as gap_vs_2030_target,
-       cast(cast(scope1_kg_per_t as decimal(28,10)) - 0 as double) as gap_vs_2050_target,
-       {_r('greatest(0, (800 - cast(scope1_kg_per_t as decimal(28,10))) / nullif(800 - 650, 0) * 100)', 1)}
-           as progress_pct_to_2030,
-       {_r('greatest(0, (800 - cast(scope1_kg_per_t as decimal(28,10))) / nullif(800, 0) * 100)', 1)}
-           as progress_pct_to_2050,
-       case when scope1_kg_per_t <= 650 then 'on_track'
-            when scope1_kg_per_t <= 650 * 1.05 then 'near_target'
+       {_BASE} as baseline_2020, {_T30} as target_2030, {_T50} as target_2050,
+       cast(cur - {_T30} as double) as gap_vs_2030_target,
+       cast(cur - {_T50} as double) as gap_vs_2050_target,
+       {_r(f'greatest(0, ({_BASE} - cur) / nullif({_BASE} - {_T30}, 0) * 100)', 1)} as progress_pct_to_2030,
+       {_r(f'greatest(0, ({_BASE} - cur) / nullif({_BASE}, 0) * 100)', 1)} as progress_pct_to_2050,
+       case when cur <= {_T30} then 'on_track'
+            when cur <= {_T30} * {C.NEAR_TARGET_FACTOR} then 'near_target'
             else 'off_track' end as status_2030,
-       {_r('(cast(scope1_kg_per_t as decimal(28,10)) - 0) / nullif(2050 - year(reading_date), 0)', 2)}
-           as required_annual_reduction
-from mart_co2
+       {_r(f'(cur - {_T50}) / nullif({C.NET_ZERO_YEAR} - year(reading_date), 0)', 2)} as required_annual_reduction
+from (select *, cast(scope1_kg_per_t as decimal(28,10)) as cur from mart_co2) m
 """
 
+
+def _benchmark(year: int, region: str, name: str) -> str:
+    return (f"(select co2_intensity_kg_per_t as {name} from stg_iea "
+            f"where year = {year} and region = '{region}')")
+
+
 BENCHMARK_GAP = f"""
-with benchmarks as (select * from stg_iea where year = 2022),
-global_bm as (select * from benchmarks where region = 'Global'),
-asean_bm as (select * from benchmarks where region = 'ASEAN'),
-scg_target as (select * from stg_iea where region = 'SCG' and year = 2030)
-select c.reading_date, c.plant_id,
-       c.scope1_kg_per_t as scg_intensity,
-       g.co2_intensity_kg_per_t as global_avg,
-       {_r('c.scope1_kg_per_t - g.co2_intensity_kg_per_t', 2)} as gap_vs_global,
-       case when c.scope1_kg_per_t < g.co2_intensity_kg_per_t then 'better_than_global'
+select m.reading_date, m.plant_id,
+       m.scope1_kg_per_t as scg_intensity,
+       g.global_avg,
+       {_r('m.scope1_kg_per_t - g.global_avg', 2)} as gap_vs_global,
+       case when m.scope1_kg_per_t < g.global_avg then 'better_than_global'
             else 'worse_than_global' end as global_status,
-       a.co2_intensity_kg_per_t as asean_avg,
-       {_r('c.scope1_kg_per_t - a.co2_intensity_kg_per_t', 2)} as gap_vs_asean,
-       s.co2_intensity_kg_per_t as scg_2030_target,
-       {_r('c.scope1_kg_per_t - s.co2_intensity_kg_per_t', 2)} as gap_vs_scg_target,
-       case when c.scope1_kg_per_t < g.co2_intensity_kg_per_t * 0.9 then 'top_10pct'
-            when c.scope1_kg_per_t < g.co2_intensity_kg_per_t then 'above_average'
-            when c.scope1_kg_per_t < g.co2_intensity_kg_per_t * 1.1 then 'below_average'
+       a.asean_avg,
+       {_r('m.scope1_kg_per_t - a.asean_avg', 2)} as gap_vs_asean,
+       t.scg_2030_target,
+       {_r('m.scope1_kg_per_t - t.scg_2030_target', 2)} as gap_vs_scg_target,
+       case when m.scope1_kg_per_t < g.global_avg * {C.TOP_BAND_FACTOR} then 'top_10pct'
+            when m.scope1_kg_per_t < g.global_avg then 'above_average'
+            when m.scope1_kg_per_t < g.global_avg * {C.BOTTOM_BAND_FACTOR} then 'below_average'
             else 'bottom_10pct' end as industry_position
-from mart_co2 c
-cross join global_bm g cross join asean_bm a cross join scg_target s
+from mart_co2 m,
+     {_benchmark(C.BENCHMARK_YEAR, C.GLOBAL_REGION, 'global_avg')} g,
+     {_benchmark(C.BENCHMARK_YEAR, C.ASEAN_REGION, 'asean_avg')} a,
+     {_benchmark(C.OWN_TARGET_YEAR, C.OWN_TARGET_REGION, 'scg_2030_target')} t
 """
 
 OWID_FIXTURE = """
@@ -203,14 +210,15 @@ from owid_fixture where year >= 2010 and year is not null and country is not nul
 
 STG_OWID = f"""
 select year, country,
-       coalesce(co2_total_mt, 0) as co2_total_mt,
-       coalesce(co2_per_capita, 0) as co2_per_capita,
-       coalesce(cement_co2, 0) as cement_co2_mt,
-       coalesce(energy_co2, 0) as energy_co2_mt,
-       case when co2_total_mt > 0 then {_r('cement_co2 / nullif(co2_total_mt, 0) * 100', 2)}
-            else null end as cement_co2_share_pct
-from raw_owid
-where year is not null and country is not null and co2_total_mt > 0
+       coalesce(total, 0) as co2_total_mt,
+       coalesce(per_capita, 0) as co2_per_capita,
+       coalesce(cement, 0) as cement_co2_mt,
+       coalesce(energy, 0) as energy_co2_mt,
+       case when total > 0 then {_r('cement / nullif(total, 0) * 100', 2)} end as cement_co2_share_pct
+from (select year, country, co2_total_mt as total, co2_per_capita as per_capita,
+             cement_co2 as cement, energy_co2 as energy
+      from raw_owid) o
+where year is not null and country is not null and total > 0
 """
 
 AIR_BODIES = """
@@ -229,7 +237,7 @@ select event_id,
 from events
 """
 
-AIR_PARSED = """
+AIR_PARSED = f"""
 with f as (
   select try_strptime(substr(coalesce(json_extract_string(body, '$.date.utc'),
                                       json_extract_string(body, '$.date')), 1, 10), '%Y-%m-%d') as d,
@@ -241,11 +249,11 @@ with f as (
   from air_bodies
 )
 select cast(d as date) as measurement_date,
-       coalesce(location, 'Rayong') as location,
-       coalesce(country, 'TH') as country,
-       coalesce(parameter, '') as parameter,
+       coalesce(location, '{C.OPENAQ_DEFAULT_LOCATION}') as location,
+       coalesce(country, '{C.OPENAQ_DEFAULT_COUNTRY}') as country,
+       coalesce(parameter, '{C.OPENAQ_DEFAULT_PARAMETER}') as parameter,
        case when v is null or v = '' then 0e0 else try_cast(v as double) end as value,
-       coalesce(unit, 'µg/m³') as unit
+       coalesce(unit, '{C.OPENAQ_DEFAULT_UNIT}') as unit
 from f
 where d is not null and (v is null or v = '' or try_cast(v as double) is not null)
 """
@@ -356,6 +364,12 @@ def _window(src: str, cols: str, days: int = C.DEFAULT_REPORT_DAYS) -> str:
 _SCOPE1_COLS = ("reading_date, plant_id, scope1_intensity_avg, scope1_intensity_min, scope1_intensity_max, "
                 "scope1_intensity_std, heat_consumption_avg, coal_total_t_day, reading_count, anomaly_count")
 
+_LABEL_CASES = " ".join(f"when '{k}' then '{v}'" for k, v in C.POSITION_LABELS.items())
+_BAR_UNION = "\n        union all\n        ".join(
+    f"select plant_id, reading_date, '{cat}' as category, {col} as value, position_label, "
+    f"coalesce(gap_vs_global, 0e0) as gap_vs_global, coalesce(gap_vs_asean, 0e0) as gap_vs_asean from labelled"
+    for cat, col in zip(C.BENCHMARK_CATEGORIES, ["scg_intensity", "asean_avg", "global_avg", "scg_2030_target"]))
+
 ORACLE: dict[str, str] = {
     "scan_sensor": _with(["raw_sensor"], "select reading_date, plant_id, sensor, value, unit_label, is_anomaly from raw_sensor"),
     "flag_anomaly": _with(["raw_sensor"], "select reading_date, plant_id, sensor, value, unit_label, is_anomaly from raw_sensor"),
@@ -442,20 +456,9 @@ ORACLE: dict[str, str] = {
     "rpt_benchmark_latest": _with(["bgap"], f"""
         , l as ({_latest('(' + _window('bgap', '*') + ')', '*')})
         , labelled as (
-          select *, coalesce(case industry_position
-                    when 'top_10pct' then '🥇 Top 10%'
-                    when 'above_average' then '⬆️ Above average'
-                    when 'below_average' then '⬇️ Below average'
-                    when 'bottom_10pct' then '⚠️ Bottom 10%' end, industry_position) as position_label
+          select *, coalesce(case industry_position {_LABEL_CASES} end, industry_position) as position_label
           from l)
-        select plant_id, reading_date, 'SCG (current)' as category, scg_intensity as value, position_label,
-               coalesce(gap_vs_global, 0e0) as gap_vs_global, coalesce(gap_vs_asean, 0e0) as gap_vs_asean from labelled
-        union all
-        select plant_id, reading_date, 'ASEAN avg', asean_avg, position_label, coalesce(gap_vs_global, 0e0), coalesce(gap_vs_asean, 0e0) from labelled
-        union all
-        select plant_id, reading_date, 'Global avg', global_avg, position_label, coalesce(gap_vs_global, 0e0), coalesce(gap_vs_asean, 0e0) from labelled
-        union all
-        select plant_id, reading_date, 'SCG 2030 target', scg_2030_target, position_label, coalesce(gap_vs_global, 0e0), coalesce(gap_vs_asean, 0e0) from labelled"""),
+        {_BAR_UNION}"""),
     "export_co2_intensity": _with(["mart_co2"], "select * from mart_co2"),
     "export_net_zero": _with(["net_zero"], "select * from net_zero"),
     "export_benchmark_gap": _with(["bgap"], "select * from bgap"),

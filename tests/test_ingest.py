@@ -5,6 +5,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from cinderframe import config as C
 from cinderframe.operators import ingest, staging
 from cinderframe.sources import readers
 
@@ -64,7 +65,7 @@ def test_benchmark_pivot(spark):
     assert rows[(2022, "Global")]["co2_intensity_kg_per_t"] == 620.0
     assert rows[(2022, "Global")]["heat_consumption_mj_per_t"] == 3300.0
     assert rows[(2022, "Thailand")]["heat_consumption_mj_per_t"] is None
-    assert rows[(2030, "SCG")]["co2_intensity_kg_per_t"] == 650.0
+    assert rows[(2030, C.OWN_TARGET_REGION)]["co2_intensity_kg_per_t"] == 650.0
     ordered = [r["region"] for r in staging.order_benchmarks(iea.unionByName(
         iea.limit(1).withColumn("region", F.lit(None).cast("string")))).collect()]
     assert ordered[-1] is None and ordered[0] == "ASEAN"
@@ -89,8 +90,9 @@ def test_air_quality_shapes(spark):
                                                     dt.date(2024, 1, 7), dt.date(2024, 1, 9)]
     first, second, third, fourth = out
     assert (first["location"], first["unit"], first["value"]) == ("L", "ppm", 12.5)
-    assert (second["location"], second["country"], second["unit"]) == ("Rayong", "TH", "µg/m³")
-    assert third["value"] == 0.0 and third["location"] == "Rayong"
+    assert (second["location"], second["country"], second["unit"]) == (
+        C.OPENAQ_DEFAULT_LOCATION, C.OPENAQ_DEFAULT_COUNTRY, C.OPENAQ_DEFAULT_UNIT)
+    assert third["value"] == 0.0 and third["location"] == C.OPENAQ_DEFAULT_LOCATION
     assert fourth["parameter"] == "" and fourth["value"] == 0.0
 
 

@@ -4,6 +4,7 @@ import datetime as dt
 
 import pytest
 
+from cinderframe import config as C
 from cinderframe.operators import reports
 
 AS_OF = dt.date(2024, 3, 31)
@@ -62,9 +63,9 @@ def test_benchmark_latest_labels(spark):
     out = reports.benchmark_latest(bg, AS_OF, 90).collect()
     assert {r["plant_id"] for r in out} == {"A", "B"}  # C has nothing inside the window
     a = {r["category"]: r["value"] for r in out if r["plant_id"] == "A"}
-    assert a == {"SCG (current)": 500.0, "ASEAN avg": 680.0, "Global avg": 620.0, "SCG 2030 target": 650.0}
+    assert a == dict(zip(C.BENCHMARK_CATEGORIES, (500.0, 680.0, 620.0, 650.0)))
     labels = {r["plant_id"]: r["position_label"] for r in out}
-    assert labels["A"] == "🥇 Top 10%" and labels["B"] == "weird_code"
+    assert labels["A"] == C.POSITION_LABELS["top_10pct"] and labels["B"] == "weird_code"
 
 
 def test_pipeline_log_local_time_top_k(spark):
