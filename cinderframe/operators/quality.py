@@ -167,11 +167,10 @@ def test_log_record(results: DataFrame, run_at: dt.datetime) -> DataFrame:
     )
 
 
-def freshness(df: DataFrame, source: str, run_ts: dt.datetime, loaded_at: str = "ingested_at",
-              warn_days: int = C.FRESHNESS_WARN_DAYS, error_days: int = C.FRESHNESS_ERROR_DAYS) -> DataFrame:
-    """Source freshness on ``MAX(loaded_at)``: ``error`` when older than 5 days, ``warn`` when
-    older than 2, else ``pass``; an empty source is an error."""
-    latest = df.agg(F.max(F.col(loaded_at).cast("timestamp")).alias("max_loaded_at"))
+def freshness_status(latest: DataFrame, source: str, run_ts: dt.datetime,
+                     warn_days: int = C.FRESHNESS_WARN_DAYS,
+                     error_days: int = C.FRESHNESS_ERROR_DAYS) -> DataFrame:
+    """Classify a one-row frame holding ``max_loaded_at``."""
     now = ts_lit(run_ts)
     age_s = F.unix_timestamp(now) - F.unix_timestamp(F.col("max_loaded_at"))
     return latest.select(
@@ -182,3 +181,28 @@ def freshness(df: DataFrame, source: str, run_ts: dt.datetime, loaded_at: str =
         .when(age_s > warn_days * 86400, "warn")
         .otherwise("pass").alias("status"),
     )
+
+
+def observe_latest_load(df: DataFrame, loaded_at: str = "ingested_at") -> tuple[DataFrame, Observation]:
+    """Attach ``MAX(loaded_at)`` to ``df`` as an observed metric (freshness at no extra scan)."""
+    obs = Observation("latest_load")
+    return df.observe(obs, F.max(F.col(loaded_at)).alias("max_loaded_at")), obs
+
+
+def freshness_from_observation(spark: SparkSession, source: str, obs: Observation,
+                               run_ts: dt.datetime, previous: DataFrame | None = None) -> DataFrame:
+    """Freshness from an observed maximum, combined with a previously stored maximum (for a
+    run that scanned only the newly loaded days)."""
+    latest = spark.createDataFrame([(obs.get.get("max_loaded_at"),)], "max_loaded_at timestamp")
+    if previous is not None:
+        latest = latest.unionByName(previous.select("max_loaded_at")).agg(
+            F.max("max_loaded_at").alias("max_loaded_at"))
+    return freshness_status(latest, source, run_ts)
+
+
+def freshness(df: DataFrame, source: str, run_ts: dt.datetime, loaded_at: str = "ingested_at",
+              warn_days: int = C.FRESHNESS_WARN_DAYS, error_days: int = C.FRESHNESS_ERROR_DAYS) -> DataFrame:
+    """Source freshness on ``MAX(loaded_at)``: ``error`` when older than 5 days, ``warn`` when
+    older than 2, else ``pass``; an empty source is an error."""
+    latest = df.agg(F.max(F.col(loaded_at).cast("timestamp")).alias("max_loaded_at"))
+    return freshness_status(latest, source, run_ts, warn_days, error_days)

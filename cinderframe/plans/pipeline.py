@@ -108,9 +108,13 @@ def _daily_readings(spark: SparkSession, wh: Warehouse, stg_sensor: DataFrame,
     kept = spark.read.parquet(path).where(F.col("reading_date") < F.lit(since))
     merged = kept.unionByName(fresh)
     # The table is replaced from a staged copy: it cannot be overwritten while read.
-    staged = f"{path}_staging/{uuid.uuid4().hex[:12]}"
-    merged.write.mode("overwrite").parquet(staged)
-    return spark.read.parquet(staged)
+    return _staged_copy(spark, merged, f"{path}_staging/{uuid.uuid4().hex[:12]}")
+
+
+def _staged_copy(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to ``path`` and read it back (to replace a table that ``df`` reads)."""
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
@@ -143,8 +147,10 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     # The days this run reads: all, or (incremental) the days loaded since ``since``; the
     # predicate is on the partition column, so other day directories are not listed/read.
     scanned = raw_sensor if since is None else raw_sensor.where(F.col("reading_date") >= F.lit(since))
-    # NOT NULL tests of the raw and staged readings ride along with the one scan.
+    # NOT NULL tests of the raw and staged readings and the newest load time (freshness)
+    # ride along with the one scan.
     scanned, raw_nn = quality.observe_not_nulls(scanned, "raw_sensor_readings")
+    scanned, latest_load = quality.observe_latest_load(scanned)
 
     # staging: lazy views
     stg_sensor = staging.stg_sensor_readings(scanned, cfg)
@@ -174,7 +180,15 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     results = write("data_test_results",
                     sensor_checks.unionByName(small_checks).unionByName(mart_checks))
     quality.test_log_record(results, run_ts).write.mode("append").parquet(wh.log)
-    write("source_freshness", quality.freshness(raw_sensor, "raw_sensor_readings", run_ts))
+    # Every row stamped by a load since the last run lies in the re-read days, so the stored
+    # maximum plus the observed one is the table's maximum.
+    fresh_path = wh.path("source_freshness")
+    previous = None
+    if since is not None and sinks.path_exists(spark, fresh_path):
+        previous = _staged_copy(spark, spark.read.parquet(fresh_path).select("max_loaded_at"),
+                                f"{fresh_path}_staging/{uuid.uuid4().hex[:12]}")
+    write("source_freshness", quality.freshness_from_observation(
+        spark, "raw_sensor_readings", latest_load, run_ts, previous))
 
     # export, newest first, one mart failing does not stop the others
     export_root = export_dir or wh.path("exports")

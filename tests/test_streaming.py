@@ -56,8 +56,16 @@ def test_incremental_transform_equals_full(spark, tmp_table):
     # A correction of the last 3 days of plant A, then an incremental run.
     fix = [(d, "A", "CO2_emission_intensity", 900.0) for d in days[-3:]]
     pipeline.ingest_sensor_batch(spark, wh, readings(spark, fix).drop("ingested_at"), run_ts)
-    pipeline.transform(spark, wh, run_ts, since=days[-3])
+    later = dt.datetime(2024, 3, 9)
+    pipeline.transform(spark, wh, later, since=days[-3])
     incremental = spark.read.parquet(wh.path("mart_co2_intensity")).drop("updated_at").collect()
+    from cinderframe.operators import quality
+    from cinderframe.sources import readers
+    scanned = quality.freshness(readers.read_sensor_readings(spark, wh.path("raw_sensor_readings")),
+                                "raw_sensor_readings", later).first()
+    stored = spark.read.parquet(wh.path("source_freshness")).first()
+    assert (stored["max_loaded_at"], stored["status"]) == (scanned["max_loaded_at"], scanned["status"])
+    assert stored["status"] == "error"  # newest load 8 days before the run
 
     pipeline.transform(spark, wh, run_ts)  # full rebuild for reference
     full = spark.read.parquet(wh.path("mart_co2_intensity")).drop("updated_at").collect()
