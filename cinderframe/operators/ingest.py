@@ -93,20 +93,23 @@ def parse_air_quality(records: DataFrame, run_ts: dt.datetime | None = None) ->
     ``date`` is either ``{"utc": "..."}`` or a plain string; its first 10 characters must
     parse as a ``y-M-d`` date, else the record is skipped.  Missing or null keys get the
     defaults; a missing/null value is 0, a value that is not a number skips the record.
+    Each record is parsed once (``json_tuple`` returns every top-level field as text, an
+    object as its JSON); only the small ``date`` object is parsed again for ``utc``.
     """
-    b = F.col("body")
-    date_text = F.coalesce(F.get_json_object(b, "$.date.utc"), F.get_json_object(b, "$.date"))
+    fields = ["date", "location", "country", "parameter", "value", "unit"]
+    raw = records.select(F.json_tuple("body", *fields).alias(*[f"_{f}" for f in fields]))
+    date_text = F.coalesce(F.get_json_object("_date", "$.utc"), F.col("_date"))
     day = F.try_to_date(F.substring(date_text, 1, 10), "yyyy-M-d")
-    raw_value = F.get_json_object(b, "$.value")
+    raw_value = F.col("_value")
     value = (F.when(raw_value.isNull() | (raw_value == ""), F.lit(0.0))
              .otherwise(raw_value.try_cast("double")))
-    out = records.select(
+    out = raw.select(
         day.alias("measurement_date"),
-        F.coalesce(F.get_json_object(b, "$.location"), F.lit(C.OPENAQ_DEFAULT_LOCATION)).alias("location"),
-        F.coalesce(F.get_json_object(b, "$.country"), F.lit(C.OPENAQ_DEFAULT_COUNTRY)).alias("country"),
-        F.coalesce(F.get_json_object(b, "$.parameter"), F.lit(C.OPENAQ_DEFAULT_PARAMETER)).alias("parameter"),
+        F.coalesce("_location", F.lit(C.OPENAQ_DEFAULT_LOCATION)).alias("location"),
+        F.coalesce("_country", F.lit(C.OPENAQ_DEFAULT_COUNTRY)).alias("country"),
+        F.coalesce("_parameter", F.lit(C.OPENAQ_DEFAULT_PARAMETER)).alias("parameter"),
         value.alias("value"),
-        F.coalesce(F.get_json_object(b, "$.unit"), F.lit(C.OPENAQ_DEFAULT_UNIT)).alias("unit"),
+        F.coalesce("_unit", F.lit(C.OPENAQ_DEFAULT_UNIT)).alias("unit"),
         ts_lit(run_ts).alias("ingested_at"),
     )
     return out.where(F.col("measurement_date").isNotNull() & F.col("value").isNotNull())
