@@ -12,11 +12,8 @@ from ..config import DEFAULT, PipelineConfig
 from ..functions.timeutil import ts_lit
 from ..functions import (as_decimal, dec, global_status, industry_position, round_half_up,
                          safe_div, status_2030)
-from .joins import is_small
 from .scopes import KEYS, scope2_intensity, scope3_columns
 
-MAX_BENCHMARK_ROWS = 1000
-
 MART_CO2_COLUMNS = [
     "reading_date", "plant_id", "scope1_kg_per_t", "scope1_7d_avg", "scope1_30d_avg",
     "scope2_kg_per_t", "scope3_kg_per_t", "total_co2_kg_per_t", "reading_count",
@@ -104,42 +101,53 @@ def status_distribution(net_zero: DataFrame) -> DataFrame:
     return net_zero.groupBy("status_2030").agg(F.count(F.lit(1)).alias("plant_days"))
 
 
-def _benchmark_value(stg_iea: DataFrame, year: int, region: str, name: str) -> DataFrame:
-    return (stg_iea.where((F.col("year") == year) & (F.col("region") == region))
-            .select("sector", F.col("co2_intensity_kg_per_t").alias(name)))
-
+def benchmark_values(stg_iea: DataFrame) -> F.Column:
+    """The three benchmark values as ONE scalar subquery (a struct), with the number of rows
+    each (year, region) matched.
 
-def benchmark_gap(co2: DataFrame, stg_iea: DataFrame, sector: str = C.BENCHMARK_SECTOR) -> DataFrame:
+    The subquery runs once, before the main plan, and its result is inlined: the plant-day
+    rows are neither joined nor shuffled.
+    """
+    year, region, value = F.col("year"), F.col("region"), F.col("co2_intensity_kg_per_t")
+    parts = {
+        "global_avg": (year == C.BENCHMARK_YEAR) & (region == C.GLOBAL_REGION),
+        "asean_avg": (year == C.BENCHMARK_YEAR) & (region == C.ASEAN_REGION),
+        "scg_2030_target": (year == C.OWN_TARGET_YEAR) & (region == C.OWN_TARGET_REGION),
+    }
+    fields = []
+    for name, match in parts.items():
+        fields += [F.count_if(match).alias(f"n_{name}"), F.max(F.when(match, value)).alias(name)]
+    return stg_iea.agg(F.struct(*fields).alias("benchmarks")).scalar()
+
+
+def benchmark_gap(co2: DataFrame, stg_iea: DataFrame) -> DataFrame:
     """Gap of each plant-day against the global and ASEAN benchmarks and the own target.
 
-    Plants are matched to the benchmarks of their sector (an equi-join on ``sector``).  Each
-    benchmark relation is the row(s) of one (year, region) of the published benchmark
-    table; after a bounded count confirms it is small it is broadcast, so the plant-day
-    side is never shuffled (every plant-day carries the same sector, so a shuffle join
-    would be one hot key, left to AQE's skew split only beyond the bound).  As with the
-    original, a missing benchmark row yields no rows and a duplicated one multiplies them.
+    The benchmark values are attached from a scalar subquery (``benchmark_values``).  As in
+    the original, a missing benchmark row yields no mart rows.  A benchmark (year, region)
+    present more than once -- possible only in a corrupted benchmark table -- raises an
+    error instead of silently multiplying every plant-day.
     """
-    g = _benchmark_value(stg_iea, C.BENCHMARK_YEAR, C.GLOBAL_REGION, "global_avg")
-    a = _benchmark_value(stg_iea, C.BENCHMARK_YEAR, C.ASEAN_REGION, "asean_avg")
-    s = _benchmark_value(stg_iea, C.OWN_TARGET_YEAR, C.OWN_TARGET_REGION, "scg_2030_target")
-    # One bounded count of the benchmark table bounds all three relations filtered from it.
-    hint = F.broadcast if is_small(stg_iea, MAX_BENCHMARK_ROWS) else (lambda df: df)
-    rows = (co2.withColumn("sector", F.lit(sector))
-            .join(hint(g), "sector")
-            .join(hint(a), "sector")
-            .join(hint(s), "sector"))
+    b = F.col("_benchmarks")
+    names = ["global_avg", "asean_avg", "scg_2030_target"]
+    counts = [b[f"n_{n}"] for n in names]
+    duplicated = (counts[0] > 1) | (counts[1] > 1) | (counts[2] > 1)
+    present = (counts[0] == 1) & (counts[1] == 1) & (counts[2] == 1)
+    check = F.when(duplicated, F.raise_error(F.lit("benchmark table has duplicate (year, region) rows"))
+                   .cast("boolean")).otherwise(present)
+    rows = co2.withColumn("_benchmarks", benchmark_values(stg_iea)).where(check)
     cur = F.col("scope1_kg_per_t")
-    gavg = F.col("global_avg")
+    gavg, aavg, target = b["global_avg"], b["asean_avg"], b["scg_2030_target"]
     return rows.select(
         *KEYS,
         cur.alias("scg_intensity"),
         gavg.alias("global_avg"),
         round_half_up(cur - gavg, 2).alias("gap_vs_global"),
         global_status(cur, gavg).alias("global_status"),
-        F.col("asean_avg"),
-        round_half_up(cur - F.col("asean_avg"), 2).alias("gap_vs_asean"),
-        F.col("scg_2030_target"),
-        round_half_up(cur - F.col("scg_2030_target"), 2).alias("gap_vs_scg_target"),
+        aavg.alias("asean_avg"),
+        round_half_up(cur - aavg, 2).alias("gap_vs_asean"),
+        target.alias("scg_2030_target"),
+        round_half_up(cur - target, 2).alias("gap_vs_scg_target"),
         industry_position(cur, gavg).alias("industry_position"),
         "updated_at",
     )

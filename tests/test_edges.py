@@ -123,3 +123,10 @@ def test_fused_mart_equals_joined_mart(spark):
                                         scopes.scope3_emissions(s1), RUN_TS)
     assert fused.count() == joined.count() > 0
     assert fused.exceptAll(joined).count() == 0 and joined.exceptAll(fused).count() == 0
+
+
+def test_benchmark_gap_duplicate_benchmark_raises(spark):
+    iea = staging.stg_iea_benchmarks(ingest.benchmark_rows(spark, run_ts=RUN_TS))
+    doubled = iea.unionByName(iea.where(F.col("region") == "Global"))
+    with pytest.raises(Exception, match="duplicate"):
+        marts.benchmark_gap(_mart(spark, [600.0]), doubled).collect()
