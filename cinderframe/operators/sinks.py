@@ -48,11 +48,17 @@ def with_sensor_defaults(batch: DataFrame, run_ts: dt.datetime) -> DataFrame:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table location exists (a metadata call on the driver, no data read)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
+    """Whether a table location exists (a file-system metadata call, no data read)."""
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): ask the reader
+        try:
+            spark.read.format("text").load(path).limit(0).collect()
+            return True
+        except Exception:  # noqa: BLE001
+            return False
 
 
 def _write_days(df: DataFrame, path: str, obs: Observation | None = None) -> None:

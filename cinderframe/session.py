@@ -47,12 +47,17 @@ def shared_dir(spark: SparkSession) -> str:
     On a cluster this setting names shared storage and is read, never overridden.  Only
     when it is unset (local tests) is a fresh folder created and registered.
     """
-    path = spark.sparkContext.getConf().get(_CHECKPOINT_KEY, None)
-    if not path:
-        path = spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - a remote session has no SparkContext handle
+        sc = None
+    path = spark.conf.get(_CHECKPOINT_KEY, None)
+    if not path and sc is not None:
+        path = sc.getConf().get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="cinderframe-ckpt-")
-        spark.sparkContext.setCheckpointDir(path)
+        if sc is not None:
+            sc.setCheckpointDir(path)
     return path
 
 

@@ -103,3 +103,29 @@ def test_freshness(spark, age_days, status):
 def test_freshness_empty_source_is_error(spark):
     df = spark.createDataFrame([], "ingested_at timestamp")
     assert quality.freshness(df, "s", TS).first()["status"] == "error"
+
+
+def test_replacement_leaves_other_days_files_untouched(spark, tmp_table):
+    import os
+    path = tmp_table("raw")
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    sinks.replace_plant_days(readings(spark, [(d, p, "O2_flue_gas", 1.0) for d in days for p in "AB"]),
+                             path, TS)
+
+    def files():
+        out = {}
+        for root, _, names in os.walk(path):
+            for n in names:
+                if n.endswith(".parquet"):
+                    full = os.path.join(root, n)
+                    out[full] = os.stat(full).st_mtime_ns
+        return out
+
+    before = files()
+    sinks.replace_plant_days(readings(spark, [(days[1], "A", "O2_flue_gas", 5.0)]), path, TS)
+    after = files()
+    untouched = [f for f in before if "reading_date=2024-01-02" not in f]
+    assert untouched and all(after.get(f) == before[f] for f in untouched)
+    assert not any(f in after for f in before if "reading_date=2024-01-02" in f)
+    vals = {(r["reading_date"], r["plant_id"]): r["value"] for r in _table(spark, path).collect()}
+    assert vals[(days[1], "A")] == 5.0 and vals[(days[1], "B")] == 1.0 and len(vals) == 6
