@@ -30,6 +30,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
+        # One machine, local disk: list partition directories on the driver instead of
+        # through a Spark job (clusters keep the default: parallel listing on object stores).
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     )
     if checkpoint_dir:
         builder = builder.config(_CHECKPOINT_KEY, checkpoint_dir)
