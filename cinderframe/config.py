@@ -151,10 +151,5 @@ class PipelineConfig:
     def sensor_names(self) -> list[str]:
         return [s.name for s in self.sensors]
 
-    @property
-    def co2_bearing_sensors(self) -> list[str]:
-        """Sensors whose staged row has a non-null `co2_kg_per_t`."""
-        return [CO2_SENSOR, HEAT_SENSOR]
-
 
 DEFAULT = PipelineConfig()

@@ -29,6 +29,11 @@ SCOPE_COLUMNS = ["reading_date", "plant_id", "scope1_kg_per_t", "scope2_kg_per_t
                  "total_co2_kg_per_t"]
 
 
+def window_days(label: str) -> int:
+    """Days of a named report window ("30 days", "90 days", "180 days", "1 year")."""
+    return C.REPORT_WINDOWS_DAYS[label]
+
+
 def latest_per_plant(df: DataFrame, order_col: str = "reading_date") -> DataFrame:
     """The newest row of every plant (``reading_date`` is unique per plant in the marts)."""
     others = [c for c in df.columns if c != "plant_id"]

@@ -68,10 +68,6 @@ def raw_owid(spark: SparkSession, d: str) -> DataFrame:
     return ingest.clean_owid(fixtures.owid_csv_frame(spark, d), run_ts=RUN_TS)
 
 
-def _drop(df: DataFrame, *cols: str) -> DataFrame:
-    return df.drop(*cols)
-
-
 # --- queries ---------------------------------------------------------------------------
 
 def q_scan_sensor(spark, d):

@@ -32,7 +32,7 @@ def test_latest_per_plant(mart):
 
 
 def test_window_lower_bound_inclusive(mart):
-    out = reports.trend(mart, AS_OF, 30).collect()
+    out = reports.trend(mart, AS_OF, reports.window_days("30 days")).collect()
     assert len(out) == 2 * 31
     assert min(r["reading_date"] for r in out) == AS_OF - dt.timedelta(days=30)
     assert [r["reading_date"] for r in out] == sorted(r["reading_date"] for r in out)
