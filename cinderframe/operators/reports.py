@@ -43,10 +43,15 @@ def latest_per_plant(df: DataFrame, order_col: str = "reading_date") -> DataFram
                            for c in df.columns])
 
 
-def recent(df: DataFrame, as_of: dt.date, days: int, columns: list[str]) -> DataFrame:
-    """Rows with ``reading_date >= as_of - days`` (inclusive, no upper bound), oldest first."""
+def in_window(df: DataFrame, as_of: dt.date, days: int, columns: list[str]) -> DataFrame:
+    """Rows with ``reading_date >= as_of - days`` (inclusive, no upper bound)."""
     kept = df.where(F.col("reading_date") >= F.date_sub(F.lit(as_of), days))
-    return kept.select(*columns).orderBy("reading_date", "plant_id")
+    return kept.select(*columns)
+
+
+def recent(df: DataFrame, as_of: dt.date, days: int, columns: list[str]) -> DataFrame:
+    """The window's rows, oldest first (the order a report presents)."""
+    return in_window(df, as_of, days, columns).orderBy("reading_date", "plant_id")
 
 
 def trend(co2: DataFrame, as_of: dt.date, days: int = C.DEFAULT_REPORT_DAYS) -> DataFrame:
@@ -110,7 +115,7 @@ def scope_share(co2: DataFrame) -> DataFrame:
 def benchmark_latest(bgap: DataFrame, as_of: dt.date, days: int = C.DEFAULT_REPORT_DAYS) -> DataFrame:
     """Latest benchmark comparison per plant inside the window: one (category, value) row per
     bar, with the position label (unknown codes pass through) and the two gaps."""
-    last = latest_per_plant(benchmark(bgap, as_of, days))
+    last = latest_per_plant(in_window(bgap, as_of, days, BENCHMARK_COLUMNS))
     labels = F.create_map(*[F.lit(x) for x in chain.from_iterable(C.POSITION_LABELS.items())])
     pos = F.col("industry_position")
     cats = C.BENCHMARK_CATEGORIES
