@@ -77,14 +77,51 @@ def _write_days(df: DataFrame, path: str, obs: Observation | None = None) -> Non
      .partitionBy(SENSOR_PARTITION).parquet(path))
 
 
+MAX_LISTED_DAYS = 100_000
+
+
+def _touched_days(spark: SparkSession, path: str, days: DataFrame) -> DataFrame:
+    """The stored rows of the days in ``days``.
+
+    Preferred: read only those ``reading_date=`` directories, found with one top-level
+    listing of the table -- the rest of the history is neither listed nor read.  The day
+    list is at most one entry per calendar day of the batch (checked against a bound).
+    Fallback (no file-system handle, or an unbounded day list): read the table and keep the
+    days with a broadcast semi-join, which dynamic partition pruning turns into a
+    directory filter.
+    """
+    reader = spark.read.schema(schemas.RAW_SENSOR_READINGS)
+    batch_days = days.limit(MAX_LISTED_DAYS + 1).collect()
+    if len(batch_days) <= MAX_LISTED_DAYS:
+        present = _day_directories(spark, path)
+        if present is not None:
+            wanted = {f"{SENSOR_PARTITION}={r[0].isoformat()}" for r in batch_days}
+            dirs = [f"{path}/{name}" for name in sorted(present & wanted)]
+            if not dirs:
+                return reader.parquet(path).limit(0)
+            return reader.option("basePath", path).parquet(*dirs)
+    return reader.parquet(path).join(broadcast_if_small(days), SENSOR_PARTITION, "left_semi")
+
+
+def _day_directories(spark: SparkSession, path: str) -> set[str] | None:
+    """Names of the table's top-level directories (one listing call), or None."""
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        return {st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()}
+    except Exception:  # noqa: BLE001 - e.g. a remote session without a JVM handle
+        return None
+
+
 def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     """Idempotent load: the batch replaces every (reading_date, plant_id) it contains.
 
     The table is laid out in ``reading_date`` directories.  Loading a batch rewrites only
-    the days it touches: the batch is staged, the touched days are read (dynamic partition
-    pruning through a semi-join on the batch's days), the rows of the batch's plant-days
-    are dropped (anti-join), the batch is added and the merged days are staged and swapped
-    in with dynamic partition overwrite.  Every other day stays untouched (the default
+    the days it touches: the batch is staged, only the touched day directories are read
+    (``_touched_days``), the rows of the batch's plant-days are dropped (anti-join), the
+    batch is added and the merged days are staged and swapped in with dynamic partition
+    overwrite.  Every other day stays untouched (the default
     static mode would drop them).  Staging lives next to the table, on the same shared
     storage.  Returns the number of batch rows, counted while staging.
     """
@@ -101,10 +138,7 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     loaded = int(obs.get.get("n", 0))
     new = spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(staged_batch)
     keys = new.select(SENSOR_PARTITION, "plant_id").distinct()
-    # Distinct days of one batch: bounded by the calendar; the bounded count confirms it.
-    days = broadcast_if_small(keys.select(SENSOR_PARTITION).distinct())
-    current = spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(path)
-    touched = current.join(days, SENSOR_PARTITION, "left_semi")
+    touched = _touched_days(spark, path, keys.select(SENSOR_PARTITION).distinct())
     kept = touched.join(keys, [SENSOR_PARTITION, "plant_id"], "left_anti")
     _write_days(kept.unionByName(new), staged_days)
     _write_days(spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(staged_days), path)

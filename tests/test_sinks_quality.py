@@ -129,3 +129,16 @@ def test_replacement_leaves_other_days_files_untouched(spark, tmp_table):
     assert not any(f in after for f in before if "reading_date=2024-01-02" in f)
     vals = {(r["reading_date"], r["plant_id"]): r["value"] for r in _table(spark, path).collect()}
     assert vals[(days[1], "A")] == 5.0 and vals[(days[1], "B")] == 1.0 and len(vals) == 6
+
+
+def test_replacement_fallback_without_listing(spark, tmp_table, monkeypatch):
+    path = tmp_table("raw")
+    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    sinks.replace_plant_days(readings(spark, [(d, p, "O2_flue_gas", 1.0) for d in (d1, d2) for p in "AB"]),
+                             path, TS)
+    monkeypatch.setattr(sinks, "_day_directories", lambda spark, path: None)
+    sinks.replace_plant_days(readings(spark, [(d2, "B", "O2_flue_gas", 7.0),
+                                              (dt.date(2024, 1, 5), "B", "O2_flue_gas", 7.0)]), path, TS)
+    got = sorted((r["reading_date"], r["plant_id"], r["value"]) for r in _table(spark, path).collect())
+    assert got == [(d1, "A", 1.0), (d1, "B", 1.0), (d2, "A", 1.0), (d2, "B", 7.0),
+                   (dt.date(2024, 1, 5), "B", 7.0)]
