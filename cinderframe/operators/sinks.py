@@ -153,7 +153,13 @@ def overwrite_table(df: DataFrame, path: str) -> int:
 
 
 def append_rows(df: DataFrame, path: str) -> int:
-    """Append a batch; an empty batch writes and reports nothing."""
+    """Append a batch; an empty batch writes and reports nothing.
+
+    (Spark would write a schema-only file for an empty frame, so emptiness is checked
+    first; ``isEmpty`` stops at the first row.)
+    """
+    if df.isEmpty():
+        return 0
     obs = Observation("appended")
     df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
     return int(obs.get.get("n", 0))

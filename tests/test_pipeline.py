@@ -41,3 +41,16 @@ def test_run_all_matches_queries(spark, tmp_table):
     assert (stored["max_loaded_at"], stored["age_hours"], stored["status"]) == (
         scanned["max_loaded_at"], scanned["age_hours"], scanned["status"])
     assert read("int_scope3_emissions").where(F.col("scope3_total_kg_per_t") != 40.0).count() == 0
+
+    # reports served from the stored marts equal the lazily computed ones
+    from cinderframe.plans import serving
+    served = serving.all_reports(spark, wh, Q.AS_OF)
+    _same(served["kpi"], Q.q_rpt_kpi(spark, SF))
+    _same(served["trend"], Q.q_rpt_trend(spark, SF))
+    _same(served["benchmark_latest"], Q.q_rpt_benchmark_latest(spark, SF))
+    _same(served["progress"], Q.q_rpt_progress(spark, SF))
+    assert served["pipeline_log"].count() == 6
+
+    # the command line runs a report against the same warehouse
+    from cinderframe.__main__ import main
+    main(["report", "--warehouse", root, "--name", "scope_share", "--as-of", "2001-10-31", "--local"])

@@ -51,8 +51,13 @@ def test_append_and_log(spark, tmp_table):
     path, log = tmp_table("aq"), tmp_table("log")
     df = spark.createDataFrame([(1,), (2,)], "x int")
     assert sinks.append_rows(df, path) == 2
+    files = sorted(__import__("os").listdir(path))
     assert sinks.append_rows(df.where("x > 5"), path) == 0
+    assert sorted(__import__("os").listdir(path)) == files  # nothing written
     assert spark.read.parquet(path).count() == 2
+    empty_target = tmp_table("never")
+    assert sinks.append_rows(df.where("x > 5"), empty_target) == 0
+    assert not __import__("os").path.exists(empty_target)
     sinks.log_run(spark, log, TS, "dag", "src", 2, "success")
     row = readers.read_pipeline_log(spark, log).first()
     assert (row["dag_id"], row["rows_loaded"], row["status"], row["message"]) == ("dag", 2, "success", None)
