@@ -61,6 +61,17 @@ def path_exists(spark: SparkSession, path: str) -> bool:
             return False
 
 
+def remove_path(spark: SparkSession, path: str) -> bool:
+    """Delete a run's own staging folder once its data has been swapped in.  Without a
+    file-system handle the folder is left for the storage's lifecycle rules."""
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True))
+    except Exception:  # noqa: BLE001
+        return False
+
+
 def _write_days(df: DataFrame, path: str, obs: Observation | None = None) -> None:
     """Write rows into ``reading_date`` directories, replacing only the days present.
 
@@ -133,7 +144,8 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
         _write_days(rows, path, obs)
         return int(obs.get.get("n", 0))
     run = uuid.uuid4().hex[:12]
-    staged_batch, staged_days = f"{path}_staging/{run}/batch", f"{path}_staging/{run}/days"
+    staging = f"{path}_staging/{run}"
+    staged_batch, staged_days = f"{staging}/batch", f"{staging}/days"
     _write_days(rows, staged_batch, obs)
     loaded = int(obs.get.get("n", 0))
     new = spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(staged_batch)
@@ -142,6 +154,9 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     kept = touched.join(keys, [SENSOR_PARTITION, "plant_id"], "left_anti")
     _write_days(kept.unionByName(new), staged_days)
     _write_days(spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(staged_days), path)
+    # A failure before this point leaves the table as it was (or, mid-swap, some days
+    # replaced); re-running the same load repairs it, as loading is idempotent.
+    remove_path(spark, staging)
     return loaded
 
 

@@ -108,7 +108,11 @@ def _daily_readings(spark: SparkSession, wh: Warehouse, stg_sensor: DataFrame,
     kept = spark.read.parquet(path).where(F.col("reading_date") < F.lit(since))
     merged = kept.unionByName(fresh)
     # The table is replaced from a staged copy: it cannot be overwritten while read.
-    return _staged_copy(spark, merged, f"{path}_staging/{uuid.uuid4().hex[:12]}")
+    return _staged_copy(spark, merged, _staging_path(path))
+
+
+def _staging_path(path: str) -> str:
+    return f"{path}_staging/{uuid.uuid4().hex[:12]}"
 
 
 def _staged_copy(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
@@ -186,7 +190,7 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     previous = None
     if since is not None and sinks.path_exists(spark, fresh_path):
         previous = _staged_copy(spark, spark.read.parquet(fresh_path).select("max_loaded_at"),
-                                f"{fresh_path}_staging/{uuid.uuid4().hex[:12]}")
+                                _staging_path(fresh_path))
     write("source_freshness", quality.freshness_from_observation(
         spark, "raw_sensor_readings", latest_load, run_ts, previous))
 
@@ -199,6 +203,8 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
             res.exported.append(f"{name}: {n} rows")
         except Exception as e:  # noqa: BLE001 - isolate each mart, report below
             res.export_failures.append(f"{name}: {type(e).__name__}")
+    for name in ("int_daily_plant_readings", "source_freshness"):
+        sinks.remove_path(spark, wh.path(name) + "_staging")
     status = "success" if not res.export_failures else "failed"
     sinks.log_run(spark, wh.log, run_ts, *C.LOG_EXPORT, len(res.exported), status,
                   "; ".join(res.exported + res.export_failures))

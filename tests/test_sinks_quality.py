@@ -129,6 +129,7 @@ def test_replacement_leaves_other_days_files_untouched(spark, tmp_table):
     before = files()
     sinks.replace_plant_days(readings(spark, [(days[1], "A", "O2_flue_gas", 5.0)]), path, TS)
     after = files()
+    assert os.listdir(path + "_staging") == []  # the run's staging copies are removed
     untouched = [f for f in before if "reading_date=2024-01-02" not in f]
     assert untouched and all(after.get(f) == before[f] for f in untouched)
     assert not any(f in after for f in before if "reading_date=2024-01-02" in f)
