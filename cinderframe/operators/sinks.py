@@ -132,9 +132,9 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     the days it touches: the batch is staged, only the touched day directories are read
     (``_touched_days``), the rows of the batch's plant-days are dropped (anti-join), the
     batch is added and the merged days are staged and swapped in with dynamic partition
-    overwrite.  Every other day stays untouched (the default
-    static mode would drop them).  Staging lives next to the table, on the same shared
-    storage.  Returns the number of batch rows, counted while staging.
+    overwrite.  Every other day stays untouched (the default static mode would drop them).
+    Staging lives next to the table, on the same shared storage.  Returns the number of
+    batch rows, counted while staging.
     """
     spark = batch.sparkSession
     rows = require_not_null(with_sensor_defaults(batch, run_ts),
