@@ -130,3 +130,23 @@ def test_benchmark_gap_duplicate_benchmark_raises(spark):
     doubled = iea.unionByName(iea.where(F.col("region") == "Global"))
     with pytest.raises(Exception, match="duplicate"):
         marts.benchmark_gap(_mart(spark, [600.0]), doubled).collect()
+
+
+def test_empty_readings_flow_through(spark):
+    from cinderframe import schemas
+    from cinderframe.operators import quality, reports
+    raw = spark.createDataFrame([], schemas.RAW_SENSOR_READINGS)
+    stg = staging.stg_sensor_readings(raw)
+    daily = scopes.daily_plant_readings(stg)
+    s1 = scopes.scope1_emissions(daily)
+    co2 = marts.co2_intensity(s1, RUN_TS)
+    iea = staging.stg_iea_benchmarks(ingest.benchmark_rows(spark, run_ts=RUN_TS))
+    for df in (stg, daily, s1, scopes.scope2_emissions(daily), scopes.scope3_emissions(s1), co2,
+               marts.net_zero_progress(co2), marts.benchmark_gap(co2, iea),
+               reports.kpi(co2), reports.scope_share(co2), reports.trend(co2, dt.date(2024, 1, 1))):
+        assert df.count() == 0
+    checks = {r["test_name"]: r["status"] for r in quality.test_results_from_raw(
+        raw, raw.select(F.lit(1).alias("year"), F.lit("x").alias("country")).limit(0), iea.select(
+            "year", "sector", F.lit("m").alias("metric")), co2).collect()}
+    assert len(checks) == 16 and set(checks.values()) == {"pass"}
+    assert quality.freshness(raw, "raw_sensor_readings", RUN_TS).first()["status"] == "error"
