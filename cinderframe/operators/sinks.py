@@ -184,8 +184,10 @@ def log_run(spark: SparkSession, path: str, run_at: dt.datetime, dag_id: str, so
             rows_loaded: int, status: str, message: str | None = None) -> None:
     """Append one run record to the audit log (written after the data it describes, so a
     missing record means the load did not finish)."""
-    row = [(run_at, dag_id, source, int(rows_loaded), status, message)]
-    spark.createDataFrame(row, schemas.PIPELINE_LOG).write.mode("append").parquet(path)
+    row = [(run_at, dag_id, source, int(rows_loaded or 0), status, message)]  # DEFAULT 0
+    rec = spark.createDataFrame(row, schemas.PIPELINE_LOG)
+    require_not_null(rec, schemas.NOT_NULL_COLUMNS["pipeline_log"], "pipeline_log") \
+        .write.mode("append").parquet(path)
 
 
 def export_newest_first(df: DataFrame, path: str) -> int:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from .. import config as C
 from ..config import DEFAULT, PipelineConfig
 from ..operators import ingest, marts, quality, scopes, sinks, staging
+from .. import schemas
 from ..sources import fixtures, readers
 
 
@@ -45,6 +46,11 @@ class RunResult:
 
 # --- ingestion (the scheduled loads) ---------------------------------------------------
 
+def _checked(df: DataFrame, table: str) -> DataFrame:
+    """The table's NOT NULL columns enforced inside the write (see ``sinks.require_not_null``)."""
+    return sinks.require_not_null(df, schemas.NOT_NULL_COLUMNS[table], table)
+
+
 def ingest_sensor_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, run_ts: dt.datetime,
                         cfg: PipelineConfig = DEFAULT) -> int:
     """Flag anomalies, replace the batch's plant-days, then log the load."""
@@ -56,21 +62,23 @@ def ingest_sensor_batch(spark: SparkSession, wh: Warehouse, batch: DataFrame, ru
 
 def ingest_country_csv(spark: SparkSession, wh: Warehouse, landed_csv: str, run_ts: dt.datetime) -> int:
     cleaned = ingest.clean_owid(readers.read_country_csv(spark, landed_csv), run_ts=run_ts)
-    n = sinks.overwrite_table(cleaned, wh.path("raw_owid_emissions"))
+    n = sinks.overwrite_table(_checked(cleaned, "raw_owid_emissions"), wh.path("raw_owid_emissions"))
     sinks.log_run(spark, wh.log, run_ts, *C.LOG_COUNTRY_LOAD, n, "success")
     return n
 
 
 def ingest_benchmarks(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
                       cfg: PipelineConfig = DEFAULT) -> int:
-    n = sinks.overwrite_table(ingest.benchmark_rows(spark, cfg, run_ts), wh.path("raw_iea_benchmarks"))
+    n = sinks.overwrite_table(_checked(ingest.benchmark_rows(spark, cfg, run_ts), "raw_iea_benchmarks"),
+                              wh.path("raw_iea_benchmarks"))
     sinks.log_run(spark, wh.log, run_ts, *C.LOG_BENCHMARK_LOAD, n, "success")
     return n
 
 
 def ingest_air_quality(spark: SparkSession, wh: Warehouse, records: DataFrame, run_ts: dt.datetime) -> int:
     """Append parsed air-quality rows; an empty batch is neither written nor logged."""
-    n = sinks.append_rows(ingest.parse_air_quality(records, run_ts), wh.path("raw_openaq_readings"))
+    parsed = _checked(ingest.parse_air_quality(records, run_ts), "raw_openaq_readings")
+    n = sinks.append_rows(parsed, wh.path("raw_openaq_readings"))
     if n > 0:
         sinks.log_run(spark, wh.log, run_ts, *C.LOG_AIR_QUALITY_LOAD, n, "success")
     return n
