@@ -14,7 +14,3 @@ def ts_lit(value: dt.datetime | None) -> Column:
     if value is None:
         return F.lit(None).cast("timestamp")
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp")
-
-
-def date_lit(value: dt.date) -> Column:
-    return F.lit(value.isoformat()).cast("date")

@@ -14,13 +14,6 @@ from ..functions import (as_decimal, dec, global_status, industry_position, roun
                          safe_div, status_2030)
 from .scopes import KEYS, scope2_intensity, scope3_columns
 
-MART_CO2_COLUMNS = [
-    "reading_date", "plant_id", "scope1_kg_per_t", "scope1_7d_avg", "scope1_30d_avg",
-    "scope2_kg_per_t", "scope3_kg_per_t", "total_co2_kg_per_t", "reading_count",
-    "anomaly_count", "exceeds_2030_target", "updated_at",
-]
-
-
 def _co2_projection(rows: DataFrame, run_ts: dt.datetime | None) -> DataFrame:
     s1 = F.col("scope1_intensity_avg")
     s2 = F.col("scope2_intensity_kg_per_t")

@@ -138,15 +138,6 @@ def mart_checks(co2: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     return _checks_of_table(co2, "mart_co2_intensity", checks)
 
 
-def test_results(raw_sensor: DataFrame, raw_owid: DataFrame, raw_iea: DataFrame,
-                 stg_sensor: DataFrame, co2: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
-    """All sixteen tests as (test_name, table_name, column_name, failures, status)."""
-    nn = not_null_checks({"raw_sensor_readings": raw_sensor, "raw_owid_emissions": raw_owid,
-                          "raw_iea_benchmarks": raw_iea, "stg_sensor_readings": stg_sensor})
-    mart = mart_checks(co2, cfg).withColumn("status", _status(F.col("failures")))
-    return nn.unionByName(mart)
-
-
 def test_summary(results: DataFrame) -> DataFrame:
     """Number of tests per status."""
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("tests"))

@@ -56,6 +56,8 @@ def test_stg_owid_share_and_defaults(spark):
     assert out["A"]["cement_co2_share_pct"] == 25.0 and out["A"]["energy_co2_mt"] == 0.0
     assert out["C"]["cement_co2_mt"] == 0.0 and out["C"]["cement_co2_share_pct"] is None
     assert out["C"]["co2_per_capita"] == 0.0
+    ordered = [(r["country"], r["year"]) for r in staging.order_countries(staging.stg_owid_emissions(raw)).collect()]
+    assert ordered == [("A", 2020), ("C", 2021)]
 
 
 def test_benchmark_pivot(spark):
