@@ -19,3 +19,30 @@ def test_round_half_up_matches_decimal(spark, xs):
     got = [r[0] for r in df.select(round_half_up("x", 2)).collect()]
     want = [float(Decimal(repr(x)).quantize(Decimal("0.01"), rounding=ROUND_HALF_UP)) for x in xs]
     assert got == want
+
+
+import datetime as _dt  # noqa: E402
+
+_DAYS = [_dt.date(2024, 1, d) for d in (1, 2, 3)]
+_rows = st.lists(st.tuples(st.sampled_from(_DAYS), st.sampled_from(["A", "B"]),
+                           st.sampled_from(["O2_flue_gas", "dust_emission"]),
+                           st.integers(1, 50).map(float)), min_size=1, max_size=12)
+
+
+@settings(max_examples=4, deadline=None)
+@given(_rows, _rows)
+def test_replace_plant_days_model(spark, tmp_path_factory, base, batch):
+    """Table after loading = base rows of plant-days not in the batch + the batch rows."""
+    from cinderframe.operators import sinks
+    from cinderframe.sources import readers
+    from conftest import readings
+
+    path = str(tmp_path_factory.mktemp("prop") / "raw")
+    ts = _dt.datetime(2024, 2, 1)
+    sinks.replace_plant_days(readings(spark, base), path, ts)
+    sinks.replace_plant_days(readings(spark, batch), path, ts)
+    replaced = {(d, p) for d, p, _, _ in batch}
+    want = sorted([r for r in base if (r[0], r[1]) not in replaced] + list(batch))
+    got = sorted((r["reading_date"], r["plant_id"], r["sensor"], r["value"])
+                 for r in readers.read_sensor_readings(spark, path).collect())
+    assert got == want
