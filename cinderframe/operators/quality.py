@@ -106,7 +106,7 @@ def reading_not_null_checks(raw_sensor: DataFrame, cfg: PipelineConfig = DEFAULT
     return agg.select(F.inline(rows)).withColumn("status", _status(F.col("failures")))
 
 
-def test_results_from_raw(raw_sensor: DataFrame, raw_owid: DataFrame, raw_iea: DataFrame,
+def check_results_from_raw(raw_sensor: DataFrame, raw_owid: DataFrame, raw_iea: DataFrame,
                           co2: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """The sixteen tests with the staged-reading tests derived from the raw pass."""
     small = not_null_checks({"raw_owid_emissions": raw_owid, "raw_iea_benchmarks": raw_iea})
@@ -138,12 +138,12 @@ def mart_checks(co2: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     return _checks_of_table(co2, "mart_co2_intensity", checks)
 
 
-def test_summary(results: DataFrame) -> DataFrame:
+def check_summary(results: DataFrame) -> DataFrame:
     """Number of tests per status."""
     return results.groupBy("status").agg(F.count(F.lit(1)).alias("tests"))
 
 
-def test_log_record(results: DataFrame, run_at: dt.datetime) -> DataFrame:
+def check_log_record(results: DataFrame, run_at: dt.datetime) -> DataFrame:
     """The audit-log row of a test run: passed count, and ``warning`` when any test failed."""
     passed = F.count_if(F.col("status") == "pass")
     failed = F.count_if(F.col("status") == "fail")

@@ -194,7 +194,7 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
                                                            .otherwise("pass"))
     results = write("data_test_results",
                     sensor_checks.unionByName(small_checks).unionByName(mart_checks))
-    quality.test_log_record(results, run_ts).write.mode("append").parquet(wh.log)
+    quality.check_log_record(results, run_ts).write.mode("append").parquet(wh.log)
     # Every row stamped by a load since the last run lies in the re-read days, so the stored
     # maximum plus the observed one is the table's maximum.
     fresh_path = wh.path("source_freshness")

@@ -212,7 +212,7 @@ def q_dq_freshness(spark, d):
 
 
 def _test_results(spark, d):
-    return quality.test_results_from_raw(raw_sensor(spark, d), raw_owid(spark, d), raw_iea(spark),
+    return quality.check_results_from_raw(raw_sensor(spark, d), raw_owid(spark, d), raw_iea(spark),
                                          co2(spark, d))
 
 
@@ -221,7 +221,7 @@ def q_dq_results(spark, d):
 
 
 def q_dq_summary(spark, d):
-    return quality.test_summary(_test_results(spark, d))
+    return quality.check_summary(_test_results(spark, d))
 
 
 def q_rpt_latest(spark, d):

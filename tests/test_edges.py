@@ -145,7 +145,7 @@ def test_empty_readings_flow_through(spark):
                marts.net_zero_progress(co2), marts.benchmark_gap(co2, iea),
                reports.kpi(co2), reports.scope_share(co2), reports.trend(co2, dt.date(2024, 1, 1))):
         assert df.count() == 0
-    checks = {r["test_name"]: r["status"] for r in quality.test_results_from_raw(
+    checks = {r["test_name"]: r["status"] for r in quality.check_results_from_raw(
         raw, raw.select(F.lit(1).alias("year"), F.lit("x").alias("country")).limit(0), iea.select(
             "year", "sector", F.lit("m").alias("metric")), co2).collect()}
     assert len(checks) == 16 and set(checks.values()) == {"pass"}

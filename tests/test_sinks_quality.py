@@ -81,9 +81,9 @@ def test_not_null_checks_and_summary(spark):
     got = {r["column_name"]: (r["failures"], r["status"]) for r in res.collect()}
     assert got == {"reading_date": (0, "pass"), "plant_id": (1, "fail"),
                    "sensor": (0, "pass"), "value": (0, "pass")}
-    summary = {r["status"]: r["tests"] for r in quality.test_summary(res).collect()}
+    summary = {r["status"]: r["tests"] for r in quality.check_summary(res).collect()}
     assert summary == {"pass": 3, "fail": 1}
-    log = quality.test_log_record(res, TS).first()
+    log = quality.check_log_record(res, TS).first()
     assert (log["rows_loaded"], log["status"], log["message"]) == (3, "warning", "3 passed, 1 failed")
 
 
