@@ -464,3 +464,14 @@ ORACLE: dict[str, str] = {
     "export_benchmark_gap": _with(["bgap"], "select * from bgap"),
 }
 ORACLE["stream_ingest_sensor"] = ORACLE["load_replace_day"]
+
+# Calendar dates are emitted as midnight timestamps, as the Spark queries do (``as_compared``).
+_DATE_COLUMNS = {"ingest_openaq": ["measurement_date"]}
+_NO_DATES = {"audit_summary", "ingest_owid", "stg_owid", "status_distribution", "dq_not_null",
+             "dq_results", "dq_summary", "dq_freshness", "rpt_pipeline_log"}
+for _name, _sql in list(ORACLE.items()):
+    if _name in _NO_DATES:
+        continue
+    _cols = _DATE_COLUMNS.get(_name, ["reading_date"])
+    _replace = ", ".join(f"cast({c} as timestamp) as {c}" for c in _cols)
+    ORACLE[_name] = f"select * replace ({_replace}) from (\n{_sql}\n) q"

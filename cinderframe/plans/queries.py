@@ -13,6 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import DEFAULT
 from ..operators import ingest, marts, quality, reports, scopes, sinks, staging
@@ -278,7 +279,25 @@ def q_export_benchmark_gap(spark, d):
     return _export(spark, bgap(spark, d), "mart_benchmark_gap")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+def as_compared(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Emit DATE columns as midnight timestamps (without time zone), the type the driver's
+    tables use for calendar dates, so both engines' results compare alike.  The tables the
+    library writes keep DATE."""
+
+    def wrapped(spark: SparkSession, d: str) -> DataFrame:
+        df = fn(spark, d)
+        dates = {f.name for f in df.schema.fields if isinstance(f.dataType, T.DateType)}
+        if not dates:
+            return df
+        return df.select(*[F.col(c).cast("timestamp_ntz").alias(c) if c in dates else F.col(c)
+                           for c in df.columns])
+
+    wrapped.__name__ = fn.__name__
+    wrapped.__doc__ = fn.__doc__
+    return wrapped
+
+
+_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scan_sensor": q_scan_sensor,
     "flag_anomaly": q_flag_anomaly,
     "load_replace_day": q_load_replace_day,
@@ -318,3 +337,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_net_zero": q_export_net_zero,
     "export_benchmark_gap": q_export_benchmark_gap,
 }
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name: as_compared(fn) for name, fn in _QUERIES.items()}
