@@ -150,3 +150,23 @@ def test_empty_readings_flow_through(spark):
             "year", "sector", F.lit("m").alias("metric")), co2).collect()}
     assert len(checks) == 16 and set(checks.values()) == {"pass"}
     assert quality.freshness(raw, "raw_sensor_readings", RUN_TS).first()["status"] == "error"
+
+
+def test_hot_plant_day_third_of_rows(spark, tmp_path):
+    """One plant-day carries a third of all readings: loads, aggregates and windows stay exact."""
+    from cinderframe.operators import sinks
+    from cinderframe.sources import readers
+    base = dt.date(2024, 1, 1)
+    normal = [(base + dt.timedelta(days=k % 20), f"P{k % 5}", "CO2_emission_intensity", 600.0 + k % 7)
+              for k in range(4000)]
+    hot = [(base, "HOT", "CO2_emission_intensity", 700.0 + (k % 3)) for k in range(2000)]
+    path = str(tmp_path / "raw")
+    df = readings(spark, normal + hot).repartition(16)
+    assert sinks.replace_plant_days(df, path, RUN_TS) == 6000
+    raw = readers.read_sensor_readings(spark, path)
+    daily = scopes.daily_plant_readings(staging.stg_sensor_readings(raw))
+    row = daily.where((F.col("plant_id") == "HOT")).first()
+    assert row["reading_count"] == 2000
+    assert row["scope1_intensity_avg"] == pytest.approx(sum(700.0 + (k % 3) for k in range(2000)) / 2000)
+    s1 = scopes.scope1_emissions(daily)
+    assert s1.count() == 20 * 5 + 1
