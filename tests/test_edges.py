@@ -157,7 +157,7 @@ def test_hot_plant_day_third_of_rows(spark, tmp_path):
     from cinderframe.operators import sinks
     from cinderframe.sources import readers
     base = dt.date(2024, 1, 1)
-    normal = [(base + dt.timedelta(days=k % 20), f"P{k % 5}", "CO2_emission_intensity", 600.0 + k % 7)
+    normal = [(base + dt.timedelta(days=k % 20), f"P{(k // 20) % 5}", "CO2_emission_intensity", 600.0 + k % 7)
               for k in range(4000)]
     hot = [(base, "HOT", "CO2_emission_intensity", 700.0 + (k % 3)) for k in range(2000)]
     path = str(tmp_path / "raw")
