@@ -221,6 +221,27 @@ from (select year, country, co2_total_mt as total, co2_per_capita as per_capita,
 where year is not null and country is not null and total > 0
 """
 
+BENCH_METRICS = """
+select cast(year as integer) as year, s.sector, country as region, metric, value, 'unit' as unit
+from (
+  select year, country, 'co2_intensity' as metric, co2_total_mt as value from owid_fixture
+  union all
+  select year, country, 'heat_consumption', energy_co2 from owid_fixture
+  union all
+  select year, country, 'per_capita', co2_per_capita from owid_fixture
+) m, (values ('cement'), ('steel')) s(sector)
+"""
+
+STG_IEA_DERIVED = f"""
+select year, sector, region,
+       max(case when metric = 'co2_intensity' then value end) as co2_intensity_kg_per_t,
+       max(case when metric = 'heat_consumption' then value end) as heat_consumption_mj_per_t,
+       {_T30} as scg_target_2030, {_T50} as scg_target_2050, {_BASE} as baseline_2020
+from bench_metrics
+where sector = '{C.BENCHMARK_SECTOR}'
+group by year, sector, region
+"""
+
 AIR_BODIES = """
 select event_id,
        concat('{"date":',
@@ -281,6 +302,8 @@ _CTES = {
     "owid_fixture": OWID_FIXTURE,
     "raw_owid": RAW_OWID,
     "stg_owid": STG_OWID,
+    "bench_metrics": BENCH_METRICS,
+    "stg_iea_derived": STG_IEA_DERIVED,
     "air_bodies": AIR_BODIES,
     "air_parsed": AIR_PARSED,
     "pipeline_log": PIPELINE_LOG,
@@ -297,6 +320,8 @@ _DEPS = {
     "raw_owid": ["owid_fixture"],
     "stg_owid": ["raw_owid"],
     "air_parsed": ["air_bodies"],
+    "bench_metrics": ["owid_fixture"],
+    "stg_iea_derived": ["bench_metrics"],
 }
 
 
@@ -389,6 +414,7 @@ ORACLE: dict[str, str] = {
         from pipeline_log group by dag_id, source, status"""),
     "stg_sensor": _with(["stg_sensor"], "select * exclude (ingested_at) from stg_sensor"),
     "stg_owid": _with(["stg_owid"], "select * from stg_owid"),
+    "stg_iea": _with(["stg_iea_derived"], "select * from stg_iea_derived"),
     "scope1_daily": _with(["scope1"], f"select {_SCOPE1_COLS}, exceeds_2030_target from scope1"),
     "scope1_rolling": _with(["scope1"], "select reading_date, plant_id, scope1_intensity_avg, scope1_rolling_7d, scope1_rolling_30d from scope1"),
     "scope1_mom": _with(["scope1"], "select reading_date, plant_id, scope1_intensity_avg, scope1_mom_change from scope1"),
@@ -467,7 +493,7 @@ ORACLE["stream_ingest_sensor"] = ORACLE["load_replace_day"]
 
 # Calendar dates are emitted as midnight timestamps, as the Spark queries do (``as_compared``).
 _DATE_COLUMNS = {"ingest_openaq": ["measurement_date"]}
-_NO_DATES = {"audit_summary", "ingest_owid", "stg_owid", "status_distribution", "dq_not_null",
+_NO_DATES = {"audit_summary", "ingest_owid", "stg_owid", "stg_iea", "status_distribution", "dq_not_null",
              "dq_results", "dq_summary", "dq_freshness", "rpt_pipeline_log"}
 for _name, _sql in list(ORACLE.items()):
     if _name in _NO_DATES:

@@ -144,6 +144,11 @@ def q_stg_owid(spark, d):
     return staging.stg_owid_emissions(raw_owid(spark, d)).drop("ingested_at")
 
 
+def q_stg_iea(spark, d):
+    """The benchmark pivot (one row per year/sector/region/load) over derived metric rows."""
+    return staging.stg_iea_benchmarks(fixtures.benchmark_metrics(spark, d)).drop("ingested_at")
+
+
 def q_scope1_daily(spark, d):
     return scope1(spark, d).drop("scope1_rolling_7d", "scope1_rolling_30d", "scope1_mom_change")
 
@@ -307,6 +312,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_summary": q_audit_summary,
     "stg_sensor": q_stg_sensor,
     "stg_owid": q_stg_owid,
+    "stg_iea": q_stg_iea,
     "scope1_daily": q_scope1_daily,
     "scope1_rolling": q_scope1_rolling,
     "scope1_mom": q_scope1_mom,
