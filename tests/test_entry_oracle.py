@@ -63,3 +63,16 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(got.columns) == sorted(want.columns)
     assert len(got) == len(want)
     assert _rows(got) == _rows(want)
+
+
+@pytest.mark.parametrize("name", ["dq_freshness", "rpt_pipeline_log", "audit_summary", "ingest_openaq",
+                                  "co2_intensity", "rpt_kpi"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, name):
+    before = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = E.queries()[name](spark, SF).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    want = con.execute(E.oracle_sql()[name]).df()
+    assert _rows(got) == _rows(want)

@@ -66,3 +66,18 @@ def test_stored_raw_scan_pushdown(spark, tmp_table):
     schema = re.search(r"ReadSchema: (struct<.*>)", text).group(1)
     assert "unit_label" not in schema and "ingested_at" not in schema  # pruned columns
     assert shuffles(text) == 1
+
+
+def test_report_window_reaches_the_mart_scan(spark, tmp_table):
+    from cinderframe.plans import serving
+    wh = pipeline.Warehouse(tmp_table("wh"))
+    pipeline.ingest_sensor_batch(spark, wh, fixtures.unflagged_sensor_readings(spark, SF).limit(300), RUN_TS)
+    pipeline.ingest_benchmarks(spark, wh, RUN_TS)
+    spark.createDataFrame([(2020, "X", 1.0, 2.0, 0.1, 0.2, RUN_TS)],
+                          "year int, country string, co2_per_capita double, co2_total_mt double, "
+                          "cement_co2 double, energy_co2 double, ingested_at timestamp") \
+        .write.parquet(wh.path("raw_owid_emissions"))
+    pipeline.transform(spark, wh, RUN_TS)
+    text = plan(serving.report(spark, wh, "trend", fixtures.AS_OF, 90))
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    assert "GreaterThanOrEqual(reading_date" in pushed  # row groups outside the window are skipped
