@@ -81,3 +81,17 @@ def test_report_window_reaches_the_mart_scan(spark, tmp_table):
     text = plan(serving.report(spark, wh, "trend", fixtures.AS_OF, 90))
     pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
     assert "GreaterThanOrEqual(reading_date" in pushed  # row groups outside the window are skipped
+
+
+def test_incremental_scan_prunes_day_directories(spark, tmp_table):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+    wh = pipeline.Warehouse(tmp_table("wh"))
+    pipeline.ingest_sensor_batch(spark, wh, fixtures.unflagged_sensor_readings(spark, SF).limit(300), RUN_TS)
+    raw = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"))
+    since = dt.date(1998, 1, 1)
+    text = plan(scopes.daily_plant_readings(staging.stg_sensor_readings(
+        raw.where(F.col("reading_date") >= F.lit(since)))))
+    part = re.search(r"PartitionFilters: \[(.*)\]", text).group(1)
+    assert "reading_date" in part and "1998-01-01" in part
