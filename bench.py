@@ -30,6 +30,7 @@ HEADLINE = [
 
 
 def _run(spark, name: str, sf_dir: str) -> float:
+    spark.sparkContext.setJobDescription(name)  # attributes stages in the event log
     t = time.perf_counter()
     QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t
@@ -42,8 +43,15 @@ def main() -> None:
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
     scratch = tempfile.mkdtemp(prefix="cinderframe-bench-")
+    # BENCH_EVENT_LOG=1 writes Spark's event log into the scratch folder (stage and task times
+    # without the web UI); summarize it with tools/stage_times.py.
+    event_log = None
+    if os.environ.get("BENCH_EVENT_LOG"):
+        event_log = os.path.join(scratch, "events")
+        os.makedirs(event_log, exist_ok=True)
+        print(f"event log: {event_log}", file=sys.stderr)
     spark = local_session(cpus=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
-                          checkpoint_dir=os.path.join(scratch, "ckpt"))
+                          checkpoint_dir=os.path.join(scratch, "ckpt"), event_log_dir=event_log)
 
     _run(spark, "co2_intensity", sf_dir)  # warm-up (JIT, class loading)
     times: dict[str, float] = {}
@@ -51,9 +59,11 @@ def main() -> None:
         times[name] = round(min(_run(spark, name, sf_dir) for _ in range(repeat)), 3)
 
     wh = pipeline.Warehouse(os.path.join(scratch, "warehouse"))
+    spark.sparkContext.setJobDescription("end_to_end_ingest")
     t = time.perf_counter()
     pipeline.land_fixtures(spark, sf_dir, wh)
     times["end_to_end_ingest"] = round(time.perf_counter() - t, 3)
+    spark.sparkContext.setJobDescription("end_to_end_transform")
     t = time.perf_counter()
     pipeline.transform(spark, wh, pipeline.fixtures.RUN_TS)
     times["end_to_end_transform"] = round(time.perf_counter() - t, 3)
