@@ -58,6 +58,12 @@ def trend(co2: DataFrame, as_of: dt.date, days: int = C.DEFAULT_REPORT_DAYS) ->
     return recent(co2, as_of, days, TREND_COLUMNS)
 
 
+def date_extent(report: DataFrame) -> DataFrame:
+    """First and last day of a report's rows per plant (the trend chart's x range)."""
+    return report.groupBy("plant_id").agg(F.min("reading_date").alias("first_day"),
+                                          F.max("reading_date").alias("last_day"))
+
+
 def progress(net_zero: DataFrame, as_of: dt.date, days: int = C.DEFAULT_REPORT_DAYS) -> DataFrame:
     return recent(net_zero, as_of, days, PROGRESS_COLUMNS)
 

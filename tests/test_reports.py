@@ -38,6 +38,12 @@ def test_window_lower_bound_inclusive(mart):
     assert [r["reading_date"] for r in out] == sorted(r["reading_date"] for r in out)
 
 
+def test_date_extent(mart):
+    ext = {r["plant_id"]: (r["first_day"], r["last_day"])
+           for r in reports.date_extent(reports.trend(mart, AS_OF, 30)).collect()}
+    assert ext == {"A": (AS_OF - dt.timedelta(days=30), AS_OF), "B": (AS_OF - dt.timedelta(days=30), AS_OF)}
+
+
 def test_kpi(mart):
     k = {r["plant_id"]: r for r in reports.kpi(mart).collect()}
     assert k["A"]["progress_pct_to_2030"] == pytest.approx((800 - 600) / 150 * 100)
