@@ -180,6 +180,34 @@ def append_rows(df: DataFrame, path: str) -> int:
     return int(obs.get.get("n", 0))
 
 
+def data_file_count(spark: SparkSession, path: str) -> int | None:
+    """Number of data files directly under a (non-partitioned) table, or None if unknown."""
+    try:
+        sc = spark.sparkContext
+        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
+        return sum(1 for st in fs.listStatus(hpath)
+                   if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def compact(spark: SparkSession, path: str, files: int = 1, min_files: int = 64) -> bool:
+    """Fold an append-only table's many small files into ``files`` files once it holds at
+    least ``min_files``.  The rows are staged next to the table first, so a failure never
+    loses rows (re-running finishes the job).  The overwrite clears the folder before
+    writing, so a concurrent reader could briefly see it empty: run it when nothing reads
+    the table (the pipeline does so at the end of a transform)."""
+    n = data_file_count(spark, path)
+    if n is None or n < min_files:
+        return False
+    staging = f"{path}_staging/{uuid.uuid4().hex[:12]}"
+    spark.read.parquet(path).coalesce(files).write.mode("overwrite").parquet(staging)
+    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    remove_path(spark, staging)
+    return True
+
+
 def log_run(spark: SparkSession, path: str, run_at: dt.datetime, dag_id: str, source: str,
             rows_loaded: int, status: str, message: str | None = None) -> None:
     """Append one run record to the audit log (written after the data it describes, so a

@@ -216,6 +216,9 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
             res.export_failures.append(f"{name}: {type(e).__name__}")
     for name in ("int_daily_plant_readings", "source_freshness"):
         sinks.remove_path(spark, wh.path(name) + "_staging")
+    # append-only tables: fold small files together once they pile up
+    for name in ("pipeline_log", "raw_openaq_readings"):
+        sinks.compact(spark, wh.path(name))
     status = "success" if not res.export_failures else "failed"
     sinks.log_run(spark, wh.log, run_ts, *C.LOG_EXPORT, len(res.exported), status,
                   "; ".join(res.exported + res.export_failures))

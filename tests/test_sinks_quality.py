@@ -148,3 +148,15 @@ def test_replacement_fallback_without_listing(spark, tmp_table, monkeypatch):
     got = sorted((r["reading_date"], r["plant_id"], r["value"]) for r in _table(spark, path).collect())
     assert got == [(d1, "A", 1.0), (d1, "B", 1.0), (d2, "A", 1.0), (d2, "B", 7.0),
                    (dt.date(2024, 1, 5), "B", 7.0)]
+
+
+def test_compaction_of_append_only_table(spark, tmp_table):
+    log = tmp_table("log")
+    for i in range(6):
+        sinks.log_run(spark, log, TS, "dag", f"src{i}", i, "success")
+    assert sinks.data_file_count(spark, log) >= 6
+    assert not sinks.compact(spark, log)                  # below the threshold: untouched
+    before = sorted(tuple(r) for r in readers.read_pipeline_log(spark, log).collect())
+    assert sinks.compact(spark, log, min_files=2)
+    assert sinks.data_file_count(spark, log) == 1
+    assert sorted(tuple(r) for r in readers.read_pipeline_log(spark, log).collect()) == before
