@@ -194,16 +194,19 @@ def data_file_count(spark: SparkSession, path: str) -> int | None:
 
 def compact(spark: SparkSession, path: str, files: int = 1, min_files: int = 64) -> bool:
     """Fold an append-only table's many small files into ``files`` files once it holds at
-    least ``min_files``.  The rows are staged next to the table first, so a failure never
-    loses rows (re-running finishes the job).  The overwrite clears the folder before
-    writing, so a concurrent reader could briefly see it empty: run it when nothing reads
-    the table (the pipeline does so at the end of a transform)."""
+    least ``min_files``.  The rows are staged next to the table first; if the swap fails, the
+    staged copy is kept (its path is in the error) and holds every row.  The overwrite clears
+    the folder before writing, so a concurrent reader could briefly see it empty: run it when
+    nothing reads the table (the pipeline does so at the end of a transform)."""
     n = data_file_count(spark, path)
     if n is None or n < min_files:
         return False
     staging = f"{path}_staging/{uuid.uuid4().hex[:12]}"
     spark.read.parquet(path).coalesce(files).write.mode("overwrite").parquet(staging)
-    spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    try:
+        spark.read.parquet(staging).write.mode("overwrite").parquet(path)
+    except Exception as e:
+        raise RuntimeError(f"compaction of {path} failed; all rows are in {staging}") from e
     remove_path(spark, staging)
     return True
 
