@@ -46,3 +46,31 @@ def test_replace_plant_days_model(spark, tmp_path_factory, base, batch):
     got = sorted((r["reading_date"], r["plant_id"], r["sensor"], r["value"])
                  for r in readers.read_sensor_readings(spark, path).collect())
     assert got == want
+
+
+_intensities = st.lists(st.tuples(st.integers(0, 150_000).map(lambda c: c / 100),
+                                  st.integers(1990, 2049)), min_size=1, max_size=200)
+
+
+@settings(max_examples=4, deadline=None)
+@given(_intensities)
+def test_net_zero_matches_decimal_arithmetic(spark, rows):
+    """Progress and annual reduction equal exact-decimal arithmetic, rounded half up."""
+    from decimal import Decimal as D
+
+    from cinderframe.operators import marts
+    df = spark.createDataFrame([(_dt.date(y, 6, 1), f"P{i}", x, None) for i, (x, y) in enumerate(rows)],
+                               "reading_date date, plant_id string, scope1_kg_per_t double, "
+                               "updated_at timestamp")
+    got = {r["plant_id"]: r for r in marts.net_zero_progress(df).collect()}
+
+    def q(v, n):
+        return float(v.quantize(D(1).scaleb(-n), rounding=ROUND_HALF_UP))
+
+    for i, (x, y) in enumerate(rows):
+        cur = D(repr(x))
+        r = got[f"P{i}"]
+        assert r["progress_pct_to_2030"] == q(max(D(0), (800 - cur) / D(150) * 100), 1)
+        assert r["progress_pct_to_2050"] == q(max(D(0), (800 - cur) / D(800) * 100), 1)
+        assert r["required_annual_reduction"] == q(cur / D(2050 - y), 2)
+        assert r["gap_vs_2030_target"] == float(cur - 650)
