@@ -2,8 +2,8 @@
 
 Tables are Parquet with an explicit schema, so scans never infer types and filters and
 column selections reach the files (``PushedFilters`` / ``ReadSchema``).  The sensor table
-is laid out by ``reading_date``/``plant_id`` directories, so date and plant predicates
-prune whole directories.
+is laid out in ``reading_date`` directories with files sorted by plant and sensor, so date
+predicates prune whole directories and plant predicates skip row groups.
 """
 
 from __future__ import annotations
