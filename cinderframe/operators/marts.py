@@ -50,8 +50,9 @@ def co2_intensity_joined(scope1: DataFrame, scope2: DataFrame, scope3: DataFrame
                          run_ts: dt.datetime | None = None) -> DataFrame:
     """The same mart as two LEFT equi-joins on (reading_date, plant_id).
 
-    Used by the pipeline after the scope tables are materialized: they hold one row per
-    plant-day, so the joins are sized by plant-days, not by readings.
+    For scope tables produced independently (e.g. a metered Scope 2): they hold one row per
+    plant-day, so the joins are sized by plant-days, not by readings.  For the scopes built
+    here it gives the same rows as ``co2_intensity`` (tested), which needs no join.
     """
     rows = (scope1
             .join(scope2.select(*KEYS, "scope2_intensity_kg_per_t"), KEYS, "left")
