@@ -97,7 +97,10 @@ def parse_air_quality(records: DataFrame, run_ts: dt.datetime | None = None) ->
     object as its JSON); only the small ``date`` object is parsed again for ``utc``.
     """
     fields = ["date", "location", "country", "parameter", "value", "unit"]
-    raw = records.select(F.json_tuple("body", *fields).alias(*[f"_{f}" for f in fields]))
+    # A ``_delivered_at`` column (a stream's file time) becomes the load time when present.
+    carried = ["_delivered_at"] if "_delivered_at" in records.columns else []
+    raw = records.select(F.json_tuple("body", *fields).alias(*[f"_{f}" for f in fields]), *carried)
+    loaded_at = F.col("_delivered_at") if carried else ts_lit(run_ts)
     date_text = F.coalesce(F.get_json_object("_date", "$.utc"), F.col("_date"))
     day = F.try_to_date(F.substring(date_text, 1, 10), "yyyy-M-d")
     raw_value = F.col("_value")
@@ -110,7 +113,7 @@ def parse_air_quality(records: DataFrame, run_ts: dt.datetime | None = None) ->
         F.coalesce("_parameter", F.lit(C.OPENAQ_DEFAULT_PARAMETER)).alias("parameter"),
         value.alias("value"),
         F.coalesce("_unit", F.lit(C.OPENAQ_DEFAULT_UNIT)).alias("unit"),
-        ts_lit(run_ts).alias("ingested_at"),
+        loaded_at.alias("ingested_at"),
     )
     return out.where(F.col("measurement_date").isNotNull() & F.col("value").isNotNull())
 

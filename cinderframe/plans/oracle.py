@@ -490,9 +490,10 @@ ORACLE: dict[str, str] = {
     "export_benchmark_gap": _with(["bgap"], "select * from bgap"),
 }
 ORACLE["stream_ingest_sensor"] = ORACLE["load_replace_day"]
+ORACLE["stream_ingest_air_quality"] = ORACLE["ingest_openaq"]
 
 # Calendar dates are emitted as midnight timestamps, as the Spark queries do (``as_compared``).
-_DATE_COLUMNS = {"ingest_openaq": ["measurement_date"]}
+_DATE_COLUMNS = {"ingest_openaq": ["measurement_date"], "stream_ingest_air_quality": ["measurement_date"]}
 _NO_DATES = {"audit_summary", "ingest_owid", "stg_owid", "stg_iea", "status_distribution", "dq_not_null",
              "dq_results", "dq_summary", "dq_freshness", "rpt_pipeline_log"}
 for _name, _sql in list(ORACLE.items()):

@@ -19,7 +19,7 @@ from ..config import DEFAULT
 from ..operators import ingest, marts, quality, reports, scopes, sinks, staging
 from ..session import scratch_path
 from ..sources import fixtures, readers
-from ..streaming import sensor_stream
+from ..streaming import air_quality_stream, sensor_stream
 
 AS_OF = fixtures.AS_OF
 RUN_TS = fixtures.RUN_TS
@@ -128,6 +128,16 @@ def q_ingest_openaq(spark, d):
     return readers.read_openaq_readings(spark, path).drop("ingested_at")
 
 
+def q_stream_ingest_air_quality(spark, d):
+    """Air-quality records landed as files, appended by the exactly-once streaming sink."""
+    landing = scratch_path(spark, "landing_air_quality")
+    table = scratch_path(spark, "raw_openaq_stream")
+    ckpt = scratch_path(spark, "ckpt_air_quality_stream")
+    fixtures.air_quality_bodies(spark, d).select("body").write.text(landing)
+    air_quality_stream.run_available(spark, landing, table, ckpt)
+    return readers.read_openaq_readings(spark, table).drop("ingested_at")
+
+
 def q_audit_summary(spark, d):
     log = fixtures.pipeline_log(spark, d)
     return log.groupBy("dag_id", "source", "status").agg(
@@ -309,6 +319,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_ingest_sensor": q_stream_ingest_sensor,
     "ingest_owid": q_ingest_owid,
     "ingest_openaq": q_ingest_openaq,
+    "stream_ingest_air_quality": q_stream_ingest_air_quality,
     "audit_summary": q_audit_summary,
     "stg_sensor": q_stg_sensor,
     "stg_owid": q_stg_owid,

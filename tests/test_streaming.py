@@ -73,3 +73,29 @@ def test_incremental_transform_equals_full(spark, tmp_table):
     last = [r for r in full if r["plant_id"] == "A" and r["reading_date"] == days[-1]][0]
     assert last["scope1_kg_per_t"] == 900.0 and last["reading_count"] == 1
     assert spark.read.parquet(wh.path("mart_co2_intensity")).where(F.col("plant_id") == "B").count() == 45
+
+
+def test_air_quality_stream_appends_exactly_once(spark, tmp_table):
+    import json
+    import os
+
+    from cinderframe.streaming import air_quality_stream
+    landing, table, ckpt = tmp_table("aq_landing"), tmp_table("aq_table"), tmp_table("aq_ckpt")
+    os.makedirs(landing)
+
+    def land(name, recs):
+        with open(os.path.join(landing, name), "w") as f:
+            f.write("\n".join(json.dumps(r) for r in recs) + "\n")
+
+    land("a.json", [{"date": "2024-01-05", "parameter": "no2", "value": 1.5},
+                    {"date": "bad", "parameter": "no2", "value": 2.0}])
+    air_quality_stream.run_available(spark, landing, table, ckpt)
+    assert readers.read_openaq_readings(spark, table).count() == 1
+    air_quality_stream.run_available(spark, landing, table, ckpt)   # nothing new: no append
+    assert readers.read_openaq_readings(spark, table).count() == 1
+    land("b.json", [{"date": {"utc": "2024-01-06T00:00:00Z"}, "parameter": "so2"}])
+    air_quality_stream.run_available(spark, landing, table, ckpt)
+    rows = sorted((r["measurement_date"], r["parameter"], r["value"])
+                  for r in readers.read_openaq_readings(spark, table).collect())
+    assert rows == [(dt.date(2024, 1, 5), "no2", 1.5), (dt.date(2024, 1, 6), "so2", 0.0)]
+    assert all(r["ingested_at"] is not None for r in readers.read_openaq_readings(spark, table).collect())
