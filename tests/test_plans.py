@@ -11,7 +11,7 @@ from cinderframe.plans.queries import QUERIES, RUN_TS
 from cinderframe.sources import fixtures, readers
 
 SF = "/root/testdata/sf0.001"
-WRITING = {"load_replace_day", "stream_ingest_sensor", "ingest_owid", "ingest_openaq",
+WRITING = {"load_replace_day", "stream_ingest_sensor", "stream_ingest_air_quality", "ingest_owid", "ingest_openaq",
            "export_co2_intensity", "export_net_zero", "export_benchmark_gap"}
 
 
