@@ -30,9 +30,6 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        # One machine, local disk: list partition directories on the driver instead of
-        # through a Spark job (clusters keep the default: parallel listing on object stores).
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "100000")
     )
     if checkpoint_dir:
         builder = builder.config(_CHECKPOINT_KEY, checkpoint_dir)
@@ -47,8 +44,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster this setting names shared storage and is read, never overridden.  Only
-    when it is unset (local tests) is a fresh folder created and registered.
+    On a cluster this setting names shared storage and is read, never overridden.  Only in
+    a local session without it is a fresh folder created and registered; anywhere else its
+    absence is an error, because executors could not read a folder of the driver.
     """
     try:
         sc = spark.sparkContext
@@ -58,9 +56,10 @@ def shared_dir(spark: SparkSession) -> str:
     if not path and sc is not None:
         path = sc.getConf().get(_CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not path:
+        if sc is None or not sc.master.split("[")[0] == "local":
+            raise RuntimeError(f"{_CHECKPOINT_KEY} must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="cinderframe-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(path)
+        sc.setCheckpointDir(path)
     return path
 
 
