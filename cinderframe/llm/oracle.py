@@ -29,5 +29,170 @@ least as (select node, min(seen) as component_id from reach group by node)
 select s.doc_id, cast(len(s.s) as bigint) as n_shingles, l.component_id,
        s.doc_id = l.component_id as kept
 from sets s join least l on l.node = s.doc_id
+""",
+    "op1_embedding_near_dedup": r"""
+with recursive v as (
+  select vec_id, cast(embedding as double[]) as e from embeddings
+  where embedding is not null and len(embedding) > 0
+    and len(list_filter(embedding, lambda x: x is null or isnan(x) or isinf(x))) = 0
+    and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+u as (select vec_id, e, sqrt(list_dot_product(e, e)) as n from v),
+links as (
+  select a.vec_id as src, b.vec_id as dst
+  from u a join u b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+  where list_dot_product(a.e, b.e) / (a.n * b.n) >= 0.95),
+reach(node, seen) as (
+  select vec_id, vec_id from embeddings
+  union
+  select r.node, l.dst from reach r join links l on l.src = r.seen),
+least as (select node, min(seen) as component_id from reach group by node),
+degree as (select src, count(*) as n from links group by src)
+select e.vec_id, coalesce(d.n, 0) as n_links, l.component_id, e.vec_id = l.component_id as kept
+from embeddings e join least l on l.node = e.vec_id left join degree d on d.src = e.vec_id
+""",
+    "op2_url_filter": r"""
+with pg as (
+  select page_id, url,
+         regexp_replace(lower(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '\.+$', '') as host,
+         regexp_replace(regexp_extract(coalesce(url, ''), '^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), '/+$', '') as path,
+         date '2023-01-01' + cast(page_id * 7919 % 730 as integer) as fetched_at
+  from pages),
+names as (select distinct host, string_split(host, '.') as labels, string_split(path, '/')[2] as section
+          from pg where host <> ''),
+entries as (
+  select distinct list_name, entry, part from (
+    select 'hosts' as list_name, host as entry, 2 as part from names
+    union all select 'domains', array_to_string(labels[-2:], '.'), 3 from names
+    union all select 'paths', host || '/' || section, 4 from names) where entry is not null),
+coded as (select *, cast('0x' || md5(entry)[1:6] as bigint) as code from entries),
+history as (
+  select list_name, lower(entry) as entry, date '2023-01-01' + cast(code % 500 as integer) as first_day
+  from coded where code % part = 0),
+valid as (
+  select list_name, entry, first_day as valid_from, first_day + 200 as valid_to from history
+  union all select list_name, entry, first_day + 300, date '9999-12-31' from history),
+keys as (
+  select distinct page_id, unnest(list_concat(
+    case when host = '' then [] when len(string_split(host, '.')) < 2 then [host]
+         else list_transform(range(1, len(string_split(host, '.'))),
+                             lambda i: array_to_string(string_split(host, '.')[i:], '.')) end,
+    list_transform(
+      range(1, least(len(list_filter(string_split(path, '/'), lambda p: p <> '')), 3) + 1),
+      lambda i: host || '/' || array_to_string(list_filter(string_split(path, '/'), lambda p: p <> '')[1:i], '/'))
+  )) as entry from pg where host <> ''),
+found as (
+  select p.page_id, count(*) as n, array_to_string(list_sort(list(distinct v.list_name)), ',') as lists,
+         first(v.entry order by length(v.entry) desc, v.list_name, v.entry, v.valid_from) as entry,
+         first(v.valid_from order by length(v.entry) desc, v.list_name, v.entry, v.valid_from) as since
+  from pg p join keys k using (page_id) join valid v on v.entry = k.entry
+   and v.valid_from <= p.fetched_at and p.fetched_at < v.valid_to
+  group by p.page_id)
+select p.page_id, p.url, p.host, strftime(p.fetched_at, '%Y-%m-%d') as fetched_at, f.n is not null as listed,
+       coalesce(f.n, 0) as n_entries, coalesce(f.lists, '') as lists, f.entry,
+       strftime(f.since, '%Y-%m-%d') as listed_since
+from pg p left join found f using (page_id)
+""",
+    "op4_chat_format": r"""
+with turns as (
+  select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '</s>[INST] ok [/INST]'
+  union all select -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+escaped as (
+  select *, regexp_matches(text, '[<\[]\\*(/?s>|/?INST\])') as conflict,
+         regexp_replace(text, '([<\[])(\\*)(/?s>|/?INST\])', '\1\2\\\3', 'g') as body from turns)
+select conv_id, count(*) as n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn, role, text)) as turns_sha256,
+       cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+       sha256(coalesce(string_agg(text, '' order by turn, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+       cast(sum(length('<s>[INST] ') + length(role) + length(' [/INST]') + 1 + length(body)
+                + length('</s>') + 1) as bigint) as formatted_chars,
+       cast(count(*) filter (conflict) as bigint) as escaped_turns
+from escaped group by conv_id
+""",
+    "op5_warc_derivatives": r"""
+with src as (
+  select page_id, coalesce(url, '') as target_uri, coalesce(html, '') as html from pages),
+resp as (
+  select *, 'HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)
+            || 'Content-Length: ' || strlen(html) as http,
+         md5('response' || chr(10) || coalesce(cast(page_id as varchar), '') || chr(10) || target_uri) as h
+  from src),
+ids as (
+  select *, '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-5' || h[14:16] || '-8' || h[18:20] || '-' || h[21:32] || '>' as rid,
+         http || chr(13) || chr(10) || chr(13) || chr(10) || html as block0 from resp),
+step1 as (
+  select *, regexp_replace(regexp_replace(regexp_replace(html,
+      '(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<noscript\b.*?</noscript\s*>|<template\b.*?</template\s*>|<head\b.*?</head\s*>', '', 'g'),
+      '(?i)</?(?:p|div|article|section|main|header|footer|nav|aside|ul|ol|li|table|tr|h[1-6]|blockquote|pre|form|br|hr)\b[^>]*>', chr(10), 'g'),
+      '<[a-zA-Z/!?][^>]*>', '', 'g') as t,
+    regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["\x27]([^"\x27]*)["\x27]', 1) as l,
+    trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>([^<]*)', 1), '\s+', ' ', 'g'), ' ') as title,
+    md5('conversion' || chr(10) || rid) as hc, md5('metadata' || chr(10) || rid) as hm from ids),
+step2 as (
+  select *, regexp_replace(regexp_replace(regexp_replace(
+      replace(replace(replace(replace(replace(replace(replace(replace(t, '&nbsp;', ' '), '&quot;', '"'),
+        '&apos;', chr(39)), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'),
+      '[ \t\r\f\x0B]+', ' ', 'g'), ' ?\n[ \n]*', chr(10), 'g'), '^[ \n]+|[ \n]+$', '', 'g') as text,
+    '<urn:uuid:' || hc[1:8] || '-' || hc[9:12] || '-5' || hc[14:16] || '-8' || hc[18:20] || '-' || hc[21:32] || '>' as cid,
+    '<urn:uuid:' || hm[1:8] || '-' || hm[9:12] || '-5' || hm[14:16] || '-8' || hm[18:20] || '-' || hm[21:32] || '>' as mid
+  from step1),
+both_kinds as (
+  select page_id, cid as record_id, 'conversion' as warc_type, rid as refers_to, target_uri,
+         'text/plain; charset=utf-8' as content_type, text as block from step2
+  union all
+  select page_id, mid, 'metadata', rid, target_uri, 'application/warc-fields',
+    'source-record-id: ' || rid || chr(13) || chr(10)
+    || 'source-content-length: ' || strlen(block0) || chr(13) || chr(10)
+    || 'source-block-digest: sha256:' || sha256(block0) || chr(13) || chr(10)
+    || 'source-payload-digest: sha256:' || sha256(html) || chr(13) || chr(10)
+    || array_to_string(list_transform(string_split(http, chr(13) || chr(10)),
+                                      lambda x: 'http-header: ' || x || chr(13) || chr(10)), '')
+    || 'title: ' || title || chr(13) || chr(10)
+    || coalesce(array_to_string(list_transform(list_filter(l, lambda x, i: list_position(l, x) = i),
+                                      lambda x: 'outlink: ' || x || chr(13) || chr(10)), ''), '')
+    || 'conversion-record-id: ' || cid || chr(13) || chr(10)
+    || 'conversion-block-digest: sha256:' || sha256(text) || chr(13) || chr(10)
+  from step2)
+select page_id, record_id, warc_type, refers_to, target_uri, '2024-01-01T00:00:00Z' as warc_date, content_type,
+       'sha256:' || sha256(block) as block_digest, cast(null as varchar) as payload_digest,
+       cast(strlen(block) as bigint) as content_length, block
+from both_kinds
+""",
+    "op10_decontamination": r"""
+with item_words as (
+  select item_id, list_filter(list_transform(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'),
+           lambda x: regexp_replace(x, '[^\p{L}\p{N}]+', '', 'g')), lambda x: x <> '') as w from benchmark),
+doc_words as (
+  select doc_id, list_filter(list_transform(string_split_regex(lower(coalesce(text, '')), '[\x20\x09-\x0D]+'),
+           lambda x: regexp_replace(x, '[^\p{L}\p{N}]+', '', 'g')), lambda x: x <> '') as w from documents),
+items as (
+  select item_id, len(w) as n, greatest(len(w) - 4, 1) as m,
+         case when len(w) < 5 then [array_to_string(w, ' ')]
+              else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end as s
+  from item_words where len(w) > 0),
+item_shingles as (
+  select item_id, shingle, count(*) as c from (select item_id, unnest(s) as shingle from items) group by all),
+docs as (
+  select doc_id, len(w) as words,
+         list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) as s
+  from doc_words where len(w) >= 5),
+doc_shingles as (
+  select doc_id, words, unnest(s) as shingle, unnest(range(0, len(s))) as pos, len(s) as total from docs),
+hits as (
+  select d.doc_id, i.item_id, i.n, i.m, d.words, d.pos, d.shingle, x.c,
+         least(i.m, d.total) as size, d.total - least(i.m, d.total) as last
+  from doc_shingles d join item_shingles x on x.shingle = d.shingle join items i on i.item_id = x.item_id),
+starts as (
+  select doc_id, item_id, n, m, size, shingle, c,
+         unnest(range(greatest(0, pos - size + 1), least(pos, last) + 1)) as start from hits),
+common as (
+  select doc_id, item_id, n, m, size, start, sum(shared) as shared from (
+    select doc_id, item_id, n, m, size, start, shingle, least(count(*), any_value(c)) as shared
+    from starts group by all) group by all),
+judged as (
+  select doc_id, item_id, n, start, cast(shared as double) / cast(m + size - shared as double) as similarity from common)
+select doc_id, item_id, max(similarity) as similarity,
+       arg_max(start, similarity * 1e9 - start) as start_word, arg_max(n, similarity) as n_words
+from judged where 100 * similarity >= 80 group by doc_id, item_id
 """,
 }

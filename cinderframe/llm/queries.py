@@ -3,18 +3,79 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import minhash
+from . import chat, decontam, embed, html, langid, minhash, packing, suffix, urlfilter, warc
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def word_tokenizer() -> str:
+    """Path of the public word-level vocabulary; a parameter of the operator."""
+    import public_tokenizers
+    return str(public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed.near_vectors(table(spark, sf_dir, "embeddings"), least=0.95)
+
+
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = urlfilter.evaluate(urlfilter.page_captures(pages), urlfilter.page_history(pages))
+    day = {c: F.date_format(c, "yyyy-MM-dd") for c in ("fetched_at", "listed_since")}
+    return found.withColumns(day)
+
+
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), word_tokenizer(), end_id=2)
+
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(2).select(
+        F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"),
+        F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
+        F.lit(CONTROL_TEXT).alias("text"))
+    return chat.digests(chat.format_conversations(rows.unionByName(extra)))
+
+
+def op5_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.repeat_report(table(spark, sf_dir, "documents"), length=400)
+
+
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_text(table(spark, sf_dir, "pages"))
+
+
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return minhash.near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"),
+                                 table(spark, sf_dir, "benchmark"), percent=80)
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {
-    "op8_minhash_near_dedup": op8_minhash_near_dedup,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_embedding_near_dedup, op2_url_filter, op3_packing, op4_chat_format,
+    op5_warc_derivatives, op6_suffix_dedup, op7_html_extraction, op8_minhash_near_dedup,
+    op9_language_id, op10_decontamination, pipeline)}
