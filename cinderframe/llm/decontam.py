@@ -222,6 +222,6 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFr
 def decontaminate(docs: DataFrame, items: DataFrame, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
     found = written(_matches(docs, items, percent).select(
-        F.col("doc_id").alias("d"), F.col("mark").alias("m")).distinct(), "found")
-    return docs.join(found, F.col("doc_id").cast("long").eqNullSafe(F.col("d"))
-                     & (_mark(docs) == F.col("m")), "left_anti")
+        F.col("doc_id").alias("_llm_doc"), F.col("mark").alias("_llm_mark")).distinct(), "found")
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["_llm_doc"])
+                     & (_mark(docs) == found["_llm_mark"]), "left_anti")

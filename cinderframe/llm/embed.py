@@ -1,16 +1,16 @@
-"""Embedding near-duplicates with spherical-cap filters from a structured random product code.
+"""Embedding near-duplicates with spherical-cap filters from structured random product codes.
 
 A filter is a direction; a vector passes it if their cosine is at least ``alpha``.  Directions
 form a product code: the (randomly rotated) space is cut into ``BLOCKS`` blocks with
-``CODEWORDS`` random unit vectors each, and a direction takes one from every block.  So there are
-CODEWORDS ** BLOCKS directions, but a vector's filters are found by list decoding: sums of the
-first and of the second half of the blocks are sorted, and only combinations that reach
-``alpha`` are built.
+``CODEWORDS`` random unit vectors each, and a direction takes one from every block.  So a code has
+CODEWORDS ** BLOCKS directions, but a vector's filters are found by list decoding: sums over the
+first blocks that can still reach ``alpha`` are completed by the codewords of the last.  There are
+``CODES`` codes with rotations of their own.
 
 Near vectors share filters, so a join on filters gives the candidates, and the cosine in double
-precision decides.  ``alpha`` is set from the dimension so that a vector passes about
-``FILTERS`` directions; a pair at cosine 0.95 then misses all common filters with a chance below
-one in a thousand (the tests measure recall against brute force).
+precision decides.  ``alpha`` is set from the dimension so that a vector passes ``FILTERS``
+directions of a code on average; a vector that reaches it nowhere, or barely, passes its best
+direction and those within ``MARGIN`` of it.  The tests measure recall against brute force.
 """
 
 from __future__ import annotations
@@ -26,17 +26,19 @@ from pyspark.sql import functions as F
 
 from .common import connected_components, written
 
-BLOCKS = 4
-CODEWORDS = 32
-FILTERS = 48       # directions that a vector passes, on average
+CODES = 8
+BLOCKS = 3
+CODEWORDS = 128
+FILTERS = 2        # directions of a code that a vector passes, on average
+MARGIN = 0.015     # of the sum of inner products
 SEED = 20240229
 VECTOR_ROWS = 2048
 
 
-@lru_cache(maxsize=8)
-def _code(dim: int) -> tuple[np.ndarray, list[np.ndarray], float]:
+@lru_cache(maxsize=64)
+def _code(dim: int, number: int) -> tuple[np.ndarray, list[np.ndarray], float]:
     """(rotation, codewords of each block, alpha * sqrt(blocks)) for vectors of ``dim``."""
-    rng = np.random.default_rng([SEED, dim])
+    rng = np.random.default_rng([SEED, dim, number])
     rotation = np.linalg.qr(rng.standard_normal((dim, dim)))[0]
     blocks = []
     for part in np.array_split(np.arange(dim), min(BLOCKS, dim)):
@@ -44,40 +46,33 @@ def _code(dim: int) -> tuple[np.ndarray, list[np.ndarray], float]:
         blocks.append(c / np.linalg.norm(c, axis=1, keepdims=True))
     probe = rng.standard_normal((256, dim))
     probe /= np.linalg.norm(probe, axis=1, keepdims=True)
-    total = CODEWORDS ** len(blocks)
-    # The sum that FILTERS of the directions reach, on average over random vectors.
-    low, high = -2.0, 2.0
-    for _ in range(30):
+    low, high = 0.0, 2.0  # the sum that FILTERS directions reach, on average over random vectors
+    for _ in range(12):
         mid = (low + high) / 2
-        passed = sum(len(f) for f in _decode(probe, blocks, mid)) / len(probe)
-        low, high = (mid, high) if passed > min(FILTERS, total) else (low, mid)
-    return rotation, blocks, low
+        passed = len(_passed(probe, blocks, mid, 0.0)[0]) / len(probe)
+        low, high = (mid, high) if passed > FILTERS else (low, mid)
+    return rotation, blocks, high
 
 
-def _half(products: list[np.ndarray]) -> np.ndarray:
-    """Sums of one inner product per block, for every combination: vectors x combinations."""
-    out = products[0]
-    for p in products[1:]:
-        out = (out[:, :, None] + p[:, None, :]).reshape(len(out), -1)
-    return out
-
-
-def _decode(x: np.ndarray, blocks: list[np.ndarray], least: float) -> Iterator[np.ndarray]:
-    """For each row of ``x``, the numbers of the directions whose sum reaches ``least``."""
+def _passed(x: np.ndarray, blocks: list[np.ndarray], least: float, margin: float = MARGIN):
+    """(row of x, number of direction) for every direction whose sum reaches ``least``, or comes
+    within ``margin`` of the row's best."""
     cuts = np.cumsum([0, *(b.shape[1] for b in blocks)])
     products = [x[:, a:b] @ c.T for a, b, c in zip(cuts, cuts[1:], blocks)]
-    half = (len(products) + 1) // 2
-    left = _half(products[:half])
-    right = _half(products[half:]) if products[half:] else np.zeros((len(x), 1))
-    for a, b in zip(left, right):
-        order = np.argsort(b)
-        sorted_b = b[order]
-        use = np.flatnonzero(a + sorted_b[-1] >= least)
-        first = np.searchsorted(sorted_b, least - a[use], "left")
-        count = len(b) - first
-        base = np.repeat(use * len(b), count)
-        step = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        yield base + order[np.repeat(first, count) + step]
+    best = sum(p.max(1) for p in products)
+    enough = np.minimum(least, best - margin) if margin else np.full(len(x), least)
+    head, last = np.zeros((len(x), 1)), products[-1]
+    for p in products[:-1]:
+        head = (head[:, :, None] + p[:, None, :]).reshape(len(x), -1)
+    row, first = np.nonzero(head >= (enough - last.max(1))[:, None])
+    pick, second = np.nonzero(head[row, first][:, None] + last[row] >= enough[row][:, None])
+    return row[pick], first[pick] * last.shape[1] + second
+
+
+def _decode(x: np.ndarray, dim: int, number: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row of x, filter) of all rows under one code."""
+    rotation, blocks, least = _code(dim, number)
+    return _passed(x @ rotation, blocks, least)
 
 
 def _valid(values: list | None) -> np.ndarray | None:
@@ -109,16 +104,16 @@ def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i, u in enumerate(units):
             by_dim.setdefault(len(u) // 8, []).append(i)
         for dim, rows in by_dim.items():
-            rotation, blocks, least = _code(dim)
-            for s in range(0, len(rows), 256):
-                some = rows[s: s + 256]
-                x = np.stack([np.frombuffer(units[i]) for i in some]) @ rotation
-                found = list(_decode(x, blocks, least))
-                node = np.repeat([nodes[i] for i in some], [len(f) for f in found])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(found).astype(np.int64)),
-                     pa.array(np.full(len(node), dim), pa.int64()), pa.array(node, pa.int64())],
-                    names=["filter", "dim", "node"])
+            for s in range(0, len(rows), 64):  # sums of 64 vectors stay in a core's cache
+                some = np.array(rows[s: s + 64])
+                x = np.stack([np.frombuffer(units[i]) for i in some])
+                for number in range(CODES):
+                    row, found = _decode(x, dim, number)
+                    code = np.full(len(row), dim * CODES + number)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found.astype(np.int64)), pa.array(code, pa.int64()),
+                         pa.array([nodes[i] for i in some[row]], pa.int64())],
+                        names=["filter", "code", "node"])
 
 
 def _near(least: float):
@@ -146,9 +141,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     classes = written(known.groupBy("unit").agg(F.min("vec_id").alias("node"),
                                                 F.count("*").alias("size")), "classes")
     posts = written(classes.select("node", "unit").mapInArrow(
-        _filters, "filter long, dim long, node long"), "posts", batch_rows=VECTOR_ROWS)
+        _filters, "filter long, code long, node long"), "posts", batch_rows=VECTOR_ROWS)
     pairs = (posts.withColumnRenamed("node", "src")
-             .join(posts.withColumnRenamed("node", "dst"), ["filter", "dim"])
+             .join(posts.withColumnRenamed("node", "dst"), ["filter", "code"])
              .where("src < dst").select("src", "dst").distinct())
     for end in ("src", "dst"):
         pairs = pairs.join(classes.select(F.col("node").alias(end),

@@ -369,8 +369,8 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _by_text(spans: DataFrame) -> DataFrame:
-    return (spans.groupBy(F.col("doc_id").alias("d"), F.col("mark").alias("m"))
-            .agg(F.collect_list(F.struct("lo", "hi")).alias("spans")))
+    return (spans.groupBy(F.col("doc_id").alias("_llm_doc"), F.col("mark").alias("_llm_mark"))
+            .agg(F.collect_list(F.struct("lo", "hi")).alias("_llm_spans")))
 
 
 def repeat_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -379,15 +379,15 @@ def repeat_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     Texts are judged as UTF-8 bytes (null: empty), each as given; repeated rows are copies of
     each other.  Texts under ``length`` bytes lose nothing.  Other columns are ignored."""
     spans, texts = repeated_spans(docs, length)
-    key = [F.col("doc_id").eqNullSafe(F.col("d")), F.col("mark") == F.col("m")]
+    key = [F.col("doc_id").eqNullSafe(F.col("_llm_doc")), F.col("mark") == F.col("_llm_mark")]
     cut = written(
         texts.dropDuplicates(["doc_id", "mark"]).join(_by_text(spans), key)
-        .select("doc_id", "mark", "text", "spans")
+        .select("doc_id", "mark", "text", "_llm_spans")
         .mapInArrow(_digest, "doc_id long, mark long, n_removed long, n_spans long, "
                     "kept_sha256 string"), "cut", batch_rows=TEXT_ROWS)
     plain = _marked(docs).select("doc_id", "mark", F.octet_length("text").cast("long").alias("n_bytes"),
                                  F.sha2("text", 256).alias("sha256"))
-    cut = cut.withColumnsRenamed({"doc_id": "d", "mark": "m"})
+    cut = cut.withColumnsRenamed({"doc_id": "_llm_doc", "mark": "_llm_mark"})
     return plain.join(cut, key, "left").select(
         "doc_id", "n_bytes", F.coalesce("n_removed", F.lit(0).cast("long")).alias("n_removed"),
         F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
@@ -401,8 +401,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     the new length.  Null texts stay null."""
     spans, _ = repeated_spans(docs, length)
     names = docs.columns
-    key = [F.col("doc_id").cast("long").eqNullSafe(F.col("d")),
-           F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("m")]
+    key = [F.col("doc_id").cast("long").eqNullSafe(F.col("_llm_doc")),
+           F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_llm_mark")]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -416,7 +416,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = docs.join(_by_text(written(spans, "spans")), key, "left").select(*names, "spans")
+    out = docs.join(_by_text(written(spans, "spans")), key, "left").select(*names, "_llm_spans")
     out = written(out.mapInArrow(cut, schema), "cut", batch_rows=TEXT_ROWS)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

@@ -37,13 +37,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Of documents linked at a similarity of 0.8 or more, the one with the smallest id stays.
 
     Of repeated rows of that id one stays; rows without id or without words stay."""
-    judged = minhash.near_duplicates(docs, percent=80)
-    gone = judged.where("not kept").select(F.col("doc_id").alias("d")).distinct()
-    left = docs.join(gone, F.col("doc_id") == F.col("d"), "left_anti")
-    again = (judged.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n"))
-             .where("n > 1").select("doc_id"))
-    repeated = left.join(again, "doc_id", "left_semi").select(docs.columns)
-    once = left.join(again, "doc_id", "left_anti").select(docs.columns)
+    judged = written(minhash.near_duplicates(docs, percent=80), "judged")
+    id_ = docs["doc_id"]
+    gone = judged.where("not kept").select(F.col("doc_id").alias("_llm_doc")).distinct()
+    left = docs.join(gone, id_ == F.col("_llm_doc"), "left_anti")
+    again = (judged.where("doc_id is not null").groupBy(F.col("doc_id").alias("_llm_doc"))
+             .agg(F.count("*").alias("n")).where("n > 1").select("_llm_doc"))
+    repeated = left.join(again, id_ == F.col("_llm_doc"), "left_semi")
+    once = left.join(again, id_ == F.col("_llm_doc"), "left_anti")
     return once.unionByName(repeated.dropDuplicates(["doc_id"]))
 
 

@@ -1,0 +1,145 @@
+"""Chat round trips, WARC derivatives and temporal URL lists: edges, and no Python in the plans."""
+
+import datetime as dt
+import gzip
+import hashlib
+import random
+
+from pyspark.sql import functions as F
+
+from cinderframe.llm import chat, urlfilter, warc
+from cinderframe.llm.queries import QUERIES
+
+CHAT = "conv_id long, turn long, role string, text string, rows string, source int"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_chat_round_trip(spark):
+    rng = random.Random(3)
+    bits = ["</s>", "<s>", "[INST]", "[/INST]", "\\", "<", "/s>", "<\\/s>", "[\\\\INST]", "\n", " ", "a",
+            "é", "</s>\n", "<s>[INST] user [/INST]\n", "🙂", "$1", "%41", "+"]
+    rows = [(c, t, rng.choice(["user", "assistant", "system", "a b\n%é", "", None]),
+             rng.choice([None, "".join(rng.choice(bits) for _ in range(rng.randrange(12)))]), "x", 1)
+            for c in range(80) for t in range(rng.randrange(1, 7))]
+    rows += [(None, 0, "user", "no id", "x", 1), (90, None, "user", "no turn", "x", 1),
+             (90, 0, "assistant", "", "x", 1), (91, 0, "user", "same", "x", 1), (91, 0, "user", "same", "x", 1),
+             (92, 0, "assistant", "long </s> text " * 20000, "x", 1)]
+    done = chat.format_conversations(spark.createDataFrame(rows, CHAT))
+    got = {r.conv_id: r for r in chat.digests(done).collect()}
+    full = {r.conv_id: r for r in done.collect()}
+    convs = {}
+    for c, t, role, text, _, _ in rows:
+        convs.setdefault(c, []).append(((t is not None, t or 0), role or "", text or ""))
+    assert set(got) == set(convs)
+    for c, turns in convs.items():
+        turns = [(r, x) for _, r, x in sorted(turns, key=lambda t: (t[0], t[1].encode(), t[2].encode()))]
+        assert [(t.role, t.text) for t in full[c].turns] == turns
+        assert got[c].turns_sha256 == hashlib.sha256("".join(f"{r}\n{x}\n" for r, x in turns).encode()).hexdigest()
+        loss = "".join(x for r, x in turns if r == "assistant")
+        assert (got[c].loss_chars, got[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+        assert got[c].formatted_chars == len(full[c].formatted) and got[c].n_turns == len(turns)
+    assert full[91].formatted == "<s>[INST] user [/INST]\nsame</s>\n" * 2 and got[91].escaped_turns == 0
+    assert got[92].escaped_turns == 1
+    assert chat.digests(chat.format_conversations(spark.createDataFrame([], CHAT))).count() == 0
+
+
+def test_escaping_is_reversible(spark):
+    texts = ["</s>", "<\\/s>", "<\\\\/s>", "[INST][/INST]", "<<s>>", "[[/INST]]", "plain", "", "\\</s>\\"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select(
+        "t", chat.escape(F.col("t")).alias("e"), chat.unescape(chat.escape(F.col("t"))).alias("u"))
+    for r in df.collect():
+        assert r.u == r.t and not any(x in r.e for x in ("<s>", "</s>", "[INST]", "[/INST]"))
+
+
+PAGES = "page_id long, url string, html string, host string, block string"
+
+
+def test_warc_derivatives(spark, tmp_path):
+    html = ("<html><head><title> A &amp;\n title</title></head><body><p>One<!-- x --> two</p>"
+            "<script>no</script><a href='/x'>l</a><a class=c href=\"/y\">m</a><a href='/x'>n</a>&lt;p&gt; é</body></html>")
+    rows = [(1, "http://a/1", html, "h", "b"), (2, None, None, "h", "b"), (3, "http://a/3", "", "h", "b"),
+            (1, "http://a/1", html, "h", "b"), (4, "u", "word " * 50000, "h", "b"), (None, "v", "<p>x", "h", "b")]
+    pages = spark.createDataFrame(rows, PAGES)
+    source = warc.responses(pages)
+    found = warc.derivatives(source)
+    out = found.collect()
+    assert len(out) == 2 * len(rows)
+    by = {(r.page_id, r.warc_type): r for r in out}
+    origin = {r.page_id: r for r in source.collect()}
+    conversion, metadata = by[1, "conversion"], by[1, "metadata"]
+    assert conversion.block == "One two\nlmn<p> é"
+    for r in out:
+        assert r.refers_to == origin[r.page_id].record_id and r.target_uri == origin[r.page_id].target_uri
+        assert r.block_digest == "sha256:" + hashlib.sha256(r.block.encode()).hexdigest()
+        assert r.content_length == len(r.block.encode())
+    fields = metadata.block.split("\r\n")
+    assert f"source-payload-digest: sha256:{hashlib.sha256(html.encode()).hexdigest()}" in fields
+    assert f"source-block-digest: {origin[1].block_digest}" in fields
+    assert "title: A &amp; title" in fields and "http-header: HTTP/1.1 200 OK" in fields
+    assert [f for f in fields if f.startswith("outlink")] == ["outlink: /x", "outlink: /y"]
+    assert f"conversion-record-id: {conversion.record_id}" in fields
+    assert by[4, "conversion"].block == ("word " * 50000).strip() and by[3, "conversion"].block == ""
+    assert warc.derivatives(warc.responses(pages.limit(0))).count() == 0
+
+    path = str(tmp_path / "warc")
+    warc.write_warc(found.where("page_id = 1").dropDuplicates(["record_id"]).coalesce(1), path)
+    data = b"".join(gzip.open(p).read() for p in sorted((tmp_path / "warc").glob("*.gz")))
+    records, at = [], 0
+    while at < len(data):
+        end = data.index(b"\r\n\r\n", at)
+        head = data[at:end].decode().split("\r\n")
+        assert head[0] == "WARC/1.1"
+        named = dict(h.split(": ", 1) for h in head[1:])
+        size = int(named["Content-Length"])
+        records.append((named["WARC-Type"], data[end + 4: end + 4 + size].decode()))
+        assert data[end + 4 + size: end + 8 + size] == b"\r\n\r\n"
+        at = end + 8 + size
+    assert sorted(records) == sorted([("conversion", conversion.block), ("metadata", metadata.block)])
+
+
+def test_lists_as_of_the_fetch(spark):
+    def day(n):
+        return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
+    history = [("ads", "x.com", day(10), True), ("ads", "x.com", day(20), False), ("ads", "x.com", day(400), True),
+               ("ads", "x.com", day(401), True), ("spam", "sub.x.com", day(15), True), ("p", "x.com/a/b", day(0), True),
+               ("p", "x.com/a/b", day(0), False), ("q", "X.com/a", day(5), True), (None, "y.org", day(1), True),
+               ("ads", None, day(1), True), ("ads", "z", None, True), ("ads", "localhost", day(1), True)]
+    captures = [("http://x.com/", 9), ("http://x.com/", 10), ("https://www.x.com:80/q?x", 19), ("http://x.com", 20),
+                ("http://x.com", 500), ("http://u@Sub.X.com./a/b/c/d", 16), ("http://x.com/a", 30),
+                ("http://x.com/ab", 30), ("//y.org", 3), ("http://y.org", 3), (None, 3), ("", 3), ("http://y.org", None),
+                ("ftp://localhost/a", 3), ("http://y.org", 3)]
+    df = spark.createDataFrame([(i, u, None if n is None else day(n), "k", 1) for i, (u, n) in enumerate(captures)],
+                               "page_id long, url string, fetched_at timestamp, entry string, month int")
+    lists = spark.createDataFrame(history, "list_name string, entry string, listed_at timestamp, active boolean")
+    got = {r.page_id: r for r in urlfilter.evaluate(df, lists).collect()}
+
+    state = {}
+    for name, entry, at, active in sorted((h for h in history if h[1] and h[2]), key=lambda h: (h[2], not h[3])):
+        state.setdefault((name or "", entry.lower()), []).append((at, active))
+    for i, (url, n) in enumerate(captures):
+        host = (url or "").split("//")[-1].split("/")[0].split("@")[-1].split(":")[0].lower().rstrip(".")
+        if "//" not in (url or "") or url.startswith("//"):
+            host = ""
+        parts = [p for p in (url or "").split("?")[0].split("//")[-1].split("/")[1:] if p]
+        labels = host.split(".")
+        keys = {".".join(labels[k:]) for k in range(max(len(labels) - 1, 1))} if host else set()
+        keys |= {host + "/" + "/".join(parts[:k]) for k in (1, 2, 3) if host and len(parts) >= k}
+        active = [(k, name) for (name, k), turns in state.items() if k in keys and n is not None
+                  and ([a for at, a in turns if at <= day(n)] or [False])[-1]]
+        assert got[i].n_entries == len(active), (url, n, active)
+        assert got[i].listed == bool(active)
+        assert got[i].lists == ",".join(sorted({name for _, name in active}))
+        if active:
+            assert got[i].entry == min(active, key=lambda a: (-len(a[0]), a[1]))[0]
+    assert got[4].listed_since == day(400)
+    assert urlfilter.evaluate(df.limit(0), lists).count() == 0
+    assert urlfilter.evaluate(df, lists.limit(0)).where("listed").count() == 0
+
+
+def test_native_queries_run_no_python(spark):
+    for name in ("op2_url_filter", "op4_chat_format", "op5_warc_derivatives"):
+        plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
+        assert not any(x in plan for x in ("Python", "Arrow", "Pandas", "CartesianProduct")), name
