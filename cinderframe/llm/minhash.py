@@ -9,6 +9,9 @@ Texts with the same set form one class; only class representatives go on.
 * Counting collisions with skips: two signatures that agree in T coordinates must meet in
   the rarest ``s - T + 1`` of the s postings that each has left.  Only this prefix is joined;
   the other postings are skipped and counted for the pairs that met.
+* A parity sketch bounds the sets' difference from below: every shingle flips one bit, so two
+  sketches differ in at most as many bits as the sets differ in shingles.  Pairs whose sketches
+  differ too much for the threshold aren't formed by the joins at all.
 * Pairs with T matches are confirmed on the full shingle sets.
 
 Within one posting list, members first meet only the smallest one (a hub), which settles
@@ -31,6 +34,7 @@ from .common import (WordHashes, byte_texts, connected_components, mixed, shingl
                      text_batches, written)
 
 COORDINATES = 64
+SKETCH_WORDS = 8  # 64-bit words of a parity sketch
 TEXT_ROWS = 512  # rows with whole texts or sets in one Arrow batch
 MISS = 1e-6  # accepted chance that a pair exactly at the threshold has too few matches
 
@@ -61,19 +65,27 @@ def _signature(shingles: np.ndarray) -> np.ndarray:
     return mixed(out + seeds[:COORDINATES])
 
 
+def _sketch(shingles: np.ndarray) -> np.ndarray:
+    """Parity of the shingles that hash to each of the sketch's bits."""
+    bits = (mixed(shingles + np.uint64(1)) >> np.uint64(32)) % np.uint64(64 * SKETCH_WORDS)
+    odd = np.bincount(bits.astype(np.int64), minlength=64 * SKETCH_WORDS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     words = WordHashes()
     for batch in text_batches(batches):
-        sizes, prints, signs = [], [], []
+        sizes, prints, signs, sketches = [], [], [], []
         for text in byte_texts(batch):
             s = shingle_set(text, words)
             sizes.append(len(s))
             prints.append(xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None)
             signs.append(_signature(s).view(np.int64) if len(s) else None)
+            sketches.append(_sketch(s) if len(s) else None)
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.binary()),
-             pa.array(signs, pa.list_(pa.int64()))],
-            names=["doc_id", "n_shingles", "class", "signature"])
+             pa.array(signs, pa.list_(pa.int64())), pa.array(sketches, pa.list_(pa.int64()))],
+            names=["doc_id", "n_shingles", "class", "signature", "sketch"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,12 +138,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     least = least_matches(percent)
     signed = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-        .mapInArrow(_sign, "doc_id long, n_shingles long, class binary, signature array<long>"),
+        .mapInArrow(_sign, "doc_id long, n_shingles long, class binary, signature array<long>, "
+                    "sketch array<long>"),
         "signed", batch_rows=TEXT_ROWS)
     known = signed.where("class is not null and doc_id is not null")
     classes = written(known.groupBy("class").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
-        F.first("signature").alias("signature")), "classes")
+        F.first("signature").alias("signature"), F.first("sketch").alias("sketch")), "classes")
 
     # One shuffle by value serves the count and, with it, the pruning of lonely postings.
     posts = (classes.select("node", "n", F.explode("signature").alias("value"))
@@ -146,17 +159,24 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
                 .alias("post"))
         .select("node", "n", "post.value"), "prefix")
     signs = written(classes.join(prefix.select("node").distinct(), "node", "left_semi")
-                    .select("node", "class", "signature"), "signs")
+                    .select("node", "class", "signature", "sketch"), "signs")
     sets = written(
         docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
         .join(signs.select("node", "class"), "node")
         .mapInArrow(_sets, "node long, shingles binary").dropDuplicates(), "sets", batch_rows=TEXT_ROWS)
 
-    alike = F.least("n", "m") * 100 >= F.greatest("n", "m") * percent
-    hubs = prefix.groupBy("value").agg(F.min(F.struct("node", "n")).alias("hub"))
-    by_hub = (prefix.join(hubs, "value").withColumn("m", F.col("hub.n")).where(alike)
-              .select(F.col("hub.node").alias("src"), F.col("node").alias("dst"))
-              .where("src <> dst"))
+    # Sets of n and m shingles that are similar enough differ in at most this share of n + m.
+    apart = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other")[i]))
+                 for i in range(SKETCH_WORDS)), F.lit(0))
+    alike = ((F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
+             & (apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)))
+    prefix = prefix.join(signs.select("node", "sketch"), "node")
+    hubs = prefix.groupBy("value").agg(F.min(F.struct("node", "n", "sketch")).alias("hub"))
+    by_hub = (prefix.join(hubs.select("value", F.col("hub.node").alias("src"),
+                                      F.col("hub.n").alias("m"), F.col("hub.sketch").alias("other")),
+                          "value")
+              .where((F.col("src") != F.col("node")) & alike)
+              .select("src", F.col("node").alias("dst")))
     first = written(_links(by_hub, signs, sets, percent), "links", batch_rows=TEXT_ROWS)
     found = written(connected_components(first), "components")
 
@@ -166,12 +186,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     split = (part.groupBy("value").agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
              .where("lo < hi").select("value"))
     open_ = written(part.join(split, "value"), "open")
-    met = by_hub.distinct()
-    across = (open_.select("value", F.col("node").alias("src"), "n", F.col("component").alias("c"))
+    across = (open_.select("value", F.col("node").alias("src"), "n", F.col("component").alias("c"),
+                           "sketch")
               .join(open_.select("value", F.col("node").alias("dst"), F.col("n").alias("m"),
-                                 F.col("component").alias("d")), "value")
-              .where("src < dst and c <> d").where(alike).select("src", "dst").distinct()
-              .join(met, ["src", "dst"], "left_anti"))
+                                 F.col("component").alias("d"),
+                                 F.col("sketch").alias("other")), "value")
+              .where("src < dst and c <> d").where(alike).select("src", "dst"))
     second = written(_links(across, signs, sets, percent), "links", batch_rows=TEXT_ROWS)
     linked = connected_components(first.unionByName(second))
 
