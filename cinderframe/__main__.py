@@ -36,7 +36,8 @@ def main(argv: list[str] | None = None) -> None:
     args = ap.parse_args(argv)
 
     spark = local_session() if args.local else SparkSession.builder.getOrCreate()
-    run_ts = dt.datetime.fromisoformat(args.run_ts) if args.run_ts else dt.datetime.now().replace(microsecond=0)
+    run_ts = dt.datetime.fromisoformat(args.run_ts) if args.run_ts else dt.datetime.now(dt.timezone.utc).replace(
+        microsecond=0)
     wh = pipeline.Warehouse(args.warehouse)
     if args.command == "land":
         print(pipeline.land_fixtures(spark, args.sf_dir, wh, run_ts))

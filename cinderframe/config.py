@@ -101,7 +101,6 @@ OPENAQ_DEFAULT_PARAMETER = ""
 OPENAQ_DEFAULT_UNIT = "µg/m³"
 OPENAQ_PARAMETERS = ("no2", "pm25", "so2")
 OPENAQ_LOOKBACK_DAYS = 7
-OPENAQ_LIMIT = 100
 
 # Rolling windows, in reading days (rows), and the report windows, in calendar days.
 ROLLING_SHORT_ROWS = 7
@@ -112,14 +111,6 @@ DEFAULT_REPORT_DAYS = 90
 REPORT_TIMEZONE = "Asia/Bangkok"
 PIPELINE_LOG_ROWS = 20
 
-# Audit-log names: (dag_id, source) of each run record.
-LOG_SENSOR_LOAD = ("ingest_sensor_readings", "kiln_feed")
-LOG_COUNTRY_LOAD = ("ingest_external_sources", "owid_co2")
-LOG_BENCHMARK_LOAD = ("ingest_external_sources", "iea_benchmarks")
-LOG_AIR_QUALITY_LOAD = ("ingest_external_sources", "openaq")
-LOG_DATA_TESTS = ("transform", "data_tests")
-LOG_EXPORT = ("transform", "parquet_export")
-
 # Display labels of the industry position; an unknown code passes through unchanged.
 POSITION_LABELS = {
     "top_10pct": "🥇 Top 10%",
@@ -130,6 +121,14 @@ POSITION_LABELS = {
 BENCHMARK_CATEGORIES = ("SCG (current)", "ASEAN avg", "Global avg", "SCG 2030 target")
 
 # ---------------------------------------------------------------------------------------
+# This project's own names in the audit log: (dag_id, source) of each run record.
+
+LOG_SENSOR_LOAD = ("ingest_sensor_readings", "kiln_feed")
+LOG_COUNTRY_LOAD = ("ingest_external_sources", "owid_co2")
+LOG_BENCHMARK_LOAD = ("ingest_external_sources", "iea_benchmarks")
+LOG_AIR_QUALITY_LOAD = ("ingest_external_sources", "openaq")
+LOG_DATA_TESTS = ("transform", "data_tests")
+LOG_EXPORT = ("transform", "parquet_export")
 
 
 @dataclass(frozen=True)

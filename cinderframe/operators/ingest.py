@@ -16,7 +16,7 @@ from .. import config as C
 from ..config import DEFAULT, PipelineConfig
 from ..functions import out_of_limits
 from ..functions.timeutil import ts_lit
-from .joins import known_small
+from .joins import config_table
 
 _LIMITS_SCHEMA = T.StructType([
     T.StructField("sensor", T.StringType(), False),
@@ -35,7 +35,7 @@ def flag_anomalies(readings: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFr
     The limits table has one row per configured sensor (a known, small size), so it is
     broadcast: the readings are never shuffled.  A sensor without limits keeps its rows with a NULL flag.
     """
-    limits = known_small(sensor_limits(readings.sparkSession, cfg), len(cfg.sensors))
+    limits = config_table(sensor_limits(readings.sparkSession, cfg))
     j = readings.join(limits, "sensor", "left")
     flag = out_of_limits(F.col("value"), F.col("lo"), F.col("hi"))
     cols = [c for c in readings.columns if c != "is_anomaly"]
@@ -119,11 +119,10 @@ def parse_air_quality(records: DataFrame, run_ts: dt.datetime | None = None) ->
 
 
 def recent_air_quality(parsed: DataFrame, as_of: dt.date,
-                       parameters=C.OPENAQ_PARAMETERS, lookback_days: int = C.OPENAQ_LOOKBACK_DAYS,
-                       limit: int = C.OPENAQ_LIMIT) -> DataFrame:
-    """The source-side restriction of one fetch (station parameters, last N days, page
-    size), applied to landed rows; newest first so the page is deterministic."""
+                       parameters=C.OPENAQ_PARAMETERS,
+                       lookback_days: int = C.OPENAQ_LOOKBACK_DAYS) -> DataFrame:
+    """The source-side restriction of one fetch (station parameters, last N days), applied to
+    landed rows.  Its page size has no meaning for landed data: every such row is kept."""
     d = F.col("measurement_date")
-    kept = parsed.where(F.col("parameter").isin(list(parameters))
+    return parsed.where(F.col("parameter").isin(list(parameters))
                         & (d >= F.date_sub(F.lit(as_of), lookback_days)))
-    return kept.orderBy(F.desc("measurement_date"), "parameter", "location", "value").limit(limit)

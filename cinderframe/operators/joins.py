@@ -1,9 +1,7 @@
-"""Broadcast with a size check.
+"""Broadcasts of tables built from configuration.
 
-A side is broadcast only when its size is proven small: either it was built from a
-configuration list of known length, or a bounded count (``limit(max_rows + 1)``, which
-stops reading early) shows it is.  Beyond the bound the plain join is kept and Spark
-plans a shuffle join, with AQE splitting skewed keys.
+Only a side whose rows come from a configuration list is broadcast by hint.  All other joins
+are left to the optimizer, which broadcasts by measured size and splits skewed keys.
 """
 
 from __future__ import annotations
@@ -11,19 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 100_000
 
-
-def known_small(df: DataFrame, rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side whose row count is known from how it was built."""
-    return F.broadcast(df) if rows <= max_rows else df
-
-
-def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows (a count that stops after max_rows + 1)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` if it has at most ``max_rows`` rows (checked with a bounded count)."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
+def config_table(df: DataFrame) -> DataFrame:
+    """Broadcast a table that was built from a configuration list (a handful of rows)."""
+    return F.broadcast(df)

@@ -96,40 +96,37 @@ def status_distribution(net_zero: DataFrame) -> DataFrame:
 
 
 def benchmark_values(stg_iea: DataFrame) -> F.Column:
-    """The three benchmark values as ONE scalar subquery (a struct), with the number of rows
-    each (year, region) matched.
+    """The benchmark values as ONE scalar subquery: a struct of three lists, one entry per staged
+    row of that (year, region).
 
     The subquery runs once, before the main plan, and its result is inlined: the plant-day
-    rows are neither joined nor shuffled.
+    rows are neither joined nor shuffled.  Entries are wrapped, so that a NULL value counts as
+    a row.
     """
-    year, region, value = F.col("year"), F.col("region"), F.col("co2_intensity_kg_per_t")
+    year, region = F.col("year"), F.col("region")
     parts = {
         "global_avg": (year == C.BENCHMARK_YEAR) & (region == C.GLOBAL_REGION),
         "asean_avg": (year == C.BENCHMARK_YEAR) & (region == C.ASEAN_REGION),
         "scg_2030_target": (year == C.OWN_TARGET_YEAR) & (region == C.OWN_TARGET_REGION),
     }
-    fields = []
-    for name, match in parts.items():
-        fields += [F.count_if(match).alias(f"n_{name}"), F.max(F.when(match, value)).alias(name)]
-    return stg_iea.agg(F.struct(*fields).alias("benchmarks")).scalar()
+    entry = F.struct(F.col("co2_intensity_kg_per_t").alias("v"))
+    fields = [F.collect_list(F.when(match, entry)).alias(name) for name, match in parts.items()]
+    wanted = parts["global_avg"] | parts["asean_avg"] | parts["scg_2030_target"]
+    return stg_iea.where(wanted).agg(F.struct(*fields).alias("benchmarks")).scalar()
 
 
 def benchmark_gap(co2: DataFrame, stg_iea: DataFrame) -> DataFrame:
     """Gap of each plant-day against the global and ASEAN benchmarks and the own target.
 
     The benchmark values are attached from a scalar subquery (``benchmark_values``).  As in
-    the original, a missing benchmark row yields no mart rows.  A benchmark (year, region)
-    present more than once -- possible only in a corrupted benchmark table -- raises an
-    error instead of silently multiplying every plant-day.
+    the original, a missing benchmark row yields no mart rows, and a benchmark (year, region)
+    that two loads hold yields a mart row for each.
     """
-    b = F.col("_benchmarks")
     names = ["global_avg", "asean_avg", "scg_2030_target"]
-    counts = [b[f"n_{n}"] for n in names]
-    duplicated = (counts[0] > 1) | (counts[1] > 1) | (counts[2] > 1)
-    present = (counts[0] == 1) & (counts[1] == 1) & (counts[2] == 1)
-    check = F.when(duplicated, F.raise_error(F.lit("benchmark table has duplicate (year, region) rows"))
-                   .cast("boolean")).otherwise(present)
-    rows = co2.withColumn("_benchmarks", benchmark_values(stg_iea)).where(check)
+    rows = co2.withColumn("_benchmarks", benchmark_values(stg_iea))
+    for n in names:
+        rows = rows.withColumn(f"_{n}", F.explode(F.col("_benchmarks")[n]))
+    b = {n: F.col(f"_{n}.v") for n in names}
     cur = F.col("scope1_kg_per_t")
     gavg, aavg, target = b["global_avg"], b["asean_avg"], b["scg_2030_target"]
     return rows.select(

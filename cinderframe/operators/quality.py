@@ -9,8 +9,10 @@ collected to the driver.  Failing checks are reported, they never block later st
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -60,33 +62,12 @@ def not_null_checks(tables: dict[str, DataFrame]) -> DataFrame:
     return out.withColumn("status", _status(F.col("failures")))
 
 
-def observe_not_nulls(df: DataFrame, table: str) -> tuple[DataFrame, Observation]:
-    """Attach the NOT NULL counts of ``table`` to ``df`` as observed metrics.
-
-    The counts are computed by whatever job next reads ``df`` (e.g. the write of the
-    plant-day aggregate), so the check costs no scan of its own.  The metrics live in the
-    scan stage: if a lost executor forces that stage to re-run, Spark may apply its
-    partitions' counts again, so a failure count can be overstated -- never a failure
-    invented or missed (a zero stays zero), so pass/fail is exact.
-    """
-    obs = Observation(f"not_null_{table}")
-    metrics = [F.count_if(F.col(c).isNull()).alias(c) for c in NOT_NULL_TESTS[table]]
-    return df.observe(obs, *metrics), obs
-
-
-def not_null_from_observation(spark: SparkSession, table: str, obs: Observation) -> DataFrame:
-    """Check rows of an observed table (a handful of counts, built on the driver)."""
-    m = obs.get
-    rows = [(f"not_null_{table}_{c}", table, c, int(m[c])) for c in NOT_NULL_TESTS[table]]
-    df = spark.createDataFrame(rows, "test_name string, table_name string, column_name string, "
-                                     "failures bigint")
-    return df.withColumn("status", _status(F.col("failures")))
-
-
 def reading_not_null_checks(raw_sensor: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """NOT NULL tests of the raw and the staged readings in ONE pass over the raw table.
 
-    A staged row is a raw row that passes the staging predicate (staged key columns are
+    Only rows with a NULL in a tested column can fail, and that predicate reaches the scan:
+    row groups without NULLs are skipped by their statistics.  So the whole table is tested
+    in every run, also an incremental one, for little more than its file footers.  A staged row is a raw row that passes the staging predicate (staged key columns are
     raw columns), so its NULL count is ``count_if(kept AND col IS NULL)`` on the raw rows.
     """
     from .staging import kept_reading
@@ -96,7 +77,11 @@ def reading_not_null_checks(raw_sensor: DataFrame, cfg: PipelineConfig = DEFAULT
               for c in NOT_NULL_TESTS["raw_sensor_readings"]]
     checks += [(f"not_null_stg_sensor_readings_{c}", "stg_sensor_readings", c, kept & F.col(c).isNull())
                for c in NOT_NULL_TESTS["stg_sensor_readings"]]
-    agg = raw_sensor.agg(*[F.count_if(F.coalesce(p, F.lit(False))).alias(f"c{i}")
+    # plant_id is a directory of the stored table: its predicate prunes apart from the others'.
+    stored = [F.col(c).isNull() for c in NOT_NULL_TESTS["raw_sensor_readings"] if c != "plant_id"]
+    suspects = raw_sensor.where(reduce(or_, stored)).unionByName(
+        raw_sensor.where(F.col("plant_id").isNull() & ~reduce(or_, stored)))
+    agg = suspects.agg(*[F.count_if(F.coalesce(p, F.lit(False))).alias(f"c{i}")
                            for i, (_, _, _, p) in enumerate(checks)])
     rows = F.array(*[
         F.struct(F.lit(name).alias("test_name"), F.lit(table).alias("table_name"),
@@ -174,26 +159,14 @@ def freshness_status(latest: DataFrame, source: str, run_ts: dt.datetime,
     )
 
 
-def observe_latest_load(df: DataFrame, loaded_at: str = "ingested_at") -> tuple[DataFrame, Observation]:
-    """Attach ``MAX(loaded_at)`` to ``df`` as an observed metric (freshness at no extra scan)."""
-    obs = Observation("latest_load")
-    return df.observe(obs, F.max(F.col(loaded_at)).alias("max_loaded_at")), obs
-
-
-def freshness_from_observation(spark: SparkSession, source: str, obs: Observation,
-                               run_ts: dt.datetime, previous: DataFrame | None = None) -> DataFrame:
-    """Freshness from an observed maximum, combined with a previously stored maximum (for a
-    run that scanned only the newly loaded days)."""
-    latest = spark.createDataFrame([(obs.get.get("max_loaded_at"),)], "max_loaded_at timestamp")
-    if previous is not None:
-        latest = latest.unionByName(previous.select("max_loaded_at")).agg(
-            F.max("max_loaded_at").alias("max_loaded_at"))
-    return freshness_status(latest, source, run_ts)
-
-
 def freshness(df: DataFrame, source: str, run_ts: dt.datetime, loaded_at: str = "ingested_at",
-              warn_days: int = C.FRESHNESS_WARN_DAYS, error_days: int = C.FRESHNESS_ERROR_DAYS) -> DataFrame:
+              warn_days: int = C.FRESHNESS_WARN_DAYS, error_days: int = C.FRESHNESS_ERROR_DAYS,
+              previous: DataFrame | None = None) -> DataFrame:
     """Source freshness on ``MAX(loaded_at)``: ``error`` when older than 5 days, ``warn`` when
-    older than 2, else ``pass``; an empty source is an error."""
-    latest = df.agg(F.max(F.col(loaded_at).cast("timestamp")).alias("max_loaded_at"))
+    older than 2, else ``pass``; an empty source is an error.  ``previous`` holds a maximum
+    stored earlier, for a run that scans newly loaded days only."""
+    latest = df.select(F.col(loaded_at).cast("timestamp").alias("max_loaded_at"))
+    if previous is not None:
+        latest = latest.unionByName(previous.select("max_loaded_at"))
+    latest = latest.agg(F.max("max_loaded_at").alias("max_loaded_at"))
     return freshness_status(latest, source, run_ts, warn_days, error_days)

@@ -13,6 +13,7 @@ from itertools import chain
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import config as C
 from ..config import DEFAULT, PipelineConfig
@@ -78,8 +79,15 @@ def scope_breakdown(co2: DataFrame, as_of: dt.date, days: int = C.DEFAULT_REPORT
 
 def pipeline_log_recent(log: DataFrame, rows: int = C.PIPELINE_LOG_ROWS,
                         tz: str = C.REPORT_TIMEZONE) -> DataFrame:
-    """The newest run records with ``run_at`` shown in local time (a top-k, not a sort)."""
-    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), F.col("run_at").cast("timestamp_ntz"))
+    """The newest run records with ``run_at`` shown in local time (a top-k, not a sort).
+
+    ``run_at`` is an instant (TIMESTAMP); its UTC wall clock is taken from the instant itself, so
+    the session's time zone plays no part.  A zone-less ``run_at`` is read as UTC."""
+    at = F.col("run_at")
+    if isinstance(log.schema["run_at"].dataType, T.TimestampType):
+        seconds = (F.unix_micros(at) / F.lit(1_000_000)).cast("decimal(18,6)")
+        at = F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    local = F.convert_timezone(F.lit("UTC"), F.lit(tz), at)
     top = log.orderBy(F.desc("run_at"), "dag_id", "source", "status", "rows_loaded",
                       "message").limit(rows)
     return top.select(local.alias("run_at"), "dag_id", "source", "rows_loaded", "status", "message")

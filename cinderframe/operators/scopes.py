@@ -49,6 +49,15 @@ def daily_plant_readings(stg: DataFrame) -> DataFrame:
     )
 
 
+def co2_bearing(stg: DataFrame) -> DataFrame:
+    """The staged rows that carry a CO2 value: direct intensity and converted heat.
+
+    The predicate is on a stored column, so a Scope 1 run that needs nothing else reads (and
+    shuffles) two of the sensors only; ``daily_plant_readings`` of these rows has the same
+    Scope 1 columns as that of all rows."""
+    return stg.where(F.col("sensor").isin(C.CO2_SENSOR, C.HEAT_SENSOR))
+
+
 def plant_day_window() -> Window:
     return Window.partitionBy("plant_id").orderBy("reading_date")
 

@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.timeutil import ts_lit
-from .joins import broadcast_if_small
 
-SENSOR_PARTITION = "reading_date"
+# Directories of the sensor table: one per plant and month.
+SENSOR_PARTITIONS = ["reading_month", "plant_id"]
 
 
 def require_not_null(df: DataFrame, columns: list[str], table: str) -> DataFrame:
@@ -47,170 +47,131 @@ def with_sensor_defaults(batch: DataFrame, run_ts: dt.datetime) -> DataFrame:
     )
 
 
+def _location(spark: SparkSession, path: str):
+    """(file system, path) of a table location."""
+    sc = spark.sparkContext
+    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a table location exists (a file-system metadata call, no data read)."""
-    try:
-        sc = spark.sparkContext
-        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).exists(hpath))
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): ask the reader
-        try:
-            spark.read.format("text").load(path).limit(0).collect()
-            return True
-        except Exception:  # noqa: BLE001
-            return False
+    """Whether a table location exists (a file-system metadata call, no data read).
+
+    Only "not found" is False.  Any other trouble raises: a load that took a failing check for
+    an empty table would overwrite it."""
+    fs, hpath = _location(spark, path)
+    return bool(fs.exists(hpath))
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a run's own staging folder once its data has been swapped in."""
+    fs, hpath = _location(spark, path)
+    fs.delete(hpath, True)
 
 
-def remove_path(spark: SparkSession, path: str) -> bool:
-    """Delete a run's own staging folder once its data has been swapped in.  Without a
-    file-system handle the folder is left for the storage's lifecycle rules."""
-    try:
-        sc = spark.sparkContext
-        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        return bool(hpath.getFileSystem(sc._jsc.hadoopConfiguration()).delete(hpath, True))
-    except Exception:  # noqa: BLE001
-        return False
+def _rename(spark: SparkSession, old: str, new: str) -> None:
+    fs, source = _location(spark, old)
+    if not fs.rename(source, _location(spark, new)[1]):
+        raise RuntimeError(f"could not rename {old} to {new}")
 
 
-def _write_days(df: DataFrame, path: str, obs: Observation | None = None) -> None:
-    """Write rows into ``reading_date`` directories, replacing only the days present.
+def reading_month(day: str | F.Column = "reading_date") -> F.Column:
+    return F.date_format(day, "yyyy-MM")
 
-    Rows are rebalanced by day (few files per directory; AQE splits a hot day over several
-    tasks) and sorted by plant inside each day, so plant predicates skip row groups.  A row
+
+def _write_plant_months(df: DataFrame, path: str, obs: Observation | None = None) -> None:
+    """Write rows into ``reading_month=/plant_id=`` directories, replacing only those present.
+
+    Rows are rebalanced by directory (few files each; AQE splits a hot one over several
+    tasks) and sorted by day and sensor inside, so date predicates skip row groups.  A row
     count, if asked for, is observed in the final (write) stage: Spark applies each result
     partition's metrics once even when a lost executor forces earlier stages to re-run.
     """
-    out = (df.hint("rebalance", SENSOR_PARTITION)
-           .sortWithinPartitions(SENSOR_PARTITION, "plant_id", "sensor"))
+    out = (df.withColumn("reading_month", reading_month())
+           .hint("rebalance", *SENSOR_PARTITIONS)
+           .sortWithinPartitions(*SENSOR_PARTITIONS, "reading_date", "sensor"))
     if obs is not None:
         out = out.observe(obs, F.count(F.lit(1)).alias("n"))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(SENSOR_PARTITION).parquet(path))
-
-
-MAX_LISTED_DAYS = 100_000
-
+     .partitionBy(*SENSOR_PARTITIONS).parquet(path))
 
-def _touched_days(spark: SparkSession, path: str, days: DataFrame) -> DataFrame:
-    """The stored rows of the days in ``days``.
 
-    Preferred: read only those ``reading_date=`` directories, found with one top-level
-    listing of the table -- the rest of the history is neither listed nor read.  The day
-    list is at most one entry per calendar day of the batch (checked against a bound).
-    Fallback (no file-system handle, or an unbounded day list): read the table and keep the
-    days with a broadcast semi-join, which dynamic partition pruning turns into a
-    directory filter.
-    """
-    reader = spark.read.schema(schemas.RAW_SENSOR_READINGS)
-    batch_days = days.limit(MAX_LISTED_DAYS + 1).collect()
-    if len(batch_days) <= MAX_LISTED_DAYS:
-        present = _day_directories(spark, path)
-        if present is not None:
-            wanted = {f"{SENSOR_PARTITION}={r[0].isoformat()}" for r in batch_days}
-            dirs = [f"{path}/{name}" for name in sorted(present & wanted)]
-            if not dirs:
-                return reader.parquet(path).limit(0)
-            return reader.option("basePath", path).parquet(*dirs)
-    return reader.parquet(path).join(broadcast_if_small(days), SENSOR_PARTITION, "left_semi")
-
-
-def _day_directories(spark: SparkSession, path: str) -> set[str] | None:
-    """Names of the table's top-level directories (one listing call), or None."""
-    try:
-        sc = spark.sparkContext
-        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
-        return {st.getPath().getName() for st in fs.listStatus(hpath) if st.isDirectory()}
-    except Exception:  # noqa: BLE001 - e.g. a remote session without a JVM handle
-        return None
+def _stored(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(schemas.STORED_SENSOR_READINGS).parquet(path)
 
 
 def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     """Idempotent load: the batch replaces every (reading_date, plant_id) it contains.
 
-    The table is laid out in ``reading_date`` directories.  Loading a batch rewrites only
-    the days it touches: the batch is staged, only the touched day directories are read
-    (``_touched_days``), the rows of the batch's plant-days are dropped (anti-join), the
-    batch is added and the merged days are staged and swapped in with dynamic partition
-    overwrite.  Every other day stays untouched (the default static mode would drop them).
-    Staging lives next to the table, on the same shared storage.  Returns the number of
-    batch rows, counted while staging.
+    The table has a directory per plant and month.  The batch is staged; the directories that
+    it touches are read (a semi-join that prunes to them), the rows of its plant-days are
+    dropped, the rest and the batch are staged together and swapped in with dynamic partition
+    overwrite.  Directories of other plants and months are neither read nor written, so loads
+    of different plants never rewrite each other's rows.  Staging lives next to the table, on
+    the same shared storage.  Returns the number of batch rows, counted while staging.
     """
     spark = batch.sparkSession
     rows = require_not_null(with_sensor_defaults(batch, run_ts),
                             schemas.NOT_NULL_COLUMNS["raw_sensor_readings"], "raw_sensor_readings")
     obs = Observation("loaded")
     if not path_exists(spark, path):
-        _write_days(rows, path, obs)
+        _write_plant_months(rows, path, obs)
         return int(obs.get.get("n", 0))
-    run = uuid.uuid4().hex[:12]
-    staging = f"{path}_staging/{run}"
-    staged_batch, staged_days = f"{staging}/batch", f"{staging}/days"
-    _write_days(rows, staged_batch, obs)
+    staging = f"{path}_staging/{uuid.uuid4().hex[:12]}"
+    staged_batch, staged_months = f"{staging}/batch", f"{staging}/months"
+    _write_plant_months(rows, staged_batch, obs)
     loaded = int(obs.get.get("n", 0))
-    new = spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(staged_batch)
-    keys = new.select(SENSOR_PARTITION, "plant_id").distinct()
-    touched = _touched_days(spark, path, keys.select(SENSOR_PARTITION).distinct())
-    kept = touched.join(keys, [SENSOR_PARTITION, "plant_id"], "left_anti")
-    _write_days(kept.unionByName(new), staged_days)
-    _write_days(spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(staged_days), path)
-    # A failure before this point leaves the table as it was (or, mid-swap, some days
+    if loaded:
+        new = _stored(spark, staged_batch)
+        # The predicate on the month makes the key side selective for partition pruning.
+        touched = new.where(F.col("reading_month") > "").select(*SENSOR_PARTITIONS).distinct()
+        days = new.select(*SENSOR_PARTITIONS, "reading_date").distinct()
+        kept = (_stored(spark, path).join(touched, SENSOR_PARTITIONS, "left_semi")
+                .join(days, [*SENSOR_PARTITIONS, "reading_date"], "left_anti"))
+        _write_plant_months(kept.unionByName(new), staged_months)
+        _write_plant_months(_stored(spark, staged_months), path)
+    # A failure before this point leaves the table as it was (or, mid-swap, some directories
     # replaced); re-running the same load repairs it, as loading is idempotent.
     remove_path(spark, staging)
     return loaded
 
 
 def overwrite_table(df: DataFrame, path: str) -> int:
-    """Full refresh (truncate + insert) of a table; returns rows written."""
+    """Full refresh (truncate + insert) of a table; returns rows written.
+
+    The new rows are written beside the table and swapped in by renaming, so there is a complete
+    copy at every moment: a failure leaves the old rows at ``path`` or under the name in the
+    error."""
+    spark = df.sparkSession
+    run = uuid.uuid4().hex[:12]
     obs = Observation("written")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+    fresh, old = f"{path}__new-{run}", f"{path}__old-{run}"
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(fresh)
+    if path_exists(spark, path):
+        _rename(spark, path, old)
+        try:
+            _rename(spark, fresh, path)
+        except Exception as e:
+            raise RuntimeError(f"refresh of {path} failed; its rows are in {old}") from e
+        remove_path(spark, old)
+    else:
+        _rename(spark, fresh, path)
     return int(obs.get.get("n", 0))
 
 
-def append_rows(df: DataFrame, path: str) -> int:
-    """Append a batch; an empty batch writes and reports nothing.
+def append_load(df: DataFrame, path: str, load_id: str) -> int:
+    """Append a batch as a directory ``load_id=`` of its own; an empty batch writes nothing.
 
-    (Spark would write a schema-only file for an empty frame, so emptiness is checked
-    first; ``isEmpty`` stops at the first row.)
-    """
+    The directory is overwritten as a whole, so repeating a load (a replayed micro-batch, a
+    retried run) doesn't append twice.  Batch runs and streams share this protocol."""
     if df.isEmpty():
         return 0
     obs = Observation("appended")
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
+    (df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+     .parquet(f"{path}/load_id={load_id}"))
     return int(obs.get.get("n", 0))
 
 
-def data_file_count(spark: SparkSession, path: str) -> int | None:
-    """Number of data files directly under a (non-partitioned) table, or None if unknown."""
-    try:
-        sc = spark.sparkContext
-        hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(sc._jsc.hadoopConfiguration())
-        return sum(1 for st in fs.listStatus(hpath)
-                   if st.isFile() and not st.getPath().getName().startswith(("_", ".")))
-    except Exception:  # noqa: BLE001
-        return None
-
-
-def compact(spark: SparkSession, path: str, files: int = 1, min_files: int = 64) -> bool:
-    """Fold an append-only table's many small files into ``files`` files once it holds at
-    least ``min_files``.  The rows are staged next to the table first; if the swap fails, the
-    staged copy is kept (its path is in the error) and holds every row.  The overwrite clears
-    the folder before writing, so a concurrent reader could briefly see it empty: run it when
-    nothing reads the table (the pipeline does so at the end of a transform)."""
-    n = data_file_count(spark, path)
-    if n is None or n < min_files:
-        return False
-    staging = f"{path}_staging/{uuid.uuid4().hex[:12]}"
-    spark.read.parquet(path).coalesce(files).write.mode("overwrite").parquet(staging)
-    try:
-        spark.read.parquet(staging).write.mode("overwrite").parquet(path)
-    except Exception as e:
-        raise RuntimeError(f"compaction of {path} failed; all rows are in {staging}") from e
-    remove_path(spark, staging)
-    return True
-
-
 def log_run(spark: SparkSession, path: str, run_at: dt.datetime, dag_id: str, source: str,
             rows_loaded: int, status: str, message: str | None = None) -> None:
     """Append one run record to the audit log (written after the data it describes, so a

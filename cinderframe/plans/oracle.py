@@ -1,17 +1,14 @@
 """DuckDB oracle SQL for every registered query.
 
-Written independently of the Spark code, in the original models' own shape: staging
-filter, grouped Scope 1 with windows over the aggregate, separate Scope 2 / Scope 3 models,
-the mart as LEFT JOINs, the benchmark gap as joins to one-row relations.  Doubles are
-rounded through ``decimal(28,10)`` (half away from zero) and decimals are returned as
-doubles, as the Spark side does.
+Written from the survey's formulas, with its own literals and shapes: unit conversion is a
+lookup joined on the sensor, the daily figures of all scopes come from one pass with filtered
+aggregates, benchmarks are picked by filtered aggregates.  Nothing is imported from the code
+that it checks.  Doubles are rounded through ``decimal(28,10)`` (half away from zero) and
+decimals are returned as doubles, as the Spark side does.
 """
 
 from __future__ import annotations
 
-from .. import config as C
-from ..sources.fixtures import SENSOR_FIXTURE
-
 AS_OF = "date '2001-10-31'"
 RUN_TS = "timestamp '2001-11-05 00:00:00'"
 
@@ -20,173 +17,126 @@ def _r(expr: str, n: int) -> str:
     return f"cast(round(cast({expr} as decimal(28,10)), {n}) as double)"
 
 
-def _values_sensor_fixture() -> str:
-    rows = ",\n    ".join(
-        f"({n}, '{s}', {b}e0, {sp}e0, {lo}e0, {hi}e0, '{u}')"
-        for n, s, b, sp, lo, hi, u in SENSOR_FIXTURE)
-    return f"(values\n    {rows}\n) s(n, sensor, base, span, lo, hi, unit_label)"
-
-
-_SENSORS_IN = ", ".join(f"'{s.name}'" for s in C.SENSORS)
-
-RAW_SENSOR = f"""
+RAW_SENSOR = """
 select cast(l_shipdate as date) as reading_date,
        concat('PLANT_', lpad(cast(l_suppkey % 10 as varchar), 2, '0')) as plant_id,
-       s.sensor,
-       s.base + s.span * ((l_quantity - 25.0e0) / 25.0e0) as value,
-       s.unit_label,
-       (s.base + s.span * ((l_quantity - 25.0e0) / 25.0e0) < s.lo
-        or s.base + s.span * ((l_quantity - 25.0e0) / 25.0e0) > s.hi) as is_anomaly,
+       s.sensor, v.value, s.unit_label, v.value < s.lo or v.value > s.hi as is_anomaly,
        l_shipdate as ingested_at
 from lineitem
-join {_values_sensor_fixture()} on l_linenumber = s.n
+join (values (1, 'CO2_emission_intensity', 680e0, 150e0, 600e0, 800e0, 'kg_CO2_per_t_cement'),
+             (2, 'specific_heat_consumption', 750e0, 100e0, 680e0, 820e0, 'kcal_per_kg_clinker'),
+             (3, 'coal_consumption_rate', 10.2e0, 6e0, 5e0, 15e0, 't_per_hr'),
+             (4, 'NOx_emission', 380e0, 450e0, 0e0, 800e0, 'mg_per_Nm3'),
+             (5, 'dust_emission', 12e0, 15e0, 0e0, 20e0, 'mg_per_Nm3'),
+             (6, 'SO2_emission', 45e0, 60e0, 0e0, 200e0, 'mg_per_Nm3'),
+             (7, 'O2_flue_gas', 2.5e0, 2e0, 1e0, 5e0, 'pct')
+     ) s(n, sensor, base, span, lo, hi, unit_label) on l_linenumber = s.n,
+lateral (select s.base + s.span * ((l_quantity - 25.0e0) / 25.0e0) as value) v
 """
 
-STG_SENSOR = f"""
-select reading_date, plant_id, sensor,
-       value as raw_value, unit_label as raw_unit, is_anomaly, ingested_at,
-       case when sensor = 'CO2_emission_intensity' then value
-            when sensor = 'specific_heat_consumption' then value * 0.0946e0 * 0.95e0
-            else null end as co2_kg_per_t,
-       case when sensor = 'specific_heat_consumption' then value * 4.184e0 / 1000 else null end as heat_mj_per_t,
-       case when sensor = 'coal_consumption_rate' then value * 24 else null end as coal_t_per_day
-from raw_sensor
-where value is not null and value > 0 and sensor in ({_SENSORS_IN})
+# What each sensor converts to: (CO2 factors, MJ factors, tonnes a day); NULL where it doesn't.
+STG_SENSOR = """
+select r.reading_date, r.plant_id, r.sensor, r.value as raw_value, r.unit_label as raw_unit,
+       r.is_anomaly, r.ingested_at,
+       r.value * u.co2_a * u.co2_b as co2_kg_per_t,
+       r.value * u.mj / 1000 as heat_mj_per_t,
+       r.value * u.hours as coal_t_per_day
+from raw_sensor r
+join (values ('CO2_emission_intensity', 1e0, 1e0, null, null),
+             ('specific_heat_consumption', 0.0946e0, 0.95e0, 4.184e0, null),
+             ('coal_consumption_rate', null, null, null, 24e0),
+             ('NOx_emission', null, null, null, null), ('dust_emission', null, null, null, null),
+             ('SO2_emission', null, null, null, null), ('O2_flue_gas', null, null, null, null)
+     ) u(sensor, co2_a, co2_b, mj, hours) on u.sensor = r.sensor
+where r.value > 0
 """
 
-def _rolling_mean(col: str, rows: int) -> str:
-    """Mean over the last ``rows`` rows, summed oldest to newest as a relational engine that
-    recomputes each float frame does (DuckDB's segment tree would group the terms
-    differently and change the last bit).  Missing leading rows add an exact 0."""
-    terms = [f"coalesce(lag({col}, {k}) over w, 0e0)" for k in range(rows - 1, 0, -1)] + [col]
-    frame = f"(partition by plant_id order by reading_date rows between {rows - 1} preceding and current row)"
-    return f"({' + '.join(terms)}) / count({col}) over {frame}"
-
-
-_T30, _T50, _BASE = C.TARGET_2030, C.TARGET_2050, C.BASELINE_INTENSITY
-
-SCOPE1 = f"""
-with co2_rows as (
-  select reading_date, plant_id, co2_kg_per_t as x, heat_mj_per_t as heat,
-         coal_t_per_day as coal, is_anomaly
-  from stg_sensor
-  where co2_kg_per_t is not null
-),
-per_day as (
-  select reading_date, plant_id,
-         avg(x) as scope1_intensity_avg,
-         min(x) as scope1_intensity_min,
-         max(x) as scope1_intensity_max,
-         stddev_samp(x) as scope1_intensity_std,
-         avg(heat) as heat_consumption_avg,
-         sum(coal) as coal_total_t_day,
-         count(*) as reading_count,
-         count(case when is_anomaly then 1 end) as anomaly_count
-  from co2_rows
-  group by reading_date, plant_id
-)
-select per_day.*,
-       {_rolling_mean('scope1_intensity_avg', C.ROLLING_SHORT_ROWS)} as scope1_rolling_7d,
-       {_rolling_mean('scope1_intensity_avg', C.ROLLING_LONG_ROWS)} as scope1_rolling_30d,
-       scope1_intensity_avg - lag(scope1_intensity_avg, {C.CHANGE_LAG_ROWS}) over w as scope1_mom_change,
-       scope1_intensity_avg > {_T30} as exceeds_2030_target
-from per_day
-window w as (partition by plant_id order by reading_date)
+PLANT_DAYS = """
+select reading_date, plant_id,
+       avg(co2_kg_per_t) as mean, min(co2_kg_per_t) as low, max(co2_kg_per_t) as high,
+       stddev_samp(co2_kg_per_t) as spread,
+       avg(heat_mj_per_t) filter (co2_kg_per_t is not null) as heat,
+       sum(coal_t_per_day) filter (co2_kg_per_t is not null) as coal,
+       count(co2_kg_per_t) as n, count(*) filter (is_anomaly and co2_kg_per_t is not null) as odd,
+       count(*) as every, avg(raw_value) filter (sensor = 'O2_flue_gas') as o2
+from stg_sensor group by all
 """
 
-SCOPE2 = f"""
-select reading_date, plant_id,
-       cast({C.ELECTRICITY_KWH_PER_T} * {C.GRID_FACTOR_KG_PER_KWH} as double) as scope2_intensity_kg_per_t,
-       cast({C.GRID_FACTOR_KG_PER_KWH} as double) as grid_emission_factor_kg_per_kwh,
-       count(*) as reading_count,
-       avg(case when sensor = '{C.O2_SENSOR}' then raw_value end) as o2_avg
-from stg_sensor
-group by reading_date, plant_id
+SCOPE1 = """
+select reading_date, plant_id, mean as scope1_intensity_avg, low as scope1_intensity_min,
+       high as scope1_intensity_max, spread as scope1_intensity_std, heat as heat_consumption_avg,
+       coal as coal_total_t_day, n as reading_count, odd as anomaly_count,
+       avg(mean) over (partition by plant_id order by reading_date rows 6 preceding) as scope1_rolling_7d,
+       avg(mean) over (partition by plant_id order by reading_date rows 29 preceding) as scope1_rolling_30d,
+       mean - lag(mean, 30) over (partition by plant_id order by reading_date) as scope1_mom_change,
+       mean > 650 as exceeds_2030_target
+from plant_days where n > 0
 """
 
-_UP = f"({C.SCOPE3_LIMESTONE_KG_PER_T} + {C.SCOPE3_COAL_TRANSPORT_KG_PER_T})"
-_DOWN = f"({C.SCOPE3_DISTANCE_KM} * {C.SCOPE3_TRUCK_KG_PER_T_KM})"
-SCOPE3 = f"""
-select reading_date, plant_id,
-       cast({_UP} as double) as scope3_upstream_kg_per_t,
-       cast({_DOWN} as double) as scope3_downstream_kg_per_t,
-       cast({_UP} + {_DOWN} as double) as scope3_total_kg_per_t,
-       '{C.SCOPE3_DATA_SOURCE}' as data_source
-from scope1
+SCOPE2 = """
+select reading_date, plant_id, 54.989e0 as scope2_intensity_kg_per_t,
+       0.4999e0 as grid_emission_factor_kg_per_kwh, every as reading_count, o2 as o2_avg
+from plant_days
 """
 
-MART_CO2 = f"""
-select d1.reading_date, d1.plant_id,
-       {_r('d1.scope1_intensity_avg', 2)} as scope1_kg_per_t,
-       {_r('d1.scope1_rolling_7d', 2)} as scope1_7d_avg,
-       {_r('d1.scope1_rolling_30d', 2)} as scope1_30d_avg,
-       {_r('d2.scope2_intensity_kg_per_t', 2)} as scope2_kg_per_t,
-       {_r('d3.scope3_total_kg_per_t', 2)} as scope3_kg_per_t,
-       {_r('d1.scope1_intensity_avg + d2.scope2_intensity_kg_per_t + d3.scope3_total_kg_per_t', 2)}
-           as total_co2_kg_per_t,
-       d1.reading_count, d1.anomaly_count, d1.exceeds_2030_target
-from scope1 d1
-left join scope2 d2 on d2.reading_date = d1.reading_date and d2.plant_id = d1.plant_id
-left join scope3 d3 on d3.reading_date = d1.reading_date and d3.plant_id = d1.plant_id
+SCOPE3 = """
+select reading_date, plant_id, 20e0 as scope3_upstream_kg_per_t, 20e0 as scope3_downstream_kg_per_t,
+       40e0 as scope3_total_kg_per_t, 'industry_estimate' as data_source
+from plant_days where n > 0
 """
 
-_bench_rows = ",\n    ".join(
-    f"({y}, '{sec}', '{reg}', '{m}', {v}e0, '{u}')" for y, sec, reg, m, v, u in C.BENCHMARK_ROWS)
-RAW_IEA = f"""
-select * from (values
-    {_bench_rows}
-) t(year, sector, region, metric, value, unit)
+
+def _mart(scope2: str) -> str:
+    """The mart; ``scope2`` is the day's Scope 2 intensity, NULL where there is none."""
+    return f"""
+select reading_date, plant_id, {_r('scope1_intensity_avg', 2)} as scope1_kg_per_t,
+       {_r('scope1_rolling_7d', 2)} as scope1_7d_avg, {_r('scope1_rolling_30d', 2)} as scope1_30d_avg,
+       {_r('s2', 2)} as scope2_kg_per_t, 40e0 as scope3_kg_per_t,
+       {_r('scope1_intensity_avg + s2 + 40e0', 2)} as total_co2_kg_per_t,
+       reading_count, anomaly_count, exceeds_2030_target
+from (select s.*, {scope2} as s2 from scope1 s join plant_days p using (reading_date, plant_id)) m
 """
 
-STG_IEA = f"""
-select year, sector, region,
-       max(case when metric = 'co2_intensity' then value end) as co2_intensity_kg_per_t,
-       max(case when metric = 'heat_consumption' then value end) as heat_consumption_mj_per_t
-from raw_iea
-where sector = '{C.BENCHMARK_SECTOR}'
-group by year, sector, region
+
+MART_CO2 = _mart("54.989e0")
+MART_JOINED = _mart("case when day(s.reading_date) % 3 <> 0 then 40e0 + p.every * 2.5e0 end")
+
+RAW_IEA = """
+select * from (values
+    (2022, 'cement', 'Global', 'co2_intensity', 620e0), (2022, 'cement', 'Global', 'heat_consumption', 3300e0),
+    (2022, 'cement', 'ASEAN', 'co2_intensity', 680e0), (2022, 'cement', 'ASEAN', 'heat_consumption', 3500e0),
+    (2022, 'cement', 'Thailand', 'co2_intensity', 670e0), (2030, 'cement', 'Global', 'co2_intensity', 520e0),
+    (2050, 'cement', 'Global', 'co2_intensity', 100e0), (2050, 'cement', 'SCG', 'co2_intensity', 0e0),
+    (2030, 'cement', 'SCG', 'co2_intensity', 650e0)
+) t(year, sector, region, metric, value)
 """
 
 NET_ZERO = f"""
-select reading_date, plant_id,
-       scope1_kg_per_t as current_intensity,
-       {_BASE} as baseline_2020, {_T30} as target_2030, {_T50} as target_2050,
-       cast(cur - {_T30} as double) as gap_vs_2030_target,
-       cast(cur - {_T50} as double) as gap_vs_2050_target,
-       {_r(f'greatest(0, ({_BASE} - cur) / nullif({_BASE} - {_T30}, 0) * 100)', 1)} as progress_pct_to_2030,
-       {_r(f'greatest(0, ({_BASE} - cur) / nullif({_BASE}, 0) * 100)', 1)} as progress_pct_to_2050,
-       case when cur <= {_T30} then 'on_track'
-            when cur <= {_T30} * {C.NEAR_TARGET_FACTOR} then 'near_target'
-            else 'off_track' end as status_2030,
-       {_r(f'(cur - {_T50}) / nullif({C.NET_ZERO_YEAR} - year(reading_date), 0)', 2)} as required_annual_reduction
+select reading_date, plant_id, scope1_kg_per_t as current_intensity,
+       800 as baseline_2020, 650 as target_2030, 0 as target_2050,
+       cast(cur - 650 as double) as gap_vs_2030_target, cast(cur as double) as gap_vs_2050_target,
+       {_r('greatest(0, (800 - cur) / 150 * 100)', 1)} as progress_pct_to_2030,
+       {_r('greatest(0, (800 - cur) / 800 * 100)', 1)} as progress_pct_to_2050,
+       case when cur > 682.5 or cur is null then 'off_track' when cur > 650 then 'near_target'
+            else 'on_track' end as status_2030,
+       {_r('cur / nullif(2050 - year(reading_date), 0)', 2)} as required_annual_reduction
 from (select *, cast(scope1_kg_per_t as decimal(28,10)) as cur from mart_co2) m
 """
 
-
-def _benchmark(year: int, region: str, name: str) -> str:
-    return (f"(select co2_intensity_kg_per_t as {name} from stg_iea "
-            f"where year = {year} and region = '{region}')")
-
-
 BENCHMARK_GAP = f"""
-select m.reading_date, m.plant_id,
-       m.scope1_kg_per_t as scg_intensity,
-       g.global_avg,
-       {_r('m.scope1_kg_per_t - g.global_avg', 2)} as gap_vs_global,
-       case when m.scope1_kg_per_t < g.global_avg then 'better_than_global'
-            else 'worse_than_global' end as global_status,
-       a.asean_avg,
-       {_r('m.scope1_kg_per_t - a.asean_avg', 2)} as gap_vs_asean,
-       t.scg_2030_target,
-       {_r('m.scope1_kg_per_t - t.scg_2030_target', 2)} as gap_vs_scg_target,
-       case when m.scope1_kg_per_t < g.global_avg * {C.TOP_BAND_FACTOR} then 'top_10pct'
-            when m.scope1_kg_per_t < g.global_avg then 'above_average'
-            when m.scope1_kg_per_t < g.global_avg * {C.BOTTOM_BAND_FACTOR} then 'below_average'
-            else 'bottom_10pct' end as industry_position
-from mart_co2 m,
-     {_benchmark(C.BENCHMARK_YEAR, C.GLOBAL_REGION, 'global_avg')} g,
-     {_benchmark(C.BENCHMARK_YEAR, C.ASEAN_REGION, 'asean_avg')} a,
-     {_benchmark(C.OWN_TARGET_YEAR, C.OWN_TARGET_REGION, 'scg_2030_target')} t
+select reading_date, plant_id, x as scg_intensity, b.global_avg,
+       {_r('x - b.global_avg', 2)} as gap_vs_global,
+       case when x < b.global_avg then 'better_than_global' else 'worse_than_global' end as global_status,
+       b.asean_avg, {_r('x - b.asean_avg', 2)} as gap_vs_asean,
+       b.scg_2030_target, {_r('x - b.scg_2030_target', 2)} as gap_vs_scg_target,
+       case when x >= b.global_avg * 1.1 then 'bottom_10pct' when x >= b.global_avg then 'below_average'
+            when x >= b.global_avg * 0.9 then 'above_average' when x is null then 'bottom_10pct'
+            else 'top_10pct' end as industry_position
+from (select *, scope1_kg_per_t as x from mart_co2) m,
+     (select max(value) filter (year = 2022 and region = 'Global') as global_avg,
+             max(value) filter (year = 2022 and region = 'ASEAN') as asean_avg,
+             max(value) filter (year = 2030 and region = 'SCG') as scg_2030_target
+      from raw_iea where metric = 'co2_intensity') b
 """
 
 OWID_FIXTURE = """
@@ -236,9 +186,9 @@ STG_IEA_DERIVED = f"""
 select year, sector, region,
        max(case when metric = 'co2_intensity' then value end) as co2_intensity_kg_per_t,
        max(case when metric = 'heat_consumption' then value end) as heat_consumption_mj_per_t,
-       {_T30} as scg_target_2030, {_T50} as scg_target_2050, {_BASE} as baseline_2020
+       650 as scg_target_2030, 0 as scg_target_2050, 800 as baseline_2020
 from bench_metrics
-where sector = '{C.BENCHMARK_SECTOR}'
+where sector = 'cement'
 group by year, sector, region
 """
 
@@ -270,11 +220,11 @@ with f as (
   from air_bodies
 )
 select cast(d as date) as measurement_date,
-       coalesce(location, '{C.OPENAQ_DEFAULT_LOCATION}') as location,
-       coalesce(country, '{C.OPENAQ_DEFAULT_COUNTRY}') as country,
-       coalesce(parameter, '{C.OPENAQ_DEFAULT_PARAMETER}') as parameter,
+       coalesce(location, 'Rayong') as location,
+       coalesce(country, 'TH') as country,
+       coalesce(parameter, '') as parameter,
        case when v is null or v = '' then 0e0 else try_cast(v as double) end as value,
-       coalesce(unit, '{C.OPENAQ_DEFAULT_UNIT}') as unit
+       coalesce(unit, 'µg/m³') as unit
 from f
 where d is not null and (v is null or v = '' or try_cast(v as double) is not null)
 """
@@ -291,12 +241,13 @@ from events
 _CTES = {
     "raw_sensor": RAW_SENSOR,
     "stg_sensor": STG_SENSOR,
+    "plant_days": PLANT_DAYS,
     "scope1": SCOPE1,
     "scope2": SCOPE2,
     "scope3": SCOPE3,
     "mart_co2": MART_CO2,
+    "mart_joined": MART_JOINED,
     "raw_iea": RAW_IEA,
-    "stg_iea": STG_IEA,
     "net_zero": NET_ZERO,
     "bgap": BENCHMARK_GAP,
     "owid_fixture": OWID_FIXTURE,
@@ -310,13 +261,14 @@ _CTES = {
 }
 _DEPS = {
     "stg_sensor": ["raw_sensor"],
-    "scope1": ["stg_sensor"],
-    "scope2": ["stg_sensor"],
-    "scope3": ["scope1"],
-    "mart_co2": ["scope1", "scope2", "scope3"],
-    "stg_iea": ["raw_iea"],
+    "plant_days": ["stg_sensor"],
+    "scope1": ["plant_days"],
+    "scope2": ["plant_days"],
+    "scope3": ["plant_days"],
+    "mart_co2": ["scope1", "plant_days"],
+    "mart_joined": ["scope1", "plant_days"],
     "net_zero": ["mart_co2"],
-    "bgap": ["mart_co2", "stg_iea"],
+    "bgap": ["mart_co2", "raw_iea"],
     "raw_owid": ["owid_fixture"],
     "stg_owid": ["raw_owid"],
     "air_parsed": ["air_bodies"],
@@ -344,33 +296,47 @@ def _with(names: list[str], body: str) -> str:
     return f"with {ctes}\n{body.strip()}"
 
 
-def _not_null_sql() -> str:
-    parts = []
-    tables = {
-        "raw_sensor_readings": "raw_sensor", "raw_owid_emissions": "raw_owid",
-        "raw_iea_benchmarks": "raw_iea", "stg_sensor_readings": "stg_sensor",
-        "mart_co2_intensity": "mart_co2",
-    }
-    from ..operators.quality import NOT_NULL_TESTS
-    for table, cols in NOT_NULL_TESTS.items():
-        for c in cols:
-            parts.append(
-                f"select 'not_null_{table}_{c}' as test_name, '{table}' as table_name, "
-                f"'{c}' as column_name, count(*) filter (where {c} is null) as failures "
-                f"from {tables[table]}")
-    return "\nunion all\n".join(parts)
+_TESTED = (("raw_sensor_readings", "raw_sensor", ("reading_date", "plant_id", "sensor", "value")),
+           ("raw_owid_emissions", "raw_owid", ("year", "country")),
+           ("raw_iea_benchmarks", "raw_iea", ("year", "sector", "metric")),
+           ("stg_sensor_readings", "stg_sensor", ("reading_date", "plant_id", "sensor")),
+           ("mart_co2_intensity", "mart_co2", ("reading_date", "scope1_kg_per_t")))
+
+
+def _not_null_sql(prefix: str = "") -> str:
+    return "\nunion all\n".join(
+        f"select 'not_null_{table}_{c}' as test_name, '{table}' as table_name, '{c}' as column_name, "
+        f"count(*) - count({c}) as failures from {prefix}{name}"
+        for table, name, columns in _TESTED for c in columns)
 
 
 def _test_results_sql() -> str:
-    singular = (
-        "select 'co2_not_negative' as test_name, 'mart_co2_intensity' as table_name, "
-        "'scope1_kg_per_t' as column_name, count(*) filter (where scope1_kg_per_t < 0) as failures "
-        "from mart_co2\nunion all\n"
-        "select 'intensity_reasonable_range', 'mart_co2_intensity', 'scope1_kg_per_t', "
-        "count(*) filter (where scope1_kg_per_t < 200 or scope1_kg_per_t > 1200) from mart_co2")
+    singular = "\nunion all\n".join(
+        f"select '{test}', 'mart_co2_intensity', 'scope1_kg_per_t', count(*) filter ({bad}) from mart_co2"
+        for test, bad in (("co2_not_negative", "scope1_kg_per_t < 0"),
+                          ("intensity_reasonable_range", "scope1_kg_per_t not between 200 and 1200")))
     return f"{_not_null_sql()}\nunion all\n{singular}"
 
 
+# The tables with missing values that the NOT NULL tests are shown.
+_FAULTY = """
+, f_raw_sensor as (
+  select case when day(reading_date) <> 6 then reading_date end as reading_date,
+         case when day(reading_date) <> 3 then plant_id end as plant_id,
+         case when day(reading_date) <> 4 then sensor end as sensor,
+         case when day(reading_date) <> 5 then value end as value from raw_sensor),
+f_stg_sensor as (select * from f_raw_sensor where value > 0 and sensor is not null),
+f_raw_owid as (
+  select case when country <> 'CHINA' or year = 2010 then year end as year,
+         case when year <> 2010 then country end as country from raw_owid),
+f_raw_iea as (
+  select year, case when year <> 2010 then sector end as sector,
+         case when year <> 2011 then metric end as metric from bench_metrics),
+f_mart_co2 as (
+  select reading_date, case when reading_count <> 1 then scope1_kg_per_t end as scope1_kg_per_t from mart_co2)
+"""
+
+
 _ALL_NN = ["raw_sensor", "raw_owid", "raw_iea", "stg_sensor", "mart_co2"]
 
 _MART_COLS = ("reading_date, plant_id, scope1_kg_per_t, scope1_7d_avg, scope1_30d_avg, scope2_kg_per_t, "
@@ -382,18 +348,20 @@ def _latest(src: str, cols: str) -> str:
             f"order by reading_date desc) as rn from {src}) where rn = 1")
 
 
-def _window(src: str, cols: str, days: int = C.DEFAULT_REPORT_DAYS) -> str:
+def _window(src: str, cols: str, days: int = 90) -> str:
     return f"select {cols} from {src} where reading_date >= {AS_OF} - {days}"
 
 
 _SCOPE1_COLS = ("reading_date, plant_id, scope1_intensity_avg, scope1_intensity_min, scope1_intensity_max, "
                 "scope1_intensity_std, heat_consumption_avg, coal_total_t_day, reading_count, anomaly_count")
 
-_LABEL_CASES = " ".join(f"when '{k}' then '{v}'" for k, v in C.POSITION_LABELS.items())
+_LABEL_CASES = ("when 'top_10pct' then '🥇 Top 10%' when 'above_average' then '⬆️ Above average' "
+                "when 'below_average' then '⬇️ Below average' when 'bottom_10pct' then '⚠️ Bottom 10%'")
 _BAR_UNION = "\n        union all\n        ".join(
     f"select plant_id, reading_date, '{cat}' as category, {col} as value, position_label, "
     f"coalesce(gap_vs_global, 0e0) as gap_vs_global, coalesce(gap_vs_asean, 0e0) as gap_vs_asean from labelled"
-    for cat, col in zip(C.BENCHMARK_CATEGORIES, ["scg_intensity", "asean_avg", "global_avg", "scg_2030_target"]))
+    for cat, col in (("SCG (current)", "scg_intensity"), ("ASEAN avg", "asean_avg"),
+                     ("Global avg", "global_avg"), ("SCG 2030 target", "scg_2030_target")))
 
 ORACLE: dict[str, str] = {
     "scan_sensor": _with(["raw_sensor"], "select reading_date, plant_id, sensor, value, unit_label, is_anomaly from raw_sensor"),
@@ -425,13 +393,31 @@ ORACLE: dict[str, str] = {
     "scope2": _with(["scope2"], "select reading_date, plant_id, scope2_intensity_kg_per_t, grid_emission_factor_kg_per_kwh, reading_count from scope2"),
     "scope3": _with(["scope3"], "select * from scope3"),
     "co2_intensity": _with(["mart_co2"], "select * from mart_co2"),
+    "co2_intensity_joined": _with(["mart_joined"], "select * from mart_joined"),
+    "load_defaults": _with(["raw_sensor"], """
+        select * replace (sensor <> 'O2_flue_gas' and is_anomaly as is_anomaly,
+                          timestamp '2001-11-05 00:00:00' as ingested_at) from raw_sensor"""),
+    "ingest_openaq_recent": _with(["air_parsed"], """
+        select * from air_parsed where parameter in ('click', 'purchase')
+        and measurement_date >= date '2024-01-21'"""),
+    "run_log": _with(["raw_sensor", "raw_owid", "air_parsed", "stg_sensor", "mart_co2"], """
+        select 'ingest_sensor_readings' as dag_id, 'kiln_feed' as source,
+               cast(count(*) as integer) as rows_loaded, 'success' as status from raw_sensor
+        union all select 'ingest_external_sources', 'owid_co2', count(*), 'success' from raw_owid
+        union all select 'ingest_external_sources', 'iea_benchmarks', 9, 'success'
+        union all select 'ingest_external_sources', 'openaq', count(*), 'success' from air_parsed
+        union all select 'transform', 'data_tests', 16 - max(bad), case when max(bad) > 0 then 'warning' else 'success' end
+        from (select cast(count(*) > 0 as integer) as bad from mart_co2 where scope1_kg_per_t not between 200 and 1200) t
+        union all select 'transform', 'parquet_export', 3, 'success'"""),
     "net_zero": _with(["net_zero"], "select * from net_zero"),
     "status_distribution": _with(["net_zero"], "select status_2030, count(*) as plant_days from net_zero group by status_2030"),
     "benchmark_gap": _with(["bgap"], "select * from bgap"),
-    "dq_not_null": _with(_ALL_NN, f"""
+    "dq_not_null": _with(["raw_sensor", "raw_owid", "bench_metrics", "mart_co2"], f"""{_FAULTY}
         select *, case when failures > 0 then 'fail' else 'pass' end as status
-        from ({_not_null_sql()}) t"""),
-    "dq_not_negative": _with(["mart_co2"], "select reading_date, plant_id, scope1_kg_per_t from mart_co2 where scope1_kg_per_t < 0"),
+        from ({_not_null_sql("f_")}) t"""),
+    "dq_not_negative": _with(["mart_co2"], """
+        select reading_date, plant_id, scope1_kg_per_t - 700e0 as scope1_kg_per_t
+        from mart_co2 where scope1_kg_per_t < 700"""),
     "dq_range": _with(["mart_co2"], """
         select reading_date, plant_id, scope1_kg_per_t, 'out_of_reasonable_range' as issue
         from mart_co2 where scope1_kg_per_t < 200 or scope1_kg_per_t > 1200"""),
@@ -491,11 +477,16 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["stream_ingest_sensor"] = ORACLE["load_replace_day"]
 ORACLE["stream_ingest_air_quality"] = ORACLE["ingest_openaq"]
+ORACLE["ingest_openaq_documents"] = ORACLE["ingest_openaq"]
+for _name in ("rpt_kpi", "rpt_benchmark"):
+    ORACLE[f"run_{_name}"] = ORACLE[_name]
+ORACLE["run_test_results"] = ORACLE["dq_results"]
 
 # Calendar dates are emitted as midnight timestamps, as the Spark queries do (``as_compared``).
-_DATE_COLUMNS = {"ingest_openaq": ["measurement_date"], "stream_ingest_air_quality": ["measurement_date"]}
+_DATE_COLUMNS = {name: ["measurement_date"] for name in (
+    "ingest_openaq", "stream_ingest_air_quality", "ingest_openaq_documents", "ingest_openaq_recent")}
 _NO_DATES = {"audit_summary", "ingest_owid", "stg_owid", "stg_iea", "status_distribution", "dq_not_null",
-             "dq_results", "dq_summary", "dq_freshness", "rpt_pipeline_log"}
+             "dq_results", "dq_summary", "dq_freshness", "rpt_pipeline_log", "run_test_results", "run_log"}
 for _name, _sql in list(ORACLE.items()):
     if _name in _NO_DATES:
         continue

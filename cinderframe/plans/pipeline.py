@@ -2,8 +2,9 @@
 -> export, each step a Spark job writing Parquet tables under one warehouse folder.
 
 Materialized steps follow the original layering (views for staging, tables for the
-intermediate and mart layers).  The raw sensor table is scanned once per run: the fused
-plant-day aggregate is written first and every scope table is derived from it.  Each
+intermediate and mart layers).  The readings are aggregated once per run: the fused plant-day
+aggregate is written first and every scope table is derived from it.  The tests and the freshness
+check read the raw table on their own, so the aggregate's scan keeps its pushed filters.  Each
 written table cuts the lineage, so a lost executor re-runs only the current step.
 """
 
@@ -78,7 +79,8 @@ def ingest_benchmarks(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
 def ingest_air_quality(spark: SparkSession, wh: Warehouse, records: DataFrame, run_ts: dt.datetime) -> int:
     """Append parsed air-quality rows; an empty batch is neither written nor logged."""
     parsed = _checked(ingest.parse_air_quality(records, run_ts), "raw_openaq_readings")
-    n = sinks.append_rows(parsed, wh.path("raw_openaq_readings"))
+    load_id = f"batch-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    n = sinks.append_load(parsed, wh.path("raw_openaq_readings"), load_id)
     if n > 0:
         sinks.log_run(spark, wh.log, run_ts, *C.LOG_AIR_QUALITY_LOAD, n, "success")
     return n
@@ -106,38 +108,29 @@ def land_fixtures(spark: SparkSession, sf_dir: str, wh: Warehouse,
 
 def _daily_readings(spark: SparkSession, wh: Warehouse, stg_sensor: DataFrame,
                     since: dt.date | None) -> DataFrame:
-    """The plant-day aggregate table: fully rebuilt, or -- with ``since`` -- rebuilt only
-    for days on or after ``since`` (the raw scan is pruned to those day directories) and
-    merged with the stored aggregate of the earlier days."""
-    path = wh.path("int_daily_plant_readings")
+    """The plant-day aggregate table: fully rebuilt, or -- with ``since``, from which on
+    ``stg_sensor`` has the readings -- merged with the stored aggregate of the earlier days."""
+    fresh = scopes.daily_plant_readings(stg_sensor)
     if since is None:
-        return scopes.daily_plant_readings(stg_sensor)
-    fresh = scopes.daily_plant_readings(stg_sensor.where(F.col("reading_date") >= F.lit(since)))
-    kept = spark.read.parquet(path).where(F.col("reading_date") < F.lit(since))
-    merged = kept.unionByName(fresh)
-    # The table is replaced from a staged copy: it cannot be overwritten while read.
-    return _staged_copy(spark, merged, _staging_path(path))
-
-
-def _staging_path(path: str) -> str:
-    return f"{path}_staging/{uuid.uuid4().hex[:12]}"
-
-
-def _staged_copy(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` to ``path`` and read it back (to replace a table that ``df`` reads)."""
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+        return fresh
+    kept = spark.read.parquet(wh.path("int_daily_plant_readings"))
+    return kept.where(F.col("reading_date") < F.lit(since)).unionByName(fresh)
 
 
 def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
               cfg: PipelineConfig = DEFAULT, export_dir: str | None = None,
-              since: dt.date | None = None) -> RunResult:
+              since: dt.date | None = None, scope2: DataFrame | None = None) -> RunResult:
     """Run staging -> scopes -> marts -> checks -> export.
 
+    The CO2 mart reads the stored Scope 2 and Scope 3 tables (a plant may replace them by
+    metered values: see ``scope2`` below).
+
     ``since`` makes the run incremental: only raw days from ``since`` on are re-read (a
     load replaces whole plant-days, so earlier aggregates are unchanged).  Everything after
     the plant-day aggregate is recomputed from that small table, which keeps the row-based
     windows exact: a window's 29 preceding reading days come from the stored aggregate.
+    ``scope2`` takes the place of the estimated Scope 2 rows (reading_date, plant_id,
+    scope2_intensity_kg_per_t, grid_emission_factor_kg_per_kwh, reading_count).
     """
     res = RunResult()
     if since is not None and not sinks.path_exists(spark, wh.path("int_daily_plant_readings")):
@@ -155,55 +148,37 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     raw_sensor = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"))
     raw_owid = readers.read_owid_emissions(spark, wh.path("raw_owid_emissions"))
     raw_iea = readers.read_iea_benchmarks(spark, wh.path("raw_iea_benchmarks"))
-
-    # The days this run reads: all, or (incremental) the days loaded since ``since``; the
-    # predicate is on the partition column, so other day directories are not listed/read.
-    scanned = raw_sensor if since is None else raw_sensor.where(F.col("reading_date") >= F.lit(since))
-    # NOT NULL tests of the raw and staged readings and the newest load time (freshness)
-    # ride along with the one scan.
-    scanned, raw_nn = quality.observe_not_nulls(scanned, "raw_sensor_readings")
-    scanned, latest_load = quality.observe_latest_load(scanned)
+    # The days this run reads: all, or (incremental) the days loaded since ``since``.
+    scanned = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"), since)
 
     # staging: lazy views
     stg_sensor = staging.stg_sensor_readings(scanned, cfg)
-    stg_sensor, stg_nn = quality.observe_not_nulls(stg_sensor, "stg_sensor_readings")
     stg_owid = staging.stg_owid_emissions(raw_owid)
     stg_iea = staging.stg_iea_benchmarks(raw_iea, cfg)
 
-    # intermediate: one scan of the readings, then plant-day sized tables
+    # intermediate: one aggregate of the readings, then plant-day sized tables
     daily = write("int_daily_plant_readings", _daily_readings(spark, wh, stg_sensor, since))
     s1 = write("int_scope1_emissions", scopes.scope1_emissions(daily, cfg))
-    write("int_scope2_emissions", scopes.scope2_emissions(daily))
-    write("int_scope3_emissions", scopes.scope3_emissions(s1))
+    s2 = write("int_scope2_emissions", scopes.scope2_emissions(daily) if scope2 is None else scope2)
+    s3 = write("int_scope3_emissions", scopes.scope3_emissions(s1))
     write("stg_owid_emissions", stg_owid)
 
-    # marts
-    # Scope 2/3 are row-aligned constants of the Scope 1 plant-days (tables written above for
-    # their consumers); the mart attaches them without joining -- no shuffle.  Equal to the
-    # LEFT JOIN form (``marts.co2_intensity_joined``), which tests check.
-    co2 = write("mart_co2_intensity", marts.co2_intensity(s1, run_ts))
+    # marts: LEFT JOINs of the stored scopes, sized by plant-days
+    co2 = write("mart_co2_intensity", marts.co2_intensity_joined(s1, s2, s3, run_ts))
     nzp = write("mart_net_zero_progress", marts.net_zero_progress(co2, cfg))
     bgap = write("mart_benchmark_gap", marts.benchmark_gap(co2, stg_iea))
 
-    # checks: reported and logged, never blocking the export
-    # (incremental runs test the newly loaded days; earlier days were tested when loaded)
-    sensor_checks = quality.not_null_from_observation(spark, "raw_sensor_readings", raw_nn).unionByName(
-        quality.not_null_from_observation(spark, "stg_sensor_readings", stg_nn))
-    small_checks = quality.not_null_checks({"raw_owid_emissions": raw_owid, "raw_iea_benchmarks": raw_iea})
-    mart_checks = quality.mart_checks(co2, cfg).withColumn("status", F.when(F.col("failures") > 0, "fail")
-                                                           .otherwise("pass"))
+    # checks: of the whole tables, reported and logged, never blocking the export
     results = write("data_test_results",
-                    sensor_checks.unionByName(small_checks).unionByName(mart_checks))
+                    quality.check_results_from_raw(raw_sensor, raw_owid, raw_iea, co2, cfg))
     quality.check_log_record(results, run_ts).write.mode("append").parquet(wh.log)
     # Every row stamped by a load since the last run lies in the re-read days, so the stored
-    # maximum plus the observed one is the table's maximum.
-    fresh_path = wh.path("source_freshness")
+    # maximum and theirs give the table's maximum.
     previous = None
-    if since is not None and sinks.path_exists(spark, fresh_path):
-        previous = _staged_copy(spark, spark.read.parquet(fresh_path).select("max_loaded_at"),
-                                _staging_path(fresh_path))
-    write("source_freshness", quality.freshness_from_observation(
-        spark, "raw_sensor_readings", latest_load, run_ts, previous))
+    if since is not None and sinks.path_exists(spark, wh.path("source_freshness")):
+        previous = spark.read.parquet(wh.path("source_freshness"))
+    write("source_freshness", quality.freshness(scanned, "raw_sensor_readings", run_ts,
+                                                previous=previous))
 
     # export, newest first, one mart failing does not stop the others
     export_root = export_dir or wh.path("exports")
@@ -213,12 +188,7 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
             n = sinks.export_newest_first(df, os.path.join(export_root, name))
             res.exported.append(f"{name}: {n} rows")
         except Exception as e:  # noqa: BLE001 - isolate each mart, report below
-            res.export_failures.append(f"{name}: {type(e).__name__}")
-    for name in ("int_daily_plant_readings", "source_freshness"):
-        sinks.remove_path(spark, wh.path(name) + "_staging")
-    # append-only tables: fold small files together once they pile up
-    for name in ("pipeline_log", "raw_openaq_readings"):
-        sinks.compact(spark, wh.path(name))
+            res.export_failures.append(f"{name}: {type(e).__name__}: {str(e).splitlines()[0]}")
     status = "success" if not res.export_failures else "failed"
     sinks.log_run(spark, wh.log, run_ts, *C.LOG_EXPORT, len(res.exported), status,
                   "; ".join(res.exported + res.export_failures))

@@ -9,6 +9,7 @@ return what they read back.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,6 +21,7 @@ from ..operators import ingest, marts, quality, reports, scopes, sinks, staging
 from ..session import scratch_path
 from ..sources import fixtures, readers
 from ..streaming import air_quality_stream, sensor_stream
+from . import pipeline, serving
 
 AS_OF = fixtures.AS_OF
 RUN_TS = fixtures.RUN_TS
@@ -42,7 +44,8 @@ def daily(spark: SparkSession, d: str) -> DataFrame:
 
 
 def scope1(spark: SparkSession, d: str) -> DataFrame:
-    return scopes.scope1_emissions(daily(spark, d))
+    bearing = scopes.co2_bearing(stg_sensor(spark, d))
+    return scopes.scope1_emissions(scopes.daily_plant_readings(bearing))
 
 
 def co2(spark: SparkSession, d: str) -> DataFrame:
@@ -93,39 +96,70 @@ def q_load_replace_day(spark, d):
     return readers.read_sensor_readings(spark, path).drop("ingested_at")
 
 
+def q_load_defaults(spark, d):
+    """A load whose rows lack the load time and, for one sensor, the anomaly flag."""
+    path = scratch_path(spark, "raw_sensor_defaults")
+    raw = fixtures.faulty(raw_sensor(spark, d).drop("ingested_at"), "is_anomaly",
+                          F.col("sensor") == "O2_flue_gas")
+    sinks.replace_plant_days(raw, path, RUN_TS)
+    return readers.read_sensor_readings(spark, path).withColumn(
+        "ingested_at", F.col("ingested_at").cast("timestamp_ntz"))
+
+
 def q_stream_ingest_sensor(spark, d):
-    """The same two loads as ``load_replace_day``, delivered as landed files and picked up
-    by the ingestion stream in two scheduled runs (``availableNow``)."""
+    """The same two loads as ``load_replace_day``, delivered as landed files (eight for the
+    first) and picked up by the ingestion stream in two scheduled runs (``availableNow``)."""
     landing = scratch_path(spark, "landing_sensor")
     table = scratch_path(spark, "raw_sensor_stream")
     ckpt = scratch_path(spark, "ckpt_sensor_stream")
     landed_cols = [f.name for f in sensor_stream.LANDED_SENSOR_SCHEMA.fields]
-    fixtures.unflagged_sensor_readings(spark, d).select(*landed_cols).write.mode("append").parquet(landing)
+    (fixtures.unflagged_sensor_readings(spark, d).select(*landed_cols).repartition(8)
+     .write.parquet(f"{landing}/{sensor_stream.DELIVERY}=0001"))
     sensor_stream.run_available(spark, landing, table, ckpt)
     plant = readers.read_sensor_readings(spark, table).where(F.col("plant_id") == REPLACED_PLANT)
     last_day = plant.agg(F.max("reading_date").alias("reading_date"))
     correction = plant.join(last_day, "reading_date").withColumn("value", F.col("value") * 1.01)
-    correction.select(*landed_cols).write.mode("append").parquet(landing)
+    correction.select(*landed_cols).write.parquet(f"{landing}/{sensor_stream.DELIVERY}=0002")
     sensor_stream.run_available(spark, landing, table, ckpt)
     return readers.read_sensor_readings(spark, table).drop("ingested_at")
 
 
 def q_ingest_owid(spark, d):
+    """Two landed files with their columns in different orders."""
     landed = scratch_path(spark, "owid_landed_csv")
-    fixtures.owid_csv_frame(spark, d).write.option("header", True).csv(landed)
+    rows = fixtures.owid_csv_frame(spark, d)
+    for odd, columns in ((0, rows.columns), (1, rows.columns[::-1])):
+        (rows.where(F.col("year") % 2 == odd).select(*columns).write.mode("append")
+         .option("header", True).csv(landed))
     cleaned = ingest.clean_owid(readers.read_country_csv(spark, landed), run_ts=RUN_TS)
     path = scratch_path(spark, "raw_owid_emissions")
     sinks.overwrite_table(cleaned, path)
     return readers.read_owid_emissions(spark, path).drop("ingested_at")
 
 
+def _appended(spark, records: DataFrame) -> DataFrame:
+    path = scratch_path(spark, "raw_openaq_readings")
+    sinks.append_load(ingest.parse_air_quality(records, RUN_TS), path, "batch-1")
+    return readers.read_openaq_readings(spark, path).drop("ingested_at")
+
+
 def q_ingest_openaq(spark, d):
     landed = scratch_path(spark, "openaq_landed_json")
     fixtures.air_quality_bodies(spark, d).select("body").write.text(landed)
-    parsed = ingest.parse_air_quality(readers.read_air_quality_records(spark, landed), RUN_TS)
-    path = scratch_path(spark, "raw_openaq_readings")
-    sinks.append_rows(parsed, path)
-    return readers.read_openaq_readings(spark, path).drop("ingested_at")
+    return _appended(spark, readers.read_air_quality_records(spark, landed))
+
+
+def q_ingest_openaq_documents(spark, d):
+    landed = scratch_path(spark, "openaq_landed_documents")
+    fixtures.air_quality_documents(spark, d).write.text(landed)
+    return _appended(spark, readers.read_air_quality_documents(spark, landed))
+
+
+def q_ingest_openaq_recent(spark, d):
+    """The fetch's own restriction, with parameters and a date of these records."""
+    parsed = ingest.parse_air_quality(fixtures.air_quality_bodies(spark, d), RUN_TS)
+    recent = ingest.recent_air_quality(parsed, dt.date(2024, 1, 28), ("click", "purchase"))
+    return recent.drop("ingested_at")
 
 
 def q_stream_ingest_air_quality(spark, d):
@@ -143,7 +177,8 @@ def q_audit_summary(spark, d):
     return log.groupBy("dag_id", "source", "status").agg(
         F.count(F.lit(1)).alias("runs"),
         F.sum("rows_loaded").alias("rows_loaded"),
-        F.max("run_at").alias("last_run_at"))
+        F.convert_timezone(F.current_timezone(), F.lit("UTC"), F.max("run_at").cast("timestamp_ntz"))
+        .alias("last_run_at"))
 
 
 def q_stg_sensor(spark, d):
@@ -204,18 +239,37 @@ def q_benchmark_gap(spark, d):
     return bgap(spark, d).drop("updated_at")
 
 
+def q_co2_intensity_joined(spark, d):
+    """The mart with a Scope 2 table that varies and lacks some plant-days."""
+    s1 = scope1(spark, d)
+    s2 = fixtures.metered_scope2(scopes.scope2_emissions(daily(spark, d)))
+    return marts.co2_intensity_joined(s1, s2, scopes.scope3_emissions(s1), RUN_TS).drop("updated_at")
+
+
 def q_dq_not_null(spark, d):
-    readings = quality.reading_not_null_checks(raw_sensor(spark, d))
-    others = quality.not_null_checks({
-        "raw_owid_emissions": raw_owid(spark, d),
-        "raw_iea_benchmarks": raw_iea(spark),
-        "mart_co2_intensity": co2(spark, d),
-    })
-    return readings.unionByName(others)
+    """The NOT NULL tests over tables in which every tested column has missing values."""
+    day = F.dayofmonth("reading_date")
+    raw = raw_sensor(spark, d)
+    raw = fixtures.faulty(raw, "plant_id", day == 3)
+    raw = fixtures.faulty(raw, "sensor", day == 4)
+    raw = fixtures.faulty(raw, "value", day == 5)
+    raw = fixtures.faulty(raw, "reading_date", day == 6)
+    owid = raw_owid(spark, d)
+    owid = fixtures.faulty(fixtures.faulty(owid, "country", F.col("year") == 2010), "year",
+                           F.col("country") == "CHINA")
+    metrics = fixtures.benchmark_metrics(spark, d)
+    metrics = fixtures.faulty(fixtures.faulty(metrics, "sector", F.col("year") == 2010), "metric",
+                              F.col("year") == 2011)
+    mart = fixtures.faulty(co2(spark, d), "scope1_kg_per_t", F.col("reading_count") == 1)
+    others = quality.not_null_checks({"raw_owid_emissions": owid, "raw_iea_benchmarks": metrics,
+                                      "mart_co2_intensity": mart})
+    return quality.reading_not_null_checks(raw).unionByName(others)
 
 
 def q_dq_not_negative(spark, d):
-    return quality.negative_intensity(co2(spark, d))
+    """The singular test over intensities that are 700 too low."""
+    low = co2(spark, d).withColumn("scope1_kg_per_t", F.col("scope1_kg_per_t") - 700.0)
+    return quality.negative_intensity(low)
 
 
 def q_dq_range(spark, d):
@@ -276,6 +330,31 @@ def q_rpt_benchmark_latest(spark, d):
     return reports.benchmark_latest(bgap(spark, d), AS_OF)
 
 
+def _run(spark, d) -> pipeline.Warehouse:
+    """A warehouse after the loads and a full transform."""
+    wh = pipeline.Warehouse(scratch_path(spark, "warehouse"))
+    pipeline.run_all(spark, d, wh.root, RUN_TS)
+    return wh
+
+
+def q_run_rpt_kpi(spark, d):
+    return serving.report(spark, _run(spark, d), "kpi", AS_OF)
+
+
+def q_run_rpt_benchmark(spark, d):
+    return serving.report(spark, _run(spark, d), "benchmark", AS_OF)
+
+
+def q_run_test_results(spark, d):
+    return spark.read.parquet(_run(spark, d).path("data_test_results"))
+
+
+def q_run_log(spark, d):
+    """The records that the loads and the transform left in the audit log."""
+    log = readers.read_pipeline_log(spark, _run(spark, d).log)
+    return log.select("dag_id", "source", "rows_loaded", "status")
+
+
 def _export(spark, df: DataFrame, name: str) -> DataFrame:
     path = scratch_path(spark, f"export_{name}")
     sinks.export_newest_first(df, path)
@@ -318,7 +397,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "load_replace_day": q_load_replace_day,
     "stream_ingest_sensor": q_stream_ingest_sensor,
     "ingest_owid": q_ingest_owid,
+    "load_defaults": q_load_defaults,
     "ingest_openaq": q_ingest_openaq,
+    "ingest_openaq_documents": q_ingest_openaq_documents,
+    "ingest_openaq_recent": q_ingest_openaq_recent,
     "stream_ingest_air_quality": q_stream_ingest_air_quality,
     "audit_summary": q_audit_summary,
     "stg_sensor": q_stg_sensor,
@@ -332,6 +414,7 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scope2": q_scope2,
     "scope3": q_scope3,
     "co2_intensity": q_co2_intensity,
+    "co2_intensity_joined": q_co2_intensity_joined,
     "net_zero": q_net_zero,
     "status_distribution": q_status_distribution,
     "benchmark_gap": q_benchmark_gap,
@@ -350,6 +433,10 @@ _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rpt_kpi": q_rpt_kpi,
     "rpt_scope_share": q_rpt_scope_share,
     "rpt_benchmark_latest": q_rpt_benchmark_latest,
+    "run_rpt_kpi": q_run_rpt_kpi,
+    "run_rpt_benchmark": q_run_rpt_benchmark,
+    "run_test_results": q_run_test_results,
+    "run_log": q_run_log,
     "export_co2_intensity": q_export_co2_intensity,
     "export_net_zero": q_export_net_zero,
     "export_benchmark_gap": q_export_benchmark_gap,

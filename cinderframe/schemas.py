@@ -12,6 +12,10 @@ RAW_SENSOR_READINGS = T.StructType([
     T.StructField("ingested_at", T.TimestampType(), True),
 ])
 
+# As stored: with the month of the reading, a directory of the table.
+STORED_SENSOR_READINGS = T.StructType([
+    *RAW_SENSOR_READINGS.fields, T.StructField("reading_month", T.StringType(), False)])
+
 RAW_OWID_EMISSIONS = T.StructType([
     T.StructField("year", T.IntegerType(), False),
     T.StructField("country", T.StringType(), False),

@@ -16,19 +16,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.joins import broadcast_if_small, known_small
+from .. import config as C
+from ..operators.joins import config_table
 
-# Fixture parameters: line number -> (sensor, base, span, lo, hi, unit).  The value is
+# Test data: (base, span) of each configured sensor.  Line number n reads sensor n; its value is
 # base + span * (quantity - 25) / 25, so quantities 1..50 sweep base +/- span.
-SENSOR_FIXTURE = (
-    (1, "CO2_emission_intensity", 680.0, 150.0, 600.0, 800.0, "kg_CO2_per_t_cement"),
-    (2, "specific_heat_consumption", 750.0, 100.0, 680.0, 820.0, "kcal_per_kg_clinker"),
-    (3, "coal_consumption_rate", 10.2, 6.0, 5.0, 15.0, "t_per_hr"),
-    (4, "NOx_emission", 380.0, 450.0, 0.0, 800.0, "mg_per_Nm3"),
-    (5, "dust_emission", 12.0, 15.0, 0.0, 20.0, "mg_per_Nm3"),
-    (6, "SO2_emission", 45.0, 60.0, 0.0, 200.0, "mg_per_Nm3"),
-    (7, "O2_flue_gas", 2.5, 2.0, 1.0, 5.0, "pct"),
-)
+SWEEPS = ((680.0, 150.0), (750.0, 100.0), (10.2, 6.0), (380.0, 450.0), (12.0, 15.0), (45.0, 60.0),
+          (2.5, 2.0))
+SENSOR_FIXTURE = tuple((n, s.name, base, span, s.lo, s.hi, s.unit)
+                       for n, (s, (base, span)) in enumerate(zip(C.SENSORS, SWEEPS), 1))
 _SPEC_SCHEMA = T.StructType([
     T.StructField("n", T.IntegerType(), False),
     T.StructField("sensor", T.StringType(), False),
@@ -52,8 +48,7 @@ def sensor_fixture_values(spark: SparkSession, lineitem: DataFrame) -> DataFrame
     """Sensor readings without the anomaly flag (the shape a kiln feed delivers)."""
     spec = spark.createDataFrame(list(SENSOR_FIXTURE), _SPEC_SCHEMA)
     li = lineitem.select("l_shipdate", "l_suppkey", "l_linenumber", "l_quantity")
-    # The spec has exactly seven rows, so broadcasting it is size-safe at any scale.
-    joined = li.join(known_small(spec, len(SENSOR_FIXTURE)), li["l_linenumber"] == spec["n"])
+    joined = li.join(config_table(spec), li["l_linenumber"] == spec["n"])
     value = F.col("base") + F.col("span") * ((F.col("l_quantity") - F.lit(25.0)) / F.lit(25.0))
     return joined.select(
         F.col("l_shipdate").cast("date").alias("reading_date"),
@@ -87,8 +82,7 @@ def owid_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderstatus", "o_totalprice",
                                                    "o_orderdate")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    # nation has 25 rows in every scale factor; the bounded count confirms it.
-    nation = broadcast_if_small(table(spark, sf_dir, "nation").select("n_nationkey", "n_name"))
+    nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     price = F.col("o_totalprice").cast("decimal(18,2)")
     j = (orders.join(customer, orders["o_custkey"] == customer["c_custkey"])
          .join(nation, F.col("c_nationkey") == F.col("n_nationkey")))
@@ -161,7 +155,8 @@ def pipeline_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
         F.col("event_id").alias("id"),
-        F.col("ts").alias("run_at"),
+        # the event's wall clock as an instant in UTC, whatever the session's time zone
+        F.concat(F.col("ts").cast("string"), F.lit("Z")).cast("timestamp").alias("run_at"),
         F.when(F.col("event_type").isin("click", "view"), "ingest_sensor_readings")
         .otherwise("transform").alias("dag_id"),
         F.col("event_type").alias("source"),
@@ -169,3 +164,24 @@ def pipeline_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("event_type") == "error", "warning").otherwise("success").alias("status"),
         F.col("props").alias("message"),
     )
+
+
+def air_quality_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same records as API responses: ``{"results": [...]}``, 50 events' records each."""
+    records = air_quality_bodies(spark, sf_dir)
+    page = records.groupBy(F.floor(F.col("event_id") / 50).alias("page")).agg(
+        F.array_join(F.sort_array(F.collect_list("body")), ",").alias("records"))
+    return page.select(F.concat(F.lit('{"meta":{"page":'), F.col("page").cast("string"),
+                                F.lit('},"results":['), F.col("records"), F.lit("]}")).alias("document"))
+
+
+def metered_scope2(estimated: DataFrame) -> DataFrame:
+    """Scope 2 as a meter would deliver it: it varies and misses every third day of a month."""
+    return (estimated.where(F.dayofmonth("reading_date") % 3 != 0)
+            .withColumn("scope2_intensity_kg_per_t", 40.0 + F.col("reading_count") * 2.5))
+
+
+def faulty(df: DataFrame, column: str, where: F.Column, value=None) -> DataFrame:
+    """``df`` with ``column`` replaced (by NULL) in some rows: input for the data tests."""
+    replaced = F.when(where, F.lit(value).cast(df.schema[column].dataType)).otherwise(F.col(column))
+    return df.withColumn(column, replaced)

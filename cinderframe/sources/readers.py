@@ -2,20 +2,27 @@
 
 Tables are Parquet with an explicit schema, so scans never infer types and filters and
 column selections reach the files (``PushedFilters`` / ``ReadSchema``).  The sensor table
-is laid out in ``reading_date`` directories with files sorted by plant and sensor, so date
-predicates prune whole directories and plant predicates skip row groups.
+has a directory per month and plant with files sorted by day, so plant and month predicates
+prune directories and date predicates skip row groups.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 
 
-def read_sensor_readings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.RAW_SENSOR_READINGS).parquet(path)
+def read_sensor_readings(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+    """Readings, all or from day ``since`` on (months before it aren't listed or read)."""
+    stored = spark.read.schema(schemas.STORED_SENSOR_READINGS).parquet(path)
+    if since is not None:
+        stored = stored.where((F.col("reading_month") >= since.strftime("%Y-%m"))
+                              & (F.col("reading_date") >= F.lit(since)))
+    return stored.select(*schemas.RAW_SENSOR_READINGS.names)
 
 
 def read_owid_emissions(spark: SparkSession, path: str) -> DataFrame:
@@ -27,33 +34,52 @@ def read_iea_benchmarks(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_openaq_readings(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.RAW_OPENAQ_READINGS).parquet(path)
+    """Air-quality rows of all loads (a directory ``load_id=`` each)."""
+    return spark.read.schema(schemas.RAW_OPENAQ_READINGS).option("recursiveFileLookup", True).parquet(path)
 
 
 def read_pipeline_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.PIPELINE_LOG).parquet(path)
 
 
-def read_country_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Landed country-emissions CSV: header row, columns matched by name.
+COUNTRY_COLUMNS = ["country", "year", "co2", "co2_per_capita", "cement_co2", "energy_co2"]
+_CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
 
-    Every column is read as text; typing is done by ``try_cast`` in the cleaning step, so a
-    malformed number becomes NULL instead of failing the load or skewing inference.
-    """
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("mode", "PERMISSIVE").csv(path))
+
+def read_country_csv(spark: SparkSession, path: str) -> DataFrame:
+    """Landed country-emissions CSV files, columns matched by name.
+
+    Every file has its own header line (the one that names ``country`` and ``year``); its order
+    holds for that file alone.  Fields may be quoted; a record is one line.  Every column is
+    text, an empty field NULL; typing is done by ``try_cast`` in the cleaning step, so a
+    malformed number becomes NULL instead of failing the load.  Columns that a file lacks are
+    NULL, others are ignored."""
+    quoted = F.lit(_CSV_FIELD)
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.transform(F.regexp_extract_all(F.regexp_replace("value", "\r$", ""), quoted, F.lit(1)),
+                    lambda x: F.when(x.startswith('"'), F.replace(
+                        F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"')))
+                    .otherwise(x)).alias("fields"))
+    is_header = F.array_contains("fields", "country") & F.array_contains("fields", "year")
+    headers = lines.where(is_header).groupBy("file").agg(F.first("fields").alias("names"))
+    rows = lines.where(~is_header).join(headers, "file")
+
+    def named(name: str) -> F.Column:
+        at = F.array_position("names", name).cast("int")
+        return F.nullif(F.when(at > 0, F.get("fields", at - 1)), F.lit("")).alias(name)
+
+    return rows.select(*[named(c) for c in COUNTRY_COLUMNS])
 
 
 def read_air_quality_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Landed API responses, one JSON document per file: ``{"results": [record, ...]}``.
+    """Landed API responses, one JSON document per line: ``{"results": [record, ...]}``.
 
-    Each file is one response (bounded by the API page size), read whole and exploded into
-    one ``body`` string per record.  Records keep their raw JSON so that fields with two
-    shapes (``date`` as object or string) are resolved by path, not by schema inference.
-    """
-    docs = spark.read.text(path, wholetext=True)
+    Lines are split over tasks and a document is exploded into one ``body`` string per
+    record.  Records keep their raw JSON so that fields with two shapes (``date`` as object or
+    string) are resolved by path, not by schema inference."""
     parsed = F.from_json("value", "struct<results: array<string>>")
-    return docs.select(F.explode(parsed["results"]).alias("body"))
+    return spark.read.text(path).select(F.explode(parsed["results"]).alias("body"))
 
 
 def read_air_quality_records(spark: SparkSession, path: str) -> DataFrame:

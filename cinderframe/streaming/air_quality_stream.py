@@ -1,29 +1,41 @@
 """Append-only air-quality ingestion with Structured Streaming.
 
-Landed JSON records (one per line) are parsed with the batch loader's rules and appended to
-the table by Spark's file sink, which is exactly-once: its ``_spark_metadata`` log commits
-each micro-batch's files, so a replayed batch is not appended twice, and readers of the
-table see only committed files.  An empty micro-batch writes nothing, as the batch rule
+Landed JSON records (one per line) are parsed with the batch loader's rules.  A micro-batch is
+appended as a directory of its own (``sinks.append_load``), named after the stream's checkpoint
+and the batch number: a replayed batch overwrites its directory instead of appending twice, and
+batch runs can append to the same table.  An empty micro-batch writes nothing, as the batch rule
 requires.  The load time of a row is the delivery time of its file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import hashlib
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators import ingest
+from ..operators import ingest, sinks
+from .sensor_stream import MAX_FILE_AGE
+
+
+def append_micro_batch(table_path: str, checkpoint: str):
+    """The ``foreachBatch`` function: parse and append under the batch's own name."""
+    stream = hashlib.sha256(checkpoint.encode()).hexdigest()[:12]
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        sinks.append_load(ingest.parse_air_quality(batch), table_path, f"stream-{stream}-{batch_id}")
+
+    return append
 
 
 def start_air_quality_ingest(spark: SparkSession, landing_dir: str, table_path: str,
                              checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    records = (spark.readStream.text(landing_dir)
+    records = (spark.readStream.option("maxFileAge", MAX_FILE_AGE).text(landing_dir)
                .select(F.col("value").alias("body"),
                        F.col("_metadata.file_modification_time").alias("_delivered_at")))
-    writer = (ingest.parse_air_quality(records).writeStream.format("parquet")
-              .option("path", table_path).option("checkpointLocation", checkpoint)
-              .outputMode("append"))
+    writer = (records.writeStream.foreachBatch(append_micro_batch(table_path, checkpoint))
+              .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

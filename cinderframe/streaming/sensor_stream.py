@@ -1,15 +1,16 @@
 """Incremental sensor ingestion with Structured Streaming.
 
-Readings land as Parquet files (one file set per delivery).  A file-source stream picks up
-each new file exactly once (the checkpoint records which files were committed) and every
-micro-batch is loaded with the same rule as the scheduled batch load: flag anomalies, then
-replace the plant-days the batch contains.  Replacing is idempotent, so a micro-batch that
-is replayed after a failure writes the same result again.
-
-Within one micro-batch two deliveries may carry the same plant-day (a correction landed
-before the previous one was processed); the newest file wins.  ``trigger(availableNow)``
-processes everything that has landed and stops, which is how a scheduled run uses it;
-without it the same query runs continuously.
+A delivery is a folder ``delivery=<id>`` of Parquet files in the landing directory; ids sort by
+age (a time stamp, for example).  A file-source stream notices new files (its checkpoint records
+which were seen) and every micro-batch loads the deliveries that it saw files of, *as a whole*:
+a delivery that lands over several triggers is loaded again when more of it appears.  Loading
+flags anomalies, then replaces the plant-days of the delivery, which is idempotent, so a
+micro-batch that is replayed after a failure writes the same result again.
+
+Where several deliveries of a micro-batch carry the same plant-day (a correction landed before
+the previous one was processed), the newest delivery wins, with all its files.
+``trigger(availableNow)`` processes everything that has landed and stops, which is how a
+scheduled run uses it; without it the same query runs continuously.
 """
 
 from __future__ import annotations
@@ -34,49 +35,50 @@ LANDED_SENSOR_SCHEMA = T.StructType([
 _KEYS = ["reading_date", "plant_id"]
 
 
-def newest_delivery(batch: DataFrame) -> DataFrame:
-    """Rows of the newest delivery (file) for each plant-day of a micro-batch.
+DELIVERY = "delivery"
+# A file is new however late it lands: by default a stream skips files a week older than the newest.
+MAX_FILE_AGE = "36500d"
 
-    The newest (modification time, path) per plant-day is a partial aggregate; rows are
-    then kept by an equi-join on plant-day and file, so no plant-day is gathered into one
-    task (AQE broadcasts the small side or splits a hot key).
+
+def newest_delivery(rows: DataFrame) -> DataFrame:
+    """The rows of the newest delivery of each plant-day.
+
+    The newest id per plant-day is a partial aggregate; rows are then kept by an equi-join, so
+    no plant-day is gathered into one task (AQE broadcasts the small side or splits a hot key).
     """
-    pick = batch.groupBy(*_KEYS).agg(
-        F.max(F.struct("_delivered_at", "_file")).alias("newest"))
-    pick = pick.select(*_KEYS, F.col("newest._delivered_at").alias("_delivered_at"),
-                       F.col("newest._file").alias("_file"))
-    return batch.join(pick, [*_KEYS, "_delivered_at", "_file"], "left_semi")
+    pick = rows.groupBy(*_KEYS).agg(F.max(DELIVERY).alias(DELIVERY))
+    return rows.join(pick, [*_KEYS, DELIVERY], "left_semi")
+
+
+def landed(reader, landing_dir: str) -> DataFrame:
+    """Landed rows with their delivery and the time their file was landed."""
+    schema = T.StructType([*LANDED_SENSOR_SCHEMA.fields, T.StructField(DELIVERY, T.StringType())])
+    return reader.schema(schema).parquet(landing_dir).select(
+        *schema.names, F.col("_metadata.file_modification_time").alias("ingested_at"))
 
 
-def load_micro_batch(table_path: str, cfg: PipelineConfig = DEFAULT):
-    """The ``foreachBatch`` function: newest delivery per plant-day -> flag -> replace."""
+def load_micro_batch(landing_dir: str, table_path: str, cfg: PipelineConfig = DEFAULT):
+    """The ``foreachBatch`` function: whole deliveries -> newest per plant-day -> flag -> replace."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
-        rows = newest_delivery(batch)
-        # The load time of a row is when its file was delivered (reproducible on replay).
-        loaded = rows.withColumn("ingested_at", F.col("_delivered_at")).drop("_delivered_at", "_file")
+        spark = batch.sparkSession
+        seen = batch.where(F.col(DELIVERY) > "").select(DELIVERY).distinct()
+        rows = newest_delivery(landed(spark.read, landing_dir).join(seen, DELIVERY, "left_semi"))
         run_ts = dt.datetime(1970, 1, 1)  # only used where ingested_at is NULL (never here)
-        sinks.replace_plant_days(ingest.flag_anomalies(loaded, cfg), table_path, run_ts)
+        sinks.replace_plant_days(ingest.flag_anomalies(rows.drop(DELIVERY), cfg), table_path, run_ts)
 
     return load
 
 
-def sensor_stream(spark: SparkSession, landing_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    reader = spark.readStream.schema(LANDED_SENSOR_SCHEMA)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.parquet(landing_dir).select(
-        *[f.name for f in LANDED_SENSOR_SCHEMA.fields],
-        F.col("_metadata.file_modification_time").alias("_delivered_at"),
-        F.col("_metadata.file_path").alias("_file"))
+def sensor_stream(spark: SparkSession, landing_dir: str) -> DataFrame:
+    return landed(spark.readStream.option("maxFileAge", MAX_FILE_AGE), landing_dir)
 
 
 def start_sensor_ingest(spark: SparkSession, landing_dir: str, table_path: str, checkpoint: str,
-                        available_now: bool = True, cfg: PipelineConfig = DEFAULT,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+                        available_now: bool = True, cfg: PipelineConfig = DEFAULT) -> StreamingQuery:
     """Start the ingestion stream; the checkpoint must be on shared storage."""
-    writer = (sensor_stream(spark, landing_dir, max_files_per_trigger).writeStream
-              .foreachBatch(load_micro_batch(table_path, cfg))
+    writer = (sensor_stream(spark, landing_dir).writeStream
+              .foreachBatch(load_micro_batch(landing_dir, table_path, cfg))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

@@ -125,11 +125,11 @@ def test_fused_mart_equals_joined_mart(spark):
     assert fused.exceptAll(joined).count() == 0 and joined.exceptAll(fused).count() == 0
 
 
-def test_benchmark_gap_duplicate_benchmark_raises(spark):
+def test_benchmark_gap_has_a_row_per_benchmark_load(spark):
     iea = staging.stg_iea_benchmarks(ingest.benchmark_rows(spark, run_ts=RUN_TS))
-    doubled = iea.unionByName(iea.where(F.col("region") == "Global"))
-    with pytest.raises(Exception, match="duplicate"):
-        marts.benchmark_gap(_mart(spark, [600.0]), doubled).collect()
+    again = iea.where(F.col("region") == "Global").withColumn("co2_intensity_kg_per_t", F.lit(500.0))
+    rows = marts.benchmark_gap(_mart(spark, [600.0]), iea.unionByName(again)).collect()
+    assert sorted((r["global_avg"], r["asean_avg"]) for r in rows) == [(500.0, 680.0), (620.0, 680.0)]
 
 
 def test_empty_readings_flow_through(spark):

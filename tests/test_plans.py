@@ -4,15 +4,16 @@ import re
 
 import pytest
 
-import __spark_entry__ as E
-from cinderframe.operators import scopes, staging
+from cinderframe import schemas
+from cinderframe.operators import quality, scopes, sinks, staging
 from cinderframe.plans import pipeline
 from cinderframe.plans.queries import QUERIES, RUN_TS
 from cinderframe.sources import fixtures, readers
 
 SF = "/root/testdata/sf0.001"
-WRITING = {"load_replace_day", "stream_ingest_sensor", "stream_ingest_air_quality", "ingest_owid", "ingest_openaq",
-           "export_co2_intensity", "export_net_zero", "export_benchmark_gap"}
+WRITING = {"load_replace_day", "load_defaults", "stream_ingest_sensor", "stream_ingest_air_quality",
+           "ingest_owid", "ingest_openaq", "ingest_openaq_documents", "run_rpt_kpi", "run_rpt_benchmark",
+           "run_test_results", "run_log", "export_co2_intensity", "export_net_zero", "export_benchmark_gap"}
 
 
 def plan(df) -> str:
@@ -25,7 +26,7 @@ def shuffles(text: str) -> int:
     return len(re.findall(r"(?<!Broadcast)Exchange \(", head))
 
 
-@pytest.mark.parametrize("name", sorted(k for k in E.queries() if k not in WRITING))
+@pytest.mark.parametrize("name", sorted(k for k in QUERIES if k not in WRITING))
 def test_no_cross_joins_and_no_python(spark, name):
     text = plan(QUERIES[name](spark, SF))
     for op in ("BroadcastNestedLoopJoin", "CartesianProduct", "BatchEvalPython", "ArrowEvalPython",
@@ -66,6 +67,40 @@ def test_stored_raw_scan_pushdown(spark, tmp_table):
     schema = re.search(r"ReadSchema: (struct<.*>)", text).group(1)
     assert "unit_label" not in schema and "ingested_at" not in schema  # pruned columns
     assert shuffles(text) == 1
+    # Scope 1 alone reads its two sensors
+    text = plan(scopes.daily_plant_readings(scopes.co2_bearing(staging.stg_sensor_readings(raw))))
+    assert "In(sensor, [CO2_emission_intensity,specific_heat_consumption])" in text
+    # the tests skip row groups without NULLs
+    text = plan(quality.reading_not_null_checks(raw))
+    assert "IsNull(value)" in re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+
+
+def test_the_run_prunes_its_scan(spark, tmp_table, monkeypatch):
+    """The plan that the transform itself writes the plant-day aggregate with."""
+    wh = pipeline.Warehouse(tmp_table("wh"))
+    pipeline.ingest_sensor_batch(spark, wh, fixtures.unflagged_sensor_readings(spark, SF).limit(300), RUN_TS)
+    pipeline.ingest_benchmarks(spark, wh, RUN_TS)
+    spark.createDataFrame([], schemas.RAW_OWID_EMISSIONS).write.parquet(wh.path("raw_owid_emissions"))
+    seen, write = {}, sinks.overwrite_table
+
+    def spy(df, path):
+        seen[path.rsplit("/", 1)[1]] = plan(df)
+        return write(df, path)
+
+    monkeypatch.setattr(sinks, "overwrite_table", spy)
+    pipeline.transform(spark, wh, RUN_TS)
+    text = seen["int_daily_plant_readings"]
+    pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)
+    assert "GreaterThan(value,0.0)" in pushed and "In(sensor" in pushed
+    assert "ingested_at" not in re.search(r"ReadSchema: (struct<.*>)", text).group(1)
+
+
+def test_loads_prune_to_their_directories(spark, tmp_table):
+    path = tmp_table("raw")
+    sinks.replace_plant_days(fixtures.sensor_readings(spark, SF).limit(300), path, RUN_TS)
+    stored = sinks._stored(spark, path)
+    keys = stored.where("reading_month > '1998'").select(*sinks.SENSOR_PARTITIONS).distinct()
+    assert "dynamicpruning" in plan(stored.join(keys, sinks.SENSOR_PARTITIONS, "left_semi"))
 
 
 def test_report_window_reaches_the_mart_scan(spark, tmp_table):
@@ -83,15 +118,11 @@ def test_report_window_reaches_the_mart_scan(spark, tmp_table):
     assert "GreaterThanOrEqual(reading_date" in pushed  # row groups outside the window are skipped
 
 
-def test_incremental_scan_prunes_day_directories(spark, tmp_table):
+def test_incremental_scan_prunes_month_directories(spark, tmp_table):
     import datetime as dt
-
-    from pyspark.sql import functions as F
     wh = pipeline.Warehouse(tmp_table("wh"))
     pipeline.ingest_sensor_batch(spark, wh, fixtures.unflagged_sensor_readings(spark, SF).limit(300), RUN_TS)
-    raw = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"))
-    since = dt.date(1998, 1, 1)
-    text = plan(scopes.daily_plant_readings(staging.stg_sensor_readings(
-        raw.where(F.col("reading_date") >= F.lit(since)))))
-    part = re.search(r"PartitionFilters: \[(.*)\]", text).group(1)
-    assert "reading_date" in part and "1998-01-01" in part
+    raw = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"), since=dt.date(1998, 1, 5))
+    text = plan(scopes.daily_plant_readings(staging.stg_sensor_readings(raw)))
+    assert "1998-01" in re.search(r"PartitionFilters: \[(.*)\]", text).group(1)
+    assert "GreaterThanOrEqual(reading_date,1998-01-05)" in text

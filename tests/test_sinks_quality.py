@@ -1,6 +1,7 @@
 """Load rules (idempotent day replacement, NOT NULL, append) and data-quality checks."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -50,19 +51,45 @@ def test_not_null_is_enforced(spark, tmp_table):
 def test_append_and_log(spark, tmp_table):
     path, log = tmp_table("aq"), tmp_table("log")
     df = spark.createDataFrame([(1,), (2,)], "x int")
-    assert sinks.append_rows(df, path) == 2
-    files = sorted(__import__("os").listdir(path))
-    assert sinks.append_rows(df.where("x > 5"), path) == 0
-    assert sorted(__import__("os").listdir(path)) == files  # nothing written
-    assert spark.read.parquet(path).count() == 2
+    assert sinks.append_load(df, path, "a") == 2
+    assert sinks.append_load(df, path, "a") == 2       # the same load again
+    assert sinks.append_load(df.where("x > 1"), path, "b") == 1
+    files = sorted(os.listdir(path))
+    assert sinks.append_load(df.where("x > 5"), path, "c") == 0
+    assert sorted(os.listdir(path)) == files  # nothing written
+    assert spark.read.parquet(path).count() == 3
     empty_target = tmp_table("never")
-    assert sinks.append_rows(df.where("x > 5"), empty_target) == 0
-    assert not __import__("os").path.exists(empty_target)
+    assert sinks.append_load(df.where("x > 5"), empty_target, "a") == 0
+    assert not os.path.exists(empty_target)
     sinks.log_run(spark, log, TS, "dag", "src", 2, "success")
     row = readers.read_pipeline_log(spark, log).first()
     assert (row["dag_id"], row["rows_loaded"], row["status"], row["message"]) == ("dag", 2, "success", None)
 
 
+def test_refresh_reads_its_own_table_and_keeps_a_copy_on_failure(spark, tmp_table, monkeypatch):
+    path = tmp_table("t")
+    assert sinks.overwrite_table(spark.range(5).toDF("x"), path) == 5
+    assert sinks.overwrite_table(spark.read.parquet(path).where("x > 1"), path) == 3
+    assert [p for p in os.listdir(os.path.dirname(path)) if p != os.path.basename(path)] == []
+    with pytest.raises(Exception):
+        sinks.overwrite_table(spark.range(3).select(F.raise_error(F.lit("no")).alias("x")), path)
+    assert spark.read.parquet(path).count() == 3
+
+
+def test_a_failing_existence_check_changes_nothing(spark, tmp_table, monkeypatch):
+    path = tmp_table("raw")
+    day = dt.date(2024, 1, 1)
+    sinks.replace_plant_days(readings(spark, [(day, p, "O2_flue_gas", 1.0) for p in "AB"]), path, TS)
+
+    def broken(*_):
+        raise OSError("no connection")
+
+    monkeypatch.setattr(sinks, "_location", broken)
+    with pytest.raises(OSError):
+        sinks.replace_plant_days(readings(spark, [(day, "A", "O2_flue_gas", 2.0)]), path, TS)
+    assert sorted(r["value"] for r in _table(spark, path).collect()) == [1.0, 1.0]
+
+
 def test_export_is_newest_first(spark, tmp_table):
     path = tmp_table("exp")
     days = [dt.date(2024, 1, d) for d in range(1, 29)]
@@ -110,10 +137,9 @@ def test_freshness_empty_source_is_error(spark):
     assert quality.freshness(df, "s", TS).first()["status"] == "error"
 
 
-def test_replacement_leaves_other_days_files_untouched(spark, tmp_table):
-    import os
+def test_replacement_leaves_other_plants_and_months_untouched(spark, tmp_table):
     path = tmp_table("raw")
-    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 2, 3)]
     sinks.replace_plant_days(readings(spark, [(d, p, "O2_flue_gas", 1.0) for d in days for p in "AB"]),
                              path, TS)
 
@@ -130,33 +156,14 @@ def test_replacement_leaves_other_days_files_untouched(spark, tmp_table):
     sinks.replace_plant_days(readings(spark, [(days[1], "A", "O2_flue_gas", 5.0)]), path, TS)
     after = files()
     assert os.listdir(path + "_staging") == []  # the run's staging copies are removed
-    untouched = [f for f in before if "reading_date=2024-01-02" not in f]
-    assert untouched and all(after.get(f) == before[f] for f in untouched)
-    assert not any(f in after for f in before if "reading_date=2024-01-02" in f)
+    mine = "reading_month=2024-01/plant_id=A"
+    untouched = [f for f in before if mine not in f]
+    assert len(untouched) == 3 and all(after.get(f) == before[f] for f in untouched)
+    assert not any(f in after for f in before if mine in f)
     vals = {(r["reading_date"], r["plant_id"]): r["value"] for r in _table(spark, path).collect()}
-    assert vals[(days[1], "A")] == 5.0 and vals[(days[1], "B")] == 1.0 and len(vals) == 6
-
-
-def test_replacement_fallback_without_listing(spark, tmp_table, monkeypatch):
-    path = tmp_table("raw")
-    d1, d2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
-    sinks.replace_plant_days(readings(spark, [(d, p, "O2_flue_gas", 1.0) for d in (d1, d2) for p in "AB"]),
-                             path, TS)
-    monkeypatch.setattr(sinks, "_day_directories", lambda spark, path: None)
-    sinks.replace_plant_days(readings(spark, [(d2, "B", "O2_flue_gas", 7.0),
-                                              (dt.date(2024, 1, 5), "B", "O2_flue_gas", 7.0)]), path, TS)
-    got = sorted((r["reading_date"], r["plant_id"], r["value"]) for r in _table(spark, path).collect())
-    assert got == [(d1, "A", 1.0), (d1, "B", 1.0), (d2, "A", 1.0), (d2, "B", 7.0),
-                   (dt.date(2024, 1, 5), "B", 7.0)]
-
-
-def test_compaction_of_append_only_table(spark, tmp_table):
-    log = tmp_table("log")
-    for i in range(6):
-        sinks.log_run(spark, log, TS, "dag", f"src{i}", i, "success")
-    assert sinks.data_file_count(spark, log) >= 6
-    assert not sinks.compact(spark, log)                  # below the threshold: untouched
-    before = sorted(tuple(r) for r in readers.read_pipeline_log(spark, log).collect())
-    assert sinks.compact(spark, log, min_files=2)
-    assert sinks.data_file_count(spark, log) == 1
-    assert sorted(tuple(r) for r in readers.read_pipeline_log(spark, log).collect()) == before
+    assert vals[(days[1], "A")] == 5.0 and vals[(days[0], "A")] == 1.0 and len(vals) == 6
+    # two plants load the same day one after the other
+    for plant, value in (("A", 6.0), ("B", 7.0)):
+        sinks.replace_plant_days(readings(spark, [(days[2], plant, "O2_flue_gas", value)]), path, TS)
+    vals = {(r["reading_date"], r["plant_id"]): r["value"] for r in _table(spark, path).collect()}
+    assert (vals[(days[2], "A")], vals[(days[2], "B")], len(vals)) == (6.0, 7.0, 6)

@@ -1,7 +1,7 @@
 """Structured Streaming ingestion: exactly-once file pickup, newest delivery wins."""
 
 import datetime as dt
-import time
+import os
 
 from cinderframe.sources import readers
 from cinderframe.streaming import sensor_stream
@@ -9,28 +9,44 @@ from cinderframe.streaming import sensor_stream
 D1, D2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
 
 
-def _land(spark, path, rows):
-    spark.createDataFrame(rows, sensor_stream.LANDED_SENSOR_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+def _land(spark, path, delivery, rows, files=1):
+    (spark.createDataFrame(rows, sensor_stream.LANDED_SENSOR_SCHEMA).repartition(files)
+     .write.mode("append").parquet(f"{path}/delivery={delivery}"))
+
+
+def _values(spark, table):
+    return sorted((r["reading_date"], r["plant_id"], r["sensor"], r["value"], r["is_anomaly"])
+                  for r in readers.read_sensor_readings(spark, table).collect())
 
 
 def test_stream_replaces_plant_days(spark, tmp_table):
     landing, table, ckpt = tmp_table("landing"), tmp_table("table"), tmp_table("ckpt")
-    _land(spark, landing, [(D1, "A", "O2_flue_gas", 1.0, "pct"), (D1, "B", "O2_flue_gas", 1.0, "pct"),
-                           (D1, "A", "dust_emission", 30.0, "mg")])
-    time.sleep(1.1)  # a later delivery of the same plant-day, in the same micro-batch
-    _land(spark, landing, [(D1, "A", "O2_flue_gas", 2.0, "pct")])
+    _land(spark, landing, "1", [(D1, "A", "O2_flue_gas", 1.0, "pct"), (D1, "B", "O2_flue_gas", 1.0, "pct"),
+                                (D1, "A", "dust_emission", 30.0, "mg")])
+    # a later delivery of the same plant-day, in the same micro-batch
+    _land(spark, landing, "2", [(D1, "A", "O2_flue_gas", 2.0, "pct")])
     sensor_stream.run_available(spark, landing, table, ckpt)
-    got = sorted((r["reading_date"], r["plant_id"], r["sensor"], r["value"], r["is_anomaly"])
-                 for r in readers.read_sensor_readings(spark, table).collect())
-    assert got == [(D1, "A", "O2_flue_gas", 2.0, False), (D1, "B", "O2_flue_gas", 1.0, False)]
+    assert _values(spark, table) == [(D1, "A", "O2_flue_gas", 2.0, False), (D1, "B", "O2_flue_gas", 1.0, False)]
+
+    # A second run loads only the new delivery.
+    _land(spark, landing, "3", [(D2, "A", "dust_emission", 30.0, "mg")])
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    assert _values(spark, table) == [(D1, "A", "O2_flue_gas", 2.0, False), (D1, "B", "O2_flue_gas", 1.0, False),
+                                     (D2, "A", "dust_emission", 30.0, True)]
+
 
-    # A second run sees only the new file; earlier files are not re-read.
-    _land(spark, landing, [(D2, "A", "dust_emission", 30.0, "mg")])
+def test_a_delivery_of_many_files_arrives_whole(spark, tmp_table):
+    landing, table, ckpt = tmp_table("landing"), tmp_table("table"), tmp_table("ckpt")
+    rows = [(D1, "A", "O2_flue_gas", float(i), "pct") for i in range(200)]
+    _land(spark, landing, "1", rows[:120], files=4)
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    assert len(_values(spark, table)) == 120
+    # the rest of the same delivery lands after the first trigger, with an old time stamp
+    _land(spark, landing, "1", rows[120:], files=4)
+    for f in os.listdir(f"{landing}/delivery=1"):
+        os.utime(f"{landing}/delivery=1/{f}", (10**9, 10**9))
     sensor_stream.run_available(spark, landing, table, ckpt)
-    got = sorted((r["reading_date"], r["plant_id"], r["sensor"], r["is_anomaly"])
-                 for r in readers.read_sensor_readings(spark, table).collect())
-    assert got == [(D1, "A", "O2_flue_gas", False), (D1, "B", "O2_flue_gas", False),
-                   (D2, "A", "dust_emission", True)]
+    assert [v for _, _, _, v, _ in _values(spark, table)] == [float(i) for i in range(200)]
 
 
 def test_incremental_transform_equals_full(spark, tmp_table):
@@ -67,6 +83,14 @@ def test_incremental_transform_equals_full(spark, tmp_table):
     assert (stored["max_loaded_at"], stored["status"]) == (scanned["max_loaded_at"], scanned["status"])
     assert stored["status"] == "error"  # newest load 8 days before the run
 
+    # Tests cover the whole table in an incremental run too: a reading of an earlier day that
+    # lost its sensor (written past the loader) is still reported.
+    spark.createDataFrame([(days[1], None, 1.0)], "reading_date date, sensor string, value double").write.parquet(
+        wh.path("raw_sensor_readings/reading_month=2024-01/plant_id=A"), mode="append")
+    pipeline.transform(spark, wh, later, since=days[-3])
+    tests = {r["test_name"]: r["status"] for r in spark.read.parquet(wh.path("data_test_results")).collect()}
+    assert tests["not_null_raw_sensor_readings_sensor"] == "fail"
+
     pipeline.transform(spark, wh, run_ts)  # full rebuild for reference
     full = spark.read.parquet(wh.path("mart_co2_intensity")).drop("updated_at").collect()
     assert sorted(map(tuple, incremental)) == sorted(map(tuple, full))
@@ -98,4 +122,14 @@ def test_air_quality_stream_appends_exactly_once(spark, tmp_table):
     rows = sorted((r["measurement_date"], r["parameter"], r["value"])
                   for r in readers.read_openaq_readings(spark, table).collect())
     assert rows == [(dt.date(2024, 1, 5), "no2", 1.5), (dt.date(2024, 1, 6), "so2", 0.0)]
+    # batch and stream append to one table
+    from cinderframe.operators import ingest, sinks
+    batch = ingest.parse_air_quality(
+        spark.createDataFrame([('{"date":"2024-01-07","parameter":"co","value":3}',)], "body string"),
+        dt.datetime(2024, 1, 8))
+    assert sinks.append_load(batch, table, "batch-1") == 1
+    assert readers.read_openaq_readings(spark, table).count() == 3
+    land("c.json", [{"date": "2024-01-08", "parameter": "no2", "value": 4}])
+    air_quality_stream.run_available(spark, landing, table, ckpt)
+    assert readers.read_openaq_readings(spark, table).count() == 4
     assert all(r["ingested_at"] is not None for r in readers.read_openaq_readings(spark, table).collect())
