@@ -29,7 +29,8 @@ from cinderframe.session import local_session  # noqa: E402
 HEADLINE = [
     "stg_sensor", "scope1_emissions", "scope2", "co2_intensity", "net_zero", "benchmark_gap",
     "dq_results", "rpt_kpi", "rpt_benchmark_latest", "rpt_trend", "stg_owid", "ingest_openaq",
-    "flag_anomaly", "audit_summary", "export_co2_intensity",
+    "flag_anomaly", "audit_summary", "export_co2_intensity", "load_replace_day",
+    "stream_ingest_sensor", "ingest_owid",
 ]
 
 
