@@ -136,7 +136,7 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     return loaded
 
 
-def overwrite_table(df: DataFrame, path: str) -> int:
+def overwrite_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:
     """Full refresh (truncate + insert) of a table; returns rows written.
 
     The new rows are written beside the table and swapped in by renaming, so there is a complete
@@ -146,7 +146,7 @@ def overwrite_table(df: DataFrame, path: str) -> int:
     run = uuid.uuid4().hex[:12]
     obs = Observation("written")
     fresh, old = f"{path}__new-{run}", f"{path}__old-{run}"
-    df.observe(obs, F.count(F.lit(1)).alias("n")).write.parquet(fresh)
+    df.observe(obs, F.count(F.lit(1)).alias("n")).write.partitionBy(*partition_by).parquet(fresh)
     if path_exists(spark, path):
         _rename(spark, path, old)
         try:
@@ -159,6 +159,30 @@ def overwrite_table(df: DataFrame, path: str) -> int:
     return int(obs.get.get("n", 0))
 
 
+def write_plant_days(df: DataFrame, path: str, since: dt.date | None = None) -> int:
+    """Write a table of plant-days into ``reading_month=`` directories; returns rows written.
+
+    Without ``since`` it is a full refresh.  With it, ``df`` has the plant-days from the first day
+    of that month on, and only those months are replaced: a month that ``df`` no longer has is
+    dropped, earlier months aren't touched.  Repeating the call repairs a failed one."""
+    spark = df.sparkSession
+    rows = (df.withColumn("reading_month", reading_month()).hint("rebalance", "reading_month")
+            .sortWithinPartitions("reading_month", "reading_date", "plant_id"))
+    if since is None or not path_exists(spark, path):
+        return overwrite_table(rows, path, ("reading_month",))
+    obs = Observation("written")
+    (rows.observe(obs, F.count(F.lit(1)).alias("n"), F.collect_set("reading_month").alias("months"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("reading_month").parquet(path))
+    written = obs.get
+    fs, hpath = _location(spark, path)
+    for status in fs.listStatus(hpath):  # one directory a month
+        name, _, month = status.getPath().getName().partition("=")
+        if name == "reading_month" and month >= since.strftime("%Y-%m") and month not in written["months"]:
+            fs.delete(status.getPath(), True)
+    return int(written["n"])
+
+
 def append_load(df: DataFrame, path: str, load_id: str) -> int:
     """Append a batch as a directory ``load_id=`` of its own; an empty batch writes nothing.
 

@@ -15,7 +15,7 @@ import os
 import uuid
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import config as C
@@ -106,15 +106,17 @@ def land_fixtures(spark: SparkSession, sf_dir: str, wh: Warehouse,
 
 # --- transform (staging -> intermediate -> marts -> checks -> export) ------------------
 
-def _daily_readings(spark: SparkSession, wh: Warehouse, stg_sensor: DataFrame,
-                    since: dt.date | None) -> DataFrame:
-    """The plant-day aggregate table: fully rebuilt, or -- with ``since``, from which on
-    ``stg_sensor`` has the readings -- merged with the stored aggregate of the earlier days."""
-    fresh = scopes.daily_plant_readings(stg_sensor)
-    if since is None:
+def _with_history(spark: SparkSession, wh: Warehouse, fresh: DataFrame, cut: dt.date | None) -> DataFrame:
+    """The plant-days from ``cut`` on with the preceding reading days that their windows need: of
+    each plant the last ones that the stored table has before ``cut``."""
+    if cut is None:
         return fresh
-    kept = spark.read.parquet(wh.path("int_daily_plant_readings"))
-    return kept.where(F.col("reading_date") < F.lit(since)).unionByName(fresh)
+    newest_first = Window.partitionBy("plant_id").orderBy(F.desc("reading_date"))
+    stored = readers.read_plant_days(spark, wh.path("int_daily_plant_readings"))
+    before = (stored.where((F.col("reading_date") < F.lit(cut)) & (F.col("reading_count") > 0))
+              .withColumn("back", F.row_number().over(newest_first))
+              .where(F.col("back") <= max(C.ROLLING_LONG_ROWS - 1, C.CHANGE_LAG_ROWS)).drop("back"))
+    return before.unionByName(fresh.where(F.col("reading_date") >= F.lit(cut)))
 
 
 def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
@@ -125,31 +127,38 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     The CO2 mart reads the stored Scope 2 and Scope 3 tables (a plant may replace them by
     metered values: see ``scope2`` below).
 
-    ``since`` makes the run incremental: only raw days from ``since`` on are re-read (a
-    load replaces whole plant-days, so earlier aggregates are unchanged).  Everything after
-    the plant-day aggregate is recomputed from that small table, which keeps the row-based
-    windows exact: a window's 29 preceding reading days come from the stored aggregate.
+    ``since`` makes the run incremental: raw months before its month aren't read, and of the
+    plant-day tables only the months from there on are replaced.  The row-based windows stay
+    exact, as their preceding reading days come from the stored aggregate.
     ``scope2`` takes the place of the estimated Scope 2 rows (reading_date, plant_id,
     scope2_intensity_kg_per_t, grid_emission_factor_kg_per_kwh, reading_count).
     """
     res = RunResult()
-    if since is not None and not sinks.path_exists(spark, wh.path("int_daily_plant_readings")):
-        since = None  # nothing stored yet: a full run
+    cut = None if since is None else since.replace(day=1)
+    if cut and not sinks.path_exists(spark, wh.path("int_daily_plant_readings")):
+        cut = None  # nothing stored yet: a full run
 
     def write(name: str, df: DataFrame) -> DataFrame:
-        path = wh.path(name)
-        if "reading_date" in df.columns:
-            # Files sorted by day (no shuffle): date-window reports skip row groups.
-            df = df.sortWithinPartitions("reading_date", "plant_id")
-        res.rows[name] = sinks.overwrite_table(df, path)
-        res.tables[name] = path
-        return spark.read.parquet(path)
+        res.tables[name] = wh.path(name)
+        res.rows[name] = sinks.overwrite_table(df, wh.path(name))
+        return spark.read.parquet(wh.path(name))
+
+    def write_days(name: str, df: DataFrame) -> DataFrame:
+        """Replace the run's months; returns them, from the stored table."""
+        res.tables[name] = wh.path(name)
+        if cut:
+            df = df.where(F.col("reading_date") >= F.lit(cut))
+        res.rows[name] = sinks.write_plant_days(df, wh.path(name), cut)
+        stored = spark.read.parquet(wh.path(name))
+        if cut:
+            stored = stored.where(F.col("reading_month") >= cut.strftime("%Y-%m"))
+        return stored.drop("reading_month")
 
     raw_sensor = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"))
     raw_owid = readers.read_owid_emissions(spark, wh.path("raw_owid_emissions"))
     raw_iea = readers.read_iea_benchmarks(spark, wh.path("raw_iea_benchmarks"))
-    # The days this run reads: all, or (incremental) the days loaded since ``since``.
-    scanned = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"), since)
+    # The days this run reads: all, or (incremental) those of the months from ``since`` on.
+    scanned = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"), cut)
 
     # staging: lazy views
     stg_sensor = staging.stg_sensor_readings(scanned, cfg)
@@ -157,16 +166,20 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     stg_iea = staging.stg_iea_benchmarks(raw_iea, cfg)
 
     # intermediate: one aggregate of the readings, then plant-day sized tables
-    daily = write("int_daily_plant_readings", _daily_readings(spark, wh, stg_sensor, since))
-    s1 = write("int_scope1_emissions", scopes.scope1_emissions(daily, cfg))
-    s2 = write("int_scope2_emissions", scopes.scope2_emissions(daily) if scope2 is None else scope2)
-    s3 = write("int_scope3_emissions", scopes.scope3_emissions(s1))
+    daily = write_days("int_daily_plant_readings", scopes.daily_plant_readings(stg_sensor))
+    s1 = write_days("int_scope1_emissions",
+                    scopes.scope1_emissions(_with_history(spark, wh, daily, cut), cfg))
+    s2 = write_days("int_scope2_emissions",
+                    scopes.scope2_emissions(daily) if scope2 is None else scope2)
+    s3 = write_days("int_scope3_emissions", scopes.scope3_emissions(s1))
     write("stg_owid_emissions", stg_owid)
 
-    # marts: LEFT JOINs of the stored scopes, sized by plant-days
-    co2 = write("mart_co2_intensity", marts.co2_intensity_joined(s1, s2, s3, run_ts))
-    nzp = write("mart_net_zero_progress", marts.net_zero_progress(co2, cfg))
-    bgap = write("mart_benchmark_gap", marts.benchmark_gap(co2, stg_iea))
+    # marts: LEFT JOINs of the stored scopes, sized by the plant-days of these months
+    co2 = write_days("mart_co2_intensity", marts.co2_intensity_joined(s1, s2, s3, run_ts))
+    write_days("mart_net_zero_progress", marts.net_zero_progress(co2, cfg))
+    write_days("mart_benchmark_gap", marts.benchmark_gap(co2, stg_iea))
+    co2, nzp, bgap = (readers.read_plant_days(spark, wh.path(name)) for name in (
+        "mart_co2_intensity", "mart_net_zero_progress", "mart_benchmark_gap"))
 
     # checks: of the whole tables, reported and logged, never blocking the export
     results = write("data_test_results",
@@ -175,7 +188,7 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     # Every row stamped by a load since the last run lies in the re-read days, so the stored
     # maximum and theirs give the table's maximum.
     previous = None
-    if since is not None and sinks.path_exists(spark, wh.path("source_freshness")):
+    if cut and sinks.path_exists(spark, wh.path("source_freshness")):
         previous = spark.read.parquet(wh.path("source_freshness"))
     write("source_freshness", quality.freshness(scanned, "raw_sensor_readings", run_ts,
                                                 previous=previous))

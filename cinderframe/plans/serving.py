@@ -19,7 +19,7 @@ def report(spark: SparkSession, wh: Warehouse, name: str, as_of: dt.date,
            days: int | None = None, cfg: PipelineConfig = DEFAULT) -> DataFrame:
     """One report over the stored marts; ``days`` is the window of the windowed reports."""
     days = days if days is not None else cfg.report_days
-    co2 = spark.read.parquet(wh.path("mart_co2_intensity"))
+    co2 = readers.read_plant_days(spark, wh.path("mart_co2_intensity"))
     if name == "latest":
         return reports.latest_per_plant(co2)
     if name == "trend":
@@ -31,11 +31,11 @@ def report(spark: SparkSession, wh: Warehouse, name: str, as_of: dt.date,
     if name == "scope_share":
         return reports.scope_share(co2)
     if name == "progress":
-        return reports.progress(spark.read.parquet(wh.path("mart_net_zero_progress")), as_of, days)
+        return reports.progress(readers.read_plant_days(spark, wh.path("mart_net_zero_progress")), as_of, days)
     if name == "benchmark":
-        return reports.benchmark(spark.read.parquet(wh.path("mart_benchmark_gap")), as_of, days)
+        return reports.benchmark(readers.read_plant_days(spark, wh.path("mart_benchmark_gap")), as_of, days)
     if name == "benchmark_latest":
-        return reports.benchmark_latest(spark.read.parquet(wh.path("mart_benchmark_gap")), as_of, days)
+        return reports.benchmark_latest(readers.read_plant_days(spark, wh.path("mart_benchmark_gap")), as_of, days)
     if name == "pipeline_log":
         return reports.pipeline_log_recent(readers.read_pipeline_log(spark, wh.log))
     raise ValueError(f"unknown report {name!r}; one of {REPORTS}")

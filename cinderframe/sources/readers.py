@@ -25,6 +25,11 @@ def read_sensor_readings(spark: SparkSession, path: str, since: dt.date | None =
     return stored.select(*schemas.RAW_SENSOR_READINGS.names)
 
 
+def read_plant_days(spark: SparkSession, path: str) -> DataFrame:
+    """A stored table of plant-days (daily aggregates, scopes, marts), by months on disk."""
+    return spark.read.parquet(path).drop("reading_month")
+
+
 def read_owid_emissions(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.RAW_OWID_EMISSIONS).parquet(path)
 

@@ -81,13 +81,13 @@ def test_the_run_prunes_its_scan(spark, tmp_table, monkeypatch):
     pipeline.ingest_sensor_batch(spark, wh, fixtures.unflagged_sensor_readings(spark, SF).limit(300), RUN_TS)
     pipeline.ingest_benchmarks(spark, wh, RUN_TS)
     spark.createDataFrame([], schemas.RAW_OWID_EMISSIONS).write.parquet(wh.path("raw_owid_emissions"))
-    seen, write = {}, sinks.overwrite_table
+    seen, write = {}, sinks.write_plant_days
 
-    def spy(df, path):
+    def spy(df, path, since=None):
         seen[path.rsplit("/", 1)[1]] = plan(df)
-        return write(df, path)
+        return write(df, path, since)
 
-    monkeypatch.setattr(sinks, "overwrite_table", spy)
+    monkeypatch.setattr(sinks, "write_plant_days", spy)
     pipeline.transform(spark, wh, RUN_TS)
     text = seen["int_daily_plant_readings"]
     pushed = re.search(r"PushedFilters: \[(.*)\]", text).group(1)

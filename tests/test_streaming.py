@@ -57,7 +57,7 @@ def test_incremental_transform_equals_full(spark, tmp_table):
 
     wh = pipeline.Warehouse(tmp_table("wh"))
     run_ts = dt.datetime(2024, 3, 1)
-    days = [D1 + dt.timedelta(days=k) for k in range(45)]
+    days = [D1 + dt.timedelta(days=k) for k in range(75)]
     rows = [(d, p, s, v + k) for k, d in enumerate(days) for p in ("A", "B")
             for s, v in (("CO2_emission_intensity", 650.0), ("specific_heat_consumption", 700.0),
                          ("O2_flue_gas", 2.0))]
@@ -73,10 +73,13 @@ def test_incremental_transform_equals_full(spark, tmp_table):
     fix = [(d, "A", "CO2_emission_intensity", 900.0) for d in days[-3:]]
     pipeline.ingest_sensor_batch(spark, wh, readings(spark, fix).drop("ingested_at"), run_ts)
     later = dt.datetime(2024, 3, 9)
-    pipeline.transform(spark, wh, later, since=days[-3])
-    incremental = spark.read.parquet(wh.path("mart_co2_intensity")).drop("updated_at").collect()
+    january = wh.path("mart_co2_intensity/reading_month=2024-01")
+    before = {f: os.stat(f"{january}/{f}").st_mtime_ns for f in os.listdir(january)}
+    res = pipeline.transform(spark, wh, later, since=days[-3])
+    assert {f: os.stat(f"{january}/{f}").st_mtime_ns for f in os.listdir(january)} == before
+    assert res.rows["mart_co2_intensity"] == 30  # the plant-days of March
+    incremental = readers.read_plant_days(spark, wh.path("mart_co2_intensity")).drop("updated_at").collect()
     from cinderframe.operators import quality
-    from cinderframe.sources import readers
     scanned = quality.freshness(readers.read_sensor_readings(spark, wh.path("raw_sensor_readings")),
                                 "raw_sensor_readings", later).first()
     stored = spark.read.parquet(wh.path("source_freshness")).first()
@@ -92,11 +95,24 @@ def test_incremental_transform_equals_full(spark, tmp_table):
     assert tests["not_null_raw_sensor_readings_sensor"] == "fail"
 
     pipeline.transform(spark, wh, run_ts)  # full rebuild for reference
-    full = spark.read.parquet(wh.path("mart_co2_intensity")).drop("updated_at").collect()
+    full = readers.read_plant_days(spark, wh.path("mart_co2_intensity")).drop("updated_at").collect()
     assert sorted(map(tuple, incremental)) == sorted(map(tuple, full))
     last = [r for r in full if r["plant_id"] == "A" and r["reading_date"] == days[-1]][0]
     assert last["scope1_kg_per_t"] == 900.0 and last["reading_count"] == 1
-    assert spark.read.parquet(wh.path("mart_co2_intensity")).where(F.col("plant_id") == "B").count() == 45
+    assert readers.read_plant_days(spark, wh.path("mart_co2_intensity")).where(F.col("plant_id") == "B").count() == 75
+
+
+def test_months_that_lose_all_rows_are_dropped(spark, tmp_table):
+    from cinderframe.operators import sinks
+    path = tmp_table("t")
+
+    def rows(*days):
+        return spark.createDataFrame([(d, "A", 1) for d in days], "reading_date date, plant_id string, v int")
+
+    assert sinks.write_plant_days(rows(D1, dt.date(2024, 2, 1), dt.date(2024, 3, 1)), path) == 3
+    assert sinks.write_plant_days(rows(dt.date(2024, 2, 5)), path, dt.date(2024, 2, 1)) == 1
+    got = sorted(r["reading_date"] for r in readers.read_plant_days(spark, path).collect())
+    assert got == [D1, dt.date(2024, 2, 5)]
 
 
 def test_air_quality_stream_appends_exactly_once(spark, tmp_table):
