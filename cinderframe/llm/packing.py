@@ -79,11 +79,11 @@ class WordIds(dict):
         split, letters, others = [], set(), set()
         for w in new:
             core = w.rstrip(_CLOSING)
-            plain = core.lower()
-            if b"<|" not in w and _only_letters(plain):
-                split.append((w, plain, w[len(core):]))
+            if core.isalpha() or b"<|" not in w and _only_letters(core):
+                plain, rest = core.lower(), w[len(core):]
+                split.append((w, plain, rest))
                 letters.add(plain)
-                others.add(w[len(core):])
+                others.add(rest)
             else:
                 split.append((w, w, b""))
                 others.add(w)
@@ -91,8 +91,13 @@ class WordIds(dict):
         self._encode(list(others.difference(self.parts)))
         self.update((w, self.parts[a] + self.parts[b]) for w, a, b in split)
 
+    @staticmethod
+    def words(text: bytes) -> list[bytes]:
+        """The words of a text; lowered, as the tokenizer does, unless special tokens may be in it."""
+        return (text if b"<|" in text else text.lower()).split()
+
     def ids(self, text: bytes) -> bytes:
-        words = text.split()
+        words = self.words(text)
         try:
             return b"".join(map(self.__getitem__, words))
         except KeyError:
@@ -220,7 +225,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int =
         packer = Packer(partition, size)
         for batch in text_batches(batches, limit=4 << 20):
             texts = byte_texts(batch)
-            words.learn(set().union(*(t.split() for t in texts)))
+            words.learn(set().union(*map(words.words, texts)))
             for doc, text in zip(batch.column(0).to_pylist(), texts):
                 ids = words.ids(text) + end
                 packer.add(doc, 0, ids, len(ids) // 4)
