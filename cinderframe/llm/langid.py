@@ -198,15 +198,18 @@ def training_rows(docs: DataFrame) -> DataFrame:
 
     Rows are taken by a hash of their id, at a rate that follows each language's row count, so
     every language fills its share and nothing is sorted or gathered to choose them."""
-    labelled = docs.where("lang is not null and text is not null").select("doc_id", "lang", "text")
-    rates = labelled.groupBy("lang").agg(F.count("*").alias("rows"))
+    labelled = docs.where("lang is not null and text is not null and doc_id is not null")
+    rates = written(labelled.groupBy("lang").agg(F.count("*").alias("rows")), "rates")
     big = F.lit(1_000_003)
     share = F.pmod(F.xxhash64("doc_id", F.lit(11)), big) / big
+    # The ids are chosen first, so that no text moves for the choice.
+    chosen = written(labelled.select("doc_id", "lang").join(rates, "lang")
+                     .where(share < F.lit(float(TRAIN_ROWS)) / F.col("rows"))
+                     .select("doc_id", "lang").distinct(), "chosen")
     words = F.split("text", r"\s+")
     start = F.floor(F.pmod(F.xxhash64("doc_id", F.lit(13)), big) / big
                     * F.greatest(F.size(words) - ROW_WORDS, F.lit(0))).cast("int") + 1
-    return (labelled.join(rates, "lang")
-            .where(share < F.lit(float(TRAIN_ROWS)) / F.col("rows"))
+    return (labelled.join(chosen, ["doc_id", "lang"])
             .select("lang", F.array_join(F.slice(words, start, ROW_WORDS), " ").alias("text")))
 
 
