@@ -34,7 +34,18 @@ def written(df: DataFrame, name: str, batch_rows: int | None = None) -> DataFram
         df.write.parquet(path)
     finally:
         spark.conf.set(ROWS_SETTING, before)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def forget(*tables: DataFrame) -> None:
+    """Delete written tables that every later step has done with: what is still to be computed
+    reads tables written since."""
+    for table in tables:
+        sc = table.sparkSession.sparkContext
+        path = sc._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(sc._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_batches(batches: Iterator[pa.RecordBatch], column: str = "text",
@@ -122,17 +133,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
             .select(F.col("src").alias("was"), F.least("best", ranked("src"))["id"].alias("now")),
             "pick")
         if labels is None:
-            labels = pick.select(F.col("was").alias("node"), F.col("now").alias("label"))
+            now = pick.select(F.col("was").alias("node"), F.col("now").alias("label"))
         else:
-            labels = (labels.join(pick, F.col("label") == F.col("was"), "left")
-                      .select("node", F.coalesce("now", "label").alias("label")))
-        labels = written(labels, "labels")
-        edge = written(
+            now = (labels.join(pick, F.col("label") == F.col("was"), "left")
+                   .select("node", F.coalesce("now", "label").alias("label")))
+        now = written(now, "labels")
+        left = written(
             edge.join(pick, F.col("src") == F.col("was")).select(F.col("now").alias("a"), "dst")
             .join(pick, F.col("dst") == F.col("was")).select("a", F.col("now").alias("b"))
             .where("a <> b")
             .select(F.least("a", "b").alias("src"), F.greatest("a", "b").alias("dst")).distinct(),
             "edges")
-        step += 1
+        forget(edge, pick, *([labels] if labels is not None else []))
+        edge, labels, step = left, now, step + 1
+    forget(edge)
     smallest = labels.groupBy("label").agg(F.min("node").alias("component"))
     return labels.join(smallest, "label").select("node", "component")

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (WordHashes, byte_texts, connected_components, mixed, shingle_hashes,
+from .common import (WordHashes, byte_texts, connected_components, forget, mixed, shingle_hashes,
                      text_batches, written)
 
 COORDINATES = 64
@@ -145,6 +145,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     classes = written(known.groupBy("class").agg(
         F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"),
         F.first("signature").alias("signature"), F.first("sketch").alias("sketch")), "classes")
+    rows = written(signed.select("doc_id", "n_shingles", "class"), "rows")
+    forget(signed)
 
     # One shuffle by value serves the count and, with it, the pruning of lonely postings.
     posts = (classes.select("node", "n", F.explode("signature").alias("value"))
@@ -170,7 +172,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
                  for i in range(SKETCH_WORDS)), F.lit(0))
     alike = ((F.least("n", "m") * 100 >= F.greatest("n", "m") * percent)
              & (apart * (100 + percent) <= (F.col("n") + F.col("m")) * (100 - percent)))
-    prefix = prefix.join(signs.select("node", "sketch"), "node")
+    posted = prefix
+    prefix = posted.join(signs.select("node", "sketch"), "node")
     hubs = prefix.groupBy("value").agg(F.min(F.struct("node", "n", "sketch")).alias("hub"))
     by_hub = (prefix.join(hubs.select("value", F.col("hub.node").alias("src"),
                                       F.col("hub.n").alias("m"), F.col("hub.sketch").alias("other")),
@@ -194,10 +197,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
               .where("src < dst and c <> d").where(alike).select("src", "dst"))
     second = written(_links(across, signs, sets, percent), "links", batch_rows=TEXT_ROWS)
     linked = connected_components(first.unionByName(second))
-
-    component = classes.select("class", "node").join(linked, "node", "left").select(
-        "class", F.coalesce("component", "node").alias("component_id"))
-    return (signed.select("doc_id", "n_shingles", "class").join(component, "class", "left")
+    component = written(
+        classes.select("class", "node").join(linked, "node", "left")
+        .select("class", F.coalesce("component", "node").alias("component_id")), "component")
+    forget(classes, signs, sets, posted, first, found, open_, second)
+    return (rows.join(component, "class", "left")
             .withColumn("component_id", F.coalesce("component_id", "doc_id"))
             .select("doc_id", "n_shingles", "component_id",
                     F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept")))

@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, mixed, text_batches, written
+from .common import byte_texts, forget, mixed, text_batches, written
 
 LENGTH = 400
 GRAM = 64
@@ -283,6 +283,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, step: int = STEP):
         kinds.join(kinds.groupBy("anchor").agg(F.count("*").alias("variants")), "anchor")
         .where("copies > 1 or variants > 1"), "kinds")
     shared = written(runs.join(kinds, ["anchor", "run"]), "shared")
+    forget(runs, kinds)
     same_key = [F.col("doc_id").eqNullSafe(F.col("d")), F.col("mark") == F.col("m")]
 
     whole = shared.where("copies > 1").select("doc_id", "mark", F.col("first").alias("lo"),
@@ -335,7 +336,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, step: int = STEP):
         "doc_id", "mark", "begin", F.explode("windows").alias("w"))
     part_spans = parts.select("doc_id", "mark", (F.col("begin") + F.col("w.a")).alias("lo"),
                               (F.col("begin") + F.col("w.b") - 1 + length).alias("hi"))
-    return whole.unionByName(part_spans), texts
+    spans = written(whole.unionByName(part_spans), "spans")
+    forget(shared, chunks, strings)
+    return spans, texts
 
 
 def _merged_spans(spans: list[dict], size: int) -> list[tuple[int, int]]:
@@ -385,6 +388,7 @@ def repeat_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .select("doc_id", "mark", "text", "_llm_spans")
         .mapInArrow(_digest, "doc_id long, mark long, n_removed long, n_spans long, "
                     "kept_sha256 string"), "cut", batch_rows=TEXT_ROWS)
+    forget(spans, texts)
     plain = _marked(docs).select("doc_id", "mark", F.octet_length("text").cast("long").alias("n_bytes"),
                                  F.sha2("text", 256).alias("sha256"))
     cut = cut.withColumnsRenamed({"doc_id": "_llm_doc", "mark": "_llm_mark"})
@@ -399,7 +403,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
     A character of which a byte was removed goes as a whole; ``n_chars``, if there, is set to
     the new length.  Null texts stay null."""
-    spans, _ = repeated_spans(docs, length)
+    spans, texts = repeated_spans(docs, length)
+    forget(texts)
     names = docs.columns
     key = [F.col("doc_id").cast("long").eqNullSafe(F.col("_llm_doc")),
            F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))) == F.col("_llm_mark")]
@@ -416,7 +421,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = docs.join(_by_text(written(spans, "spans")), key, "left").select(*names, "_llm_spans")
+    out = docs.join(_by_text(spans), key, "left").select(*names, "_llm_spans")
     out = written(out.mapInArrow(cut, schema), "cut", batch_rows=TEXT_ROWS)
     if "n_chars" in names:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

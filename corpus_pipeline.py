@@ -15,7 +15,7 @@ from cinderframe.llm import decontam, langid, minhash, packing, suffix
 from cinderframe.llm.common import written
 from cinderframe.llm.queries import table, word_tokenizer
 
-LEAST_SCORE = 0.4  # mean probability that a document's language needs
+LEAST_SCORE = 0.3  # mean probability that a document's best language needs; mixed ones keep more
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,14 +23,10 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     The model learns from the labelled documents of the stage's own input."""
     model = langid.train(docs)
-    names = docs.columns
-    plain = docs.select([F.col(c).alias(f"c{i}") for i, c in enumerate(names)]
-                        + [F.col("text").cast("string").alias("text")])
-    judged = written(langid.predict(plain, model)
-                     .where((F.col("lang_pred") != langid.UNDETERMINED)
-                            & (F.col("score") >= LEAST_SCORE)),
-                     "language", batch_rows=langid.TEXT_ROWS)
-    return judged.select([F.col(f"c{i}").alias(c) for i, c in enumerate(names)])
+    names = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
+    judged = langid.predict(docs.select([F.col(c).alias(n) for c, n in names.items()]), model)
+    kept = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    return kept.select([F.col(n).alias(c) for c, n in names.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +35,12 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Of repeated rows of that id one stays; rows without id or without words stay."""
     judged = written(minhash.near_duplicates(docs, percent=80), "judged")
     id_ = docs["doc_id"]
-    gone = judged.where("not kept").select(F.col("doc_id").alias("_llm_doc")).distinct()
+    gone = written(judged.where("not kept").select(F.col("doc_id").alias("_llm_doc")).distinct(), "gone")
+    again = written(judged.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_llm_doc"))
+                    .agg(F.count("*").alias("n")).where("n > 1").select("_llm_doc"), "again")
     left = docs.join(gone, id_ == F.col("_llm_doc"), "left_anti")
-    again = (judged.where("doc_id is not null").groupBy(F.col("doc_id").alias("_llm_doc"))
-             .agg(F.count("*").alias("n")).where("n > 1").select("_llm_doc"))
+    if again.isEmpty():  # no id is repeated: nothing more to choose
+        return left
     repeated = left.join(again, id_ == F.col("_llm_doc"), "left_semi")
     once = left.join(again, id_ == F.col("_llm_doc"), "left_anti")
     return once.unionByName(repeated.dropDuplicates(["doc_id"]))
