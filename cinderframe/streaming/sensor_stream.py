@@ -2,13 +2,15 @@
 
 A delivery is a folder ``delivery=<id>`` of Parquet files in the landing directory; ids sort by
 age (a time stamp, for example).  A file-source stream notices new files (its checkpoint records
-which were seen) and every micro-batch loads the deliveries that it saw files of, *as a whole*:
-a delivery that lands over several triggers is loaded again when more of it appears.  Loading
-flags anomalies, then replaces the plant-days of the delivery, which is idempotent, so a
-micro-batch that is replayed after a failure writes the same result again.
-
-Where several deliveries of a micro-batch carry the same plant-day (a correction landed before
-the previous one was processed), the newest delivery wins, with all its files.
+which were seen) and every micro-batch loads the plant-days that its files hold, *as a whole*:
+a plant-day that lands over several files and triggers is loaded again when more of it appears.
+Loading flags anomalies, then replaces these plant-days, which is idempotent, so a micro-batch
+that is replayed after a failure writes the same result again.
+
+Where several deliveries carry the same plant-day, the newest of *all landed* ones wins, with all
+its files, in whatever order the files arrive: a late file of an older delivery doesn't undo a
+correction.  So deliveries stay in the landing directory as long as older ones may still grow.
+Files outside a delivery folder load too, as one delivery that is older than any named one.
 ``trigger(availableNow)`` processes everything that has landed and stops, which is how a
 scheduled run uses it; without it the same query runs continuously.
 """
@@ -51,19 +53,31 @@ def newest_delivery(rows: DataFrame) -> DataFrame:
 
 
 def landed(reader, landing_dir: str) -> DataFrame:
-    """Landed rows with their delivery and the time their file was landed."""
-    schema = T.StructType([*LANDED_SENSOR_SCHEMA.fields, T.StructField(DELIVERY, T.StringType())])
-    return reader.schema(schema).parquet(landing_dir).select(
-        *schema.names, F.col("_metadata.file_modification_time").alias("ingested_at"))
+    """Landed rows with their delivery and the time their file was landed.
+
+    The delivery is read from the file's path (empty outside a delivery folder): partition
+    discovery would leave out files beside the folders."""
+    # The path is a URI (escaped), and the folder's name in it has the escapes of a partition value.
+    folder = F.regexp_extract("_metadata.file_path", rf"/{DELIVERY}=([^/]*)/[^/]*$", 1)
+    for _ in range(2):
+        folder = F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))
+    return (reader.schema(LANDED_SENSOR_SCHEMA).option("recursiveFileLookup", True).parquet(landing_dir)
+            .select(*LANDED_SENSOR_SCHEMA.names, folder.alias(DELIVERY),
+                    F.col("_metadata.file_modification_time").alias("ingested_at")))
 
 
 def load_micro_batch(landing_dir: str, table_path: str, cfg: PipelineConfig = DEFAULT):
-    """The ``foreachBatch`` function: whole deliveries -> newest per plant-day -> flag -> replace."""
+    """The ``foreachBatch`` function: plant-days seen -> newest landed delivery -> flag -> replace."""
 
     def load(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        seen = batch.where(F.col(DELIVERY) > "").select(DELIVERY).distinct()
-        rows = newest_delivery(landed(spark.read, landing_dir).join(seen, DELIVERY, "left_semi"))
+        days = batch.agg(F.min("reading_date").alias("first"), F.max("reading_date").alias("last")).first()
+        if days["first"] is None:
+            return
+        # The range of days reaches the scan; the semi-join keeps the very plant-days.
+        near = landed(spark.read, landing_dir).where(
+            F.col("reading_date").between(F.lit(days["first"]), F.lit(days["last"])))
+        rows = newest_delivery(near.join(batch.select(*_KEYS).distinct(), _KEYS, "left_semi"))
         run_ts = dt.datetime(1970, 1, 1)  # only used where ingested_at is NULL (never here)
         sinks.replace_plant_days(ingest.flag_anomalies(rows.drop(DELIVERY), cfg), table_path, run_ts)
 

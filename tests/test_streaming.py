@@ -49,6 +49,32 @@ def test_a_delivery_of_many_files_arrives_whole(spark, tmp_table):
     assert [v for _, _, _, v, _ in _values(spark, table)] == [float(i) for i in range(200)]
 
 
+def test_a_late_file_of_an_older_delivery_keeps_the_correction(spark, tmp_table):
+    landing, table, ckpt = tmp_table("landing"), tmp_table("table"), tmp_table("ckpt")
+    _land(spark, landing, "2024-01-01 10:00", [(D1, "A", "O2_flue_gas", 1.0, "pct")])
+    _land(spark, landing, "2024-01-01 11:00", [(D1, "A", "O2_flue_gas", 2.0, "pct")])
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    _land(spark, landing, "2024-01-01 10:00", [(D1, "A", "O2_flue_gas", 3.0, "pct"),
+                                               (D2, "A", "O2_flue_gas", 4.0, "pct")])
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    assert _values(spark, table) == [(D1, "A", "O2_flue_gas", 2.0, False), (D2, "A", "O2_flue_gas", 4.0, False)]
+
+
+def test_files_outside_a_delivery_folder_load(spark, tmp_table):
+    landing, table, ckpt = tmp_table("landing"), tmp_table("table"), tmp_table("ckpt")
+    _land(spark, landing, "1", [(D1, "A", "O2_flue_gas", 1.0, "pct")])
+    loose = [(D1, "A", "O2_flue_gas", 9.0, "pct"), (D2, "B", "O2_flue_gas", 5.0, "pct")]
+    (spark.createDataFrame(loose, sensor_stream.LANDED_SENSOR_SCHEMA).coalesce(1)
+     .write.mode("append").parquet(landing))
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    want = [(D1, "A", "O2_flue_gas", 1.0, False), (D2, "B", "O2_flue_gas", 5.0, False)]
+    assert _values(spark, table) == want
+    (spark.createDataFrame(loose[:1], sensor_stream.LANDED_SENSOR_SCHEMA).coalesce(1)
+     .write.parquet(f"{landing}/box"))
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    assert _values(spark, table) == want
+
+
 def test_incremental_transform_equals_full(spark, tmp_table):
     from pyspark.sql import functions as F
 
