@@ -32,18 +32,32 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked at a similarity of 0.8 or more, the one with the smallest id stays.
 
-    Of repeated rows of that id one stays; rows without id or without words stay."""
-    judged = written(minhash.near_duplicates(docs, percent=80), "judged")
-    id_ = docs["doc_id"]
-    gone = written(judged.where("not kept").select(F.col("doc_id").alias("_llm_doc")).distinct(), "gone")
-    again = written(judged.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("_llm_doc"))
-                    .agg(F.count("*").alias("n")).where("n > 1").select("_llm_doc"), "again")
-    left = docs.join(gone, id_ == F.col("_llm_doc"), "left_anti")
-    if again.isEmpty():  # no id is repeated: nothing more to choose
+    A document is an id with a text: several texts under one id are judged apart.  Of repeated
+    rows of a document one stays; rows without id or without words stay."""
+    id_, text = docs["doc_id"].cast("long"), docs["text"].cast("string")
+    texts = docs.where(id_.isNotNull()).groupBy(id_.alias("id")).agg(
+        F.min(F.xxhash64(text)).alias("lo"), F.max(F.xxhash64(text)).alias("hi"))
+    plain = texts.where("lo <> hi").isEmpty()  # every id has one text: the id names the document
+    key = id_ if plain else F.when(id_.isNotNull(), F.xxhash64(id_, F.xxhash64(text)))
+    judged = written(minhash.near_duplicates(
+        docs.select(key.alias("doc_id"), text.alias("text")), percent=80), "judged").select(
+        F.col("doc_id").alias("_llm_key"), "n_shingles", "component_id", "kept").where("_llm_key is not null")
+    if plain:
+        gone = judged.where("not kept").select("_llm_key").distinct()
+    else:
+        ids = docs.select(key.alias("_llm_key"), id_.alias("id")).distinct()
+        least = (judged.select("_llm_key", "component_id").distinct().join(ids, "_llm_key")
+                 .groupBy("component_id").agg(F.min(F.struct("id", "_llm_key"))["_llm_key"].alias("_llm_key")))
+        gone = judged.select("_llm_key").distinct().join(least, "_llm_key", "left_anti")
+    gone = written(gone, "gone")
+    again = written(judged.where("n_shingles > 0").groupBy("_llm_key").agg(F.count("*").alias("n"))
+                    .where("n > 1").select("_llm_key").join(gone, "_llm_key", "left_anti"), "again")
+    left = docs.join(gone, key == F.col("_llm_key"), "left_anti")
+    if again.isEmpty():  # no document is repeated: nothing more to choose
         return left
-    repeated = left.join(again, id_ == F.col("_llm_doc"), "left_semi")
-    once = left.join(again, id_ == F.col("_llm_doc"), "left_anti")
-    return once.unionByName(repeated.dropDuplicates(["doc_id"]))
+    repeated = left.join(again, key == F.col("_llm_key"), "left_semi")
+    once = left.join(again, key == F.col("_llm_key"), "left_anti")
+    return once.unionByName(repeated.withColumn("_llm_key", key).dropDuplicates(["_llm_key"]).drop("_llm_key"))
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -59,6 +59,18 @@ def test_near_duplicate_stage_keeps_one_of_repeated_rows(spark):
     assert sorted((r.doc_id or -1) for r in out.collect()) == [-1, 7]
 
 
+def test_near_duplicate_stage_judges_each_text_of_an_id(spark):
+    x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
+    rows = [(3, y), (5, y), (5, x), (5, x), (6, ""), (6, ""), (6, None), (7, z), (7, z + " end"), (9, x + " end"),
+            (None, y)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 0) for i, t in rows], DOCS)
+    out = [(r.doc_id or -1, r.text) for r in corpus_pipeline.near_duplicates(spark, docs, SF).collect()]
+    seven = [t for i, t in out if i == 7]
+    assert len(seven) == 1 and seven[0] in (z, z + " end")  # near copies under one id
+    assert sorted((i, "-" if t is None else t) for i, t in out if i != 7) == [
+        (-1, y), (3, y), (5, x), (6, ""), (6, ""), (6, "-")]
+
+
 def test_run_over_the_test_table(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     by = {}
