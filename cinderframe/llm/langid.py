@@ -1,6 +1,7 @@
 """Language identification of words and documents with a linear-chain CRF.
 
-A text is a sequence of words (runs of letters).  Each word gets a score per language from
+A text is a sequence of words (runs of letters; a run of more than ``LONGEST`` bytes, as in scripts
+without spaces, enters as consecutive pieces that are a word each).  Each word gets a score per language from
 its affixes (2-4 bytes at either end), its byte trigrams and a lexicon (the word itself); one
 learned matrix scores the transition between the languages of neighbouring words.
 Forward-backward gives the probability of every language for every word, so a text that
@@ -29,7 +30,9 @@ TRAIN_ROWS = 300         # rows for each language that they come from, about
 ROW_WORDS = 240          # words of one row, from a place that its hash names
 SEQUENCE = 32            # words in a sequence
 BUCKETS = 1 << 16        # rows of the feature weights
-LONGEST = 32             # bytes of a word that features read: its first and last 16
+LONGEST = 32             # bytes of a word; longer runs are cut into pieces
+OVERLAP = 2              # bytes that neighbouring pieces share: every trigram is in one of them
+CUT = b"\0"              # marks the ends of a piece where its run goes on
 EPOCHS, RATE, DECAY = 4, 0.1, 1e-4
 CACHED_WORDS = 300_000
 TEXT_ROWS = 512
@@ -53,9 +56,10 @@ def _hashed(h: np.ndarray) -> np.ndarray:
 
 
 def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(feature rows, whether present) of each word, as words x features arrays."""
-    half = LONGEST // 2
-    short = [w if len(w) <= LONGEST else w[:half] + w[-half:] for w in words]
+    """(feature rows, whether present) of each word or piece, as words x features arrays."""
+    first = np.fromiter((not w.startswith(CUT) for w in words), bool, len(words))
+    last = np.fromiter((not w.endswith(CUT) for w in words), bool, len(words))
+    short = [w.strip(CUT) for w in words]
     n = np.fromiter(map(len, short), np.int64, len(short))
     table = np.zeros((len(short), LONGEST), np.uint64)
     flat = np.frombuffer(b"".join(short), np.uint8)
@@ -72,15 +76,15 @@ def features(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     lexicon = np.zeros(len(short), np.uint64)
     for j in range(LONGEST):
         lexicon = lexicon * prime + table[:, j]
-    put(1, lexicon, n > 0)
+    put(1, lexicon, (n > 0) & first & last)
     every = np.arange(len(short))
     for size in (2, 3, 4):
         head, tail = np.zeros(len(short), np.uint64), np.zeros(len(short), np.uint64)
         for j in range(size):
             head = head * prime + table[:, j]
             tail = tail * prime + table[every, np.maximum(n - size + j, 0)]
-        put(10 + size, head, n >= size)
-        put(20 + size, tail, n >= size)
+        put(10 + size, head, (n >= size) & first)
+        put(20 + size, tail, (n >= size) & last)
     for j in range(LONGEST - 2):
         there = n >= j + 3
         if not there.any():
@@ -138,13 +142,31 @@ def words_of(text: str) -> list[str]:
     return _WORD.findall(text.lower())
 
 
+def pieces_of(words: list[str]) -> list[str | bytes]:
+    """The words, with those of more than ``LONGEST`` bytes cut into even pieces."""
+    out: list[str | bytes] = []
+    for word in words:
+        if 4 * len(word) <= LONGEST or len(run := word.encode("utf-8", "replace")) <= LONGEST:
+            out.append(word)
+            continue
+        size = len(run) - OVERLAP
+        count = -(-size // (LONGEST - OVERLAP))
+        at = [i * size // count for i in range(count + 1)]
+        out += [CUT * (i > 0) + run[at[i]: at[i + 1] + OVERLAP] + CUT * (i < count - 1) for i in range(count)]
+    return out
+
+
+def _bytes(word: str | bytes) -> bytes:
+    return word if isinstance(word, bytes) else word.encode("utf-8", "replace")
+
+
 def fit(samples: list[tuple[str, str]], seed: int = 7) -> Model:
     """Train on (language, text) rows: stochastic gradient of the conditional likelihood."""
     labels = sorted({lang for lang, _ in samples})
     rng = np.random.default_rng(seed)
     pieces = []  # (words, label numbers)
     for k, lang in enumerate(labels):
-        words = [w for l, t in samples if l == lang for w in words_of(t)]
+        words = [w for l, t in samples if l == lang for w in pieces_of(words_of(t))]
         pieces += [(words[i: i + SEQUENCE], k) for i in range(0, len(words), SEQUENCE)]
     order = rng.permutation(len(pieces))
     sequences = []
@@ -170,7 +192,7 @@ def fit(samples: list[tuple[str, str]], seed: int = 7) -> Model:
             lengths = np.array([len(w) for w, _ in some])
             steps = lengths.max()
             inside = np.arange(steps) < lengths[:, None]
-            flat = [w.encode() for ws, _ in some for w in ws]
+            flat = [_bytes(w) for ws, _ in some for w in ws]
             index, present = features(flat)
             scores = np.zeros((len(some), steps, size))
             scores[inside] = (weights[index] * present[:, :, None]).sum(1)
@@ -223,9 +245,20 @@ def train(docs: DataFrame) -> Model:
     for lang, texts in taken.items():
         left = TRAIN_WORDS
         for text in texts:
-            words = words_of(text)[:left]
+            words = []
+            for word in words_of(text):
+                cost = len(pieces_of([word]))
+                if cost > left:  # what is left of the sample takes the start of a long run
+                    word = word.encode("utf-8", "replace")[: left * (LONGEST - OVERLAP)].decode("utf-8", "ignore")
+                    cost = left
+                if word:
+                    words.append(word)
+                left -= cost
+                if not left:
+                    break
             samples.append((lang, " ".join(words)))
-            left -= len(words)
+            if not left:
+                break
     return fit([s for s in samples if s[1]])
 
 
@@ -234,10 +267,10 @@ def train(docs: DataFrame) -> Model:
 class _Labeller:
     def __init__(self, model: Model):
         self.model = model
-        self.rows: dict[str, int] = {}
+        self.rows: dict[str | bytes, int] = {}
         self.scores = np.zeros((1, len(model.labels)))
 
-    def _numbers(self, words: list[str]) -> np.ndarray:
+    def _numbers(self, words: list[str | bytes]) -> np.ndarray:
         new = list(dict.fromkeys(w for w in words if w not in self.rows))
         if len(self.rows) + len(new) > CACHED_WORDS:
             self.rows, new = {}, list(dict.fromkeys(words))
@@ -245,12 +278,12 @@ class _Labeller:
         if new:
             base = len(self.rows)
             self.rows.update((w, base + i) for i, w in enumerate(new))
-            more = _scores(self.model.weights, [w.encode("utf-8", "replace") for w in new])
+            more = _scores(self.model.weights, [_bytes(w) for w in new])
             self.scores = np.concatenate([self.scores[:base], more])
         return np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
 
     def documents(self, texts: list[str | None]) -> list[tuple[str, float]]:
-        found = [words_of(t) if t else [] for t in texts]
+        found = [pieces_of(words_of(t)) if t else [] for t in texts]
         sizes = [len(w) for w in found]
         words = self._numbers([w for ws in found for w in ws])
         # All sequences of all texts at once; a text's last sequence is padded.

@@ -190,6 +190,21 @@ def test_words_of_a_mixed_text_follow_their_language():
     assert 0.3 < score < 0.8 and model.transitions.argmax(1).tolist() == [0, 1, 2]
 
 
+def test_every_piece_of_a_long_run_counts():
+    labeller = langid._Labeller(langid.fit(tongues(random.Random(7), 40)))
+    middle = "".join(random.Random(9).choice(["tze", "sch", "ung", "pfe"]) for _ in range(3000))
+    ends = "kako" * 10
+    mixed, plain, short = labeller.documents([ends + middle + ends, ends * 200, middle + " ka ko ki"])
+    assert (mixed[0], plain[0], short[0]) == ("bb", "aa", "bb")
+    assert mixed[1] > 0.9 and short[1] > 0.9  # a long run has more weight than short words
+    for n in (1, 32, 33, 62, 63, 64, 1000):
+        run = bytes(random.Random(n).choice(b"abcdefgh") for _ in range(n))
+        pieces = [langid._bytes(p).strip(langid.CUT) for p in langid.pieces_of([run.decode()])]
+        assert all(len(p) <= langid.LONGEST for p in pieces)
+        assert sum(max(len(p) - 2, 0) for p in pieces) == max(n - 2, 0)
+        assert pieces[0] + b"".join(p[2:] for p in pieces[1:]) == run
+
+
 # --- pages -------------------------------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style></head><body class="home">
