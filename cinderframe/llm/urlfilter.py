@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window
 
 OPEN_END = "9999-12-31"
-PATH_DEPTH = 3  # path segments that a listed prefix may have
 
 
 def url_host(url: Column) -> Column:
@@ -41,15 +40,26 @@ def domains(host: Column) -> Column:
             lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
 
 
-def prefixes(host: Column, path: Column) -> Column:
-    """host/first, host/first/second, ... to ``PATH_DEPTH`` segments."""
-    parts = F.filter(F.split(path, "/"), lambda p: p != "")
-    depth = F.least(F.size(parts), F.lit(PATH_DEPTH))
+def _segments(path: Column) -> Column:
+    return F.filter(F.split(path, "/"), lambda p: p != "")
+
+
+def prefixes(host: Column, path: Column, deepest: int) -> Column:
+    """host/first, host/first/second, ... to ``deepest`` segments."""
+    parts = _segments(path)
+    depth = F.least(F.size(parts), F.lit(deepest))
     return F.when((host == "") | (depth < 1), F.array().cast("array<string>")).otherwise(
         F.transform(F.sequence(F.lit(1), depth),
                     lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(parts, 1, i), "/"))))
 
 
+def entry_of(entry: Column) -> Column:
+    """A listed entry as captures are looked up: the host in lower case, the path's case kept,
+    without empty segments and trailing slash."""
+    return F.concat_ws("/", F.lower(F.substring_index(entry, "/", 1)),
+                       _segments(F.regexp_extract(entry, r"^[^/]*(/.*)?$", 1)))
+
+
 def _month(day: Column) -> Column:
     return (F.year(day) * 12 + F.month(day)).cast("int")
 
@@ -62,7 +72,7 @@ def intervals(history: DataFrame) -> DataFrame:
     key = ["list_name", "entry"]
     clean = (history.where("entry is not null and listed_at is not null and active is not null")
              .select(F.coalesce("list_name", F.lit("")).alias("list_name"),
-                     F.lower("entry").alias("entry"), "listed_at", "active")
+                     entry_of(F.col("entry")).alias("entry"), "listed_at", "active")
              .groupBy(*key, "listed_at").agg(F.min("active").alias("active")))
     by_time = Window.partitionBy(*key).orderBy("listed_at")
     turns = (clean.withColumn("before", F.lag("active").over(by_time))
@@ -87,9 +97,11 @@ def evaluate(captures: DataFrame, history: DataFrame) -> DataFrame:
     asked = rows.select("host", "path", "fetched_at").where("host <> '' and fetched_at is not null")
     last = captures.agg(F.max("fetched_at").alias("last")).scalar()
     first = captures.agg(F.min("fetched_at").alias("first")).scalar()
+    # Prefixes as deep as the deepest listed entry: more can't match.
+    deepest = history.agg(F.max(F.size(F.split(entry_of(F.col("entry")), "/")) - 1).alias("deepest")).first()[0] or 0
     keys = (asked.distinct()
             .withColumn("entry", F.explode(F.array_distinct(F.concat(
-                domains(host), prefixes(host, F.col("path"))))))
+                domains(host), prefixes(host, F.col("path"), deepest)))))
             .withColumn("month", _month(F.col("fetched_at"))))
     active = (intervals(history)
               .where((F.col("valid_from") <= last) & (F.col("valid_to") > first))

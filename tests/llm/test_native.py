@@ -139,6 +139,19 @@ def test_lists_as_of_the_fetch(spark):
     assert urlfilter.evaluate(df, lists.limit(0)).where("listed").count() == 0
 
 
+def test_list_entries_of_any_case_and_depth(spark):
+    at = dt.datetime(2024, 1, 1)
+    entries = ["X.com/News", "y.org/a/b/c/d/e/", "z.net/"]
+    lists = spark.createDataFrame([("l", e, at, True) for e in entries],
+                                  "list_name string, entry string, listed_at timestamp, active boolean")
+    urls = {"http://x.com/News/1": "x.com/News", "http://x.com/news/1": None, "http://X.COM/News": "x.com/News",
+            "http://y.org/a/b/c/d/e/f/g?q": "y.org/a/b/c/d/e", "http://y.org/a/b/c/d": None, "http://z.net/q": "z.net"}
+    captures = spark.createDataFrame([(i, u, at) for i, u in enumerate(urls)],
+                                     "page_id long, url string, fetched_at timestamp")
+    got = {r.url: r.entry for r in urlfilter.evaluate(captures, lists).collect()}
+    assert got == urls
+
+
 def test_native_queries_run_no_python(spark):
     for name in ("op2_url_filter", "op4_chat_format", "op5_warc_derivatives"):
         plan = plan_of(QUERIES[name](spark, "/root/testdata/sf0.001"))
