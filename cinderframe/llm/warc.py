@@ -9,6 +9,8 @@ compressed files.  All of it is DataFrame functions.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,9 +19,18 @@ _BLANK = "(?is)<!--.*?-->|" + "|".join(
     rf"<{t}\b.*?</{t}\s*>" for t in ("script", "style", "noscript", "template", "head"))
 _BREAK = (r"(?i)</?(?:p|div|article|section|main|header|footer|nav|aside|ul|ol|li|table|tr|h[1-6]|"
           r"blockquote|pre|form|br|hr)\b[^>]*>")
-# Named character references that are decoded, besides numeric ones.
-_NAMED = (("&nbsp;", " "), ("&quot;", '"'), ("&apos;", "'"), ("&copy;", "©"),
-          ("&middot;", "·"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&"))
+# Frequent named character references, looked up first; &nbsp; is a space of the text.
+_NAMED = (("nbsp;", " "), ("quot;", '"'), ("apos;", "'"), ("copy;", "©"),
+          ("middot;", "·"), ("lt;", "<"), ("gt;", ">"), ("amp;", "&"))
+# All names of the HTML standard, in hexadecimal: a name such as &DownArrow; would read like an
+# operator in the text of a plan.  Then those that it also knows without a semicolon (but for the
+# frequent ones, which need theirs here), the longest first.
+_REFERENCES = "\1".join(f"{name.encode().hex().upper()}\2{char}" for name, char in html5.items() if name.endswith(";"))
+_OPEN = sorted((n for n in html5 if not n.endswith(";") and f"{n};" not in dict(_NAMED)), key=lambda n: (-len(n), n))
+# Code points 128 to 159 mean those of Windows-1252.
+_WINDOWS = {n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
+
+_OTHERS = f"&(?!{'|'.join(name for name, _ in _NAMED)})[#a-zA-Z]"
 
 RECORD = ["record_id", "warc_type", "refers_to", "target_uri", "warc_date", "content_type",
           "block_digest", "payload_digest", "content_length", "block"]
@@ -73,6 +84,48 @@ def http_body(block: Column) -> Column:
     return F.when(at > 0, F.substr(block, at + 4)).otherwise(block)
 
 
+def _numeric(ref: Column) -> Column:
+    """Character of a numeric reference ``#8217;`` or ``#x2019;``; U+FFFD for no code point."""
+    digits = F.regexp_extract(ref, "^#[xX]?0*([0-9a-fA-F]*)", 1)
+    short = F.substring(digits, 1, 8)
+    code = F.when(F.length(digits) > 8, F.lit(0x110000)).when(digits == "", F.lit(0)).otherwise(
+        F.when(ref.rlike("^#[xX]"), F.conv(short, 16, 10).cast("long")).otherwise(F.try_to_number(short, F.lit("99999999")).cast("long")))
+    char = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+    windows = F.element_at(F.create_map(*[F.lit(x) for kv in _WINDOWS.items() for x in kv]), code.cast("int"))
+    return (F.when((code == 0) | (code > 0x10FFFF) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+            .when(code.between(128, 159), F.coalesce(windows, char)).when(code == 160, F.lit(" ")).otherwise(char))
+
+
+def decoded(text: Column, attribute: bool = False) -> Column:
+    """``text`` with its character references decoded, each once.
+
+    Unknown names stay as they are; in an attribute, so do names without a semicolon before
+    a letter, a digit or an equals sign."""
+    names = F.str_to_map(F.lit(_REFERENCES), F.lit("\1"), F.lit("\2"))
+    stop = "(?![0-9A-Za-z=])" if attribute else ""
+    open_ = rf"^(?:{'|'.join(_OPEN)}){stop}"
+
+    def one(part: Column) -> Column:
+        name = F.regexp_extract(part, "^[A-Za-z][0-9A-Za-z]*;", 0)
+        number = F.regexp_extract(part, "^#(?:[xX][0-9a-fA-F]+|[0-9]+);?", 0)
+        bare = F.regexp_extract(part, open_, 0)
+
+        def rest(ref: Column) -> Column:
+            return F.substr(part, F.length(ref) + 1)
+        out = F.when(F.lit(False), part)
+        for ref, char in _NAMED:
+            out = out.when(part.startswith(ref), F.concat(F.lit(char), F.substr(part, F.lit(len(ref) + 1))))
+        known = F.try_element_at(names, F.hex(name))
+        return (out.when(number != "", F.concat(_numeric(number), rest(number)))
+                .when((name != "") & known.isNotNull(), F.concat(known, rest(name)))
+                .when(bare != "", F.concat(F.try_element_at(names, F.hex(F.concat(bare, F.lit(";")))), rest(bare)))
+                .otherwise(F.concat(F.lit("&"), part)))
+
+    parts = F.split(text, "&")
+    return F.when(~text.contains("&"), text).otherwise(F.concat(F.element_at(parts, 1), F.array_join(
+        F.transform(F.slice(parts, F.lit(2), F.size(parts)), one), "")))
+
+
 def title(html: Column) -> Column:
     return F.trim(F.regexp_replace(
         F.regexp_extract(html, r"(?is)<title[^>]*>([^<]*)", 1), r"\s+", " "))
@@ -80,16 +133,25 @@ def title(html: Column) -> Column:
 
 def links(html: Column) -> Column:
     """The href values of the page's anchors, in page order, once each."""
-    return F.array_distinct(F.regexp_extract_all(
-        html, F.lit(r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""), F.lit(1)))
+    found = F.regexp_extract_all(
+        html, F.lit(r"""(?i)<a\s(?:[^>]*?[\s"'])?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>][^\s>]*)"""), F.lit(1))
+    return F.array_distinct(F.transform(found, lambda x: decoded(
+        F.when(x.rlike("^[\"']"), F.substr(x, F.lit(2), F.length(x) - 2)).otherwise(x), attribute=True)))
 
 
-def plain_text(html: Column) -> Column:
-    """The page's text: scripts, styles, head, comments and tags go, block tags break lines."""
+def _untagged(html: Column) -> Column:
+    """Scripts, styles, head, comments and tags go, block tags break lines."""
     text = F.regexp_replace(F.regexp_replace(html, _BLANK, ""), _BREAK, "\n")
-    text = F.regexp_replace(text, r"<[a-zA-Z/!?][^>]*>", "")
-    for name, char in _NAMED:
-        text = F.replace(text, F.lit(name), F.lit(char))
+    return F.regexp_replace(text, r"<[a-zA-Z/!?][^>]*>", "")
+
+
+def plain_text(untagged: Column) -> Column:
+    """The page's text, from what is left without its tags."""
+    frequent = untagged
+    for name, char in _NAMED:  # &amp; last: what it leaves isn't decoded again
+        frequent = F.replace(frequent, F.lit(f"&{name}"), F.lit(char))
+    # Most pages have frequent references alone, which are cheaper to replace one after another.
+    text = F.when(untagged.rlike(_OTHERS), decoded(untagged)).otherwise(frequent)
     text = F.regexp_replace(text, r"[ \t\r\f\x0B]+", " ")
     return F.regexp_replace(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
 
@@ -104,8 +166,9 @@ def derivatives(source: DataFrame) -> DataFrame:
     rows = source.where("warc_type = 'response'").select(
         "page_id", "record_id", "target_uri", "warc_date", "block_digest", "payload_digest",
         "content_length", http_headers(block).alias("http"), http_body(block).alias("html"))
-    read = rows.select("*", title(F.col("html")).alias("title"), links(F.col("html")).alias("links"),
-                       plain_text(F.col("html")).alias("text"))
+    read = (rows.select("*", title(F.col("html")).alias("title"), links(F.col("html")).alias("links"),
+                        _untagged(F.col("html")).alias("untagged"))
+            .select("*", plain_text(F.col("untagged")).alias("text")).drop("untagged"))
 
     def field(name: str, value: Column) -> Column:
         return F.concat(F.lit(f"{name}: "), F.coalesce(value.cast("string"), F.lit("")), F.lit(CRLF))

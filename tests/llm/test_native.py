@@ -100,6 +100,18 @@ def test_warc_derivatives(spark, tmp_path):
     assert sorted(records) == sorted([("conversion", conversion.block), ("metadata", metadata.block)])
 
 
+def test_warc_references_and_unquoted_links(spark):
+    html = ("<p>It&#8217;s &#x27;caf&eacute;&#X27; &mdash; &hellip;&rsquo; &amp;eacute; &#38;lt; &bogus; AT&T &notin; "
+            "&eacutex &#150; &#xD800; &#99999999999; &#128512; a&#160;b &NotEqualTilde;</p>"
+            "<a href=/x>l</a><a class=k href=/y?a=1&amp;b=2&copy=3 id=q>m</a><a href='/it&#39;s'>n</a>"
+            "<a data-href='/no' href=\"/o'k\">o</a><a href=''>p</a>")
+    pages = spark.createDataFrame([(1, "u", html, "h", "b")], PAGES)
+    by = {r.warc_type: r.block for r in warc.derivatives(warc.responses(pages)).collect()}
+    assert by["conversion"] == ("It’s 'café' — …’ &eacute; &lt; &bogus; AT&T ∉ éx – \ufffd \ufffd 😀 a b ≂̸\nlmnop")
+    assert [f for f in by["metadata"].split("\r\n") if f.startswith("outlink")] == [
+        "outlink: /x", "outlink: /y?a=1&b=2&copy=3", "outlink: /it's", "outlink: /o'k", "outlink: "]
+
+
 def test_lists_as_of_the_fetch(spark):
     def day(n):
         return dt.datetime(2024, 1, 1) + dt.timedelta(days=n)
