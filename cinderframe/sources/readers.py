@@ -8,8 +8,13 @@ prune directories and date predicates skip row groups.
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
+import json
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,24 +56,81 @@ COUNTRY_COLUMNS = ["country", "year", "co2", "co2_per_capita", "cement_co2", "en
 _CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
 
 
+_MARK = "\ufeff"  # byte-order mark
+
+
+def _files(rows: DataFrame) -> list[str]:
+    """Names of the files that ``rows`` come from."""
+    return sorted(r["file"] for r in rows.select("file").distinct().collect())
+
+
+def _whole(spark: SparkSession, files: list[str]) -> DataFrame:
+    """(file, value) of the given files, each read as one text."""
+    jvm = spark._jvm  # file names are URIs, with escapes that a path has not
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in files]
+    return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+
+
+def _csv_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for file, text in zip(*(c.to_pylist() for c in batch.columns)):
+            records = [r for r in csv.reader(io.StringIO(text.removeprefix(_MARK), newline=""))
+                       if any(x.strip() for x in r)]
+            yield pa.RecordBatch.from_arrays([pa.array([file] * len(records), pa.string()),
+                                              pa.array(records, pa.list_(pa.string()))], names=["file", "fields"])
+
+
+def _json_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The records of all documents of a text, whatever their line breaks."""
+    decoder = json.JSONDecoder()
+    for batch in batches:
+        for file, text in zip(*(c.to_pylist() for c in batch.columns)):
+            text, at, bodies = text.removeprefix(_MARK).strip(), 0, []
+            while at < len(text):
+                try:
+                    found, at = decoder.raw_decode(text, at)
+                except json.JSONDecodeError as e:
+                    raise ValueError(f"{file} holds a document that doesn't parse: {e}") from e
+                for document in found if isinstance(found, list) else [found]:
+                    if not isinstance(document, dict) or not isinstance(document.get("results") or [], list):
+                        raise ValueError(f"{file} holds a document without a list of results")
+                    bodies += [json.dumps(r, ensure_ascii=False) for r in document.get("results") or []]
+                while at < len(text) and text[at].isspace():
+                    at += 1
+            yield pa.RecordBatch.from_arrays([pa.array(bodies, pa.string())], names=["body"])
+
+
 def read_country_csv(spark: SparkSession, path: str) -> DataFrame:
     """Landed country-emissions CSV files, columns matched by name.
 
-    Every file has its own header line (the one that names ``country`` and ``year``); its order
-    holds for that file alone.  Fields may be quoted; a record is one line.  Every column is
-    text, an empty field NULL; typing is done by ``try_cast`` in the cleaning step, so a
-    malformed number becomes NULL instead of failing the load.  Columns that a file lacks are
-    NULL, others are ignored."""
+    Every file has its own header line (the one that names ``country`` and ``year``, in any case,
+    with spaces around or a byte-order mark); its order holds for that file alone.  A file with
+    rows but no header line fails the load.  Fields may be quoted; files with line breaks in
+    quoted fields are read whole, the others line by line.  Every column is text, an empty
+    field NULL; typing is done by ``try_cast`` in the cleaning step, so a malformed number
+    becomes NULL instead of failing the load.  Columns that a file lacks are NULL, others are
+    ignored."""
     quoted = F.lit(_CSV_FIELD)
-    lines = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.transform(F.regexp_extract_all(F.regexp_replace("value", "\r$", ""), quoted, F.lit(1)),
+    text = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", f"^{_MARK}", "").alias("value"))
+    torn = _files(text.where(F.regexp_count("value", F.lit('"')) % 2 == 1))
+    if torn:
+        text = text.where(~F.col("file").isin(torn))
+    lines = text.where(F.trim("value") != "").select(
+        "file", F.transform(F.regexp_extract_all(F.regexp_replace("value", "\r$", ""), quoted, F.lit(1)),
                     lambda x: F.when(x.startswith('"'), F.replace(
                         F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"')))
                     .otherwise(x)).alias("fields"))
-    is_header = F.array_contains("fields", "country") & F.array_contains("fields", "year")
-    headers = lines.where(is_header).groupBy("file").agg(F.first("fields").alias("names"))
-    rows = lines.where(~is_header).join(headers, "file")
+    if torn:
+        whole = _whole(spark, torn).mapInArrow(_csv_records, "file string, fields array<string>")
+        lines = lines.unionByName(whole)
+    lines = lines.withColumn("names", F.transform("fields", lambda x: F.lower(F.trim(
+        F.regexp_replace(x, _MARK, "")))))
+    is_header = F.array_contains("names", "country") & F.array_contains("names", "year")
+    headers = lines.where(is_header).groupBy("file").agg(F.first("names").alias("names"))
+    rows = lines.where(~is_header).drop("names").join(headers, "file", "left").withColumn(
+        "names", F.coalesce("names", F.raise_error(F.concat(
+            F.lit("no header line with country and year: "), "file")).cast("array<string>")))
 
     def named(name: str) -> F.Column:
         at = F.array_position("names", name).cast("int")
@@ -78,13 +140,22 @@ def read_country_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_air_quality_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Landed API responses, one JSON document per line: ``{"results": [record, ...]}``.
+    """Landed API responses, JSON documents ``{"results": [record, ...]}``.
 
-    Lines are split over tasks and a document is exploded into one ``body`` string per
-    record.  Records keep their raw JSON so that fields with two shapes (``date`` as object or
+    Files of a document per line are split over tasks; files with a line that isn't a document
+    are read whole, as documents formatted over several lines.  One that doesn't parse then
+    fails the load.  A document is exploded into one ``body`` string per record.  Records keep their raw JSON so that fields with two shapes (``date`` as object or
     string) are resolved by path, not by schema inference."""
-    parsed = F.from_json("value", "struct<results: array<string>>")
-    return spark.read.text(path).select(F.explode(parsed["results"]).alias("body"))
+    parsed = F.from_json("value", "struct<results: array<string>, _corrupt: string>",
+                         {"columnNameOfCorruptRecord": "_corrupt"})
+    lines = (spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
+             .where(F.trim("value") != "").withColumn("parsed", parsed))
+    odd = _files(lines.where(F.col("parsed").isNull() | F.col("parsed._corrupt").isNotNull()
+                             | F.col("parsed.results").isNull()))
+    if not odd:
+        return lines.select(F.explode("parsed.results").alias("body"))
+    whole = _whole(spark, odd).mapInArrow(_json_records, "body string")
+    return lines.where(~F.col("file").isin(odd)).select(F.explode("parsed.results").alias("body")).unionByName(whole)
 
 
 def read_air_quality_records(spark: SparkSession, path: str) -> DataFrame:

@@ -114,6 +114,44 @@ def test_air_quality_documents_reader(spark, tmp_table):
     assert parsed.where(F.col("parameter") == "pm25").agg(F.sum("value")).first()[0] == 4.5
 
 
+def test_documents_of_any_line_format(spark, tmp_table):
+    import os
+
+    import pytest
+    path = tmp_table("some docs")
+    os.makedirs(path)
+    record = {"date": "2024-01-01", "parameter": "no2", "value": 1.5}
+    doc = {"meta": {"page": 1}, "results": [record, {**record, "date": {"utc": "2024-01-02T00:00:00Z"}}]}
+    for name, text in (("a 1.json", json.dumps(doc, indent=2)), ("b.json", json.dumps(doc) + "\n" + json.dumps(doc)),
+                       ("c.json", json.dumps(doc, indent=1) + "\n" + json.dumps(doc, indent=1)),
+                       ("d.json", json.dumps({"results": []}) + "\n\n")):
+        with open(f"{path}/{name}", "w") as f:
+            f.write(text)
+    assert ingest.parse_air_quality(readers.read_air_quality_documents(spark, path)).count() == 10
+    with open(f"{path}/e.json", "w") as f:
+        f.write(json.dumps(doc) + "\n" + json.dumps(doc)[:-9])
+    with pytest.raises(Exception, match="doesn't parse"):
+        readers.read_air_quality_documents(spark, path).collect()
+
+
+def test_country_csv_headers_and_line_breaks(spark, tmp_table):
+    import os
+
+    import pytest
+    path = tmp_table("some csv")
+    os.makedirs(path)
+    for name, text in (("a.csv", "\ufeffCountry, Year ,CO2\nChina,2021,1\n\n"),
+                       ("b 1.csv", 'year,note,country\r\n2022,"two\r\nlines, ""x""",Laos\r\n2023,,"Viet\nNam"\r\n')):
+        with open(f"{path}/{name}", "w", newline="") as f:
+            f.write(text)
+    got = sorted((r.country, r.year, r.co2) for r in readers.read_country_csv(spark, path).collect())
+    assert got == [("China", "2021", "1"), ("Laos", "2022", None), ("Viet\nNam", "2023", None)]
+    with open(f"{path}/c.csv", "w") as f:
+        f.write("nation,year\nChad,2021\n")
+    with pytest.raises(Exception, match="no header line"):
+        readers.read_country_csv(spark, path).collect()
+
+
 def test_recent_air_quality(spark):
     rows = [(AS_OF - dt.timedelta(days=k), "L", "TH", p, float(k), "u")
             for k in range(12) for p in ("no2", "pm25", "co")]
