@@ -7,7 +7,10 @@ sums the votes per host; each page is then extracted again with its host's winni
 the order of their votes, and only by its own best container if it has none of them.
 
 Navigation, page headers, footers, asides, forms, adverts, notices, comments and the like are
-never part of a container's text, whether named by tag, role, class or id.
+never part of a container's text, whether named by tag, role, class or id.  A name counts if it
+consists of furniture words and neutral ones ("site-nav", not "search-term" or "has-sidebar");
+inline elements, headings and an element that holds most of the page's paragraph text are
+never cut by a name.
 """
 
 from __future__ import annotations
@@ -49,23 +52,53 @@ share sharing social related recommended newsletter subscribe signup login searc
 contentinfo complementary skip
 """.split())
 
+# Words that say nothing beside a furniture word; words that make a header the
+# article's own; words after which a name tells what an element has or lacks.
+NEUTRAL = frozenset("""
+site page main global primary secondary top bottom left right upper lower first last sticky fixed mobile
+desktop area bar block box button buttons col column container content group icon icons inner outer item
+items js link links list panel row section slot the unit widget wrap wrapper zone post posts entry article
+""".split())
+OWN_HEADER = frozenset("article content entry main page post section story".split())
+DESCRIBING = frozenset("has no not with without hide hides show shows hidden".split())
+UNCUT = INLINE | frozenset("h1 h2 h3 h4 h5 h6 html body article main".split())
+# Elements whose id is mostly the anchor of a passage.
+ANCHORED = (PARAGRAPH | {"section"}) - {"td", "th"}
+MOST = 0.5  # share of the page's paragraph text from which an element isn't cut by its name
+
 _TAG = re.compile(r"""<(?:!--(?P<note>.*?(?:-->|\Z))|(?P<kind>[/!?]?)(?P<name>[a-zA-Z][^\s/>]*+)"""
                   r"""(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?P<end>>|\Z))""", re.S)
-_NAMED = re.compile(r"""(?:^|[\s"'])(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
-_HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_ATTRIBUTE = re.compile(r"""([^\s"'<>/=]++)(?:\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>][^\s>]*+)))?""")
+_NO_DISPLAY = re.compile(r"display\s*:\s*none", re.I)
 _NUMBER = re.compile(r"\d+")
 _SPLIT = re.compile(r"[\s_\-:.]+|(?<=[a-z])(?=[A-Z])")
 
 
-def _names(rest: str) -> tuple[str, bool]:
-    """Generalised classes of a tag, and whether its class, id or role names furniture."""
-    classes, furniture = [], False
-    for m in _NAMED.finditer(rest):
-        value = m[2] or m[3] or m[4] or ""
-        furniture = furniture or any(w.lower() in FURNITURE for w in _SPLIT.split(value))
-        if m[1].lower() == "class":
+def _furniture(name: str, inside: bool) -> bool:
+    """Whether a class, id or role is a name of page furniture; ``inside`` an article or not."""
+    words = [w.lower() for w in _SPLIT.split(_NUMBER.sub("", name)) if w]
+    for i, word in enumerate(words):
+        if word in DESCRIBING:
+            words = words[:i]
+            break
+    if inside or OWN_HEADER.intersection(words):
+        words = [w for w in words if w != "header"]
+    return bool(FURNITURE.intersection(words)) and all(w in FURNITURE or w in NEUTRAL for w in words)
+
+
+def _names(tag: str, rest: str, inside: bool) -> tuple[str, bool, bool]:
+    """Generalised classes of a tag, whether its class, id or role names furniture, if it's hidden."""
+    classes, furniture, hidden = [], False, False
+    for m in _ATTRIBUTE.finditer(rest):
+        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
+        if name == "class":
             classes += [_NUMBER.sub("", c) for c in value.split()]
-    return "".join(f".{c}" for c in sorted(set(classes)) if c), furniture
+        if name in ("class", "role") or (name == "id" and tag not in ANCHORED):
+            furniture = furniture or any(_furniture(v, inside) for v in value.split())
+        hidden = (hidden or name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true")
+                  or (name == "style" and bool(_NO_DISPLAY.search(value))))
+    label = "".join(f".{c}" for c in sorted(set(classes)) if c)
+    return label, furniture and tag not in UNCUT, hidden
 
 
 class Page:
@@ -76,6 +109,7 @@ class Page:
         self.paths: list[str] = [""]
         self.blocks: list[tuple[int, str, int, bool]] = []
         self._stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, element, skipped
+        self._named: set[int] = set()  # elements that a name calls furniture
         self._text: list[str] = []
         self._linked = 0
         self._links = 0
@@ -113,16 +147,16 @@ class Page:
                     break
             self._flush()
         _, parent, skipped = stack[-1]
-        label, furniture = _names(rest) if rest else ("", False)
-        if not skipped:
-            inside = any(n in ("article", "main") for n, _, _ in stack)
-            skipped = (name in SKIPPED or (furniture and name not in ("html", "body", "article", "main"))
-                       or (name == "header" and not inside) or bool(rest and _HIDDEN.search(rest)))
+        inside = bool(rest or name == "header") and any(n in ("article", "main") for n, _, _ in stack)
+        label, furniture, hidden = _names(name, rest, inside) if rest else ("", False, False)
+        skipped = skipped or hidden or name in SKIPPED or (name == "header" and not inside)
         element = parent
         if name not in INLINE:
             element = len(self.parents)
             self.parents.append(parent)
             self.paths.append(f"{self.paths[parent]}/{name}{label}")
+            if furniture:
+                self._named.add(element)
         stack.append((name, element, skipped))
         self._links += name == "a"
 
@@ -170,6 +204,22 @@ class Page:
                 self._open(name, rest)
         self._pop_to(1)
         self._flush()
+        self._cut()
+
+    def _cut(self) -> None:
+        """Drop the blocks of furniture elements, but of those with most of the paragraph text."""
+        if not self._named:
+            return
+        held = [0] * len(self.parents)
+        for element, text, linked, paragraph in self.blocks:
+            if paragraph:
+                held[element] += max(len(text) - linked, 0)
+        for e in range(len(held) - 1, 0, -1):  # parents come before their children
+            held[self.parents[e]] += held[e]
+        gone = [False] * len(held)
+        for e in range(1, len(held)):
+            gone[e] = gone[self.parents[e]] or (e in self._named and held[e] <= MOST * held[0])
+        self.blocks = [b for b in self.blocks if not gone[b[0]]]
 
     def best(self) -> tuple[str, float]:
         """Path and score of the best container; the deepest of equals.  No text: ("", 0)."""

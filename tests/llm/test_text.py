@@ -232,6 +232,23 @@ def test_extract_one_page():
     assert html.extract("<p>" + "<b>" * 3000 + "deep", []) == "deep"
 
 
+def test_names_that_only_mention_furniture_are_kept():
+    body = "<p>The article has a first paragraph.</p><p>And it has a second one.</p>"
+    text = "The article has a first paragraph.\nAnd it has a second one."
+    for wrapper in ("class='content has-sidebar'", "id=page class=no-sidebar", "class='post with-comments'",
+                    "class=form", "id=main-menu", "data-class=ad", 'title="a hidden gem"', "data-x='display:none'"):
+        assert html.extract(f"<body><div {wrapper}>{body}</div></body>", []) == text, wrapper
+    assert html.extract(f"<article><div class='entry-header'><h1>T</h1></div>{body}</article>", []) == "T\n" + text
+    assert html.extract(f"<div><h2 class='post-header'>T</h2>{body}</div>", []) == "T\n" + text
+    for name in ("related-work", "navigation", "cookie-policy"):
+        assert html.extract(f"<div>{body}<h2 id='{name}'>H</h2><section id={name}><p>more</p></section></div>",
+                            []) == text + "\nH\nmore"
+    assert html.extract("<p>a <span class='search-term'>b</span> c</p>", []) == "a b c"
+    for gone in ("class='site-nav'", "class=ad-slot-3", "id=comments", "role=complementary", "class='x sidebar'",
+                 "hidden", "hidden=''", "aria-hidden=true", "style='color:red;display: none'"):
+        assert html.extract(f"<div>{body}<div {gone}><p>gone</p></div></div>", []) == text, gone
+
+
 def test_main_text_votes_by_host(spark):
     plain = "<html><body><div class='main1'><p>{0}</p></div><div class='extra'>{1}</div></body></html>"
     rows = [(i, f"http://a.org/{i}", plain.format("long article text " * 9, "short"), "h", None)
