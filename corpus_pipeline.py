@@ -15,7 +15,15 @@ from cinderframe.llm import decontam, langid, minhash, packing, suffix
 from cinderframe.llm.common import written
 from cinderframe.llm.queries import table, word_tokenizer
 
-LEAST_SCORE = 0.3  # mean probability that a document's best language needs; mixed ones keep more
+# How far a document's best language must be above an even answer, as a share of the way to
+# certainty: a mean probability of 0.3 with four learned languages.
+ABOVE_EVEN = 1 / 15
+
+
+def least_score(languages: int) -> float:
+    """Mean probability that the best of so many languages needs; with one there is no choice."""
+    even = 1 / max(languages, 1)
+    return even + ABOVE_EVEN * (1 - even) if languages > 1 else 0.0
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +33,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = langid.train(docs)
     names = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
     judged = langid.predict(docs.select([F.col(c).alias(n) for c, n in names.items()]), model)
-    kept = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= LEAST_SCORE))
+    kept = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= least_score(len(model.labels))))
     return kept.select([F.col(n).alias(c) for c, n in names.items()])
 
 

@@ -59,6 +59,16 @@ def test_near_duplicate_stage_keeps_one_of_repeated_rows(spark):
     assert sorted((r.doc_id or -1) for r in out.collect()) == [-1, 7]
 
 
+def test_language_stage_rejects_even_mixtures(spark):
+    assert abs(corpus_pipeline.least_score(4) - 0.3) < 1e-9 and corpus_pipeline.least_score(1) == 0.0
+    docs = corpus(spark).where("doc_id < 60")
+    text = {r.doc_id: r.text.split() for r in docs.collect()}
+    mixed = " ".join(w for a, b in zip(text[0], text[1]) for w in [a] * 2 + [b] * 2)
+    extra = spark.createDataFrame([(500, mixed, None, "s", 0)], DOCS)
+    kept = corpus_pipeline.language(spark, docs.unionByName(extra), SF)
+    assert {r.doc_id for r in kept.collect()} == set(range(60))
+
+
 def test_near_duplicate_stage_judges_each_text_of_an_id(spark):
     x, y, z = (" ".join(f"{c}{i}" for i in range(40)) for c in "xyz")
     rows = [(3, y), (5, y), (5, x), (5, x), (6, ""), (6, ""), (6, None), (7, z), (7, z + " end"), (9, x + " end"),
