@@ -194,5 +194,52 @@ judged as (
 select doc_id, item_id, max(similarity) as similarity,
        arg_max(start, similarity * 1e9 - start) as start_word, arg_max(n, similarity) as n_words
 from judged where 100 * similarity >= 80 group by doc_id, item_id
+""",
+    "op11_quality_rules": r"""
+with d as (select row_number() over () as row, doc_id, coalesce(text, '') as text from documents),
+w as (
+  select row, unnest(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) as word,
+         generate_subscripts(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), 1) as pos from d),
+per_words as (
+  select row, count(*) as n_words, sum(length(word)) as word_chars,
+         count(*) filter (lower(word) in (
+           'the', 'be', 'to', 'of', 'and', 'that', 'have', 'with', 'der', 'die', 'und', 'das', 'den', 'von',
+           'zu', 'mit', 'de', 'la', 'le', 'et', 'les', 'des', 'en', 'un', 'que', 'el', 'y', 'los', 'las',
+           'del', 'por', 'con')) as stops,
+         count(*) filter (regexp_matches(word, '\p{L}')) as letters
+  from w group by row),
+triples as (
+  select row, pos, word as a, lead(word) over (partition by row order by pos) as b,
+         lead(word, 2) over (partition by row order by pos) as c from w),
+twice as (
+  select row, pos from triples where c is not null
+  qualify count(*) over (partition by row, a, b, c) > 1),
+repeated as (
+  select row, count(distinct pos + k) as n_repeat_words from twice, (select unnest([0, 1, 2]) as k) group by row),
+l as (select row, unnest(string_split(text, chr(10))) as line from d),
+per_lines as (
+  select row, count(*) as n_lines, count(*) - count(distinct line) as n_dup_lines,
+         count(*) filter (regexp_matches(line, '^[\x20\x09-\x0D]*[-*\x{2022}]')) as bullets,
+         count(*) filter (regexp_matches(line, '(\.\.\.|\x{2026})[\x20\x09-\x0D]*$')) as dots
+  from l where regexp_matches(line, '[^\x20\x09-\x0D]') group by row),
+m as (
+  select doc_id, coalesce(n_words, 0) as n, cast(coalesce(word_chars, 0) as bigint) as chars,
+         cast(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as bigint) as symbols,
+         coalesce(stops, 0) as stops, coalesce(letters, 0) as letters, coalesce(n_lines, 0) as lines,
+         coalesce(n_dup_lines, 0) as dups, coalesce(bullets, 0) as bullets, coalesce(dots, 0) as dots,
+         coalesce(n_repeat_words, 0) as reps
+  from d left join per_words using (row) left join per_lines using (row) left join repeated using (row)),
+judged as (
+  select *, n < 50 or reps > 0.5 * n as base_failed,
+         concat_ws(',', case when chars < 2.5 * n or chars > 12 * n then 'word_length' end,
+                        case when symbols > 0.1 * n then 'symbols' end,
+                        case when stops < 0.04 * n then 'stop_words' end,
+                        case when letters < 0.8 * n then 'letters' end,
+                        case when dups > 0.5 * lines then 'duplicate_lines' end,
+                        case when bullets > 0.9 * lines then 'bullet_lines' end,
+                        case when dots > 0.3 * lines then 'ellipsis_lines' end) as failed from m)
+select doc_id, n as n_words, chars as word_chars, symbols as n_symbols, dups as n_dup_lines, reps as n_repeat_words,
+       base_failed, not base_failed and failed = '' as kept, failed
+from judged
 """,
 }

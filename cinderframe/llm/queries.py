@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embed, html, langid, minhash, packing, suffix, urlfilter, warc
+from . import chat, decontam, embed, html, langid, minhash, packing, rules, suffix, urlfilter, warc
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -70,6 +70,12 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                                  table(spark, sf_dir, "benchmark"), percent=80)
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = rules.judge(table(spark, sf_dir, "documents"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept", F.array_join("failed", ",").alias("failed"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -78,4 +84,4 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_url_filter, op3_packing, op4_chat_format,
     op5_warc_derivatives, op6_suffix_dedup, op7_html_extraction, op8_minhash_near_dedup,
-    op9_language_id, op10_decontamination, pipeline)}
+    op9_language_id, op10_decontamination, op11_quality_rules, pipeline)}
