@@ -241,5 +241,45 @@ judged as (
 select doc_id, n as n_words, chars as word_chars, symbols as n_symbols, dups as n_dup_lines, reps as n_repeat_words,
        base_failed, not base_failed and failed = '' as kept, failed
 from judged
+""",
+    "op13_periodic_runs": r"""
+with d as (
+  select row_number() over () as row, doc_id, cast(doc_id as varchar) as id,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+crc as (
+  select row, xor(list_reduce(
+    list_concat([4294967295], list_transform(range(0, 8 * length(id)),
+                lambda j: case when j % 8 = 0 then cast(ascii(id[j // 8 + 1]) as bigint) else 0 end)),
+    lambda acc, b: xor(xor(acc, b) >> 1, 3988292384 * (xor(acc, b) & 1))), 4294967295) as h from d),
+shape as (
+  select d.row, doc_id, w, len(w) as n, h % 10 = 0 and len(w) > 0 as planted,
+         (h // 10) % greatest(len(w), 1) as a, h // 10 as g from d join crc using (row)),
+texts as (
+  select row, doc_id, n, case when planted then list_transform(range(0, n), lambda i:
+           w[cast(case when i < a then i else a + (i - a) % (1 + (n - a) // (3 + g % 8)) end as bigint) + 1])
+         else w end as w from shape),
+words as (select row, n, unnest(w) as word, unnest(range(0, n)) as pos from texts),
+equal as (
+  select x.row, x.pos, y.pos - x.pos as q from words x join words y
+  on x.row = y.row and x.word = y.word and y.pos > x.pos and 4 * (y.pos - x.pos) <= x.n),
+islands as (
+  select row, q, pos, pos - row_number() over (partition by row, q order by pos) as island from equal),
+stretches as (select row, q, min(pos) as s, max(pos) + 1 + q as e from islands group by row, q, island),
+runs as (
+  select row, s, e - s as len, min(q) as q from stretches where e - s >= greatest(6, 4 * q) group by row, s, e),
+best as (
+  select row, s, len, q from runs
+  qualify row_number() over (partition by row order by cast(len as double) / q desc, s, q) = 1),
+listed as (
+  select row, count(*) as n_runs, string_agg(s || ',' || len || ',' || q || chr(10), '' order by s, q) as lines
+  from runs group by row),
+dropped as (select distinct row, unnest(range(s + q, s + len)) as pos from runs),
+kept as (
+  select row, string_agg(word, ' ' order by pos) as body
+  from words anti join dropped using (row, pos) group by row)
+select t.doc_id, coalesce(l.n_runs, 0) as n_runs, b.s as start, b.len as length, b.q as period,
+       1000 * b.len // b.q as exponent_milli, sha256(coalesce(l.lines, '')) as runs_sha256,
+       sha256(coalesce(k.body, '')) as collapsed_sha256
+from texts t left join listed l using (row) left join best b using (row) left join kept k using (row)
 """,
 }

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, embed, html, langid, minhash, packing, rules, suffix, urlfilter, warc
+from . import (chat, decontam, embed, html, langid, minhash, packing, periods, rules, suffix,
+               urlfilter, warc)
+from .common import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +78,37 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", F.array_join("failed", ",").alias("failed"))
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)``; a tenth of the documents, by the CRC of the id, repeats its own words
+    from some place on with some period."""
+    code = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    trimmed = F.btrim("text", F.lit(" \t\n\x0b\f\r"))
+    words = F.split(trimmed, f"[{rules.SPACE}]+")
+    some = (code % 10 == 0) & (trimmed != "")
+    at = docs.select("doc_id", "text", F.when(some, words).alias("words"), F.floor(code / 10).alias("g"))
+    at = at.withColumn("n", F.size("words")).withColumn("a", F.when(F.col("words").isNotNull(), F.col("g") % F.col("n")))
+    at = at.withColumn("p", F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    again = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n").cast("long") - 1), lambda i: F.get(
+        "words", F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p")).cast("int")))
+    return at.select("doc_id", F.when(F.col("words").isNotNull(), F.array_join(again, " "))
+                     .otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = periods.periodic_runs(planted_runs(docs)).withColumn("best", periods.strongest(F.col("runs")))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(
+        r["start"].cast("string"), F.lit(","), r["length"].cast("string"), F.lit(","),
+        r["period"].cast("string"), F.lit("\n"))), "")
+    best = F.col("best")
+    return written(found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"), best["length"].alias("length"), best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).cast("long").alias("exponent_milli"),
+        F.sha2(lines, 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256")),
+        "periods", batch_rows=512)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -84,4 +117,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_url_filter, op3_packing, op4_chat_format,
     op5_warc_derivatives, op6_suffix_dedup, op7_html_extraction, op8_minhash_near_dedup,
-    op9_language_id, op10_decontamination, op11_quality_rules, pipeline)}
+    op9_language_id, op10_decontamination, op11_quality_rules,
+    op13_periodic_runs, pipeline)}
