@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (chat, decontam, embed, html, langid, minhash, packing, periods, rules, suffix,
+from . import (align, chat, decontam, embed, html, langid, minhash, packing, periods, rules, suffix,
                urlfilter, warc)
 from .common import written
 
@@ -78,6 +78,21 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", F.array_join("failed", ",").alias("failed"))
 
 
+def vocabulary(name: str) -> str:
+    """Path of a public tokenizer file; a parameter of the operators."""
+    import public_tokenizers
+    return str(public_tokenizers.path(name))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = align.alignments(table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.json"),
+                             vocabulary("piece_bpe_32k.model"))
+    digest = F.coalesce(F.sha2("groups", 256), F.lit(""))
+    aligned = written(found.withColumn("groups_sha256", F.when(F.col("docs").isNull(), digest)).drop("groups"),
+                      "aligned", batch_rows=align.TEXT_ROWS)
+    return align.link_counts(aligned)
+
+
 def planted_runs(docs: DataFrame) -> DataFrame:
     """``docs(doc_id, text)``; a tenth of the documents, by the CRC of the id, repeats its own words
     from some place on with some period."""
@@ -118,4 +133,4 @@ QUERIES = {f.__name__: f for f in (
     op1_embedding_near_dedup, op2_url_filter, op3_packing, op4_chat_format,
     op5_warc_derivatives, op6_suffix_dedup, op7_html_extraction, op8_minhash_near_dedup,
     op9_language_id, op10_decontamination, op11_quality_rules,
-    op13_periodic_runs, pipeline)}
+    op12_token_alignment, op13_periodic_runs, pipeline)}
