@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, text_batches, written
+from .common import byte_letters, byte_texts, text_batches, written
 
 CHUNK_BYTES = 4 << 20
 TEXT_ROWS = 2048
@@ -64,7 +64,7 @@ class ByteLevel:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-        letters = _byte_letters()
+        letters = byte_letters()
         vocabulary = self.tokenizer.get_vocab()
         special = {t.content for t in self.tokenizer.get_added_tokens_decoder().values()}
         self.pieces = [b""] * (max(vocabulary.values()) + 1)
@@ -98,16 +98,6 @@ class ByteLevel:
         return out
 
 
-def _byte_letters() -> dict[str, int]:
-    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 characters
-    for themselves, the other bytes for the code points from 256 on."""
-    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
-    letters = {chr(b): b for b in plain}
-    for n, b in enumerate(sorted(set(range(256)) - set(plain))):
-        letters[chr(256 + n)] = b
-    return letters
-
-
 class Pieces:
     """A sentence-piece model; U+2581 is a space, ``<0xHH>`` a byte."""
 

@@ -71,19 +71,31 @@ def byte_texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     return [t or b"" for t in col.cast(pa.binary()).to_pylist()]
 
 
+def byte_letters() -> dict[str, int]:
+    """The letter that stands for each byte in byte-level vocabularies: printable Latin-1 characters
+    for themselves, the other bytes for the code points from 256 on."""
+    plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+    letters = {chr(b): b for b in plain}
+    for n, b in enumerate(sorted(set(range(256)) - set(plain))):
+        letters[chr(256 + n)] = b
+    return letters
+
+
 # --- word shingles -----------------------------------------------------------------------
 
 class WordHashes(dict):
-    """64-bit hash of a word; keeps at most ``limit`` words."""
+    """64-bit hash of a word; keeps at most ``limit`` words, and none of more than ``longest`` bytes."""
 
-    def __init__(self, limit: int = 400_000):
+    def __init__(self, limit: int = 400_000, longest: int = 64):
         super().__init__()
-        self.limit = limit
+        self.limit, self.longest = limit, longest
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:
             self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= self.longest:
+            self[word] = h
         return h
 
     def of(self, words: list[bytes]) -> np.ndarray:

@@ -12,7 +12,7 @@ step.  What remains there is cut at powers of two, which need no padding.
 
 from __future__ import annotations
 
-import unicodedata
+import json
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -23,12 +23,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_texts, text_batches, written
+from .common import byte_letters, byte_texts, text_batches, written
 
 WINDOW = 4096
 OPEN_WINDOWS = 8
 MERGED_PARTITIONS = 256
-CACHED_WORDS = 500_000  # words whose ids a Python worker remembers
+CACHED_BYTES = 96 << 20  # of each generation of words whose ids a Python worker remembers
+ENTRY_BYTES = 180  # of a word's objects, besides its letters and ids
 TEXT_ROWS = 512
 
 _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
@@ -36,82 +37,138 @@ _PIECE = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long
 _FIELDS = [f.split()[0] for f in _PIECE.split(", ")]
 
 
-class WordIds(dict):
+class WordIds:
     """Little-endian 32-bit ids of the tokens of a word without white space.
 
     The tokenizer drops white space and never joins across it, so the ids of a text are those
     of its words in order.  A word of letters and closing punctuation is two pre-tokens, whose
-    ids are joined; letters are encoded many at a time, as one text, and parted at the tokens
-    that end a word.  At most ``CACHED_WORDS`` words are kept."""
+    ids are joined.  Latin letters, nearly all words of most texts, go through a rank encoder
+    built from the same file, many words at a time; it splits nothing, as every word is one piece
+    that a mark ends, and the mark makes the letter before it the one that closes a word.
+
+    The cache has two generations of ``CACHED_BYTES`` each: a full one becomes the older one, whose
+    words move to the younger when a text holds them again, so words in use are never learnt
+    twice and long words count by their length."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        vocabulary = self.tokenizer.get_vocab()
-        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)
-        self.closes[[i for w, i in vocabulary.items() if w.endswith("</w>")]] = True
-        self.parts: dict[bytes, bytes] = {b"": b""}
-
-    def _encode(self, words: list[bytes]) -> None:
-        codes = self.tokenizer.encode_batch_fast([w.decode() for w in words],
-                                                 add_special_tokens=False)
-        self.parts.update((w, np.asarray(c.ids, "<u4").tobytes()) for w, c in zip(words, codes))
+        self.young: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.kept = 0
+        self._rank_encoder(path)
+
+    def _rank_encoder(self, path: str) -> None:
+        with open(path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        vocabulary = model["vocab"]
+        letters = byte_letters()
+        suffix = model.get("end_of_word_suffix") or ""
+        self.ranks = None
+        if suffix != "</w>" or model.get("continuing_subword_prefix"):
+            return
 
-    def _encode_letters(self, words: list[bytes]) -> None:
+        def raw(piece: str) -> bytes:
+            word = piece.removesuffix(suffix)
+            return bytes(letters[c] for c in word) + (_MARK if piece != word else b"")
+
+        # The mark's own bytes join first, then it joins a letter, then the file's merges in order.
+        ranks = {bytes([b]): b for b in range(256)} | {_MARK[:2]: 256, _MARK: 257}
+        names = {raw(c): i for c, i in vocabulary.items() if len(c) == 1 or c[1:] == suffix}
+        for i, piece in enumerate(sorted(p for p in names if len(p) > 1)):
+            ranks[piece] = 258 + i
+        for i, merge in enumerate(model["merges"]):
+            piece = "".join(merge.split(" ") if isinstance(merge, str) else merge)
+            if raw(piece) in ranks:
+                continue  # of a piece that holds bytes of the mark: no Latin word has them
+            ranks[raw(piece)] = 1024 + i
+            names[raw(piece)] = vocabulary[piece]
+        self.of_rank = np.zeros(1024 + len(model["merges"]), np.uint32)
+        self.closes = np.zeros(len(self.of_rank), bool)
+        for piece, i in names.items():
+            if piece in ranks:
+                self.of_rank[ranks[piece]] = i
+                self.closes[ranks[piece]] = piece.endswith(_MARK)
+        import tiktoken
+        mark = _MARK.decode()
+        self.ranks = tiktoken.Encoding("words", pat_str=f"[^{mark}]+{mark}", mergeable_ranks=ranks, special_tokens={})
+
+    def _encode(self, words: list[bytes]) -> list[bytes]:
+        codes = self.tokenizer.encode_batch_fast([w.decode() for w in words], add_special_tokens=False)
+        return [np.asarray(c.ids, "<u4").tobytes() for c in codes]
+
+    def _encode_latin(self, words: list[bytes]) -> list[bytes]:
+        out = []
         for i in range(0, len(words), 4096):
-            some = words[i: i + 4096]
-            ids = np.asarray(self.tokenizer.encode_batch_fast(
-                [b" ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.closes[ids]) + 1
-            if len(ends) != len(some) or ends[-1] != len(ids):
-                self._encode(some)
-                continue
-            raw, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-            self.parts.update((w, raw[a:b]) for w, a, b in zip(some, cuts, cuts[1:]))
+            text = _MARK.join(words[i: i + 4096]) + _MARK
+            ranks = np.asarray(self.ranks.encode_ordinary(text.decode()), np.int64)
+            ends = (4 * (np.flatnonzero(self.closes[ranks]) + 1)).tolist()
+            ids = self.of_rank[ranks].astype("<u4").tobytes()
+            out += [ids[a:b] for a, b in zip([0, *ends], ends)]
+        return out
 
     def learn(self, words: set[bytes]) -> None:
-        new = words.difference(self.keys())
-        if len(self) + len(new) > CACHED_WORDS:
-            self.clear()
-            self.parts = {b"": b""}
-            new = words
-        split, letters, others = [], set(), set()
-        for w in new:
+        """Put the ids of the words into the younger generation."""
+        if self.kept > CACHED_BYTES:
+            self.young, self.old, self.kept = {}, self.young, 0
+        young, old = self.young, self.old
+        split, letters, rests, others = [], [], [], []
+        for w in words:
+            known = old.get(w)
+            if known is not None:
+                young[w] = known
+                continue
             core = w.rstrip(_CLOSING)
-            if core.isalpha() or b"<|" not in w and _only_letters(core):
-                plain, rest = core.lower(), w[len(core):]
-                split.append((w, plain, rest))
-                letters.add(plain)
-                others.add(rest)
+            plain = core if core.isalpha() else _latin(core)
+            if plain and self.ranks and b"<|" not in w:
+                split.append(w)
+                letters.append(plain.lower())
+                rests.append(w[len(core):])
             else:
-                split.append((w, w, b""))
-                others.add(w)
-        self._encode_letters(list(letters.difference(self.parts)))
-        self._encode(list(others.difference(self.parts)))
-        self.update((w, self.parts[a] + self.parts[b]) for w, a, b in split)
+                others.append(w)
+        distinct = list(set(letters))
+        of_letters = dict(zip(distinct, self._encode_latin(distinct)))
+        few = [r for r in set(rests) if r]
+        of_rests = {b"": b"", **dict(zip(few, self._encode(few)))}
+        young.update(zip(split, [of_letters[a] + of_rests[b] for a, b in zip(letters, rests)]))
+        young.update(zip(others, self._encode(others)))
+        self.kept += ENTRY_BYTES * len(words) + sum(map(len, words)) + sum(map(len, map(young.__getitem__, words)))
 
     @staticmethod
     def words(text: bytes) -> list[bytes]:
         """The words of a text; lowered, as the tokenizer does, unless special tokens may be in it."""
         return (text if b"<|" in text else text.lower()).split()
 
+    def of(self, texts: list[bytes]) -> list[bytes]:
+        """The ids of each text; every text is split once."""
+        split = list(map(self.words, texts))
+        found = [list(map(self.young.get, words)) for words in split]
+        new: set[bytes] = set()
+        for words, ids in zip(split, found):
+            if None in ids:
+                new.update([w for w, i in zip(words, ids) if i is None])
+        if new:
+            self.learn(new)
+            young = self.young
+            found = [ids if None not in ids else [young[w] if i is None else i for w, i in zip(words, ids)]
+                     for words, ids in zip(split, found)]
+        return list(map(b"".join, found))
+
     def ids(self, text: bytes) -> bytes:
-        words = self.words(text)
-        try:
-            return b"".join(map(self.__getitem__, words))
-        except KeyError:
-            self.learn(set(words))
-            return b"".join(map(self.__getitem__, words))
+        return self.of([text])[0]
 
 
-_CLOSING = b".,;:!?"
+# ASCII characters that no letter pattern takes; an apostrophe may begin a piece of its own.
+_CLOSING = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+_MARK = "\ue000".encode()
 
 
-def _only_letters(word: bytes) -> bool:
+def _latin(word: bytes) -> bytes | None:
+    """The word in lower case if it is Latin letters only (nothing there is composed otherwise)."""
     text = word.decode()
-    return text.isascii() and text.isalpha() or (
-        unicodedata.normalize("NFC", text).lower().isalpha())
+    if not text.isalpha() or max(text) > "\u024f" or "\u0130" in text:
+        return None
+    return text.lower().encode()
 
 
 @lru_cache(maxsize=1)
@@ -215,8 +272,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int =
     doc_tokens, sequence_id, offset.
 
     A document is its token ids and ``end_id`` (null or empty text: ``end_id`` alone); every id
-    is in exactly one piece.  Repeated rows are packed once each.  Other columns are ignored;
-    an empty table gives no rows.  ``sequence_id`` is unique, not gapless.  Sequences are full
+    is in exactly one piece.  Repeated rows are packed once each.  A null doc_id stays null
+    in its pieces.  Other columns are ignored; an empty table gives no rows.  ``sequence_id`` is unique, not gapless.  Sequences are full
     but for the last of each merge, whose lengths are powers of two: nothing is padded."""
     end = np.asarray([end_id], "<u4").tobytes()
 
@@ -224,10 +281,8 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int =
         words, partition = _word_ids(tokenizer), TaskContext.get().partitionId()
         packer = Packer(partition, size)
         for batch in text_batches(batches, limit=4 << 20):
-            texts = byte_texts(batch)
-            words.learn(set().union(*map(words.words, texts)))
-            for doc, text in zip(batch.column(0).to_pylist(), texts):
-                ids = words.ids(text) + end
+            for doc, ids in zip(batch.column(0).to_pylist(), words.of(byte_texts(batch))):
+                ids += end
                 packer.add(doc, 0, ids, len(ids) // 4)
             yield _with_leftover(packer.drain(), [], partition)
         left = packer.merge_open()
@@ -255,4 +310,4 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int =
             .withColumn("merged", F.floor(F.col("partition") / MERGED_PARTITIONS))
             .repartition("merged").sortWithinPartitions("merged", "partition", "doc_id", "start")
             .mapInArrow(merge, _PIECE))
-    return placed.where("ids is null").select(*_FIELDS).unionByName(left)
+    return placed.where("ids is null").select(*_FIELDS).unionByName(written(left, "merged", batch_rows=TEXT_ROWS))

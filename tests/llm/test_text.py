@@ -31,12 +31,28 @@ def test_word_ids_equal_the_tokenizer():
         assert np.frombuffer(words.ids(text.encode()), "<u4").tolist() == want
 
 
-def test_word_cache_may_overflow(monkeypatch):
-    monkeypatch.setattr(packing, "CACHED_WORDS", 5)
+def test_latin_words_equal_the_tokenizer():
     words = packing.WordIds(word_tokenizer())
-    for text in ("a b c d", "e f g h i j k", "a e, k."):
+    assert words.ranks is not None
+    rng = random.Random(4)
+    latin = [chr(c) for c in range(0x41, 0x250) if chr(c).isalpha()]
+    some = ["".join(rng.choice(latin if k % 2 else "etaoinshrdlu") for _ in range(rng.randrange(1, 14)))
+            + rng.choice(["", "", ".", ",", "$$$", "--", "!?", "|", "'", "'s", "1", "<|", "_"]) for k in range(20000)]
+    want = [c.ids for c in words.tokenizer.encode_batch(some, add_special_tokens=False)]
+    assert [np.frombuffer(i, "<u4").tolist() for i in words.of([w.encode() for w in some])] == want
+
+
+def test_words_in_use_are_learnt_once(monkeypatch):
+    monkeypatch.setattr(packing, "CACHED_BYTES", 2000)
+    words = packing.WordIds(word_tokenizer())
+    learnt = collections.Counter()
+    real = words._encode_latin
+    monkeypatch.setattr(words, "_encode_latin", lambda some: (learnt.update(some), real(some))[1])
+    for i in range(200):
+        text = f"often used words and new{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]} {'z' * i}"
         want = words.tokenizer.encode(text, add_special_tokens=False).ids
         assert np.frombuffer(words.ids(text.encode()), "<u4").tolist() == want
+    assert learnt[b"often"] == 1 and words.kept < 4000 and len(words.old) < 40
 
 
 def test_pack_documents(spark):
