@@ -32,7 +32,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns from the labelled documents of the stage's own input."""
     model = langid.train(docs)
     names = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
-    judged = langid.predict(docs.select([F.col(c).alias(n) for c, n in names.items()]), model)
+    judged = written(langid.predict(docs.select([F.col(c).alias(n) for c, n in names.items()]), model),
+                     "languages", batch_rows=langid.TEXT_ROWS)
     kept = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= least_score(len(model.labels))))
     return kept.select([F.col(n).alias(c) for c, n in names.items()])
 
