@@ -4,7 +4,9 @@ per job, so a lost executor only re-runs its tasks)."""
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -63,6 +65,24 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def plain_path(uri: str) -> str:
+    """The path for a reader from ``_metadata.file_path``: escapes of the URI undone, and characters
+    that a reader would take for a pattern escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it doesn't exist."""
+    fs, hpath = _location(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(hpath)] if fs.exists(hpath) else []
+
+
+def create_empty(spark: SparkSession, path: str) -> None:
+    """An empty file as a mark, in one step of the file system."""
+    fs, hpath = _location(spark, path)
+    fs.create(hpath, True).close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a run's own staging folder once its data has been swapped in."""
     fs, hpath = _location(spark, path)

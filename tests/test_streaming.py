@@ -3,6 +3,8 @@
 import datetime as dt
 import os
 
+import pytest
+
 from cinderframe.sources import readers
 from cinderframe.streaming import sensor_stream
 
@@ -175,3 +177,98 @@ def test_air_quality_stream_appends_exactly_once(spark, tmp_table):
     air_quality_stream.run_available(spark, landing, table, ckpt)
     assert readers.read_openaq_readings(spark, table).count() == 4
     assert all(r["ingested_at"] is not None for r in readers.read_openaq_readings(spark, table).collect())
+
+
+@pytest.mark.parametrize("column", ["reading_date", "plant_id", "sensor", "value"])
+def test_a_null_key_fails_stream_and_batch_alike(spark, tmp_table, column):
+    from cinderframe.operators import sinks
+    good = (D1, "A", "O2_flue_gas", 1.0, "pct")
+    names = sensor_stream.LANDED_SENSOR_SCHEMA.names
+    bad = tuple(None if n == column else v for n, v in zip(names, (D1, "B", "O2_flue_gas", 2.0, "pct")))
+    landing, table, ckpt = tmp_table("landing"), tmp_table("table"), tmp_table("ckpt")
+    _land(spark, landing, "1", [good])
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    # The newest delivery of a day holds the NULL, and so does an older one of the same batch.
+    _land(spark, landing, "2", [(D2, "A", "O2_flue_gas", 5.0, "pct"), bad, bad])
+    _land(spark, landing, "3", [(D2, "A", "O2_flue_gas", 6.0, "pct")])
+    with pytest.raises(Exception, match=rf"NOT NULL violated: raw_sensor_readings\.{column} \(2 rows\)"):
+        sensor_stream.run_available(spark, landing, table, ckpt)
+    assert _values(spark, table) == [(D1, "A", "O2_flue_gas", 1.0, False)]
+    batch = spark.createDataFrame([good, bad], sensor_stream.LANDED_SENSOR_SCHEMA)
+    with pytest.raises(Exception, match=rf"NOT NULL violated: raw_sensor_readings\.{column}"):
+        sinks.replace_plant_days(batch, table, dt.datetime(2024, 1, 1))
+    assert _values(spark, table) == [(D1, "A", "O2_flue_gas", 1.0, False)]
+
+
+def _files_read(df):
+    return sorted(f.rsplit("/", 2)[-2] for f in df.inputFiles())
+
+
+def test_a_micro_batch_reads_the_files_of_its_plant_days(spark, tmp_table, monkeypatch):
+    landing, table, ckpt = tmp_table("landing"), tmp_table("table"), tmp_table("ckpt")
+    read = []
+    real = sensor_stream.landed_files
+
+    def noted(spark, files):
+        read.append(sorted(f.rsplit("/", 2)[-2] for f in files))
+        return real(spark, files)
+
+    monkeypatch.setattr(sensor_stream, "landed_files", noted)
+    monkeypatch.setattr(sensor_stream, "landed", _only_streams(sensor_stream.landed))
+    for k in range(4):  # a delivery a day, and one of another plant
+        _land(spark, landing, f"2024-01-0{k + 1}", [(D1 + dt.timedelta(days=k), "A", "O2_flue_gas", float(k), "pct")])
+    _land(spark, landing, "2024-01-01b", [(D1, "B", "O2_flue_gas", 7.0, "pct")])
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    read.clear()
+    _land(spark, landing, "2024-01-09", [(D2, "A", "O2_flue_gas", 9.0, "pct")])
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    assert read == [["delivery=2024-01-09"]]  # not the delivery it replaces, nor other days
+    read.clear()
+    _land(spark, landing, "2024-01-02", [(D2, "A", "O2_flue_gas", 8.0, "pct"), (D1, "B", "O2_flue_gas", 8.0, "pct")])
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    assert read == [["delivery=2024-01-02", "delivery=2024-01-09"]]
+    assert [v for *_, v, _ in _values(spark, table)] == [0.0, 8.0, 9.0, 2.0, 3.0]
+    # What the plan of such a batch scans are these files.
+    index = sensor_stream.DeliveryIndex(spark, f"{table}_deliveries")
+    days = spark.createDataFrame([(D2, "A")], "reading_date date, plant_id string")
+    picked = index.newest(days, D2, D2)
+    assert [r["delivery"] for r in picked.collect()] == ["2024-01-09"]
+    assert _files_read(real(spark, [r["file"] for r in picked.collect()])) == ["delivery=2024-01-09"]
+
+
+def _only_streams(landed):
+    def checked(reader, path):
+        assert "Stream" in type(reader).__name__, "a micro-batch listed all landed files"
+        return landed(reader, path)
+    return checked
+
+
+def test_the_index_is_rewritten_without_older_deliveries(spark, tmp_table, monkeypatch):
+    monkeypatch.setattr(sensor_stream, "INDEXED_BATCHES", 2)
+    landing, table, ckpt = tmp_table("landing"), tmp_table("table"), tmp_table("ckpt")
+    index = sensor_stream.DeliveryIndex(spark, f"{table}_deliveries")
+    for k in range(5):
+        _land(spark, landing, f"{k}", [(D1, "A", "O2_flue_gas", float(k), "pct"), (D2, "B", "O2_flue_gas", 1.0, "pct")])
+        sensor_stream.run_available(spark, landing, table, ckpt)
+        assert len(index.batches()) <= 3
+    assert {r["delivery"] for r in index._rows().collect()} <= {"2", "3", "4"}
+    _land(spark, landing, "3", [(D1, "A", "O2_flue_gas", 30.0, "pct")])  # late, older than the newest
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    assert [v for *_, v, _ in _values(spark, table)] == [4.0, 1.0]
+    # A replayed micro-batch records the same rows again.
+    last = index.batches()[-1]
+    before = sorted(map(tuple, index._rows().collect()))
+    index.add(index._rows([last]), last)
+    assert sorted(map(tuple, index._rows().collect())) == before
+
+
+def test_a_table_from_before_the_index_takes_all_landed_files_once(spark, tmp_table):
+    from cinderframe.operators import sinks
+    landing, table, ckpt = tmp_table("landing"), tmp_table("table"), tmp_table("ckpt")
+    _land(spark, landing, "1", [(D1, "A", "O2_flue_gas", 1.0, "pct")])
+    _land(spark, landing, "2", [(D1, "A", "O2_flue_gas", 2.0, "pct")])
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    sinks.remove_path(spark, f"{table}_deliveries")
+    _land(spark, landing, "1", [(D1, "A", "O2_flue_gas", 3.0, "pct")])
+    sensor_stream.run_available(spark, landing, table, ckpt)
+    assert [v for *_, v, _ in _values(spark, table)] == [2.0]
