@@ -4,16 +4,19 @@ per job, so a lost executor only re-runs its tasks)."""
 from __future__ import annotations
 
 import datetime as dt
+import json
 import re
 import uuid
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.timeutil import ts_lit
 
+JOURNAL = "-swap.json"  # ends the names of journals of decided file swaps
+
 # Directories of the sensor table: one per plant and month.
 SENSOR_PARTITIONS = ["reading_month", "plant_id"]
 
@@ -95,23 +98,23 @@ def _rename(spark: SparkSession, old: str, new: str) -> None:
         raise RuntimeError(f"could not rename {old} to {new}")
 
 
-def reading_month(day: str | F.Column = "reading_date") -> F.Column:
+def reading_month(day: str | Column = "reading_date") -> Column:
     return F.date_format(day, "yyyy-MM")
 
 
-def _write_plant_months(df: DataFrame, path: str, obs: Observation | None = None) -> None:
+def _write_plant_months(df: DataFrame, path: str, obs: Observation | None = None, *more: Column) -> None:
     """Write rows into ``reading_month=/plant_id=`` directories, replacing only those present.
 
     Rows are rebalanced by directory (few files each; AQE splits a hot one over several
     tasks) and sorted by day and sensor inside, so date predicates skip row groups.  A row
-    count, if asked for, is observed in the final (write) stage: Spark applies each result
-    partition's metrics once even when a lost executor forces earlier stages to re-run.
+    count (``n``) and ``more`` aggregates, if asked for, are observed in the final (write) stage: Spark
+    applies each result partition's metrics once even when a lost executor forces earlier stages to re-run.
     """
     out = (df.withColumn("reading_month", reading_month())
            .hint("rebalance", *SENSOR_PARTITIONS)
            .sortWithinPartitions(*SENSOR_PARTITIONS, "reading_date", "sensor"))
     if obs is not None:
-        out = out.observe(obs, F.count(F.lit(1)).alias("n"))
+        out = out.observe(obs, F.count(F.lit(1)).alias("n"), *more)
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*SENSOR_PARTITIONS).parquet(path))
 
@@ -120,16 +123,81 @@ def _stored(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.STORED_SENSOR_READINGS).parquet(path)
 
 
+def files_of_days(spark: SparkSession, path: str, days: DataFrame, first: dt.date, last: dt.date) -> list[str]:
+    """The table's files that hold rows of ``days`` (reading_month, plant_id, reading_date), which lie
+    between two dates.
+
+    The join prunes to the days' directories, the dates to row groups (files are sorted by day); of the
+    rest one column is read.  The list is what the load rewrites."""
+    held = (_stored(spark, path).where(F.col("reading_date").between(F.lit(first), F.lit(last)))
+            .select(*SENSOR_PARTITIONS, "reading_date", F.col("_metadata.file_path").alias("file"))
+            .join(days, [*SENSOR_PARTITIONS, "reading_date"], "left_semi"))
+    return [r[0] for r in held.select("file").distinct().collect()]
+
+
+def _names_below(spark: SparkSession, path: str) -> list[str]:
+    """Data files below a folder, relative to it."""
+    fs, hpath = _location(spark, path)
+    found, files = [], fs.listFiles(hpath, True)
+    base = fs.makeQualified(hpath).toString().rstrip("/") + "/"
+    while files.hasNext():
+        name = fs.makeQualified(files.next().getPath()).toString().removeprefix(base)
+        if not name.split("/")[-1].startswith(("_", ".")):
+            found.append(name)
+    return found
+
+
+def _commit_swap(spark: SparkSession, path: str, staging: str, old: list[str]) -> str:
+    """Decide that the staged files take the place of the ``old`` ones: a journal that appears in one
+    step of the file system.  Until then the table is as it was, from then on the swap will happen."""
+    journal = f"{path}_staging/{uuid.uuid4().hex[:12]}{JOURNAL}"
+    text = json.dumps({"staging": staging, "files": _names_below(spark, staging), "old": old})
+    fs, draft = _location(spark, f"{journal}.draft")
+    out = fs.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    _rename(spark, f"{journal}.draft", journal)
+    return journal
+
+
+def _swap(spark: SparkSession, path: str, journal: str) -> None:
+    """Carry out a journal, from wherever an earlier attempt got to."""
+    fs, hpath = _location(spark, journal)
+    data = fs.open(hpath)
+    todo = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(data, "UTF-8"))
+    data.close()
+    for name in todo["files"]:
+        new, source = _location(spark, f"{path}/{name}")[1], _location(spark, f"{todo['staging']}/{name}")[1]
+        fs.mkdirs(new.getParent())
+        if not fs.rename(source, new) and not fs.exists(new):
+            raise RuntimeError(f"could not move {name} into {path}")
+    for file in todo["old"]:
+        remove_path(spark, unquote(file))
+    remove_path(spark, todo["staging"])
+    remove_path(spark, journal)
+
+
+def finish_swaps(spark: SparkSession, path: str) -> None:
+    """Carry out what loads decided and a failure kept them from doing."""
+    for name in list_names(spark, f"{path}_staging"):
+        if name.endswith(JOURNAL):
+            _swap(spark, path, f"{path}_staging/{name}")
+
+
 def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     """Idempotent load: the batch replaces every (reading_date, plant_id) it contains.
 
-    The table has a directory per plant and month.  The batch is staged; the directories that
-    it touches are read (a semi-join that prunes to them), the rows of its plant-days are
-    dropped, the rest and the batch are staged together and swapped in with dynamic partition
-    overwrite.  Directories of other plants and months are neither read nor written, so loads
-    of different plants never rewrite each other's rows.  Staging lives next to the table, on
-    the same shared storage.  Returns the number of batch rows, counted while staging.
-    """
+    The table has a directory per plant and month, with files sorted by day.  The batch is staged
+    (in its place, if there is no table yet); the files that hold rows of its plant-days are found and
+    read, what they hold besides is written with the batch into new files, and these take the place
+    of the old ones.  Other files are neither read (but for the days in their footers) nor written, so
+    a day costs the files it lies in, not its month.  Staging lives next to the table, on the same
+    shared storage.  Returns the number of batch rows, counted while staging.
+
+    New files are moved, not written again, once a journal has been put beside the table in one step:
+    a failure before it leaves the table as it was, one after it is made good by the next load of the
+    table (or by running this one again), which first carries out the journals it finds.  While files are
+    being moved, for a few file-system calls, a reader may see old and new rows of these files together."""
     spark = batch.sparkSession
     rows = require_not_null(with_sensor_defaults(batch, run_ts),
                             schemas.NOT_NULL_COLUMNS["raw_sensor_readings"], "raw_sensor_readings")
@@ -137,23 +205,32 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
     if not path_exists(spark, path):
         _write_plant_months(rows, path, obs)
         return int(obs.get.get("n", 0))
-    staging = f"{path}_staging/{uuid.uuid4().hex[:12]}"
-    staged_batch, staged_months = f"{staging}/batch", f"{staging}/months"
-    _write_plant_months(rows, staged_batch, obs)
-    loaded = int(obs.get.get("n", 0))
-    if loaded:
-        new = _stored(spark, staged_batch)
+    finish_swaps(spark, path)
+    run = f"{path}_staging/{uuid.uuid4().hex[:12]}"
+    staging, months = f"{run}-batch", f"{run}-files"
+    decided = None
+    try:
+        _write_plant_months(rows, staging, obs, F.min("reading_date").alias("first"),
+                            F.max("reading_date").alias("last"))
+        loaded = obs.get
+        if not loaded.get("n"):
+            return 0
+        new = _stored(spark, staging)
         # The predicate on the month makes the key side selective for partition pruning.
-        touched = new.where(F.col("reading_month") > "").select(*SENSOR_PARTITIONS).distinct()
-        days = new.select(*SENSOR_PARTITIONS, "reading_date").distinct()
-        kept = (_stored(spark, path).join(touched, SENSOR_PARTITIONS, "left_semi")
-                .join(days, [*SENSOR_PARTITIONS, "reading_date"], "left_anti"))
-        _write_plant_months(kept.unionByName(new), staged_months)
-        _write_plant_months(_stored(spark, staged_months), path)
-    # A failure before this point leaves the table as it was (or, mid-swap, some directories
-    # replaced); re-running the same load repairs it, as loading is idempotent.
-    remove_path(spark, staging)
-    return loaded
+        days = (new.where(F.col("reading_month") > "").select(*SENSOR_PARTITIONS, "reading_date").distinct())
+        files = files_of_days(spark, path, days, loaded["first"], loaded["last"])
+        if files:
+            held = (spark.read.schema(schemas.STORED_SENSOR_READINGS).option("basePath", path)
+                    .parquet(*map(plain_path, files)))
+            new = held.join(days, [*SENSOR_PARTITIONS, "reading_date"], "left_anti").unionByName(new)
+            _write_plant_months(new, months)
+        decided = _commit_swap(spark, path, months if files else staging, files)
+        _swap(spark, path, decided)
+        return int(loaded["n"])
+    finally:
+        # What a journal names goes with it.
+        for folder in [staging, months] if decided is None else [staging] if files else []:
+            remove_path(spark, folder)
 
 
 def overwrite_table(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> int:

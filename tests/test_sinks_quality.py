@@ -167,3 +167,82 @@ def test_replacement_leaves_other_plants_and_months_untouched(spark, tmp_table):
         sinks.replace_plant_days(readings(spark, [(days[2], plant, "O2_flue_gas", value)]), path, TS)
     vals = {(r["reading_date"], r["plant_id"]): r["value"] for r in _table(spark, path).collect()}
     assert (vals[(days[2], "A")], vals[(days[2], "B")], len(vals)) == (6.0, 7.0, 6)
+
+
+def _files(path):
+    return {os.path.join(r, n) for r, _, names in os.walk(path) for n in names if n.endswith(".parquet")}
+
+
+def test_replacement_rewrites_the_files_of_its_days_alone(spark, tmp_table, monkeypatch):
+    path = tmp_table("raw")
+    days = [dt.date(2024, 1, d) for d in range(1, 13)]
+    month = "reading_month=2024-01/plant_id=A b%[x]"
+    for part in (days[:4], days[4:8], days[8:]):  # three files of one plant and month
+        sinks.replace_plant_days(readings(spark, [(d, "A b%[x]", "O2_flue_gas", 1.0) for d in part]).coalesce(1), path, TS)
+    assert len(_files(path)) == 3
+    before = _files(path)
+    fix = readings(spark, [(days[5], "A b%[x]", "O2_flue_gas", 9.0), (days[5], "A b%[x]", "dust_emission", 9.0)])
+    found = []
+    real = sinks.files_of_days
+    monkeypatch.setattr(sinks, "files_of_days", lambda *a: found.append(real(*a)) or found[-1])
+    assert sinks.replace_plant_days(fix, path, TS) == 2
+    after = _files(path)
+    assert len(found[0]) == 1 and len(before & after) == 2  # the first and the last four days' files
+    got = {(r["reading_date"], r["sensor"]): r["value"] for r in _table(spark, path).collect()}
+    assert len(got) == 13 and got[days[5], "dust_emission"] == 9.0 and got[days[5], "O2_flue_gas"] == 9.0
+    assert sorted(got)[0][0] == days[0] and {v for k, v in got.items() if k[0] != days[5]} == {1.0}
+
+    # A failure halfway through the swap: the next load of the table first carries it out.
+    for step in (0, 1):
+        value = 7.0 + step
+        monkeypatch.setattr(sinks, *(("remove_path", _fails_on_files(sinks.remove_path)) if step else
+                                     ("_swap", _raises)))
+        with pytest.raises(OSError):
+            sinks.replace_plant_days(fix.withColumn("value", F.lit(value)), path, TS)
+        monkeypatch.undo()
+        assert any(n.endswith(sinks.JOURNAL) for n in os.listdir(path + "_staging"))
+        sinks.replace_plant_days(readings(spark, [(days[0], "B", "O2_flue_gas", value)]), path, TS)
+        assert os.listdir(path + "_staging") == []
+        rows = [(r["reading_date"], r["plant_id"], r["value"]) for r in _table(spark, path).collect()]
+        assert len(rows) == 14 and sorted(v for d, _, v in rows if d == days[5]) == [value] * 2
+        assert [v for _, p, v in rows if p == "B"] == [value]
+    assert month.split("/")[0] in os.listdir(path)
+
+
+def _raises(*_):
+    raise OSError("no connection")
+
+
+def _fails_on_files(remove):
+    def removed(spark, path):
+        if path.endswith(".parquet"):
+            raise OSError("no connection")
+        remove(spark, path)
+    return removed
+
+
+def test_the_plan_of_a_replacement_reads_the_files_of_its_days(spark, tmp_table):
+    path = tmp_table("raw")
+    days = [dt.date(2024, 1, 1), dt.date(2024, 1, 20), dt.date(2024, 2, 3)]
+    for d in days:
+        for p in "AB":
+            sinks.replace_plant_days(readings(spark, [(d, p, "O2_flue_gas", 1.0)]), path, TS)
+    touched = spark.createDataFrame([("2024-01", "A", days[1])], "reading_month string, plant_id string, reading_date date")
+    files = sinks.files_of_days(spark, path, touched, days[1], days[1])
+    assert len(files) == 1 and "reading_month=2024-01/plant_id=A" in files[0]
+    held = spark.read.parquet(*files)
+    assert [f.split("/")[-1] for f in held.inputFiles()] == [files[0].split("/")[-1]]
+    assert [r["reading_date"] for r in held.collect()] == [days[1]]
+    assert sinks.files_of_days(spark, path, touched.limit(0), days[0], days[0]) == []
+
+
+def test_staging_goes_after_a_failed_load(spark, tmp_table):
+    path = tmp_table("raw")
+    day = dt.date(2024, 1, 1)
+    sinks.replace_plant_days(readings(spark, [(day, "A", "O2_flue_gas", 1.0)]), path, TS)
+    bad = spark.createDataFrame([(day, "A", None, 2.0, "pct")],
+                                "reading_date date, plant_id string, sensor string, value double, unit_label string")
+    with pytest.raises(Exception, match="NOT NULL violated"):
+        sinks.replace_plant_days(bad, path, TS)
+    assert os.listdir(path + "_staging") == []
+    assert [r["value"] for r in _table(spark, path).collect()] == [1.0]
