@@ -7,6 +7,7 @@ import datetime as dt
 import json
 import re
 import uuid
+from functools import lru_cache
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -52,10 +53,15 @@ def with_sensor_defaults(batch: DataFrame, run_ts: dt.datetime) -> DataFrame:
     )
 
 
+@lru_cache(maxsize=4)
+def _path_class(sc):
+    return sc._jvm.org.apache.hadoop.fs.Path  # looked up once: each name is a call to the JVM
+
+
 def _location(spark: SparkSession, path: str):
     """(file system, path) of a table location."""
     sc = spark.sparkContext
-    hpath = sc._jvm.org.apache.hadoop.fs.Path(path)
+    hpath = _path_class(sc)(path)
     return hpath.getFileSystem(sc._jsc.hadoopConfiguration()), hpath
 
 
@@ -68,10 +74,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def plain_name(uri: str) -> str:
+    """The path that ``_metadata.file_path`` or a file listing names: escapes of the URI undone."""
+    return unquote(uri)
+
+
 def plain_path(uri: str) -> str:
-    """The path for a reader from ``_metadata.file_path``: escapes of the URI undone, and characters
-    that a reader would take for a pattern escaped."""
-    return re.sub(r"([\\{}\[\]*?])", r"\\\1", unquote(uri))
+    """The same for a reader: characters that it would take for a pattern escaped."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", plain_name(uri))
 
 
 def list_names(spark: SparkSession, path: str) -> list[str]:
@@ -136,15 +146,11 @@ def files_of_days(spark: SparkSession, path: str, days: DataFrame, first: dt.dat
 
 
 def _names_below(spark: SparkSession, path: str) -> list[str]:
-    """Data files below a folder, relative to it."""
+    """Data files below a folder of plant-months, relative to it."""
     fs, hpath = _location(spark, path)
-    found, files = [], fs.listFiles(hpath, True)
-    base = fs.makeQualified(hpath).toString().rstrip("/") + "/"
-    while files.hasNext():
-        name = fs.makeQualified(files.next().getPath()).toString().removeprefix(base)
-        if not name.split("/")[-1].startswith(("_", ".")):
-            found.append(name)
-    return found
+    found = spark.read.option("recursiveFileLookup", True).parquet(path).inputFiles()  # Spark's own listing
+    base = unquote(fs.makeQualified(hpath).toUri().getPath()).rstrip("/") + "/"
+    return [plain_name(f).partition(base)[2] for f in found]
 
 
 def _commit_swap(spark: SparkSession, path: str, staging: str, old: list[str]) -> str:
@@ -166,13 +172,15 @@ def _swap(spark: SparkSession, path: str, journal: str) -> None:
     data = fs.open(hpath)
     todo = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(data, "UTF-8"))
     data.close()
+    at = _path_class(spark.sparkContext)
+    for folder in sorted({name.rpartition("/")[0] for name in todo["files"]}):
+        fs.mkdirs(at(f"{path}/{folder}"))
     for name in todo["files"]:
-        new, source = _location(spark, f"{path}/{name}")[1], _location(spark, f"{todo['staging']}/{name}")[1]
-        fs.mkdirs(new.getParent())
-        if not fs.rename(source, new) and not fs.exists(new):
+        new = at(f"{path}/{name}")
+        if not fs.rename(at(f"{todo['staging']}/{name}"), new) and not fs.exists(new):
             raise RuntimeError(f"could not move {name} into {path}")
     for file in todo["old"]:
-        remove_path(spark, unquote(file))
+        remove_path(spark, plain_name(file))
     remove_path(spark, todo["staging"])
     remove_path(spark, journal)
 

@@ -93,8 +93,8 @@ def check_not_null(batch: DataFrame) -> dict:
 class DeliveryIndex:
     """The files that hold each plant-day of its newest landed delivery.
 
-    A Parquet table (reading_month, reading_date, plant_id, delivery, file) with a folder per
-    micro-batch, which a replay overwrites.  Now and then one folder takes in all earlier ones and
+    A Parquet table (reading_date, plant_id, delivery, file) with a folder per micro-batch, sorted by
+    day, which a replay overwrites.  Now and then one folder takes in all earlier ones and
     drops what newer deliveries have replaced, so the index follows the plant-days, not the history."""
 
     def __init__(self, spark: SparkSession, path: str):
@@ -102,12 +102,11 @@ class DeliveryIndex:
 
     def _rows(self, batch_ids: list[int] | None = None) -> DataFrame:
         ids = self.batches() if batch_ids is None else batch_ids
-        schema = f"reading_date date, plant_id string, {DELIVERY} string, {FILE} string, reading_month string"
+        schema = f"reading_date date, plant_id string, {DELIVERY} string, {FILE} string"
         if not ids:
             return self.spark.createDataFrame([], schema)
         parts = [f"{self.path}/batch_id={i}" for i in ids]
-        return (self.spark.read.schema(schema).option("basePath", self.path).parquet(*parts)
-                .select("reading_month", *_KEYS, DELIVERY, FILE))
+        return self.spark.read.schema(schema).parquet(*parts)
 
     def batches(self) -> list[int]:
         """Ids of the folders that hold rows; one that takes in earlier ones stands for them."""
@@ -124,12 +123,11 @@ class DeliveryIndex:
         """Record a micro-batch: its (reading_date, plant_id, delivery, file), distinct."""
         before = [i for i in self.batches() if i != batch_id]
         merge = len(before) >= INDEXED_BATCHES
-        found = rows.select(sinks.reading_month().alias("reading_month"), *_KEYS, DELIVERY, FILE).distinct()
+        found = rows.select(*_KEYS, DELIVERY, FILE).distinct()
         if merge:
             found = newest_delivery(found.unionByName(self._rows(before)).distinct())
-        (found.hint("rebalance", "reading_month").sortWithinPartitions("reading_month", *_KEYS)
-         .write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("reading_month")
-         .parquet(f"{self.path}/batch_id={batch_id}"))
+        (found.hint("rebalance").sortWithinPartitions(*_KEYS)
+         .write.mode("overwrite").option("partitionOverwriteMode", "static").parquet(f"{self.path}/batch_id={batch_id}"))
         if merge:  # from this mark on the earlier folders don't count; then they go
             sinks.create_empty(self.spark, f"{self.path}/_whole/{batch_id}")
             for i in before:
@@ -137,10 +135,9 @@ class DeliveryIndex:
 
     def newest(self, days: DataFrame, first: dt.date, last: dt.date) -> DataFrame:
         """(reading_date, plant_id, delivery, file) of the newest delivery of the plant-days ``days``, which
-        lie between two dates: their months are read, no others."""
-        near = self._rows().where(F.col("reading_month").between(first.strftime("%Y-%m"), last.strftime("%Y-%m"))
-                                  & F.col("reading_date").between(F.lit(first), F.lit(last)))
-        return newest_delivery(near.join(days, _KEYS, "left_semi")).drop("reading_month").distinct()
+        lie between two dates: row groups of other days are skipped."""
+        near = self._rows().where(F.col("reading_date").between(F.lit(first), F.lit(last)))
+        return newest_delivery(near.join(days, _KEYS, "left_semi"))
 
 
 def delivered_rows(spark: SparkSession, picked: DataFrame) -> DataFrame:
@@ -148,7 +145,7 @@ def delivered_rows(spark: SparkSession, picked: DataFrame) -> DataFrame:
 
     The names of these files are what the driver's file listing would hold."""
     files = [r[0] for r in picked.select(FILE).distinct().collect()]
-    return landed_files(spark, files).join(picked.drop(FILE).distinct(), [*_KEYS, DELIVERY], "left_semi")
+    return landed_files(spark, files).join(picked.drop(FILE), [*_KEYS, DELIVERY], "left_semi")
 
 
 def landed_files(spark: SparkSession, files: list[str]) -> DataFrame:
