@@ -6,7 +6,8 @@ of ``LENGTH`` bytes have to be compared; the steps below bring equal windows tog
 1. *Runs.*  The windows of a text that share their least ``GRAM``-byte hash (the anchor) form a
    run.  Equal windows have the same anchor at the same place, so only runs with a common
    anchor can hold equal windows.  Runs whose bytes are equal are repeated as a whole; they are
-   counted, not compared.  Runs with a common anchor but different bytes are contested.
+   counted, not compared; equal runs that follow each other in a text are one row.  Runs with a
+   common anchor but different bytes are contested.
 2. *Cores.*  A contested run is cut into groups of ``STEP`` neighbouring windows.  All windows
    of a group contain its core (``LENGTH - STEP + 1`` bytes); the digest of the core is the key
    that partitions them.  What is left to compare are up to ``STEP - 1`` bytes at either side,
@@ -42,6 +43,7 @@ STEP = 16
 SHARD_STRINGS = 2048   # strings in one shard
 MERGE_STRINGS = 16384  # strings that one merge holds, about
 GROUP_ROWS = 8192      # different strings of one core that are merged in a task
+SLICE_ROWS = 50_000    # rows of one Arrow batch that a text step gives back
 SEGMENT = 1 << 16      # bytes of a text that are hashed at once
 TEXT_ROWS = 256
 
@@ -97,25 +99,42 @@ class Anchors:
         return zip(first.tolist(), last.tolist(), at.tolist(), grams[at].view(np.int64).tolist())
 
 
+_RUN = "doc_id long, mark long, anchor long, run binary, first long, last long, at long, until long, times long"
+
+
+def _batch(rows: list[tuple], names: list[str], binary: set[str]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * len(names)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, pa.binary() if n in binary else pa.int64()) for c, n in zip(columns, names)], names=names)
+
+
 def _find_runs(length: int):
+    """A row per run; a run whose bytes come again in the very next run (a text of one letter, or
+    of a short period) takes that one in: ``times`` counts them, ``until`` is the last one's last window.
+    Rows leave in slices, so memory doesn't follow their number."""
+    names = [f.split()[0] for f in _RUN.split(", ")]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchors = Anchors(length)
+        anchors, rows = Anchors(length), []
         for batch in text_batches(batches, limit=4 << 20):
-            rows = []
             for doc, mark, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                        byte_texts(batch)):
                 if len(text) < length:
                     continue
-                view = memoryview(text)
+                view, open_ = memoryview(text), None
                 for first, last, at, h in anchors.runs(np.frombuffer(text, np.uint8)):
                     digest = xxhash.xxh3_128_digest(view[first: last + length], at - first)
-                    rows.append((doc, mark, h, digest, first, last, at))
-            columns = list(zip(*rows)) or [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(),
-                     pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                names=["doc_id", "mark", "anchor", "run", "first", "last", "at"])
+                    if open_ and open_[2] == h and open_[3] == digest:
+                        open_[7], open_[8] = last, open_[8] + 1
+                        continue
+                    if open_:
+                        rows.append(open_)
+                    if len(rows) >= SLICE_ROWS:
+                        yield _batch(rows, names, {"run"})
+                        rows = []
+                    open_ = [doc, mark, h, digest, first, last, at, last, 1]
+                rows.append(open_)
+        yield _batch(rows, names, {"run"})
     return run
 
 
@@ -124,9 +143,11 @@ def _find_runs(length: int):
 def _cut_cores(length: int, step: int):
     lead = length - min(GRAM, length)  # from the first window that can hold the anchor to it
 
+    names = ["doc_id", "mark", "begin", "core", "left", "right"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
         for batch in text_batches(batches, limit=4 << 20):
-            rows = []
             for doc, mark, text, runs in zip(batch.column(0).to_pylist(),
                                              batch.column(1).to_pylist(), byte_texts(batch),
                                              batch.column(3).to_pylist()):
@@ -140,11 +161,10 @@ def _cut_cores(length: int, step: int):
                         core = xxhash.xxh3_128_digest(text[end: begin + length], c)
                         rows.append((doc, mark, begin, core, text[a:end],
                                      text[begin + length: b + length]))
-            columns = list(zip(*rows)) or [()] * 6
-            kinds = [pa.int64()] * 3 + [pa.binary()] * 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)],
-                names=["doc_id", "mark", "begin", "core", "left", "right"])
+                    if len(rows) >= SLICE_ROWS:
+                        yield _batch(rows, names, {"core", "left", "right"})
+                        rows = []
+        yield _batch(rows, names, {"core", "left", "right"})
     return run
 
 
@@ -276,9 +296,8 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, step: int = STEP):
     marked = _marked(docs)
     runs = written(
         marked.where(F.octet_length("text") >= length).select("doc_id", "mark", "text")
-        .mapInArrow(_find_runs(length), "doc_id long, mark long, anchor long, run binary, "
-                    "first long, last long, at long"), "runs", batch_rows=TEXT_ROWS)
-    kinds = runs.groupBy("anchor", "run").agg(F.count("*").alias("copies"))
+        .mapInArrow(_find_runs(length), _RUN), "runs", batch_rows=TEXT_ROWS)
+    kinds = runs.groupBy("anchor", "run").agg(F.sum("times").alias("copies"))
     kinds = written(
         kinds.join(kinds.groupBy("anchor").agg(F.count("*").alias("variants")), "anchor")
         .where("copies > 1 or variants > 1"), "kinds")
@@ -287,7 +306,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, step: int = STEP):
     same_key = [F.col("doc_id").eqNullSafe(F.col("d")), F.col("mark") == F.col("m")]
 
     whole = shared.where("copies > 1").select("doc_id", "mark", F.col("first").alias("lo"),
-                                              (F.col("last") + length).alias("hi"))
+                                              (F.col("until") + length).alias("hi"))
     # Of equal runs, one takes part in the comparison.
     contested = (shared.where("variants > 1").groupBy("anchor", "run")
                  .agg(F.min(F.struct("doc_id", "mark", "first", "last", "at")).alias("r"))

@@ -140,6 +140,49 @@ def test_repeat_report_equals_brute_force(spark, rows, monkeypatch):
     assert [got[i] for i in range(len(texts))] == repeats(texts, 400)
 
 
+@pytest.mark.parametrize("text", ["a" * 300_000, "ab" * 150_000, "one line of a text, again and again\n" * 9000])
+def test_periodic_texts_are_few_rows(text):
+    import pyarrow as pa
+    batch = pa.RecordBatch.from_arrays([pa.array([1]), pa.array([2]), pa.array([text])], names=["doc_id", "mark", "text"])
+    rows = [r for b in suffix._find_runs(400)(iter([batch])) for r in b.to_pylist()]
+    # A handful for each segment that is hashed at once.
+    assert len(rows) < 6 * (1 + len(text) // suffix.SEGMENT) and rows[0]["first"] == 0
+    assert rows[-1]["until"] == len(text) - 400 and all(b["first"] == a["until"] + 1 for a, b in zip(rows, rows[1:]))
+
+
+def test_periodic_texts_equal_brute_force(spark):
+    texts = ["a" * 5000, "ab" * 2000 + "c" + "ab" * 2000, "x" * 399 + "y", "line of text, again\n" * 300, "a" * 401, "b" * 400,
+             "a" * 300 + "z" + "a" * 450]
+    got = {r.doc_id: tuple(r)[1:] for r in suffix.repeat_report(documents(spark, texts), length=400).collect()}
+    assert [got[i] for i in range(len(texts))] == repeats(texts, 400)
+
+
+def kept_characters(texts, length):
+    """What remove_repeats should leave: a character of which a byte goes, goes."""
+    raw = [(t or "").encode() for t in texts]
+    count = collections.Counter(r[i: i + length] for r in raw for i in range(len(r) - length + 1))
+    out = []
+    for text, r in zip(texts, raw):
+        gone = np.zeros(len(r), bool)
+        for i in range(len(r) - length + 1):
+            if count[r[i: i + length]] > 1:
+                gone[i: i + length] = True
+        at, kept = 0, []
+        for c in text or "":
+            n = len(c.encode())
+            if not gone[at: at + n].any():
+                kept.append(c)
+            at += n
+        out.append(None if text is None else "".join(kept))
+    return out
+
+
+def test_remove_repeats_equals_brute_force(spark):
+    texts = repeat_texts()
+    df = documents(spark, texts)
+    assert {r.doc_id: r.text for r in suffix.remove_repeats(df).collect()} == dict(enumerate(kept_characters(texts, 400)))
+
+
 def test_remove_repeats_keeps_rows_and_columns(spark):
     texts = repeat_texts()
     ids = [*range(len(texts) - 2), 0, None]
