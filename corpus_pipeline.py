@@ -32,13 +32,21 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns from the labelled documents of the stage's own input."""
     model = langid.train(docs)
     names = {c: c if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)}
-    judged = written(langid.predict(docs.select([F.col(c).alias(n) for c, n in names.items()]), model),
+    judged = written(langid.predict(docs.select([F.col(f"`{c}`").alias(n) for c, n in names.items()]), model),
                      "languages", batch_rows=langid.TEXT_ROWS)
     kept = judged.where((F.col("lang_pred") != langid.UNDETERMINED) & (F.col("score") >= least_score(len(model.labels))))
     return kept.select([F.col(n).alias(c) for c, n in names.items()])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked at a similarity of 0.8 or more, the one with the smallest id stays
+    (:func:`_representatives`).  Columns go by other names meanwhile, so none can clash."""
+    names = {c: c if c in ("doc_id", "text") else f"c{i}" for i, c in enumerate(docs.columns)}
+    left = _representatives(docs.select([F.col(f"`{c}`").alias(n) for c, n in names.items()]))
+    return left.select([F.col(n).alias(c) for c, n in names.items()])
+
+
+def _representatives(docs: DataFrame) -> DataFrame:
     """Of documents linked at a similarity of 0.8 or more, the one with the smallest id stays.
 
     A document is an id with a text: several texts under one id are judged apart.  Of repeated
