@@ -9,8 +9,10 @@ the order of their votes, and only by its own best container if it has none of t
 Navigation, page headers, footers, asides, forms, adverts, notices, comments and the like are
 never part of a container's text, whether named by tag, role, class or id.  A name counts if it
 consists of furniture words and neutral ones ("site-nav", not "search-term" or "has-sidebar");
-inline elements, headings and an element that holds most of the page's paragraph text are
-never cut by a name.
+inline elements and headings are never cut by a name.  Comments, adverts and consent notices go
+whatever they hold.  Other named elements, and forms, are judged by what they hold: one around an article,
+a main element or a first-level heading is a wrapper and stays, and so are the outermost ones of a page
+that would have no text without them.  How much text an element holds plays no part in it.
 """
 
 from __future__ import annotations
@@ -34,7 +36,9 @@ RAW = frozenset("script style textarea title noscript template iframe svg math o
                 "select noembed noframes xmp audio video".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label "
                    "mark q rb rp rt ruby s samp small span strike strong sub sup time tt u var".split())
-SKIPPED = frozenset("head nav footer aside form button fieldset menu dialog".split())
+SKIPPED = frozenset("head nav footer aside button fieldset menu dialog".split())
+WRAPPED = frozenset("article main h1".split())  # an element around one of them is a wrapper
+SWALLOWING = frozenset("script style textarea title".split())  # of RAW: without an end they take the rest
 CLOSED_BY_BLOCK = "p"
 SAME_CLOSES = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",),
                "td": ("tr", "table"), "th": ("tr", "table"), "option": ("select",)}
@@ -52,19 +56,27 @@ share sharing social related recommended newsletter subscribe signup login searc
 contentinfo complementary skip
 """.split())
 
+# Those of them that no article is inside of.
+ALWAYS = frozenset("""
+ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored
+cookie cookies consent gdpr comment comments respond disqus reply replies
+""".split())
+COMMENTS = frozenset("comment comments respond disqus reply replies".split())
+
 # Words that say nothing beside a furniture word; words that make a header the
 # article's own; words after which a name tells what an element has or lacks.
 NEUTRAL = frozenset("""
 site page main global primary secondary top bottom left right upper lower first last sticky fixed mobile
 desktop area bar block box button buttons col column container content group icon icons inner outer item
 items js link links list panel row section slot the unit widget wrap wrapper zone post posts entry article
+user users reader readers text message info
 """.split())
 OWN_HEADER = frozenset("article content entry main page post section story".split())
 DESCRIBING = frozenset("has no not with without hide hides show shows hidden".split())
 UNCUT = INLINE | frozenset("h1 h2 h3 h4 h5 h6 html body article main".split())
 # Elements whose id is mostly the anchor of a passage.
 ANCHORED = (PARAGRAPH | {"section"}) - {"td", "th"}
-MOST = 0.5  # share of the page's paragraph text from which an element isn't cut by its name
+SOFT, HARD = 1, 2  # kinds of furniture: cut unless it is a wrapper; cut in any case
 
 _TAG = re.compile(r"""<(?:!--(?P<note>.*?(?:-->|\Z))|(?P<kind>[/!?]?)(?P<name>[a-zA-Z][^\s/>]*+)"""
                   r"""(?P<rest>(?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)(?P<end>>|\Z))""", re.S)
@@ -74,8 +86,8 @@ _NUMBER = re.compile(r"\d+")
 _SPLIT = re.compile(r"[\s_\-:.]+|(?<=[a-z])(?=[A-Z])")
 
 
-def _furniture(name: str, inside: bool) -> bool:
-    """Whether a class, id or role is a name of page furniture; ``inside`` an article or not."""
+def _furniture(name: str, inside: bool) -> int:
+    """The kind of page furniture that a class, id or role names, or 0; ``inside`` an article or not."""
     words = [w.lower() for w in _SPLIT.split(_NUMBER.sub("", name)) if w]
     for i, word in enumerate(words):
         if word in DESCRIBING:
@@ -83,22 +95,32 @@ def _furniture(name: str, inside: bool) -> bool:
             break
     if inside or OWN_HEADER.intersection(words):
         words = [w for w in words if w != "header"]
-    return bool(FURNITURE.intersection(words)) and all(w in FURNITURE or w in NEUTRAL for w in words)
+    if not FURNITURE.intersection(words) or not all(w in FURNITURE or w in NEUTRAL for w in words):
+        return 0
+    return HARD if ALWAYS.intersection(words) else SOFT
+
+
+def _anchored(name: str) -> int:
+    """The same for a section's id, which mostly names a passage: only comments count."""
+    words = {w.lower() for w in _SPLIT.split(_NUMBER.sub("", name)) if w}
+    return HARD if words & COMMENTS and words <= COMMENTS | NEUTRAL else 0
 
 
-def _names(tag: str, rest: str, inside: bool) -> tuple[str, bool, bool]:
-    """Generalised classes of a tag, whether its class, id or role names furniture, if it's hidden."""
-    classes, furniture, hidden = [], False, False
+def _names(tag: str, rest: str, inside: bool) -> tuple[str, int, bool]:
+    """Generalised classes of a tag, the furniture that its class, id or role names, if it's hidden."""
+    classes, furniture, hidden = [], 0, False
     for m in _ATTRIBUTE.finditer(rest):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         if name == "class":
             classes += [_NUMBER.sub("", c) for c in value.split()]
         if name in ("class", "role") or (name == "id" and tag not in ANCHORED):
-            furniture = furniture or any(_furniture(v, inside) for v in value.split())
+            furniture = max([furniture, *(_furniture(v, inside) for v in value.split())])
+        elif name == "id" and tag == "section":
+            furniture = max(furniture, _anchored(value))
         hidden = (hidden or name == "hidden" or (name == "aria-hidden" and value.strip().lower() == "true")
                   or (name == "style" and bool(_NO_DISPLAY.search(value))))
     label = "".join(f".{c}" for c in sorted(set(classes)) if c)
-    return label, furniture and tag not in UNCUT, hidden
+    return label, 0 if tag in UNCUT else furniture, hidden
 
 
 class Page:
@@ -109,7 +131,8 @@ class Page:
         self.paths: list[str] = [""]
         self.blocks: list[tuple[int, str, int, bool]] = []
         self._stack: list[tuple[str, int, bool]] = [("", 0, False)]  # name, element, skipped
-        self._named: set[int] = set()  # elements that a name calls furniture
+        self._named: dict[int, int] = {}  # elements that a name calls furniture, and its kind
+        self._wrappers: set[int] = set()  # elements around an article
         self._text: list[str] = []
         self._linked = 0
         self._links = 0
@@ -148,15 +171,19 @@ class Page:
             self._flush()
         _, parent, skipped = stack[-1]
         inside = bool(rest or name == "header") and any(n in ("article", "main") for n, _, _ in stack)
-        label, furniture, hidden = _names(name, rest, inside) if rest else ("", False, False)
+        label, furniture, hidden = _names(name, rest, inside) if rest else ("", 0, False)
         skipped = skipped or hidden or name in SKIPPED or (name == "header" and not inside)
         element = parent
         if name not in INLINE:
             element = len(self.parents)
             self.parents.append(parent)
             self.paths.append(f"{self.paths[parent]}/{name}{label}")
-            if furniture:
-                self._named.add(element)
+            if furniture or name == "form":
+                self._named[element] = furniture or SOFT
+            if name in WRAPPED and not skipped:
+                while parent and parent not in self._wrappers:
+                    self._wrappers.add(parent)
+                    parent = self.parents[parent]
         stack.append((name, element, skipped))
         self._links += name == "a"
 
@@ -175,7 +202,7 @@ class Page:
                 self._linked += len(text.strip())
 
     def _read(self, html: str) -> None:
-        at, size = 0, len(html)
+        at, size, unclosed = 0, len(html), set()
         while at < size:
             m = _TAG.search(html, at)
             if not m:
@@ -193,8 +220,11 @@ class Page:
             elif name in RAW:
                 if rest.endswith("/") and name in ("svg", "math"):
                     continue
-                end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(html, at)
-                at = end.end() if end else size
+                end = None if name in unclosed else re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(html, at)
+                if end or name in SWALLOWING:
+                    at = end.end() if end else size
+                else:
+                    unclosed.add(name)  # the tag alone is dropped; no need to look for its end again
             elif name in VOID:
                 if name == "hr":
                     self._flush()
@@ -207,19 +237,39 @@ class Page:
         self._cut()
 
     def _cut(self) -> None:
-        """Drop the blocks of furniture elements, but of those with most of the paragraph text."""
+        """Drop the blocks of furniture elements that aren't wrappers."""
         if not self._named:
             return
-        held = [0] * len(self.parents)
-        for element, text, linked, paragraph in self.blocks:
-            if paragraph:
-                held[element] += max(len(text) - linked, 0)
-        for e in range(len(held) - 1, 0, -1):  # parents come before their children
-            held[self.parents[e]] += held[e]
-        gone = [False] * len(held)
-        for e in range(1, len(held)):
-            gone[e] = gone[self.parents[e]] or (e in self._named and held[e] <= MOST * held[0])
-        self.blocks = [b for b in self.blocks if not gone[b[0]]]
+        cut = {e for e, kind in self._named.items() if kind == HARD or e not in self._wrappers}
+        while True:
+            gone, outermost = [False] * len(self.parents), []
+            for e in range(1, len(gone)):  # parents come before their children
+                above = gone[self.parents[e]]
+                gone[e] = above or e in cut
+                if gone[e] and not above and self._named[e] == SOFT:
+                    outermost.append(e)
+            left = [b for b in self.blocks if not gone[b[0]]]
+            if not outermost or any(paragraph and linked < len(text) for _, text, linked, paragraph in left):
+                break
+            # No text without them: what stands outermost is around the page, not part of it.
+            holding = self._holding(cut)
+            around = [e for e in outermost if holding[e]]
+            if not around:
+                break
+            cut.difference_update(around)
+        self.blocks = left
+
+    def _holding(self, cut: set[int]) -> list[bool]:
+        """Of every element, whether there is unlinked text in it outside of comments and adverts."""
+        hard = [False] * len(self.parents)
+        for e in range(1, len(hard)):
+            hard[e] = hard[self.parents[e]] or (e in cut and self._named[e] == HARD)
+        holds = [False] * len(self.parents)
+        for element, text, linked, _ in self.blocks:
+            holds[element] = holds[element] or (linked < len(text) and not hard[element])
+        for e in range(len(holds) - 1, 0, -1):
+            holds[self.parents[e]] = holds[self.parents[e]] or holds[e]
+        return holds
 
     def best(self) -> tuple[str, float]:
         """Path and score of the best container; the deepest of equals.  No text: ("", 0)."""
@@ -307,7 +357,8 @@ def main_text(pages: DataFrame) -> DataFrame:
 
     Character references are decoded, white space inside a block becomes one space, blocks are
     joined by a line feed in page order.  Null or empty html, and pages without article text,
-    give an empty text.  Rows without url vote together.  Repeated rows are extracted each;
+    give an empty text.  Of containers with equal scores the deepest votes, of those the first on the page;
+    of a host's paths with equal votes the first by name.  Rows without url vote together.  Repeated rows are extracted each;
     other columns are ignored."""
     rows = pages.select("page_id", F.col("url").cast("string").alias("url"),
                         F.col("html").cast("string").alias("html"))

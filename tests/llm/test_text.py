@@ -308,6 +308,36 @@ def test_names_that_only_mention_furniture_are_kept():
         assert html.extract(f"<div>{body}<div {gone}><p>gone</p></div></div>", []) == text, gone
 
 
+BODY = "<p>The article has a first paragraph.</p><p>And it has a second one.</p>"
+BODY_TEXT = "The article has a first paragraph.\nAnd it has a second one."
+
+
+def test_comments_and_notices_go_whatever_their_size():
+    much = "<p>A reader wrote far more than the article has.</p>" * 40
+    for gone in ("class=comments", "class='user-comments'", "class='cookie-banner-text'", "id=comments", "class=ad-slot",
+                 "class='comments-list text'"):
+        for tag in ("div", "section"):
+            page = f"<html><body><div class='post'>{BODY}</div><{tag} {gone}>{much}</{tag}></body></html>"
+            assert html.extract(page, []) == BODY_TEXT, (tag, gone)
+    assert html.extract(f"<section id=comments>{much}</section><div>{BODY}</div>", []) == BODY_TEXT
+
+
+def test_forms_and_named_wrappers_are_judged_by_what_they_hold():
+    search = "<form><p>Search this site</p></form>"
+    assert html.extract(f"<body><div>{BODY}</div>{search}</body>", []) == BODY_TEXT
+    assert html.extract(f"<body><form id=aspnetForm><nav><p>Menu</p></nav><div>{BODY}</div></form></body>", []) == BODY_TEXT
+    assert html.extract(f"<body><form><div class=sidebar><p>side</p></div><div>{BODY}</div>"
+                        f"<div class=comments><p>{'no ' * 99}</p></div></form></body>", []) == BODY_TEXT
+    assert html.extract(f"<body><p>Line</p><div class=overlay><article>{BODY}</article></div></body>", []).endswith(BODY_TEXT)
+    assert html.extract(f"<body><div class=sidebar><p>one</p></div><div class=comments>{BODY}</div></body>", []) == "one"
+
+
+@pytest.mark.parametrize("name", "noscript svg canvas video object iframe select math audio template".split())
+def test_an_unclosed_element_doesnt_take_the_page(name):
+    assert html.extract(f"<body><div><{name}>{BODY}</div></body>", []) == BODY_TEXT
+    assert html.extract(f"<body><div><{name}><p>gone</p></{name}>{BODY}</div></body>", []) == BODY_TEXT
+
+
 def test_main_text_votes_by_host(spark):
     plain = "<html><body><div class='main1'><p>{0}</p></div><div class='extra'>{1}</div></body></html>"
     rows = [(i, f"http://a.org/{i}", plain.format("long article text " * 9, "short"), "h", None)
