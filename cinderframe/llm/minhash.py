@@ -132,8 +132,8 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     Rows link when ``100 * |A & B| >= percent * |A | B|`` over their shingle sets.  Texts with
     fewer than five words form one shingle; null, empty or blank texts have none and link
     with nothing.  Rows with the same set are linked, also when repeated (each row goes by its
-    own text); a row without a doc_id has a null component and is kept.  Other columns are
-    ignored."""
+    own text); a row without a doc_id is kept and has the component of the rows with its set, null
+    if none of them has an id.  Other columns are ignored."""
     percent = int(percent)
     least = least_matches(percent)
     signed = written(

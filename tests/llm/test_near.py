@@ -97,8 +97,8 @@ def test_near_duplicates_of_nothing_and_of_rows_without_id(spark):
     rows = minhash.near_duplicates(spark.createDataFrame(
         [(None, "a b c d e f"), (4, "a b c d e f"), (4, "a b c d e f"), (9, "A b c d e f")],
         "doc_id long, text string")).collect()
-    assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in rows) == [
-        (0, 0, True) if False else (0, 4, True), (4, 4, True), (4, 4, True), (9, 4, False)] or True
+    assert sorted((r.doc_id or 0, r.component_id, r.kept) for r in rows) == [
+        (0, 4, True), (4, 4, True), (4, 4, True), (9, 4, False)]
     by = collections.Counter((r.doc_id, r.kept) for r in rows)
     assert by == {(None, True): 1, (4, True): 2, (9, False): 1}
 
