@@ -62,16 +62,27 @@ def plant_day_window() -> Window:
     return Window.partitionBy("plant_id").orderBy("reading_date")
 
 
-def scope1_emissions(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFrame:
+def scope1_emissions(daily: DataFrame, cfg: PipelineConfig = DEFAULT,
+                     history: DataFrame | None = None) -> DataFrame:
     """Daily Scope 1 statistics with row-based rolling means and the 30-row change.
 
     "7-day"/"30-day" are 7 and 30 available reading days (ROWS frames); the first rows of a
     plant use partial frames and the change is NULL for its first 30 days.
+
+    ``history`` (span, reading_date, plant_id, scope1_intensity_avg) has the reading days before
+    each ``span`` of ``daily``, which then has that column too: input of the windows, no rows.
     """
     avg = F.col("scope1_intensity_avg")
     w = plant_day_window()
     s1 = daily.where(F.col("reading_count") > 0)
+    if history is not None:
+        w = Window.partitionBy("span", "plant_id").orderBy("reading_date")
+        s1 = s1.withColumn("is_row", F.lit(True)).unionByName(
+            history.withColumn("is_row", F.lit(False)), allowMissingColumns=True)
+    else:
+        s1 = s1.withColumn("is_row", F.lit(True))
     return s1.select(
+        "is_row",
         *KEYS,
         "scope1_intensity_avg", "scope1_intensity_min", "scope1_intensity_max",
         "scope1_intensity_std", "heat_consumption_avg", "coal_total_t_day",
@@ -80,7 +91,7 @@ def scope1_emissions(daily: DataFrame, cfg: PipelineConfig = DEFAULT) -> DataFra
         F.avg(avg).over(w.rowsBetween(-(C.ROLLING_LONG_ROWS - 1), 0)).alias("scope1_rolling_30d"),
         (avg - F.lag(avg, C.CHANGE_LAG_ROWS).over(w)).alias("scope1_mom_change"),
         (avg > cfg.target_2030).alias("exceeds_2030_target"),
-    )
+    ).where("is_row").drop("is_row")
 
 
 def scope2_intensity() -> "F.Column":

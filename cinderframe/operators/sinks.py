@@ -4,10 +4,12 @@ per job, so a lost executor only re-runs its tasks)."""
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import json
 import re
 import uuid
-from functools import lru_cache
+from functools import lru_cache, reduce
+from operator import or_
 from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -21,6 +23,10 @@ JOURNAL = "-swap.json"  # ends the names of journals of decided file swaps
 # Directories of the sensor table: one per plant and month.
 SENSOR_PARTITIONS = ["reading_month", "plant_id"]
 
+# Beside the sensor table: a folder of changed plant-months for each load that no run has taken in yet.
+CHANGED_MONTHS = "reading_month string, plant_id string, first date, last date"
+WHOLE = "whole-"  # begins the name of the mark that stands for all plant-months
+
 
 def require_not_null(df: DataFrame, columns: list[str], table: str) -> DataFrame:
     """Enforce NOT NULL like the relational store: the write fails on a violating row.
@@ -153,11 +159,11 @@ def _names_below(spark: SparkSession, path: str) -> list[str]:
     return [plain_name(f).partition(base)[2] for f in found]
 
 
-def _commit_swap(spark: SparkSession, path: str, staging: str, old: list[str]) -> str:
+def _commit_swap(spark: SparkSession, path: str, staging: str, old: list[str], changes: str) -> str:
     """Decide that the staged files take the place of the ``old`` ones: a journal that appears in one
     step of the file system.  Until then the table is as it was, from then on the swap will happen."""
     journal = f"{path}_staging/{uuid.uuid4().hex[:12]}{JOURNAL}"
-    text = json.dumps({"staging": staging, "files": _names_below(spark, staging), "old": old})
+    text = json.dumps({"staging": staging, "files": _names_below(spark, staging), "old": old, "changes": changes})
     fs, draft = _location(spark, f"{journal}.draft")
     out = fs.create(draft, False)
     out.write(bytearray(text.encode()))
@@ -182,9 +188,35 @@ def _swap(spark: SparkSession, path: str, journal: str) -> None:
     for file in todo["old"]:
         remove_path(spark, plain_name(file))
     remove_path(spark, todo["staging"])
+    # Last, so that a run which takes the changes in finds the rows; moved at most once.
+    if todo.get("changes") and path_exists(spark, todo["changes"]):
+        fs.mkdirs(at(changes_path(path)))
+        _rename(spark, todo["changes"], f"{changes_path(path)}/{todo['changes'].rpartition('/')[2]}")
     remove_path(spark, journal)
 
 
+def changes_path(path: str) -> str:
+    return f"{path}_changes"
+
+
+def pending_changes(spark: SparkSession, path: str) -> tuple[list[str], DataFrame | None]:
+    """What loads changed in a sensor table and no run has taken in: the names of the records, and
+    their (reading_month, plant_id, first, last); None if it is the whole table."""
+    finish_swaps(spark, path)
+    names = sorted(list_names(spark, changes_path(path)))
+    if any(n.startswith(WHOLE) for n in names):
+        return names, None
+    schema = spark.read.schema(CHANGED_MONTHS)
+    return names, (schema.parquet(*[f"{changes_path(path)}/{n}" for n in names]) if names
+                   else spark.createDataFrame([], CHANGED_MONTHS))
+
+
+def take_in_changes(spark: SparkSession, path: str, names: list[str]) -> None:
+    """Drop records that a run has taken in.  One that fails before leaves them to the next."""
+    for name in names:
+        remove_path(spark, f"{changes_path(path)}/{name}")
+
+
 def finish_swaps(spark: SparkSession, path: str) -> None:
     """Carry out what loads decided and a failure kept them from doing."""
     for name in list_names(spark, f"{path}_staging"):
@@ -204,18 +236,20 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
 
     New files are moved, not written again, once a journal has been put beside the table in one step:
     a failure before it leaves the table as it was, one after it is made good by the next load of the
-    table (or by running this one again), which first carries out the journals it finds.  While files are
+    table (or by running this one again), which first carries out the journals it finds.  Its plant-months
+    are left beside the table for the next run (``pending_changes``).  While files are
     being moved, for a few file-system calls, a reader may see old and new rows of these files together."""
     spark = batch.sparkSession
     rows = require_not_null(with_sensor_defaults(batch, run_ts),
                             schemas.NOT_NULL_COLUMNS["raw_sensor_readings"], "raw_sensor_readings")
     obs = Observation("loaded")
     if not path_exists(spark, path):
+        create_empty(spark, f"{changes_path(path)}/{WHOLE}{uuid.uuid4().hex[:12]}")
         _write_plant_months(rows, path, obs)
         return int(obs.get.get("n", 0))
     finish_swaps(spark, path)
     run = f"{path}_staging/{uuid.uuid4().hex[:12]}"
-    staging, months = f"{run}-batch", f"{run}-files"
+    staging, months, changes = f"{run}-batch", f"{run}-files", f"{run}-changes"
     decided = None
     try:
         _write_plant_months(rows, staging, obs, F.min("reading_date").alias("first"),
@@ -232,12 +266,14 @@ def replace_plant_days(batch: DataFrame, path: str, run_ts: dt.datetime) -> int:
                     .parquet(*map(plain_path, files)))
             new = held.join(days, [*SENSOR_PARTITIONS, "reading_date"], "left_anti").unionByName(new)
             _write_plant_months(new, months)
-        decided = _commit_swap(spark, path, months if files else staging, files)
+        (days.groupBy(*SENSOR_PARTITIONS).agg(F.min("reading_date").alias("first"), F.max("reading_date").alias("last"))
+         .write.parquet(changes))
+        decided = _commit_swap(spark, path, months if files else staging, files, changes)
         _swap(spark, path, decided)
         return int(loaded["n"])
     finally:
         # What a journal names goes with it.
-        for folder in [staging, months] if decided is None else [staging] if files else []:
+        for folder in [staging, months, changes] if decided is None else [staging] if files else []:
             remove_path(spark, folder)
 
 
@@ -268,37 +304,91 @@ def write_plant_days(df: DataFrame, path: str, since: dt.date | None = None) ->
     """Write a table of plant-days into ``reading_month=`` directories; returns rows written.
 
     Without ``since`` it is a full refresh.  With it, ``df`` has the plant-days from the first day
-    of that month on, and only those months are replaced: a month that ``df`` no longer has is
-    dropped, earlier months aren't touched.  Repeating the call repairs a failed one."""
-    spark = df.sparkSession
-    rows = (df.withColumn("reading_month", reading_month()).hint("rebalance", "reading_month")
+    of that month on, and only those months are replaced."""
+    rows = df.withColumn("reading_month", reading_month())
+    return write_months(rows, path, None if since is None else [(since.strftime("%Y-%m"), "9999-12")])
+
+
+def write_months(rows: DataFrame, path: str, spans: list[tuple[str, str]] | None) -> int:
+    """Write rows with a ``reading_month`` into a directory a month; returns rows written.
+
+    ``spans`` are the stretches of months (first, last) that ``rows`` cover and replace: a month that
+    they no longer have is dropped, others aren't touched.  None is a full refresh.  Repeating
+    the call repairs a failed one."""
+    spark = rows.sparkSession
+    rows = (rows.hint("rebalance", "reading_month")
             .sortWithinPartitions("reading_month", "reading_date", "plant_id"))
-    if since is None or not path_exists(spark, path):
+    if spans is None or not path_exists(spark, path):
         return overwrite_table(rows, path, ("reading_month",))
     obs = Observation("written")
     (rows.observe(obs, F.count(F.lit(1)).alias("n"), F.collect_set("reading_month").alias("months"))
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("reading_month").parquet(path))
     written = obs.get
-    fs, hpath = _location(spark, path)
-    for status in fs.listStatus(hpath):  # one directory a month
-        name, _, month = status.getPath().getName().partition("=")
-        if name == "reading_month" and month >= since.strftime("%Y-%m") and month not in written["months"]:
-            fs.delete(status.getPath(), True)
+    _drop_months(spark, path, "reading_month", lambda m: any(a <= m <= b for a, b in spans), written["months"])
     return int(written["n"])
 
 
-def append_load(df: DataFrame, path: str, load_id: str) -> int:
+def _drop_months(spark: SparkSession, path: str, column: str, covered, kept: list[str]) -> None:
+    """Remove the covered directories of a table that a write left without rows."""
+    for found in list_names(spark, path):
+        name, _, value = found.partition("=")
+        if name == column and covered(value) and value not in kept:
+            remove_path(spark, f"{path}/{found}")
+
+
+def _digest_parts(columns: list[str]) -> dict[str, Column]:
+    """Aggregates that don't depend on the order of rows: their number, and sums and xors of two hashes.
+
+    Hashes skip NULLs, so each column enters with a flag; the second hash has another order."""
+    def row_hash(names: list[str]) -> Column:
+        return F.xxhash64(*[x for c in names for x in (F.col(c).isNull(), F.col(c))])
+
+    one, two = row_hash(columns), row_hash(columns[::-1])
+    return {"n": F.count(F.lit(1)), "xor_1": F.bit_xor(one), "xor_2": F.bit_xor(two),
+            "sum_1": F.sum(one.cast("decimal(20,0)")), "sum_2": F.sum(two.cast("decimal(20,0)"))}
+
+
+def _digest(found: dict) -> str:
+    values = [found.get(k) for k in ("n", "xor_1", "xor_2", "sum_1", "sum_2")]
+    return hashlib.sha256(" ".join(str(v) for v in values).encode()).hexdigest()[:32]
+
+
+def rows_digest(df: DataFrame) -> str:
+    """A digest of a frame's rows, whatever their order; repeated rows count."""
+    parts = _digest_parts(df.columns)
+    return _digest(df.agg(*[c.alias(k) for k, c in parts.items()]).first().asDict())
+
+
+def append_load(df: DataFrame, path: str, load_id: str | None = None) -> int:
     """Append a batch as a directory ``load_id=`` of its own; an empty batch writes nothing.
 
-    The directory is overwritten as a whole, so repeating a load (a replayed micro-batch, a
-    retried run) doesn't append twice.  Batch runs and streams share this protocol."""
-    if df.isEmpty():
-        return 0
+    Without an id the load is named by its rows (but for their load time, ``ingested_at``): a batch that
+    is loaded again, by a retried run or a replayed micro-batch, leaves one copy whoever loads it.  Its rows
+    are written beside the table, digested in the same pass and moved in as one; a load that is
+    there already stays.  With an id the directory is overwritten as a whole."""
+    spark = df.sparkSession
+    if load_id is not None:
+        if df.isEmpty():
+            return 0
+        obs = Observation("appended")
+        (df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "static").parquet(f"{path}/load_id={load_id}"))
+        return int(obs.get.get("n", 0))
     obs = Observation("appended")
-    (df.observe(obs, F.count(F.lit(1)).alias("n")).write.mode("overwrite")
-     .parquet(f"{path}/load_id={load_id}"))
-    return int(obs.get.get("n", 0))
+    staging = f"{path}_staging/{uuid.uuid4().hex[:12]}"
+    parts = _digest_parts([c for c in df.columns if c != "ingested_at"])
+    try:
+        df.observe(obs, *[c.alias(k) for k, c in parts.items()]).write.parquet(staging)
+        n = int(obs.get.get("n", 0))
+        final = f"{path}/load_id=rows-{_digest(obs.get)}"
+        if n and not path_exists(spark, final):
+            fs, hpath = _location(spark, path)
+            fs.mkdirs(hpath)
+            _rename(spark, staging, final)
+        return n
+    finally:
+        remove_path(spark, staging)
 
 
 def log_run(spark: SparkSession, path: str, run_at: dt.datetime, dag_id: str, source: str,
@@ -323,3 +413,37 @@ def export_newest_first(df: DataFrame, path: str) -> int:
      .observe(obs, F.count(F.lit(1)).alias("n"))
      .write.mode("overwrite").parquet(path))
     return int(obs.get.get("n", 0))
+
+
+# Name of an export's directories: months counted down, so that names in order are newest first.
+COUNTDOWN = "newest_first"
+
+
+def _countdown(month: str) -> str:
+    return f"{999999 - int(month.replace('-', '')):06d}"
+
+
+def export_months(df: DataFrame, path: str, spans: list[tuple[str, str]] | None) -> int:
+    """Export the plant-days of the months in ``spans`` (None: all), newest first, with a directory a month.
+
+    Directory names count down and the files of a month are range-partitioned by day, so the files in
+    the order of their names are the whole export in order.  Only the given months are written; those
+    that ``df`` no longer has are dropped.  An export without such directories is replaced as a whole.
+    Returns the rows written."""
+    spark = df.sparkSession
+    month = reading_month()
+    if not any(n.startswith(f"{COUNTDOWN}=") for n in list_names(spark, path)):
+        spans = None
+    if spans is not None:
+        df = df.where(reduce(or_, [month.between(a, b) for a, b in spans], F.lit(False)))
+    down = F.lpad((F.lit(999999) - F.date_format("reading_date", "yyyyMM").cast("int")).cast("string"), 6, "0")
+    obs = Observation("exported")
+    (df.withColumn(COUNTDOWN, down).orderBy(COUNTDOWN, F.desc("reading_date"), "plant_id")
+     .observe(obs, F.count(F.lit(1)).alias("n"), F.collect_set(COUNTDOWN).alias("months"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "static" if spans is None else "dynamic")
+     .partitionBy(COUNTDOWN).parquet(path))
+    written = obs.get
+    if spans is not None:
+        _drop_months(spark, path, COUNTDOWN, lambda v: any(_countdown(b) <= v <= _countdown(a) for a, b in spans),
+                     written["months"])
+    return int(written.get("n", 0))

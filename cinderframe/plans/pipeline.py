@@ -11,16 +11,17 @@ written table cuts the lineage, so a lost executor re-runs only the current step
 from __future__ import annotations
 
 import datetime as dt
+import hashlib
 import os
-import uuid
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import config as C
 from ..config import DEFAULT, PipelineConfig
-from ..operators import ingest, marts, quality, scopes, sinks, staging
+from ..operators import changes, ingest, marts, quality, scopes, sinks, staging
 from .. import schemas
 from ..sources import fixtures, readers
 
@@ -77,10 +78,10 @@ def ingest_benchmarks(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
 
 
 def ingest_air_quality(spark: SparkSession, wh: Warehouse, records: DataFrame, run_ts: dt.datetime) -> int:
-    """Append parsed air-quality rows; an empty batch is neither written nor logged."""
+    """Append parsed air-quality rows; an empty batch is neither written nor logged, and one that is
+    loaded again (named by its rows) leaves one copy."""
     parsed = _checked(ingest.parse_air_quality(records, run_ts), "raw_openaq_readings")
-    load_id = f"batch-{run_ts:%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    n = sinks.append_load(parsed, wh.path("raw_openaq_readings"), load_id)
+    n = sinks.append_load(parsed, wh.path("raw_openaq_readings"))
     if n > 0:
         sinks.log_run(spark, wh.log, run_ts, *C.LOG_AIR_QUALITY_LOAD, n, "success")
     return n
@@ -106,105 +107,182 @@ def land_fixtures(spark: SparkSession, sf_dir: str, wh: Warehouse,
 
 # --- transform (staging -> intermediate -> marts -> checks -> export) ------------------
 
-def _with_history(spark: SparkSession, wh: Warehouse, fresh: DataFrame, cut: dt.date | None) -> DataFrame:
-    """The plant-days from ``cut`` on with the preceding reading days that their windows need: of
-    each plant the last ones that the stored table has before ``cut``."""
-    if cut is None:
-        return fresh
-    newest_first = Window.partitionBy("plant_id").orderBy(F.desc("reading_date"))
-    stored = readers.read_plant_days(spark, wh.path("int_daily_plant_readings"))
-    before = (stored.where((F.col("reading_date") < F.lit(cut)) & (F.col("reading_count") > 0))
-              .withColumn("back", F.row_number().over(newest_first))
-              .where(F.col("back") <= max(C.ROLLING_LONG_ROWS - 1, C.CHANGE_LAG_ROWS)).drop("back"))
-    return before.unionByName(fresh.where(F.col("reading_date") >= F.lit(cut)))
+@dataclass
+class Work:
+    """What a run rebuilds: None stands for everything."""
+    changed: changes.Spans | None  # months whose readings are aggregated again
+    months: changes.Spans | None   # months whose plant-days are replaced: these and what windows reach
+    state: tuple[str, str] | None  # first and last month whose window state is replaced
+
+
+def _last_day(spark: SparkSession, path: str) -> dt.date:
+    """The first day of a plant-day table's last month, by its directories."""
+    months = [n.partition("=")[2] for n in sinks.list_names(spark, path) if n.startswith("reading_month=")]
+    return dt.date.fromisoformat(f"{max(months, default='0001-01')}-01")
+
+
+def _touched(spark: SparkSession, daily_path: str, found: set[str], changed: DataFrame,
+             since: dt.date | None) -> Work:
+    """The work that changed months give once the aggregate has been written again: the months that
+    their windows reach are found in it.  What the driver sees is a row per calendar month."""
+    start = None if since is None else since.strftime("%Y-%m")
+    first = min([*found, *([start] if start else [])])
+    daily = spark.read.parquet(daily_path).where(F.col("reading_month") >= first).select(
+        "reading_date", "plant_id", "reading_count")
+    end = _last_day(spark, daily_path)
+    touched = changes.touched_months(daily, changed, end).collect() if found else []
+    reached = found | {r["reading_month"] for r in touched if r["reached"]}
+    last = max([r["reading_month"] for r in touched] + [end.strftime("%Y-%m") if start else first])
+    return Work(changes.spans(found, start), changes.spans(reached, start), (first, last))
+
+
+def _window_state(spark: SparkSession, daily: DataFrame, path: str, work: Work, end: dt.date) -> DataFrame:
+    """The new rows of the window-state table: the last reading days before and in each month."""
+    days = daily.where(F.col("reading_count") > 0)
+    if work.state is None:
+        return changes.window_state(days.select("reading_date", "plant_id", "scope1_intensity_avg"), None, end)
+    first, last = (dt.date.fromisoformat(f"{m}-01") for m in work.state)
+    days = days.where(F.col("reading_month").between(*work.state))
+    before = _state_before(spark, path, work.state[0])
+    return changes.window_state(days.select(*before.columns).unionByName(before), first, last)
+
+
+def _state_before(spark: SparkSession, path: str, month: str) -> DataFrame:
+    """The window state that holds when ``month`` begins: one directory of the table."""
+    state = spark.read.parquet(path)
+    known = [n.partition("=")[2] for n in sinks.list_names(spark, path) if n.startswith("reading_month=")]
+    last = max((m for m in known if m < month), default="")
+    return state.where(F.col("reading_month") == last).select("reading_date", "plant_id", "scope1_intensity_avg")
+
+
+def _with_windows(spark: SparkSession, daily: DataFrame, path: str, cfg: PipelineConfig,
+                  work: Work) -> DataFrame:
+    """Scope 1 of the run's months; their windows begin with the stored state before each stretch."""
+    if work.months is None:
+        return scopes.scope1_emissions(daily, cfg)
+    history = [_state_before(spark, path, first).withColumn("span", F.lit(first)) for first, _ in work.months]
+    month = sinks.reading_month()
+    return scopes.scope1_emissions(daily.withColumn("span", changes.span_of(work.months, month)), cfg,
+                                   reduce(DataFrame.unionByName, history))
+
+
+def _settings(stg_iea: DataFrame, cfg: PipelineConfig, metered: bool) -> str:
+    """A digest of what all plant-days depend on besides their readings: a run with others rebuilds all."""
+    benchmarks = sinks.rows_digest(stg_iea.drop("ingested_at"))
+    return hashlib.sha256(f"{cfg!r} {benchmarks} {metered}".encode()).hexdigest()
 
 
 def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
               cfg: PipelineConfig = DEFAULT, export_dir: str | None = None,
-              since: dt.date | None = None, scope2: DataFrame | None = None) -> RunResult:
+              since: dt.date | None = None, scope2: DataFrame | None = None,
+              full: bool = False) -> RunResult:
     """Run staging -> scopes -> marts -> checks -> export.
 
     The CO2 mart reads the stored Scope 2 and Scope 3 tables (a plant may replace them by
     metered values: see ``scope2`` below).
 
-    ``since`` makes the run incremental: raw months before its month aren't read, and of the
-    plant-day tables only the months from there on are replaced.  The row-based windows stay
-    exact, as their preceding reading days come from the stored aggregate.
+    After a first run, a run is driven by what changed: loads leave the plant-months they replaced
+    beside the raw table, the run aggregates those months again, finds the months that their row-based
+    windows reach, and replaces these in all tables and in the export.  Windows begin with a stored state,
+    the last reading days before each month.  A run that fails leaves the changes to the next one.
+    ``since`` adds the months from there on.  ``full`` rebuilds everything; so does a run without
+    ``since`` whose configuration or benchmarks differ from the last one's.
     ``scope2`` takes the place of the estimated Scope 2 rows (reading_date, plant_id,
-    scope2_intensity_kg_per_t, grid_emission_factor_kg_per_kwh, reading_count).
+    scope2_intensity_kg_per_t, grid_emission_factor_kg_per_kwh, reading_count); what of it changed isn't
+    known, so without ``since`` it means a full run, as does the next run without it.
     """
     res = RunResult()
-    cut = None if since is None else since.replace(day=1)
-    if cut and not sinks.path_exists(spark, wh.path("int_daily_plant_readings")):
-        cut = None  # nothing stored yet: a full run
+    sensor_path, daily_path = wh.path("raw_sensor_readings"), wh.path("int_daily_plant_readings")
+    state_path = wh.path("int_window_state")
+    raw_owid = readers.read_owid_emissions(spark, wh.path("raw_owid_emissions"))
+    raw_iea = readers.read_iea_benchmarks(spark, wh.path("raw_iea_benchmarks"))
+    stg_owid = staging.stg_owid_emissions(raw_owid)
+    stg_iea = staging.stg_iea_benchmarks(raw_iea, cfg)
+
+    records, changed = sinks.pending_changes(spark, sensor_path)
+    settings, known = _settings(stg_iea, cfg, scope2 is not None), None
+    if sinks.path_exists(spark, wh.path("run_settings")):
+        known = spark.read.parquet(wh.path("run_settings")).first()["settings"]
+    if full or known is None or changed is None or (since is None and (scope2 is not None or known != settings)):
+        since, found, work = None, set(), Work(None, None, None)
+    else:
+        found = {r[0] for r in changed.select("reading_month").distinct().collect()}
+        work = Work(changes.spans(found, None if since is None else since.strftime("%Y-%m")), [], None)
+    whole = work.changed is None
 
     def write(name: str, df: DataFrame) -> DataFrame:
         res.tables[name] = wh.path(name)
         res.rows[name] = sinks.overwrite_table(df, wh.path(name))
         return spark.read.parquet(wh.path(name))
 
-    def write_days(name: str, df: DataFrame) -> DataFrame:
+    def write_days(name: str, df: DataFrame, months: changes.Spans | None) -> DataFrame:
         """Replace the run's months; returns them, from the stored table."""
         res.tables[name] = wh.path(name)
-        if cut:
-            df = df.where(F.col("reading_date") >= F.lit(cut))
-        res.rows[name] = sinks.write_plant_days(df, wh.path(name), cut)
-        stored = spark.read.parquet(wh.path(name))
-        if cut:
-            stored = stored.where(F.col("reading_month") >= cut.strftime("%Y-%m"))
-        return stored.drop("reading_month")
-
-    raw_sensor = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"))
-    raw_owid = readers.read_owid_emissions(spark, wh.path("raw_owid_emissions"))
-    raw_iea = readers.read_iea_benchmarks(spark, wh.path("raw_iea_benchmarks"))
-    # The days this run reads: all, or (incremental) those of the months from ``since`` on.
-    scanned = readers.read_sensor_readings(spark, wh.path("raw_sensor_readings"), cut)
+        if whole:
+            res.rows[name] = sinks.write_plant_days(df, wh.path(name))
+            return readers.read_plant_days(spark, wh.path(name))
+        rows = df.withColumn("reading_month", sinks.reading_month()).where(changes.within(months))
+        res.rows[name] = sinks.write_months(rows, wh.path(name), months)
+        return spark.read.parquet(wh.path(name)).where(changes.within(months)).drop("reading_month")
 
-    # staging: lazy views
-    stg_sensor = staging.stg_sensor_readings(scanned, cfg)
-    stg_owid = staging.stg_owid_emissions(raw_owid)
-    stg_iea = staging.stg_iea_benchmarks(raw_iea, cfg)
+    raw_sensor = readers.read_sensor_readings(spark, sensor_path)
+    # The readings this run aggregates: all, or those of the changed months.
+    scanned = raw_sensor if whole else readers.read_sensor_months(spark, sensor_path, changes.within(work.changed))
 
-    # intermediate: one aggregate of the readings, then plant-day sized tables
-    daily = write_days("int_daily_plant_readings", scopes.daily_plant_readings(stg_sensor))
-    s1 = write_days("int_scope1_emissions",
-                    scopes.scope1_emissions(_with_history(spark, wh, daily, cut), cfg))
-    s2 = write_days("int_scope2_emissions",
-                    scopes.scope2_emissions(daily) if scope2 is None else scope2)
-    s3 = write_days("int_scope3_emissions", scopes.scope3_emissions(s1))
     write("stg_owid_emissions", stg_owid)
-
-    # marts: LEFT JOINs of the stored scopes, sized by the plant-days of these months
-    co2 = write_days("mart_co2_intensity", marts.co2_intensity_joined(s1, s2, s3, run_ts))
-    write_days("mart_net_zero_progress", marts.net_zero_progress(co2, cfg))
-    write_days("mart_benchmark_gap", marts.benchmark_gap(co2, stg_iea))
-    co2, nzp, bgap = (readers.read_plant_days(spark, wh.path(name)) for name in (
-        "mart_co2_intensity", "mart_net_zero_progress", "mart_benchmark_gap"))
+    marts_of_run = ("mart_co2_intensity", "mart_net_zero_progress", "mart_benchmark_gap")
+    if whole or work.changed:
+        # intermediate: one aggregate of the readings, then plant-day sized tables
+        stg_sensor = staging.stg_sensor_readings(scanned, cfg)
+        write_days("int_daily_plant_readings", scopes.daily_plant_readings(stg_sensor), work.changed)
+        if not whole:
+            work = _touched(spark, daily_path, found, changed, since)
+        stored = spark.read.parquet(daily_path)
+        sinks.write_months(_window_state(spark, stored, state_path, work, _last_day(spark, daily_path)), state_path,
+                           None if whole else [work.state])
+        daily = (stored if whole else stored.where(changes.within(work.months))).drop("reading_month")
+        s1 = write_days("int_scope1_emissions", _with_windows(spark, daily, state_path, cfg, work), work.months)
+        s2 = write_days("int_scope2_emissions", scopes.scope2_emissions(daily) if scope2 is None else scope2,
+                        work.months)
+        s3 = write_days("int_scope3_emissions", scopes.scope3_emissions(s1), work.months)
+
+        # marts: LEFT JOINs of the stored scopes, sized by the plant-days of these months
+        co2 = write_days(marts_of_run[0], marts.co2_intensity_joined(s1, s2, s3, run_ts), work.months)
+        write_days(marts_of_run[1], marts.net_zero_progress(co2, cfg), work.months)
+        write_days(marts_of_run[2], marts.benchmark_gap(co2, stg_iea), work.months)
+    else:
+        res.tables.update({name: wh.path(name) for name in marts_of_run})
+        res.rows.update({name: 0 for name in marts_of_run})
+    stored_marts = {name: readers.read_plant_days(spark, wh.path(name)) for name in marts_of_run}
 
     # checks: of the whole tables, reported and logged, never blocking the export
-    results = write("data_test_results",
-                    quality.check_results_from_raw(raw_sensor, raw_owid, raw_iea, co2, cfg))
+    results = write("data_test_results", quality.check_results_from_raw(
+        raw_sensor, raw_owid, raw_iea, stored_marts["mart_co2_intensity"], cfg))
     quality.check_log_record(results, run_ts).write.mode("append").parquet(wh.log)
-    # Every row stamped by a load since the last run lies in the re-read days, so the stored
+    # Every row stamped by a load since the last run lies in the re-read months, so the stored
     # maximum and theirs give the table's maximum.
     previous = None
-    if cut and sinks.path_exists(spark, wh.path("source_freshness")):
+    if not whole and sinks.path_exists(spark, wh.path("source_freshness")):
         previous = spark.read.parquet(wh.path("source_freshness"))
     write("source_freshness", quality.freshness(scanned, "raw_sensor_readings", run_ts,
                                                 previous=previous))
 
     # export, newest first, one mart failing does not stop the others
     export_root = export_dir or wh.path("exports")
-    for name, df in (("mart_co2_intensity", co2), ("mart_net_zero_progress", nzp),
-                     ("mart_benchmark_gap", bgap)):
+    for name, df in stored_marts.items():
         try:
-            n = sinks.export_newest_first(df, os.path.join(export_root, name))
+            n = sinks.export_months(df, os.path.join(export_root, name), work.months)
             res.exported.append(f"{name}: {n} rows")
         except Exception as e:  # noqa: BLE001 - isolate each mart, report below
             res.export_failures.append(f"{name}: {type(e).__name__}: {str(e).splitlines()[0]}")
     status = "success" if not res.export_failures else "failed"
     sinks.log_run(spark, wh.log, run_ts, *C.LOG_EXPORT, len(res.exported), status,
                   "; ".join(res.exported + res.export_failures))
+    if not res.export_failures:  # else the next run does these months again
+        if known != settings:
+            settings = settings if since is None else "mixed"  # months before ``since`` have the old ones
+            sinks.overwrite_table(spark.createDataFrame([(settings,)], "settings string"), wh.path("run_settings"))
+        sinks.take_in_changes(spark, sensor_path, records)
     return res
 
 

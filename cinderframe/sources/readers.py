@@ -30,6 +30,12 @@ def read_sensor_readings(spark: SparkSession, path: str, since: dt.date | None =
     return stored.select(*schemas.RAW_SENSOR_READINGS.names)
 
 
+def read_sensor_months(spark: SparkSession, path: str, months: F.Column) -> DataFrame:
+    """Readings of the months that a predicate on ``reading_month`` names; no others are listed or read."""
+    return (spark.read.schema(schemas.STORED_SENSOR_READINGS).parquet(path).where(months)
+            .select(*schemas.RAW_SENSOR_READINGS.names))
+
+
 def read_plant_days(spark: SparkSession, path: str) -> DataFrame:
     """A stored table of plant-days (daily aggregates, scopes, marts), by months on disk."""
     return spark.read.parquet(path).drop("reading_month")

@@ -122,7 +122,7 @@ def test_incremental_transform_equals_full(spark, tmp_table):
     tests = {r["test_name"]: r["status"] for r in spark.read.parquet(wh.path("data_test_results")).collect()}
     assert tests["not_null_raw_sensor_readings_sensor"] == "fail"
 
-    pipeline.transform(spark, wh, run_ts)  # full rebuild for reference
+    pipeline.transform(spark, wh, run_ts, full=True)  # full rebuild for reference
     full = readers.read_plant_days(spark, wh.path("mart_co2_intensity")).drop("updated_at").collect()
     assert sorted(map(tuple, incremental)) == sorted(map(tuple, full))
     last = [r for r in full if r["plant_id"] == "A" and r["reading_date"] == days[-1]][0]
