@@ -23,6 +23,8 @@ JOURNAL = "-swap.json"  # ends the names of journals of decided file swaps
 # Directories of the sensor table: one per plant and month.
 SENSOR_PARTITIONS = ["reading_month", "plant_id"]
 
+TASK_ROWS = 4_000_000  # plant-days that one task writes
+
 # Beside the sensor table: a folder of changed plant-months for each load that no run has taken in yet.
 CHANGED_MONTHS = "reading_month string, plant_id string, first date, last date"
 WHOLE = "whole-"  # begins the name of the mark that stands for all plant-months
@@ -309,15 +311,26 @@ def write_plant_days(df: DataFrame, path: str, since: dt.date | None = None) ->
     return write_months(rows, path, None if since is None else [(since.strftime("%Y-%m"), "9999-12")])
 
 
-def write_months(rows: DataFrame, path: str, spans: list[tuple[str, str]] | None) -> int:
+def write_months(rows: DataFrame, path: str, spans: list[tuple[str, str]] | None,
+                 expected: int | None = None) -> int:
     """Write rows with a ``reading_month`` into a directory a month; returns rows written.
 
     ``spans`` are the stretches of months (first, last) that ``rows`` cover and replace: a month that
     they no longer have is dropped, others aren't touched.  None is a full refresh.  Repeating
-    the call repairs a failed one."""
+    the call repairs a failed one.
+
+    Rows are rebalanced by month, which puts many small months into one task that writes their files one
+    after the other.  Where the caller knows about how many rows are ``expected``, months are spread over all
+    tasks instead, each cut so that a month with all the rows still is ``TASK_ROWS`` a task."""
     spark = rows.sparkSession
-    rows = (rows.hint("rebalance", "reading_month")
-            .sortWithinPartitions("reading_month", "reading_date", "plant_id"))
+    if expected is None:
+        rows = rows.hint("rebalance", "reading_month")
+    else:
+        parts = 1 + expected // TASK_ROWS
+        tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts)
+        cut = F.pmod(F.xxhash64("plant_id"), F.lit(parts))
+        rows = rows.repartition(tasks, "reading_month", *([cut] if parts > 1 else []))
+    rows = rows.sortWithinPartitions("reading_month", "reading_date", "plant_id")
     if spans is None or not path_exists(spark, path):
         return overwrite_table(rows, path, ("reading_month",))
     obs = Observation("written")
@@ -423,6 +436,10 @@ def _countdown(month: str) -> str:
     return f"{999999 - int(month.replace('-', '')):06d}"
 
 
+def exported_by_month(spark: SparkSession, path: str) -> bool:
+    return any(n.startswith(f"{COUNTDOWN}=") for n in list_names(spark, path))
+
+
 def export_months(df: DataFrame, path: str, spans: list[tuple[str, str]] | None) -> int:
     """Export the plant-days of the months in ``spans`` (None: all), newest first, with a directory a month.
 
@@ -432,14 +449,20 @@ def export_months(df: DataFrame, path: str, spans: list[tuple[str, str]] | None)
     Returns the rows written."""
     spark = df.sparkSession
     month = reading_month()
-    if not any(n.startswith(f"{COUNTDOWN}=") for n in list_names(spark, path)):
+    if not exported_by_month(spark, path):
         spans = None
     if spans is not None:
         df = df.where(reduce(or_, [month.between(a, b) for a, b in spans], F.lit(False)))
     down = F.lpad((F.lit(999999) - F.date_format("reading_date", "yyyyMM").cast("int")).cast("string"), 6, "0")
     obs = Observation("exported")
-    (df.withColumn(COUNTDOWN, down).orderBy(COUNTDOWN, F.desc("reading_date"), "plant_id")
-     .observe(obs, F.count(F.lit(1)).alias("n"), F.collect_set(COUNTDOWN).alias("months"))
+    order = [F.asc(COUNTDOWN), F.desc("reading_date"), F.asc("plant_id")]
+    df = df.withColumn(COUNTDOWN, down)
+    if spans is None:  # as many tasks as the session has, small as they are: each writes its months' files in turn
+        tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        df = df.repartitionByRange(tasks, *order).sortWithinPartitions(*order)
+    else:
+        df = df.orderBy(*order)
+    (df.observe(obs, F.count(F.lit(1)).alias("n"), F.collect_set(COUNTDOWN).alias("months"))
      .write.mode("overwrite").option("partitionOverwriteMode", "static" if spans is None else "dynamic")
      .partitionBy(COUNTDOWN).parquet(path))
     written = obs.get

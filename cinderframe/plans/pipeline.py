@@ -18,6 +18,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from .. import config as C
 from ..config import DEFAULT, PipelineConfig
@@ -117,17 +118,16 @@ class Work:
 
 def _last_day(spark: SparkSession, path: str) -> dt.date:
     """The first day of a plant-day table's last month, by its directories."""
-    months = [n.partition("=")[2] for n in sinks.list_names(spark, path) if n.startswith("reading_month=")]
-    return dt.date.fromisoformat(f"{max(months, default='0001-01')}-01")
+    return dt.date.fromisoformat(f"{max(readers.months_of(spark, path), default='0001-01')}-01")
 
 
-def _touched(spark: SparkSession, daily_path: str, found: set[str], changed: DataFrame,
+def _touched(spark: SparkSession, daily_path: str, schema: StructType, found: set[str], changed: DataFrame,
              since: dt.date | None) -> Work:
     """The work that changed months give once the aggregate has been written again: the months that
     their windows reach are found in it.  What the driver sees is a row per calendar month."""
     start = None if since is None else since.strftime("%Y-%m")
     first = min([*found, *([start] if start else [])])
-    daily = spark.read.parquet(daily_path).where(F.col("reading_month") >= first).select(
+    daily = readers.read_months(spark, daily_path, [(first, changes.OPEN_END)], schema).select(
         "reading_date", "plant_id", "reading_count")
     end = _last_day(spark, daily_path)
     touched = changes.touched_months(daily, changed, end).collect() if found else []
@@ -136,23 +136,20 @@ def _touched(spark: SparkSession, daily_path: str, found: set[str], changed: Dat
     return Work(changes.spans(found, start), changes.spans(reached, start), (first, last))
 
 
-def _window_state(spark: SparkSession, daily: DataFrame, path: str, work: Work, end: dt.date) -> DataFrame:
+def _window_state(spark: SparkSession, daily_path: str, schema: StructType, path: str, work: Work) -> DataFrame:
     """The new rows of the window-state table: the last reading days before and in each month."""
-    days = daily.where(F.col("reading_count") > 0)
+    days = readers.read_months(spark, daily_path, None if work.state is None else [work.state], schema)
+    days = days.where(F.col("reading_count") > 0).select("reading_date", "plant_id", "scope1_intensity_avg")
     if work.state is None:
-        return changes.window_state(days.select("reading_date", "plant_id", "scope1_intensity_avg"), None, end)
+        return changes.window_state(days, None, _last_day(spark, daily_path))
     first, last = (dt.date.fromisoformat(f"{m}-01") for m in work.state)
-    days = days.where(F.col("reading_month").between(*work.state))
-    before = _state_before(spark, path, work.state[0])
-    return changes.window_state(days.select(*before.columns).unionByName(before), first, last)
+    return changes.window_state(days.unionByName(_state_before(spark, path, work.state[0])), first, last)
 
 
 def _state_before(spark: SparkSession, path: str, month: str) -> DataFrame:
     """The window state that holds when ``month`` begins: one directory of the table."""
-    state = spark.read.parquet(path)
-    known = [n.partition("=")[2] for n in sinks.list_names(spark, path) if n.startswith("reading_month=")]
-    last = max((m for m in known if m < month), default="")
-    return state.where(F.col("reading_month") == last).select("reading_date", "plant_id", "scope1_intensity_avg")
+    last = max((m for m in readers.months_of(spark, path) if m < month), default="")
+    return readers.read_months(spark, path, [(last, last)], schemas.WINDOW_STATE).drop("reading_month")
 
 
 def _with_windows(spark: SparkSession, daily: DataFrame, path: str, cfg: PipelineConfig,
@@ -215,49 +212,61 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
         res.rows[name] = sinks.overwrite_table(df, wh.path(name))
         return spark.read.parquet(wh.path(name))
 
-    def write_days(name: str, df: DataFrame, months: changes.Spans | None) -> DataFrame:
-        """Replace the run's months; returns them, from the stored table."""
-        res.tables[name] = wh.path(name)
-        if whole:
-            res.rows[name] = sinks.write_plant_days(df, wh.path(name))
-            return readers.read_plant_days(spark, wh.path(name))
-        rows = df.withColumn("reading_month", sinks.reading_month()).where(changes.within(months))
-        res.rows[name] = sinks.write_months(rows, wh.path(name), months)
-        return spark.read.parquet(wh.path(name)).where(changes.within(months)).drop("reading_month")
+    written: dict[str, StructType] = {}
 
-    raw_sensor = readers.read_sensor_readings(spark, sensor_path)
-    # The readings this run aggregates: all, or those of the changed months.
-    scanned = raw_sensor if whole else readers.read_sensor_months(spark, sensor_path, changes.within(work.changed))
+    def write_days(name: str, df: DataFrame, months: changes.Spans | None) -> None:
+        """Replace the run's months of a plant-day table."""
+        res.tables[name], written[name] = wh.path(name), df.schema
+        if whole:
+            n = res.rows.get("int_daily_plant_readings")
+            res.rows[name] = sinks.write_plant_days(df, wh.path(name)) if n is None else sinks.write_months(
+                df.withColumn("reading_month", sinks.reading_month()), wh.path(name), None, n)
+        else:
+            rows = df.withColumn("reading_month", sinks.reading_month()).where(changes.within(months))
+            res.rows[name] = sinks.write_months(rows, wh.path(name), months)
+
+    def days_of(name: str, months: changes.Spans | None) -> DataFrame:
+        """Stored plant-days of the run's months."""
+        return readers.read_months(spark, wh.path(name), months, written.get(name)).drop("reading_month")
+
+    # One listing of the raw table serves the checks of all of it and the aggregate: of all
+    # readings, or of those of the changed months.
+    stored_sensor = readers.read_stored_sensor(spark, sensor_path)
+    raw_sensor = stored_sensor.select(*schemas.RAW_SENSOR_READINGS.names)
+    scanned = raw_sensor if whole else stored_sensor.where(changes.within(work.changed)).select(*raw_sensor.columns)
 
     write("stg_owid_emissions", stg_owid)
     marts_of_run = ("mart_co2_intensity", "mart_net_zero_progress", "mart_benchmark_gap")
     if whole or work.changed:
         # intermediate: one aggregate of the readings, then plant-day sized tables
         stg_sensor = staging.stg_sensor_readings(scanned, cfg)
-        write_days("int_daily_plant_readings", scopes.daily_plant_readings(stg_sensor), work.changed)
+        daily_rows = scopes.daily_plant_readings(stg_sensor)
+        write_days("int_daily_plant_readings", daily_rows, work.changed)
         if not whole:
-            work = _touched(spark, daily_path, found, changed, since)
-        stored = spark.read.parquet(daily_path)
-        sinks.write_months(_window_state(spark, stored, state_path, work, _last_day(spark, daily_path)), state_path,
-                           None if whole else [work.state])
-        daily = (stored if whole else stored.where(changes.within(work.months))).drop("reading_month")
-        s1 = write_days("int_scope1_emissions", _with_windows(spark, daily, state_path, cfg, work), work.months)
-        s2 = write_days("int_scope2_emissions", scopes.scope2_emissions(daily) if scope2 is None else scope2,
-                        work.months)
-        s3 = write_days("int_scope3_emissions", scopes.scope3_emissions(s1), work.months)
+            work = _touched(spark, daily_path, daily_rows.schema, found, changed, since)
+        expected = res.rows["int_daily_plant_readings"] if whole else None
+        sinks.write_months(_window_state(spark, daily_path, daily_rows.schema, state_path, work), state_path,
+                           None if whole else [work.state], expected)
+        daily = days_of("int_daily_plant_readings", work.months)
+        write_days("int_scope1_emissions", _with_windows(spark, daily, state_path, cfg, work), work.months)
+        s1 = days_of("int_scope1_emissions", work.months)
+        write_days("int_scope2_emissions", scopes.scope2_emissions(daily) if scope2 is None else scope2, work.months)
+        write_days("int_scope3_emissions", scopes.scope3_emissions(s1), work.months)
 
         # marts: LEFT JOINs of the stored scopes, sized by the plant-days of these months
-        co2 = write_days(marts_of_run[0], marts.co2_intensity_joined(s1, s2, s3, run_ts), work.months)
+        s2, s3 = (days_of(f"int_scope{i}_emissions", work.months) for i in (2, 3))
+        write_days(marts_of_run[0], marts.co2_intensity_joined(s1, s2, s3, run_ts), work.months)
+        co2 = days_of(marts_of_run[0], work.months)
         write_days(marts_of_run[1], marts.net_zero_progress(co2, cfg), work.months)
         write_days(marts_of_run[2], marts.benchmark_gap(co2, stg_iea), work.months)
     else:
         res.tables.update({name: wh.path(name) for name in marts_of_run})
         res.rows.update({name: 0 for name in marts_of_run})
-    stored_marts = {name: readers.read_plant_days(spark, wh.path(name)) for name in marts_of_run}
+    whole_co2 = days_of("mart_co2_intensity", None)
 
     # checks: of the whole tables, reported and logged, never blocking the export
     results = write("data_test_results", quality.check_results_from_raw(
-        raw_sensor, raw_owid, raw_iea, stored_marts["mart_co2_intensity"], cfg))
+        raw_sensor, raw_owid, raw_iea, whole_co2, cfg))
     quality.check_log_record(results, run_ts).write.mode("append").parquet(wh.log)
     # Every row stamped by a load since the last run lies in the re-read months, so the stored
     # maximum and theirs give the table's maximum.
@@ -269,9 +278,11 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
 
     # export, newest first, one mart failing does not stop the others
     export_root = export_dir or wh.path("exports")
-    for name, df in stored_marts.items():
+    for name in marts_of_run:
         try:
-            n = sinks.export_months(df, os.path.join(export_root, name), work.months)
+            target = os.path.join(export_root, name)
+            months = work.months if sinks.exported_by_month(spark, target) else None
+            n = sinks.export_months(days_of(name, months), target, months)
             res.exported.append(f"{name}: {n} rows")
         except Exception as e:  # noqa: BLE001 - isolate each mart, report below
             res.export_failures.append(f"{name}: {type(e).__name__}: {str(e).splitlines()[0]}")

@@ -16,6 +16,13 @@ RAW_SENSOR_READINGS = T.StructType([
 STORED_SENSOR_READINGS = T.StructType([
     *RAW_SENSOR_READINGS.fields, T.StructField("reading_month", T.StringType(), False)])
 
+# The last reading days of each plant before each month, but for the month (a directory).
+WINDOW_STATE = T.StructType([
+    T.StructField("reading_date", T.DateType(), True),
+    T.StructField("plant_id", T.StringType(), True),
+    T.StructField("scope1_intensity_avg", T.DoubleType(), True),
+])
+
 RAW_OWID_EMISSIONS = T.StructType([
     T.StructField("year", T.IntegerType(), False),
     T.StructField("country", T.StringType(), False),

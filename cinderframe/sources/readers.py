@@ -17,8 +17,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .. import schemas
+from ..operators import sinks
 
 
 def read_sensor_readings(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
@@ -30,10 +32,30 @@ def read_sensor_readings(spark: SparkSession, path: str, since: dt.date | None =
     return stored.select(*schemas.RAW_SENSOR_READINGS.names)
 
 
-def read_sensor_months(spark: SparkSession, path: str, months: F.Column) -> DataFrame:
-    """Readings of the months that a predicate on ``reading_month`` names; no others are listed or read."""
-    return (spark.read.schema(schemas.STORED_SENSOR_READINGS).parquet(path).where(months)
-            .select(*schemas.RAW_SENSOR_READINGS.names))
+def read_stored_sensor(spark: SparkSession, path: str) -> DataFrame:
+    """Readings with the month of their directory."""
+    return spark.read.schema(schemas.STORED_SENSOR_READINGS).parquet(path)
+
+
+def months_of(spark: SparkSession, path: str) -> list[str]:
+    """The months that a table of plant-days has directories of."""
+    return sorted(n.partition("=")[2] for n in sinks.list_names(spark, path) if n.startswith("reading_month="))
+
+
+def read_months(spark: SparkSession, path: str, spans: list[tuple[str, str]] | None,
+                schema: StructType | None = None) -> DataFrame:
+    """A stored table of plant-days, all or the months of some stretches (first, last), with
+    ``reading_month``.  Only the directories of these months are listed, and with a schema no footer is
+    read to infer one."""
+    reader = spark.read.option("basePath", path)
+    if schema is not None:
+        reader = reader.schema(StructType([*schema.fields, StructField("reading_month", StringType())]))
+    if spans is None:
+        return reader.parquet(path)
+    wanted = [m for m in months_of(spark, path) if any(a <= m <= b for a, b in spans)]
+    if not wanted:
+        return reader.parquet(path).where(F.lit(False))
+    return reader.parquet(*[f"{path}/reading_month={m}" for m in wanted])
 
 
 def read_plant_days(spark: SparkSession, path: str) -> DataFrame:
