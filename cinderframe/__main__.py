@@ -1,7 +1,8 @@
 """Command line: ``python -m cinderframe <command> --warehouse DIR [...]``.
 
     land       load the driver's test tables through the ingestion rules (--sf-dir)
-    transform  staging -> scopes -> marts -> checks -> export (--since DATE: incremental)
+    transform  staging -> scopes -> marts -> checks -> export, of what loads changed (--since DATE: and the
+               months from there on; --full: everything)
     report     print one report (--name, --as-of, --days)
 
 The session comes from ``spark-submit``/the environment; ``--local`` starts a local one.
@@ -29,6 +30,7 @@ def main(argv: list[str] | None = None) -> None:
     ap.add_argument("--sf-dir", default="/root/testdata/sf0.01")
     ap.add_argument("--run-ts", default=None, help="run timestamp (default: now)")
     ap.add_argument("--since", type=_date, default=None)
+    ap.add_argument("--full", action="store_true")
     ap.add_argument("--name", default="kpi", choices=serving.REPORTS)
     ap.add_argument("--as-of", type=_date, default=None)
     ap.add_argument("--days", type=int, default=None)
@@ -42,7 +44,7 @@ def main(argv: list[str] | None = None) -> None:
     if args.command == "land":
         print(pipeline.land_fixtures(spark, args.sf_dir, wh, run_ts))
     elif args.command == "transform":
-        res = pipeline.transform(spark, wh, run_ts, since=args.since)
+        res = pipeline.transform(spark, wh, run_ts, since=args.since, full=args.full)
         print({"rows": res.rows, "exported": res.exported, "failed": res.export_failures})
     else:
         as_of = args.as_of or run_ts.date()
