@@ -66,7 +66,7 @@ entries as (
     union all select 'paths', host || '/' || section, 4 from names) where entry is not null),
 coded as (select *, cast('0x' || md5(entry)[1:6] as bigint) as code from entries),
 history as (
-  select list_name, lower(entry) as entry, date '2023-01-01' + cast(code % 500 as integer) as first_day
+  select list_name, entry, date '2023-01-01' + cast(code % 500 as integer) as first_day
   from coded where code % part = 0),
 valid as (
   select list_name, entry, first_day as valid_from, first_day + 200 as valid_to from history
@@ -77,7 +77,7 @@ keys as (
          else list_transform(range(1, len(string_split(host, '.'))),
                              lambda i: array_to_string(string_split(host, '.')[i:], '.')) end,
     list_transform(
-      range(1, least(len(list_filter(string_split(path, '/'), lambda p: p <> '')), 3) + 1),
+      range(1, len(list_filter(string_split(path, '/'), lambda p: p <> '')) + 1),
       lambda i: host || '/' || array_to_string(list_filter(string_split(path, '/'), lambda p: p <> '')[1:i], '/'))
   )) as entry from pg where host <> ''),
 found as (
@@ -126,7 +126,9 @@ step1 as (
       '(?i)</?(?:p|div|article|section|main|header|footer|nav|aside|ul|ol|li|table|tr|h[1-6]|blockquote|pre|form|br|hr)\b[^>]*>', chr(10), 'g'),
       '<[a-zA-Z/!?][^>]*>', '', 'g') as t,
     regexp_extract_all(html, '(?i)<a\s[^>]*?href\s*=\s*["\x27]([^"\x27]*)["\x27]', 1) as l,
-    trim(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>([^<]*)', 1), '\s+', ' ', 'g'), ' ') as title,
+    trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(
+      regexp_extract(html, '(?is)<title[^>]*>([^<]*)', 1), '&nbsp;', ' '), '&quot;', '"'),
+      '&apos;', chr(39)), '&copy;', '©'), '&middot;', '·'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g'), ' ') as title,
     md5('conversion' || chr(10) || rid) as hc, md5('metadata' || chr(10) || rid) as hm from ids),
 step2 as (
   select *, regexp_replace(regexp_replace(regexp_replace(

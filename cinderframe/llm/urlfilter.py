@@ -21,7 +21,7 @@ OPEN_END = "9999-12-31"
 
 def url_host(url: Column) -> Column:
     """Host in lower case, without user, port and trailing dot; empty if the URL has none."""
-    host = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)
+    host = F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:]*)", 1)
     return F.regexp_replace(F.lower(F.coalesce(host, F.lit(""))), r"\.+$", "")
 
 
@@ -32,10 +32,11 @@ def url_path(url: Column) -> Column:
 
 
 def domains(host: Column) -> Column:
-    """The host and its parent domains of two labels or more."""
+    """The host and its parent domains of two labels or more; addresses have no parents."""
     labels = F.split(host, r"\.")
+    address = host.rlike(r"^\[|^[0-9]+(\.[0-9]+){3}$")
     return F.when(host == "", F.array().cast("array<string>")).when(
-        F.size(labels) < 2, F.array(host)).otherwise(F.transform(
+        address | (F.size(labels) < 2), F.array(host)).otherwise(F.transform(
             F.sequence(F.lit(1), F.size(labels) - 1),
             lambda i: F.array_join(F.slice(labels, i, F.size(labels)), ".")))
 
@@ -54,10 +55,13 @@ def prefixes(host: Column, path: Column, deepest: int) -> Column:
 
 
 def entry_of(entry: Column) -> Column:
-    """A listed entry as captures are looked up: the host in lower case, the path's case kept,
-    without empty segments and trailing slash."""
-    return F.concat_ws("/", F.lower(F.substring_index(entry, "/", 1)),
-                       _segments(F.regexp_extract(entry, r"^[^/]*(/.*)?$", 1)))
+    """A listed entry as captures are looked up.
+
+    A host, a host and path, or a URL: without scheme, user, port, query and fragment, the host in lower
+    case without a trailing dot, the path's case kept, without empty segments and trailing slash."""
+    bare = F.regexp_replace(F.trim(entry), "^/+", "")
+    url = F.when(bare.rlike("^[a-zA-Z][a-zA-Z0-9+.-]*://"), bare).otherwise(F.concat(F.lit("http://"), bare))
+    return F.concat_ws("/", url_host(url), _segments(url_path(url)))
 
 
 def _month(day: Column) -> Column:
@@ -68,7 +72,7 @@ def intervals(history: DataFrame) -> DataFrame:
     """(list_name, entry, valid_from, valid_to): when each entry was active, end exclusive.
 
     ``history(list_name, entry, listed_at, active)``; of entries at one time, a removal wins.
-    Rows without entry, time or state are left out; runs of equal state become one interval."""
+    Rows without entry, time or state are left out, and an entry without a host matches nothing; runs of equal state become one interval."""
     key = ["list_name", "entry"]
     clean = (history.where("entry is not null and listed_at is not null and active is not null")
              .select(F.coalesce("list_name", F.lit("")).alias("list_name"),

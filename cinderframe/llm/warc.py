@@ -3,15 +3,15 @@ r"""WARC derivatives: metadata and plain-text conversion records from response r
 A response record becomes two more that refer to it: a `metadata` record with what is known
 about it (source headers, digests, title, links) and a `conversion` record with the page's text.
 Both keep the target URI and date of the response, name it in WARC-Refers-To and carry digests of
-their own block.  Records are rows; ``as_warc`` renders them and ``write_warc`` puts them into
-compressed files.  All of it is DataFrame functions.
+their own block.  Records are rows; ``as_warc`` renders them, ``write_warc`` puts them into compressed
+files and ``read_warc`` takes the records of such files.  All of it is DataFrame functions.
 """
 
 from __future__ import annotations
 
 from html.entities import html5
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
@@ -22,10 +22,9 @@ _BREAK = (r"(?i)</?(?:p|div|article|section|main|header|footer|nav|aside|ul|ol|l
 # Frequent named character references, looked up first; &nbsp; is a space of the text.
 _NAMED = (("nbsp;", " "), ("quot;", '"'), ("apos;", "'"), ("copy;", "©"),
           ("middot;", "·"), ("lt;", "<"), ("gt;", ">"), ("amp;", "&"))
-# All names of the HTML standard, in hexadecimal: a name such as &DownArrow; would read like an
-# operator in the text of a plan.  Then those that it also knows without a semicolon (but for the
+# All names of the HTML standard; then those that it also knows without a semicolon (but for the
 # frequent ones, which need theirs here), the longest first.
-_REFERENCES = "\1".join(f"{name.encode().hex().upper()}\2{char}" for name, char in html5.items() if name.endswith(";"))
+_REFERENCES = "\1".join(f"{name}\2{char}" for name, char in html5.items() if name.endswith(";"))
 _OPEN = sorted((n for n in html5 if not n.endswith(";") and f"{n};" not in dict(_NAMED)), key=lambda n: (-len(n), n))
 # Code points 128 to 159 mean those of Windows-1252.
 _WINDOWS = {n: bytes([n]).decode("cp1252") for n in range(128, 160) if n not in (129, 141, 143, 144, 157)}
@@ -115,10 +114,10 @@ def decoded(text: Column, attribute: bool = False) -> Column:
         out = F.when(F.lit(False), part)
         for ref, char in _NAMED:
             out = out.when(part.startswith(ref), F.concat(F.lit(char), F.substr(part, F.lit(len(ref) + 1))))
-        known = F.try_element_at(names, F.hex(name))
+        known = F.try_element_at(names, name)
         return (out.when(number != "", F.concat(_numeric(number), rest(number)))
                 .when((name != "") & known.isNotNull(), F.concat(known, rest(name)))
-                .when(bare != "", F.concat(F.try_element_at(names, F.hex(F.concat(bare, F.lit(";")))), rest(bare)))
+                .when(bare != "", F.concat(F.try_element_at(names, F.concat(bare, F.lit(";"))), rest(bare)))
                 .otherwise(F.concat(F.lit("&"), part)))
 
     parts = F.split(text, "&")
@@ -126,9 +125,18 @@ def decoded(text: Column, attribute: bool = False) -> Column:
         F.transform(F.slice(parts, F.lit(2), F.size(parts)), one), "")))
 
 
+def _decoded_text(text: Column) -> Column:
+    """``decoded``; most pages have frequent references alone, which are cheaper to replace in turn."""
+    frequent = text
+    for name, char in _NAMED:  # &amp; last: what it leaves isn't decoded again
+        frequent = F.replace(frequent, F.lit(f"&{name}"), F.lit(char))
+    return F.when(text.rlike(_OTHERS), decoded(text)).otherwise(frequent)
+
+
 def title(html: Column) -> Column:
-    return F.trim(F.regexp_replace(
-        F.regexp_extract(html, r"(?is)<title[^>]*>([^<]*)", 1), r"\s+", " "))
+    """The page's title, its character references decoded, white space as one space."""
+    found = F.regexp_extract(html, r"(?is)<title[^>]*>([^<]*)", 1)
+    return F.trim(F.regexp_replace(_decoded_text(found), r"\s+", " "))
 
 
 def links(html: Column) -> Column:
@@ -147,12 +155,7 @@ def _untagged(html: Column) -> Column:
 
 def plain_text(untagged: Column) -> Column:
     """The page's text, from what is left without its tags."""
-    frequent = untagged
-    for name, char in _NAMED:  # &amp; last: what it leaves isn't decoded again
-        frequent = F.replace(frequent, F.lit(f"&{name}"), F.lit(char))
-    # Most pages have frequent references alone, which are cheaper to replace one after another.
-    text = F.when(untagged.rlike(_OTHERS), decoded(untagged)).otherwise(frequent)
-    text = F.regexp_replace(text, r"[ \t\r\f\x0B]+", " ")
+    text = F.regexp_replace(_decoded_text(untagged), r"[ \t\r\f\x0B]+", " ")
     return F.regexp_replace(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), r"^[ \n]+|[ \n]+$", "")
 
 
@@ -225,3 +228,37 @@ def write_warc(records: DataFrame, path: str) -> None:
     record = as_warc(records).select(
         F.expr(f"substring(warc, 1, length(warc) - {len(CRLF) * 2})").alias("warc"))
     record.write.option("compression", "gzip").option("lineSep", CRLF * 2).text(path)
+
+
+def read_warc(spark: SparkSession, path: str) -> DataFrame:
+    """The records of the WARC files (gzip or plain) under ``path``: page_id (null) and the columns of RECORD.
+
+    Files are read record by record, never whole, whatever a record's kind.  Fields that a record
+    lacks are null.  Blocks are text: bytes that aren't UTF-8 become U+FFFD, while digests and
+    content_length stay those of the file.  A record without a length, or whose block isn't as long as
+    it says (cut off, or holding a line that starts a record), fails the read.  No file gives no rows."""
+    begin = CRLF * 2 + "WARC/"
+    value, head, raw = F.col("value"), F.col("head"), F.col("raw")
+
+    def field(name: str) -> Column:
+        return F.nullif(F.regexp_extract(head, rf"(?im)^{name}:[ \t]*([^\r\n]*?)[ \t]*$", 1), F.lit(""))
+
+    rows = (spark.read.option("lineSep", begin).option("recursiveFileLookup", True).text(path)
+            .where(value.rlike(r"\S"))
+            .select(F.col("_metadata.file_path").alias("file"), value,
+                    F.substring_index(value, CRLF * 2, 1).alias("head")))
+    size = F.expr("try_cast(size as int)")
+    rows = rows.withColumn("size", field("Content-Length")).withColumn(
+        "rest", F.substr(value.cast("binary"), F.octet_length(head) + 5)).withColumn(
+        "raw", F.substr("rest", F.lit(1), size))
+    # What follows the block are the two line ends at the end of a file.
+    whole = (F.octet_length(raw) == size) & (F.trim(F.hex(F.substr("rest", size + 1))).rlike("^(0D|0A)*$"))
+    block = F.when(F.coalesce(whole, F.lit(False)), F.make_valid_utf8(raw.cast("string"))).otherwise(
+        F.raise_error(F.concat(F.lit("a WARC record isn't as long as it says in "), "file")))
+    return rows.select(
+        F.lit(None).cast("long").alias("page_id"), field("WARC-Record-ID").alias("record_id"),
+        field("WARC-Type").alias("warc_type"), field("WARC-Refers-To").alias("refers_to"),
+        F.coalesce(field("WARC-Target-URI"), F.lit("")).alias("target_uri"), field("WARC-Date").alias("warc_date"),
+        field("Content-Type").alias("content_type"), field("WARC-Block-Digest").alias("block_digest"),
+        field("WARC-Payload-Digest").alias("payload_digest"), size.cast("long").alias("content_length"),
+        block.alias("block"))
