@@ -7,8 +7,12 @@ CODEWORDS ** BLOCKS directions, but a vector's filters are found by list decodin
 first blocks that can still reach ``alpha`` are completed by the codewords of the last.  There are
 ``CODES`` codes with rotations of their own.
 
-Near vectors share filters, so a join on filters gives the candidates, and the cosine in double
-precision decides.  ``alpha`` is set from the dimension so that a vector passes ``FILTERS``
+Near vectors share filters; those that share one are compared, and the cosine in double
+precision decides.  Pairs are never rows: a vector's home is the most common of its filters, a cell is
+a part of the vectors of one home, and two cells that meet in some filter are compared by one matrix
+product.  As every vector is in one cell, every pair is judged once, in its pair of cells, which gives the
+number of links of each vector and a spanning forest.  So a group of near copies costs a row for each
+vector and cell that it meets.  ``alpha`` is set from the dimension so that a vector passes ``FILTERS``
 directions of a code on average; a vector that reaches it nowhere, or barely, passes its best
 direction and those within ``MARGIN`` of it.  The tests measure recall against brute force.
 """
@@ -33,6 +37,7 @@ FILTERS = 2        # directions of a code that a vector passes, on average
 MARGIN = 0.015     # of the sum of inner products
 SEED = 20240229
 VECTOR_ROWS = 2048
+CELL_ROWS = 512    # vectors of a cell, about
 
 
 @lru_cache(maxsize=64)
@@ -98,6 +103,7 @@ def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(list, node): the filters of each vector, numbered over all codes and dimensions."""
     for batch in batches:
         nodes, units = batch.column(0).to_pylist(), batch.column(1).to_pylist()
         by_dim: dict[int, list[int]] = {}
@@ -109,23 +115,101 @@ def _filters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 x = np.stack([np.frombuffer(units[i]) for i in some])
                 for number in range(CODES):
                     row, found = _decode(x, dim, number)
-                    code = np.full(len(row), dim * CODES + number)
+                    first = (dim * CODES + number) * CODEWORDS ** BLOCKS
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.astype(np.int64)), pa.array(code, pa.int64()),
-                         pa.array([nodes[i] for i in some[row]], pa.int64())],
-                        names=["filter", "code", "node"])
+                        [pa.array(found.astype(np.int64) + first),
+                         pa.array([nodes[i] for i in some[row]], pa.int64())], names=["list", "node"])
+
+
+def _links(x: np.ndarray, left: np.ndarray, same: bool, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """(row, row) of the linked pairs of two cells, or of the pairs within one."""
+    one, two = (np.arange(len(x)),) * 2 if same else (np.flatnonzero(left), np.flatnonzero(~left))
+    near = x[one] @ x[two].T >= least
+    if same:
+        near = np.triu(near, 1)
+    i, j = np.nonzero(near)
+    return one[i], two[j]
+
+
+def _smallest(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """The smallest row that each of ``n`` rows reaches by the links (i, j)."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[i], label[j])
+        new = label.copy()
+        for end in (i, j):
+            np.minimum.at(new, end, low)
+            np.minimum.at(new, label[end], low)  # the whole group that a row stood for moves along
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _judge(least: float):
+    """(node, linked, other) from rows in order of their pair of cells: in each pair of cells, how many
+    vectors a node links with there, and a node that it reaches there."""
+    def of_groups(batch: pa.RecordBatch, starts: np.ndarray) -> pa.RecordBatch:
+        left, same, node, size = (np.asarray(batch.column(c)) for c in ("is_left", "same", "node", "size"))
+        units = batch.column("unit").to_pylist()
+        out: list[list[np.ndarray]] = [[], [], []]
+        for s, e in zip(starts, [*starts[1:], batch.num_rows]):
+            if e - s < 2:
+                continue
+            x = np.frombuffer(b"".join(units[s:e])).reshape(e - s, -1)
+            i, j = _links(x, left[s:e], bool(same[s]), least)
+            if not len(i):
+                continue
+            ids, sizes, linked = node[s:e], size[s:e], np.zeros(e - s, np.int64)
+            np.add.at(linked, i, sizes[j])
+            np.add.at(linked, j, sizes[i])
+            met = np.flatnonzero(linked)
+            for part, column in zip((ids[met], linked[met], ids[_smallest(e - s, i, j)[met]]), out):
+                column.append(part)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.concatenate(c) if c else np.zeros(0, np.int64)) for c in out],
+            names=["node", "linked", "other"])
 
-
-def _near(least: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None  # rows of the last pair of cells, which may go on
         for batch in batches:
-            keep = [float(np.frombuffer(a) @ np.frombuffer(b)) >= least for a, b in
-                    zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)],
-                                             names=["src", "dst"]).filter(pa.array(keep, pa.bool_()))
+            if rest is not None and rest.num_rows:
+                batch = pa.Table.from_batches([rest, batch]).combine_chunks().to_batches()[0]
+            if not batch.num_rows:
+                continue
+            key = np.stack([np.asarray(batch.column(c)) for c in PAIR])
+            starts = np.flatnonzero(np.r_[True, (key[:, 1:] != key[:, :-1]).any(0)])
+            yield of_groups(batch.slice(0, starts[-1]), starts[:-1])
+            rest = batch.slice(starts[-1])
+        if rest is not None and rest.num_rows:
+            yield of_groups(rest, np.zeros(1, np.int64))
     return run
 
 
+PAIR = ["home_a", "part_a", "home_b", "part_b"]
+
+
+def _cells(posts: DataFrame) -> DataFrame:
+    """(list, node, cell) of the posts in lists of two or more: ``cell`` is a part of the vectors of one home."""
+    lists = posts.groupBy("list").agg(F.count("*").alias("n")).where("n > 1")
+    shared = written(posts.join(lists, "list"), "shared")
+    home = written(shared.groupBy("node").agg(F.max(F.struct("n", "list"))["list"].alias("home")), "home")
+    sizes = home.groupBy("home").agg(F.ceil(F.count("*") / CELL_ROWS).alias("parts"))
+    cell = F.struct("home", F.pmod(F.xxhash64("node"), "parts").alias("part"))
+    cells = home.join(sizes, "home").select("node", cell.alias("cell"))
+    return written(shared.join(cells, "node").select("list", "node", "cell"), "cells")
+
+
+def _meetings(cells: DataFrame) -> DataFrame:
+    """(PAIR, node, is_left, same): each vector once for every cell that it shares a filter with."""
+    present = cells.select("list", F.col("cell").alias("other")).distinct()
+    met = cells.join(present, "list").select("node", "cell", "other").distinct()
+    a, b = F.least("cell", "other"), F.greatest("cell", "other")
+    return met.select(a["home"].alias("home_a"), a["part"].alias("part_a"), b["home"].alias("home_b"),
+                      b["part"].alias("part_b"), "node", (F.col("cell") < F.col("other")).alias("is_left"),
+                      (F.col("cell") == F.col("other")).alias("same"))
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     """Per row of ``vectors(vec_id, embedding)``: vec_id, n_links, component_id, kept.
 
@@ -141,21 +225,13 @@ def near_vectors(vectors: DataFrame, least: float = 0.95) -> DataFrame:
     classes = written(known.groupBy("unit").agg(F.min("vec_id").alias("node"),
                                                 F.count("*").alias("size")), "classes")
     posts = written(classes.select("node", "unit").mapInArrow(
-        _filters, "filter long, code long, node long"), "posts", batch_rows=VECTOR_ROWS)
-    pairs = (posts.withColumnRenamed("node", "src")
-             .join(posts.withColumnRenamed("node", "dst"), ["filter", "code"])
-             .where("src < dst").select("src", "dst").distinct())
-    for end in ("src", "dst"):
-        pairs = pairs.join(classes.select(F.col("node").alias(end),
-                                          F.col("unit").alias(f"unit_{end}")), end)
-    links = written(pairs.select("src", "dst", "unit_src", "unit_dst")
-                    .mapInArrow(_near(least), "src long, dst long"), "links",
+        _filters, "list long, node long"), "posts", batch_rows=VECTOR_ROWS)
+    rows = (_meetings(_cells(posts)).join(classes, "node").repartition(*PAIR).sortWithinPartitions(*PAIR)
+            .select(*PAIR, "is_left", "same", "node", "size", "unit"))
+    found = written(rows.mapInArrow(_judge(least), "node long, linked long, other long"), "links",
                     batch_rows=VECTOR_ROWS)
-    component = connected_components(links)
-
-    both = links.unionByName(links.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
-    degree = (both.join(classes.select(F.col("node").alias("dst"), "size"), "dst")
-              .groupBy(F.col("src").alias("node")).agg(F.sum("size").alias("linked")))
+    component = connected_components(found.select(F.col("node").alias("src"), F.col("other").alias("dst")))
+    degree = found.groupBy("node").agg(F.sum("linked").alias("linked"))
     labelled = (classes.join(degree, "node", "left").join(component, "node", "left")
                 .select("unit", (F.col("size") - 1 + F.coalesce("linked", F.lit(0))).alias("n_links"),
                         F.coalesce("component", "node").alias("component_id")))

@@ -144,6 +144,39 @@ def test_near_vectors_recall_and_edges(spark):
     assert embed.near_vectors(df.limit(0)).count() == 0
 
 
+def test_links_within_blocks_and_large_groups(spark, monkeypatch):
+    """Cells of a few vectors give what one cell gives; every pair counts once."""
+    rng = np.random.default_rng(5)
+    center = rng.standard_normal(48)
+    rows = [center + rng.standard_normal(48) * s for s in rng.choice([0.1, 0.2, 0.25], 500)]
+    rows += list(rng.standard_normal((80, 48)))
+    x = np.array(rows)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    truth = x @ x.T >= 0.95
+    np.fill_diagonal(truth, False)
+    df = spark.createDataFrame([(i, r.tolist()) for i, r in enumerate(rows)], "vec_id long, embedding array<double>")
+    whole = sorted(map(tuple, embed.near_vectors(df).collect()))
+    monkeypatch.setattr(embed, "CELL_ROWS", 16)
+    parted = sorted(map(tuple, embed.near_vectors(df).collect()))
+    want = truth.sum(1)
+    label = components(len(rows), zip(*np.nonzero(truth)))
+    for got in (whole, parted):
+        links = np.array([r[1] for r in got])
+        assert (links <= want).all() and links.sum() >= 0.99 * want.sum()
+        assert sum(r[2] == c for r, c in zip(got, label)) >= 0.99 * len(rows)
+
+
+def test_smallest_reached_row():
+    rng = random.Random(4)
+    for _ in range(200):
+        n = rng.randrange(1, 40)
+        links = [(rng.randrange(n), rng.randrange(n)) for _ in range(rng.randrange(60))]
+        i, j = (np.array([e[k] for e in links], int) for k in (0, 1))
+        assert embed._smallest(n, i, j).tolist() == components(n, links)
+    chain = np.random.default_rng(1).permutation(1000)
+    assert (embed._smallest(1000, chain[:-1], chain[1:]) == 0).all()
+
+
 BENCH = "item_id long, text string"
 
 
