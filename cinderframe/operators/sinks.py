@@ -404,14 +404,24 @@ def append_load(df: DataFrame, path: str, load_id: str | None = None) -> int:
         remove_path(spark, staging)
 
 
+def log_record(spark: SparkSession, path: str, record: DataFrame, run_at: dt.datetime, dag_id: str,
+               source: str) -> None:
+    """Write a run's record to the audit log, in a directory of its own in that of its month.
+
+    A run is known by ``run_at``, ``dag_id`` and ``source``: a repeated run replaces its record.  Other
+    runs' records aren't touched, so runs may log at the same time."""
+    run_id = hashlib.sha256("\n".join([run_at.isoformat(), dag_id, source]).encode()).hexdigest()[:32]
+    (require_not_null(record, schemas.NOT_NULL_COLUMNS["pipeline_log"], "pipeline_log")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .parquet(f"{path}/log_month={run_at:%Y-%m}/run_id={run_id}"))
+
+
 def log_run(spark: SparkSession, path: str, run_at: dt.datetime, dag_id: str, source: str,
             rows_loaded: int, status: str, message: str | None = None) -> None:
-    """Append one run record to the audit log (written after the data it describes, so a
+    """Record a run in the audit log (written after the data it describes, so a
     missing record means the load did not finish)."""
     row = [(run_at, dag_id, source, int(rows_loaded or 0), status, message)]  # DEFAULT 0
-    rec = spark.createDataFrame(row, schemas.PIPELINE_LOG)
-    require_not_null(rec, schemas.NOT_NULL_COLUMNS["pipeline_log"], "pipeline_log") \
-        .write.mode("append").parquet(path)
+    log_record(spark, path, spark.createDataFrame(row, schemas.PIPELINE_LOG), run_at, dag_id, source)
 
 
 def export_newest_first(df: DataFrame, path: str) -> int:

@@ -267,7 +267,7 @@ def transform(spark: SparkSession, wh: Warehouse, run_ts: dt.datetime,
     # checks: of the whole tables, reported and logged, never blocking the export
     results = write("data_test_results", quality.check_results_from_raw(
         raw_sensor, raw_owid, raw_iea, whole_co2, cfg))
-    quality.check_log_record(results, run_ts).write.mode("append").parquet(wh.log)
+    sinks.log_record(spark, wh.log, quality.check_log_record(results, run_ts), run_ts, *C.LOG_DATA_TESTS)
     # Every row stamped by a load since the last run lies in the re-read months, so the stored
     # maximum and theirs give the table's maximum.
     previous = None

@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
-import io
+import itertools
 import json
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -77,7 +78,8 @@ def read_openaq_readings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_pipeline_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(schemas.PIPELINE_LOG).parquet(path)
+    """The audit log's records (a directory for each run, in one for each month)."""
+    return spark.read.schema(schemas.PIPELINE_LOG).option("recursiveFileLookup", True).parquet(path)
 
 
 COUNTRY_COLUMNS = ["country", "year", "co2", "co2_per_capita", "cement_co2", "energy_co2"]
@@ -85,35 +87,63 @@ _CSV_FIELD = r'(?:^|,)("(?:[^"]|"")*"|[^,]*)'
 
 
 _MARK = "\ufeff"  # byte-order mark
+RECORDS = 1024     # of a batch that leaves an ordered reader
 
 
-def _files(rows: DataFrame) -> list[str]:
-    """Names of the files that ``rows`` come from."""
-    return sorted(r["file"] for r in rows.select("file").distinct().collect())
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    """(file, start, at, value): the lines of all files; (start, at) is a line's place in its file.
 
+    A split of a file is read in order by one task, so numbers that grow within a task put its lines in order."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("at"), "value")
 
-def _whole(spark: SparkSession, files: list[str]) -> DataFrame:
-    """(file, value) of the given files, each read as one text."""
-    jvm = spark._jvm  # file names are URIs, with escapes that a path has not
-    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)).toString() for f in files]
-    return spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+
+def _read_in_order(lines: DataFrame, odd: DataFrame, reader: Callable, schema: str) -> DataFrame:
+    """What ``reader`` makes of the lines of the files in ``odd(file)``, each file's in order.
+
+    A file goes through one task as a stream of lines: its records, never the file, are held."""
+    return (lines.join(odd, "file", "left_semi").repartition("file").sortWithinPartitions("file", "start", "at")
+            .select("file", "value").mapInArrow(reader, schema))
+
+
+def _by_file(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, Iterator[str]]]:
+    """(file, its lines) of rows that are in order."""
+    pairs = (pair for batch in batches for pair in zip(*(c.to_pylist() for c in batch.columns)))
+    for file, rows in itertools.groupby(pairs, key=lambda pair: pair[0]):
+        yield file, (value.removeprefix(_MARK) for _, value in rows)
 
 
 def _csv_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for file, text in zip(*(c.to_pylist() for c in batch.columns)):
-            records = [r for r in csv.reader(io.StringIO(text.removeprefix(_MARK), newline=""))
-                       if any(x.strip() for x in r)]
-            yield pa.RecordBatch.from_arrays([pa.array([file] * len(records), pa.string()),
-                                              pa.array(records, pa.list_(pa.string()))], names=["file", "fields"])
+    for file, lines in _by_file(batches):
+        records = (r for r in csv.reader(f"{line}\n" for line in lines) if any(x.strip() for x in r))
+        while some := list(itertools.islice(records, RECORDS)):
+            yield pa.RecordBatch.from_arrays([pa.array([file] * len(some), pa.string()),
+                                              pa.array(some, pa.list_(pa.string()))], names=["file", "fields"])
+
+
+_JSON_TOKEN = re.compile(r'"(?:\\.|[^"\\])*"|[\[\]{}]')
+
+
+def _texts(lines: Iterator[str]) -> Iterator[str]:
+    """Lines joined until their brackets are closed: one or more whole documents each."""
+    open_, depth = [], 0
+    for line in lines:
+        open_.append(line)
+        for token in _JSON_TOKEN.findall(line):
+            depth += (token in "[{") - (token in "]}")
+        if depth <= 0:
+            yield "\n".join(open_)
+            open_, depth = [], 0
+    yield "\n".join(open_)
 
 
 def _json_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The records of all documents of a text, whatever their line breaks."""
+    """The records of all documents, whatever their line breaks."""
     decoder = json.JSONDecoder()
-    for batch in batches:
-        for file, text in zip(*(c.to_pylist() for c in batch.columns)):
-            text, at, bodies = text.removeprefix(_MARK).strip(), 0, []
+    for file, lines in _by_file(batches):
+        for text in map(str.strip, _texts(lines)):
+            at, bodies = 0, []
             while at < len(text):
                 try:
                     found, at = decoder.raw_decode(text, at)
@@ -125,7 +155,8 @@ def _json_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                     bodies += [json.dumps(r, ensure_ascii=False) for r in document.get("results") or []]
                 while at < len(text) and text[at].isspace():
                     at += 1
-            yield pa.RecordBatch.from_arrays([pa.array(bodies, pa.string())], names=["body"])
+            if bodies:
+                yield pa.RecordBatch.from_arrays([pa.array(bodies, pa.string())], names=["body"])
 
 
 def read_country_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -133,25 +164,26 @@ def read_country_csv(spark: SparkSession, path: str) -> DataFrame:
 
     Every file has its own header line (the one that names ``country`` and ``year``, in any case,
     with spaces around or a byte-order mark); its order holds for that file alone.  A file with
-    rows but no header line fails the load.  Fields may be quoted; files with line breaks in
-    quoted fields are read whole, the others line by line.  Every column is text, an empty
+    rows but no header line fails the load.  Fields may be quoted; the lines of files with line breaks
+    in quoted fields are read in order by one task a file (such a break becomes one line feed), those of
+    the others anywhere.  Which files these are is a join, not a list in the plan.  Every column is text, an empty
     field NULL; typing is done by ``try_cast`` in the cleaning step, so a malformed number
     becomes NULL instead of failing the load.  Columns that a file lacks are NULL, others are
     ignored."""
     quoted = F.lit(_CSV_FIELD)
-    text = spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", f"^{_MARK}", "").alias("value"))
-    torn = _files(text.where(F.regexp_count("value", F.lit('"')) % 2 == 1))
-    if torn:
-        text = text.where(~F.col("file").isin(torn))
+    read = _lines(spark, path)
+    text = read.select("file", F.regexp_replace("value", f"^{_MARK}", "").alias("value"))
+    torn = text.where(F.regexp_count("value", F.lit('"')) % 2 == 1).select("file").distinct()
+    any_torn = not torn.isEmpty()
+    if any_torn:
+        text = text.join(torn, "file", "left_anti")
     lines = text.where(F.trim("value") != "").select(
         "file", F.transform(F.regexp_extract_all(F.regexp_replace("value", "\r$", ""), quoted, F.lit(1)),
                     lambda x: F.when(x.startswith('"'), F.replace(
                         F.substr(x, F.lit(2), F.length(x) - 2), F.lit('""'), F.lit('"')))
                     .otherwise(x)).alias("fields"))
-    if torn:
-        whole = _whole(spark, torn).mapInArrow(_csv_records, "file string, fields array<string>")
-        lines = lines.unionByName(whole)
+    if any_torn:
+        lines = lines.unionByName(_read_in_order(read, torn, _csv_records, "file string, fields array<string>"))
     lines = lines.withColumn("names", F.transform("fields", lambda x: F.lower(F.trim(
         F.regexp_replace(x, _MARK, "")))))
     is_header = F.array_contains("names", "country") & F.array_contains("names", "year")
@@ -171,19 +203,20 @@ def read_air_quality_documents(spark: SparkSession, path: str) -> DataFrame:
     """Landed API responses, JSON documents ``{"results": [record, ...]}``.
 
     Files of a document per line are split over tasks; files with a line that isn't a document
-    are read whole, as documents formatted over several lines.  One that doesn't parse then
-    fails the load.  A document is exploded into one ``body`` string per record.  Records keep their raw JSON so that fields with two shapes (``date`` as object or
+    are read in order, as documents formatted over several lines, by one task a file that holds a
+    document at a time.  One that doesn't parse then fails the load.  A document is exploded into one ``body`` string per record.  Records keep their raw JSON so that fields with two shapes (``date`` as object or
     string) are resolved by path, not by schema inference."""
     parsed = F.from_json("value", "struct<results: array<string>, _corrupt: string>",
                          {"columnNameOfCorruptRecord": "_corrupt"})
-    lines = (spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value")
-             .where(F.trim("value") != "").withColumn("parsed", parsed))
-    odd = _files(lines.where(F.col("parsed").isNull() | F.col("parsed._corrupt").isNotNull()
-                             | F.col("parsed.results").isNull()))
-    if not odd:
-        return lines.select(F.explode("parsed.results").alias("body"))
-    whole = _whole(spark, odd).mapInArrow(_json_records, "body string")
-    return lines.where(~F.col("file").isin(odd)).select(F.explode("parsed.results").alias("body")).unionByName(whole)
+    read = _lines(spark, path)
+    lines = read.select("file", "value").where(F.trim("value") != "").withColumn("parsed", parsed)
+    odd = lines.where(F.col("parsed").isNull() | F.col("parsed._corrupt").isNotNull()
+                      | F.col("parsed.results").isNull()).select("file").distinct()
+    records = F.explode("parsed.results").alias("body")
+    if odd.isEmpty():
+        return lines.select(records)
+    return lines.join(odd, "file", "left_anti").select(records).unionByName(
+        _read_in_order(read, odd, _json_records, "body string"))
 
 
 def read_air_quality_records(spark: SparkSession, path: str) -> DataFrame:

@@ -160,3 +160,45 @@ def test_recent_air_quality(spark):
     out = ingest.recent_air_quality(df, AS_OF).collect()
     assert len(out) == 16  # days 0..7 inclusive, two matching parameters
     assert {r["parameter"] for r in out} == {"no2", "pm25"}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_odd_files_are_joined_not_listed(spark, tmp_table):
+    """Files with torn lines are found by a join and read as streams of lines, in order."""
+    import os
+
+    import pytest
+    path = tmp_table("countries")
+    os.makedirs(path)
+    for i in range(60):
+        with open(f"{path}/torn {i}.csv", "w", newline="") as f:
+            f.write('\ufeffYear, country ,co2\n')
+            f.writelines(f'20{k:02d},"A\n{i}, ""{k}""",{k}\n' for k in range(40))
+    with open(f"{path}/even.csv", "w") as f:
+        f.write("country,co2,year\nB,1,2001\n")
+    rows = readers.read_country_csv(spark, path)
+    plan = _plan(rows)
+    assert "torn%20" not in plan and "torn 1" not in plan and "In(file" not in plan
+    got = sorted((r["country"], r["year"], r["co2"]) for r in rows.collect())
+    assert got == sorted([("B", "2001", "1")] + [
+        (f'A\n{i}, "{k}"', f"20{k:02d}", str(k)) for i in range(60) for k in range(40)])
+
+    path = tmp_table("documents")
+    os.makedirs(path)
+    for i in range(40):
+        doc = {"results": [{"date": "2024-01-01", "parameter": 'a "]} [{ b\\', "value": 100 * i + k} for k in range(5)]}
+        with open(f"{path}/odd {i}.json", "w") as f:
+            f.write(json.dumps(doc, indent=1) + "\n\n" + json.dumps([doc, doc], indent=2) + json.dumps(doc))
+    rows = readers.read_air_quality_documents(spark, path)
+    plan = _plan(rows)
+    assert "odd%20" not in plan and "odd 1" not in plan
+    values = sorted(json.loads(r["body"])["value"] for r in rows.collect())
+    assert values == sorted(100 * i + k for i in range(40) for k in range(5) for _ in range(4))
+    for bad in ('{"results": [\n{"value": 1}\n', '{"results": []}\noops', '{"results":\n 5}', ']\n{"results": []}'):
+        with open(f"{path}/bad.json", "w") as f:
+            f.write(bad)
+        with pytest.raises(Exception, match="bad.json holds a document"):
+            readers.read_air_quality_documents(spark, path).collect()

@@ -246,3 +246,15 @@ def test_staging_goes_after_a_failed_load(spark, tmp_table):
         sinks.replace_plant_days(bad, path, TS)
     assert not os.path.exists(path + "_staging") or os.listdir(path + "_staging") == []
     assert [r["value"] for r in _table(spark, path).collect()] == [1.0]
+
+
+def test_a_repeated_run_leaves_one_log_record(spark, tmp_table):
+    log = tmp_table("keyed_log")
+    later = dt.datetime(2024, 2, 1, 6)
+    for at, rows, status in ((TS, 1, "failed"), (later, 5, "success"), (TS, 7, "success")):
+        sinks.log_run(spark, log, at, "dag", "src", rows, status)
+    sinks.log_run(spark, log, TS, "dag", "other", 3, "success")
+    got = sorted((r["run_at"], r["source"], r["rows_loaded"], r["status"])
+                 for r in readers.read_pipeline_log(spark, log).collect())
+    assert got == sorted([(TS, "src", 7, "success"), (later, "src", 5, "success"), (TS, "other", 3, "success")])
+    assert sorted(n for n in os.listdir(log)) == sorted({f"log_month={t:%Y-%m}" for t in (TS, later)})
