@@ -310,6 +310,59 @@ class _Labeller:
                        else (UNDETERMINED, 0.0))
         return out
 
+    def words(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(start, end, probabilities of the labels) of every word; a word's pieces count alike."""
+        low = text.lower()
+        found = list(_WORD.finditer(low))
+        cut = [pieces_of([m.group()]) for m in found]
+        numbers = self._numbers([piece for pieces in cut for piece in pieces])
+        p = np.empty((len(numbers), len(self.model.labels)))
+        for i in range(0, len(numbers), SEQUENCE * 4096):  # bounded memory, also within one long text
+            part = numbers[i: i + SEQUENCE * 4096]
+            lengths = np.full(-(-len(part) // SEQUENCE), SEQUENCE)
+            lengths[-1] = len(part) - SEQUENCE * (len(lengths) - 1)
+            inside = np.arange(SEQUENCE) < lengths[:, None]
+            scores = np.zeros((*inside.shape, len(self.model.labels)))
+            scores[inside] = self.scores[part]
+            p[i: i + len(part)] = marginals(scores, self.model.transitions, lengths)[0][inside]
+        first = np.cumsum([0, *map(len, cut)])
+        mean = np.add.reduceat(p, first[:-1], axis=0) / np.diff(first)[:, None] if found else p
+        place = np.array([m.span() for m in found], np.int64).reshape(-1, 2)
+        if len(low) != len(text):  # a letter whose lower case is several characters
+            origin = np.repeat(np.arange(len(text)), [len(c.lower()) for c in text])
+            place = np.stack([origin[place[:, 0]], origin[place[:, 1] - 1] + 1], 1)
+        return place[:, 0], place[:, 1], mean
+
+
+def spans(docs: DataFrame, model: Model) -> DataFrame:
+    """The stretches of one language in each text of ``docs(doc_id, text)``, in order of their place.
+
+    Rows of doc_id, span (from 0), start and end (code points, end exclusive), n_words, lang and
+    score (mean probability of that language over the words): neighbouring words with the same most
+    probable label, ties going to the first label by name.  Null texts, texts without a letter and a
+    model without labels give no rows; repeated rows give theirs each, a null doc_id stays null and
+    other columns are ignored.  Memory follows the longest text."""
+    schema = "doc_id long, span long, start long, end long, n_words long, lang string, score double"
+    names = [part.split()[0] for part in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        labeller = _Labeller(model)
+        for batch in text_batches(batches, limit=4 << 20):
+            for doc, text in zip(*(c.to_pylist() for c in batch.columns)):
+                start, end, p = labeller.words(text) if text and model.labels else ([], [], None)
+                if not len(start):
+                    continue
+                best = p.argmax(1)
+                first = np.flatnonzero(np.r_[True, best[1:] != best[:-1]])
+                last = np.r_[first[1:], len(best)]
+                score = np.add.reduceat(p[np.arange(len(best)), best], first) / (last - first)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([doc] * len(first), pa.int64()), pa.array(np.arange(len(first))), pa.array(start[first]),
+                     pa.array(end[last - 1]), pa.array(last - first), pa.array([model.labels[k] for k in best[first]]),
+                     pa.array(np.minimum(score, 1.0))], names=names)
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with lang_pred and score (mean probability of that language over all words).

@@ -353,3 +353,37 @@ def test_main_text_votes_by_host(spark):
     assert by[3] == ("long article text " * 9).strip()
     assert all(n == len(t) for _, t, n in got)
     assert html.main_text(df.limit(0)).count() == 0
+
+
+def test_spans_of_spliced_texts(spark):
+    """Words of texts spliced from three languages get their language, and spans name their places."""
+    rng = random.Random(12)
+    model = langid.fit(tongues(rng, 30))
+    texts, truth = [], []
+    for _ in range(30):
+        words = [(w, lang) for lang, text in rng.sample(tongues(rng, 1), 3) for w in text.split()]
+        texts.append(", ".join(w for w, _ in words))
+        truth.append([lang for _, lang in words])
+    odd = [None, "", "12 - 3", "\u0130ka k\u0130 kaka", "ka" * 5000 + " " + "tzesch" * 5000, "ka ko"]
+    rows = [(i, t, "x", 0.5) for i, t in enumerate(texts + odd)] + [(None, "ka ko", "y", 0.1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double")
+    got = {}
+    for r in sorted(langid.spans(df, model).collect(), key=lambda r: (r.doc_id or 0, r.span)):
+        got.setdefault(r.doc_id, []).append(r)
+    right = total = 0
+    for i, (text, langs) in enumerate(zip(texts, truth)):
+        found = got[i]
+        assert [r.span for r in found] == list(range(len(found)))
+        assert all(a.end < b.start and a.lang != b.lang for a, b in zip(found, found[1:]))
+        labels = [r.lang for r in found for _ in text[r.start: r.end].split()]
+        assert all(len(text[r.start: r.end].split()) == r.n_words and 0 < r.score <= 1 for r in found)
+        assert len(labels) == len(langs)
+        right += sum(map(str.__eq__, labels, langs))
+        total += len(langs)
+    assert right >= 0.95 * total
+    n = len(texts)
+    assert not {n, n + 1, n + 2} & set(got)
+    assert got[n + 3][0].start == 0 and got[n + 3][-1].end == len(odd[3])
+    assert [(r.start, r.end, r.lang) for r in got[n + 4]] == [(0, 10000, "aa"), (10001, 40001, "bb")]
+    assert [tuple(r)[2:6] for r in got[None]] == [tuple(r)[2:6] for r in got[n + 5]] == [(0, 5, 2, "aa")]
+    assert langid.spans(df.limit(0), model).count() == 0
