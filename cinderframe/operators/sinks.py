@@ -25,6 +25,9 @@ SENSOR_PARTITIONS = ["reading_month", "plant_id"]
 
 TASK_ROWS = 4_000_000  # plant-days that one task writes
 
+# Shuffle partitions, at least, that a load's plant-months are spread over.
+PLANT_MONTH_PARTS = 1024
+
 # Beside the sensor table: a folder of changed plant-months for each load that no run has taken in yet.
 CHANGED_MONTHS = "reading_month string, plant_id string, first date, last date"
 WHOLE = "whole-"  # begins the name of the mark that stands for all plant-months
@@ -124,12 +127,16 @@ def _write_plant_months(df: DataFrame, path: str, obs: Observation | None = None
     """Write rows into ``reading_month=/plant_id=`` directories, replacing only those present.
 
     Rows are rebalanced by directory (few files each; AQE splits a hot one over several
-    tasks) and sorted by day and sensor inside, so date predicates skip row groups.  A row
+    tasks) and sorted by day and sensor inside, so date predicates skip row groups.  Each part of a split
+    shuffle partition writes a file into every directory the partition holds, so directories are spread over many
+    partitions, of which AQE puts small ones together: a large load has the files of a small one, not as many
+    more as it has parts.  A row
     count (``n``) and ``more`` aggregates, if asked for, are observed in the final (write) stage: Spark
     applies each result partition's metrics once even when a lost executor forces earlier stages to re-run.
     """
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), PLANT_MONTH_PARTS)
     out = (df.withColumn("reading_month", reading_month())
-           .hint("rebalance", *SENSOR_PARTITIONS)
+           .hint("rebalance", parts, *SENSOR_PARTITIONS)
            .sortWithinPartitions(*SENSOR_PARTITIONS, "reading_date", "sensor"))
     if obs is not None:
         out = out.observe(obs, F.count(F.lit(1)).alias("n"), *more)

@@ -258,3 +258,27 @@ def test_a_repeated_run_leaves_one_log_record(spark, tmp_table):
                  for r in readers.read_pipeline_log(spark, log).collect())
     assert got == sorted([(TS, "src", 7, "success"), (later, "src", 5, "success"), (TS, "other", 3, "success")])
     assert sorted(n for n in os.listdir(log)) == sorted({f"log_month={t:%Y-%m}" for t in (TS, later)})
+
+
+def test_a_load_split_over_tasks_has_the_files_of_an_unsplit_one(spark, tmp_table):
+    """Few shuffle partitions, far above the size AQE aims at: each part must not write into all directories."""
+    path, months, plants = tmp_table("raw"), 12, 10
+    day = F.expr(f"add_months(date'2024-01-01', cast(id % {months} as int))")
+    plant = F.concat(F.lit("P"), (F.col("id") / months % plants).cast("int").cast("string"))
+    rows = spark.range(0, 120_000, numPartitions=8).select(
+        day.alias("reading_date"), plant.alias("plant_id"), F.lit("O2_flue_gas").alias("sensor"),
+        F.rand(1).alias("value"), F.lit("pct").alias("unit_label"))
+    conf = {"spark.sql.shuffle.partitions": "2", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert sinks.replace_plant_days(rows, path, TS) == 120_000
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = [f for _, _, names in os.walk(path) for f in names if f.endswith(".parquet")]
+    assert months * plants <= len(files) <= 1.5 * months * plants
+    stored = _table(spark, path)
+    assert stored.count() == 120_000
+    assert stored.groupBy("plant_id", "reading_date").count().where("count = 1000").count() == months * plants
