@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import SHINGLE_WORDS, WordHashes, byte_texts, mixed, shingle_hashes, text_batches, written
+from .common import SHINGLE_WORDS, WordHashes, byte_texts, frugal, mixed, shingle_hashes, text_batches, written
 
 BITMAP_BITS = 23    # log2 of the bitmap's bits: 1 MB
 RADIUS = 23         # bits; a pair at similarity 0.8 is farther apart with a chance of about 1e-6
@@ -179,14 +179,14 @@ def _mark(docs: DataFrame):
 def _matches(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
     items = written(
         items.select(F.col("item_id").cast("long"), F.col("text").cast("string"))
-        .mapInArrow(_items, "item_id long, n_words long, simhash long, shingles array<long>, "
+        .mapInArrow(frugal(_items), "item_id long, n_words long, simhash long, shingles array<long>, "
                     "slots array<long>"), "items", batch_rows=TEXT_ROWS)
     lengths = sorted(r[0] for r in items.select("n_words").distinct().collect())
     bitmap = docs.sparkSession.sparkContext.broadcast(_bitmap(items))
     windows = written(
         docs.select(F.col("doc_id").cast("long"), _mark(docs).alias("mark"),
                     F.col("text").cast("string"))
-        .mapInArrow(_windows(bitmap, lengths, percent),
+        .mapInArrow(frugal(_windows(bitmap, lengths, percent)),
                     "doc_id long, mark long, start long, n_words long, words binary, "
                     "simhash long, shingles array<long>"), "windows", batch_rows=TEXT_ROWS)
     different = written(windows.groupBy("words", "n_words").agg(
@@ -201,7 +201,7 @@ def _matches(docs: DataFrame, items: DataFrame, percent: int) -> DataFrame:
         .join(items.select("item_id", "n_words", F.col("shingles").alias("item")),
               ["item_id", "n_words"])
         .select("words", "n_words", "item_id", "shingles", "item").distinct()
-        .mapInArrow(_verify(percent), "words binary, n_words long, item_id long, similarity double"),
+        .mapInArrow(frugal(_verify(percent)), "words binary, n_words long, item_id long, similarity double"),
         "checked", batch_rows=TEXT_ROWS)
     return windows.select("doc_id", "mark", "start", "n_words", "words").join(
         checked, ["words", "n_words"])

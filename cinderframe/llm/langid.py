@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_batches, written
+from .common import frugal, text_batches, written
 
 TRAIN_WORDS = 12_000     # labelled words for each language, at most
 TRAIN_ROWS = 300         # rows for each language that they come from, about
@@ -361,7 +361,7 @@ def spans(docs: DataFrame, model: Model) -> DataFrame:
                      pa.array(end[last - 1]), pa.array(last - first), pa.array([model.labels[k] for k in best[first]]),
                      pa.array(np.minimum(score, 1.0))], names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(frugal(run), schema)
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -381,7 +381,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 names=[*names, "lang_pred", "score"])
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    return docs.mapInArrow(run, schema + ", lang_pred string, score double")
+    return docs.mapInArrow(frugal(run), schema + ", lang_pred string, score double")
 
 
 def held_out(doc_id: str = "doc_id"):

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (WordHashes, byte_texts, connected_components, forget, mixed, shingle_hashes,
+from .common import (WordHashes, byte_texts, connected_components, forget, frugal, mixed, shingle_hashes,
                      text_batches, written)
 
 COORDINATES = 64
@@ -123,7 +123,7 @@ def _links(pairs: DataFrame, signs: DataFrame, sets: DataFrame, percent: int) ->
         pairs = pairs.join(sets.select(F.col("node").alias(end),
                                        F.col("shingles").alias(f"shingles_{end}")), end)
     return pairs.select("src", "dst", "shingles_src", "shingles_dst").mapInArrow(
-        _confirm(percent), "src long, dst long")
+        frugal(_confirm(percent)), "src long, dst long")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
@@ -138,7 +138,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     least = least_matches(percent)
     signed = written(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-        .mapInArrow(_sign, "doc_id long, n_shingles long, class binary, signature array<long>, "
+        .mapInArrow(frugal(_sign), "doc_id long, n_shingles long, class binary, signature array<long>, "
                     "sketch array<long>"),
         "signed", batch_rows=TEXT_ROWS)
     known = signed.where("class is not null and doc_id is not null")
@@ -165,7 +165,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     sets = written(
         docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string"))
         .join(signs.select("node", "class"), "node")
-        .mapInArrow(_sets, "node long, shingles binary").dropDuplicates(), "sets", batch_rows=TEXT_ROWS)
+        .mapInArrow(frugal(_sets), "node long, shingles binary").dropDuplicates(), "sets", batch_rows=TEXT_ROWS)
 
     # Sets of n and m shingles that are similar enough differ in at most this share of n + m.
     apart = sum((F.bit_count(F.col("sketch")[i].bitwiseXOR(F.col("other")[i]))

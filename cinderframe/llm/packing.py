@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import byte_letters, byte_texts, text_batches, written
+from .common import byte_letters, byte_texts, frugal, text_batches, written
 
 WINDOW = 4096
 OPEN_WINDOWS = 8
@@ -304,10 +304,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, end_id: int = 2, size: int =
             yield packer.drain()
 
     placed = written(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-                     .mapInArrow(place, _PIECE + ", ids binary, partition long"),
+                     .mapInArrow(frugal(place), _PIECE + ", ids binary, partition long"),
                      "placed", batch_rows=TEXT_ROWS)
     left = (placed.where("ids is not null")
             .withColumn("merged", F.floor(F.col("partition") / MERGED_PARTITIONS))
             .repartition("merged").sortWithinPartitions("merged", "partition", "doc_id", "start")
-            .mapInArrow(merge, _PIECE))
+            .mapInArrow(frugal(merge), _PIECE))
     return placed.where("ids is null").select(*_FIELDS).unionByName(written(left, "merged", batch_rows=TEXT_ROWS))

@@ -97,3 +97,45 @@ def test_queries_are_registered_once_per_operator():
         (n for n in QUERIES if n.startswith("op")), key=lambda n: int(n[2:].split("_")[0]))
     assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(QUERIES)
     assert corpus_pipeline.ORACLE_SQL is None and "pipeline" not in ORACLE
+
+
+HELD = """
+import re
+import numpy as np
+import pyarrow as pa
+from cinderframe.llm import langid
+
+class Docs:  # gives the step's function back
+    columns, schema = ["text"], []
+    def mapInArrow(self, step, schema):
+        return step
+
+def anonymous():
+    with open("/proc/self/smaps_rollup") as f:
+        return int(re.search(r"Anonymous:\\s+(\\d+)", f.read())[1]) // 1024
+
+step = langid.predict(Docs(), langid.Model(["en"], np.zeros((langid.BUCKETS, 1)), np.zeros((1, 1))))
+
+def batches(n):
+    if n:
+        held = [pa.array(["word " * 200] * 1000) for _ in range(n)]  # a step's peak, gone with its task
+        held = [a.cast(pa.binary()).take(list(range(1000))) for a in held]
+        del held
+    yield pa.record_batch([pa.array(["word"])], names=["text"])
+
+list(step(batches(0)))
+before = anonymous()
+list(step(batches(200)))
+print(anonymous() - before)
+"""
+
+
+def test_a_step_gives_its_memory_back():
+    """What an idle Python worker holds doesn't follow the largest task that it ever ran."""
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    run = subprocess.run([sys.executable, "-c", HELD], cwd=root, capture_output=True, text=True, timeout=120)
+    assert run.returncode == 0, run.stderr
+    assert int(run.stdout) < 40  # of 400 MB
